@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lotwise import fixed
 from lotwise.functions.adapters import ModelAdapter, adapter_for
 from lotwise.functions.jsonlines import parse_lines
 from lotwise.operators.joins import join_results
@@ -57,12 +58,13 @@ def output_gate(
     ledger: DataFrame | None = None,
     accept_partial: bool = False,
     chunks: list[int] | None = None,
+    glob: str = fixed.OUTPUT_FILE_GLOB,
 ) -> Gate:
     """First file of each job, of completed jobs only when a ledger is given.
 
     Built from file names alone, a row per job; broadcast only after counting.
     """
-    files = list_outputs(spark, path, chunks)
+    files = list_outputs(spark, path, chunks, glob)
     n = files.agg(F.count(F.lit(1)).alias("files"), F.count_distinct("chunk_idx", "job_id").alias("jobs")).first()
     if ledger is None and n.files == n.jobs:
         return Gate(None)
@@ -90,8 +92,9 @@ def _outputs(
     spark: SparkSession, spec: JobSpec, ledger: DataFrame | None, accept_partial: bool, chunks: list[int] | None
 ) -> tuple[DataFrame, Gate, ModelAdapter]:
     adapter = adapter_for(spec.model_id)
-    gate = output_gate(spark, spec.layout.outputs, ledger, accept_partial, chunks)
-    return extract(read_outputs(spark, spec.layout.outputs, chunks), adapter), gate, adapter
+    path, glob = spec.layout.outputs, spec.output_glob
+    gate = output_gate(spark, path, ledger, accept_partial, chunks, glob)
+    return extract(read_outputs(spark, path, chunks, glob), adapter), gate, adapter
 
 
 def collect(

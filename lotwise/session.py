@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
 from contextlib import contextmanager
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -58,6 +60,30 @@ def drop_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def existing(spark: SparkSession, paths: list[str]) -> list[str]:
+    """The paths that exist."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    targets = ((p, jvm.org.apache.hadoop.fs.Path(p)) for p in paths)
+    return [p for p, t in targets if t.getFileSystem(conf).exists(t)]
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in Python workers that do not have it installed."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    package = Path(__file__).parent
+    target = Path(tempfile.mkdtemp(prefix="lotwise-ship-")) / "lotwise.zip"
+    with zipfile.ZipFile(target, "w") as archive:
+        for source in sorted(package.rglob("*.py")):
+            archive.write(source, source.relative_to(package.parent))
+    spark.sparkContext.addPyFile(str(target))
+    _shipped.add(app)
+
+
 @contextmanager
 def settings(spark: SparkSession, **conf: str) -> Iterator[None]:
     """Run an action under temporary SQL settings (dots written as double underscores)."""

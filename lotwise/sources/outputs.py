@@ -8,40 +8,55 @@ from pyspark.sql import functions as F
 from lotwise import fixed
 from lotwise.functions.jsonlines import strict_json, stripped
 from lotwise.operators.numbering import number_lines
+from lotwise.session import existing
 
 LINES = "value string, chunk_idx int, file_path string, job_id string"
 
 
 def path_job_id(path: Column) -> Column:
-    return F.regexp_extract(path, r"/chunk_idx=\d+/([^/]+)/", 1)
+    return F.regexp_extract(path, r"/chunk_idx=\d+/(?:job_id=)?([^/]+)/", 1)
 
 
 def path_chunk_idx(path: Column) -> Column:
     return F.regexp_extract(path, r"/chunk_idx=(\d+)/", 1).cast("int")
 
 
-def read_outputs(spark: SparkSession, path: str, chunks: list[int] | None = None) -> DataFrame:
-    """Output lines with chunk, job and file; chunk filters prune folders."""
-    scan = spark.read.option("pathGlobFilter", fixed.OUTPUT_FILE_GLOB).text(path, lineSep="\n")
+def chunk_folders(spark: SparkSession, path: str, chunks: list[int]) -> list[str]:
+    """Existing folders of the given chunks, so that no other folder is listed."""
+    return existing(spark, [f"{path}/chunk_idx={c}" for c in chunks])
+
+
+def read_outputs(
+    spark: SparkSession, path: str, chunks: list[int] | None = None, glob: str = fixed.OUTPUT_FILE_GLOB
+) -> DataFrame:
+    """Output lines with chunk, job and file; ``chunks`` reads only their folders."""
+    folders = [path] if chunks is None else chunk_folders(spark, path, chunks)
+    if not folders:
+        return spark.createDataFrame([], LINES)
+    reader = spark.read.option("pathGlobFilter", glob).option("basePath", path)
+    scan = reader.text(folders, lineSep="\n")
     if "chunk_idx" not in scan.columns:
         return spark.createDataFrame([], LINES)
     file_path = F.col("_metadata.file_path")
-    lines = scan.select(
+    return scan.select(
         "value", F.col("chunk_idx").cast("int"), file_path.alias("file_path"), path_job_id(file_path).alias("job_id")
     )
-    return lines if chunks is None else lines.filter(F.col("chunk_idx").isin(chunks))
 
 
-def list_outputs(spark: SparkSession, path: str, chunks: list[int] | None = None) -> DataFrame:
+def list_outputs(
+    spark: SparkSession, path: str, chunks: list[int] | None = None, glob: str = fixed.OUTPUT_FILE_GLOB
+) -> DataFrame:
     """One row per output file; reads names only, never file contents."""
-    scan = (
-        spark.read.format("binaryFile").option("pathGlobFilter", fixed.OUTPUT_FILE_GLOB).load(path).select("path")
-    )
-    files = scan.select(
-        F.col("path").alias("file_path"), path_chunk_idx(F.col("path")).alias("chunk_idx"),
-        path_job_id(F.col("path")).alias("job_id"),
+    folders = [path] if chunks is None else chunk_folders(spark, path, chunks)
+    if not folders:
+        return spark.createDataFrame([], "file_path string, chunk_idx int, job_id string")
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("basePath", path)
+    file_path = F.col("path")
+    return reader.load(folders).select(
+        file_path.alias("file_path"),
+        path_chunk_idx(file_path).alias("chunk_idx"),
+        path_job_id(file_path).alias("job_id"),
     )
-    return files if chunks is None else files.filter(F.col("chunk_idx").isin(chunks))
 
 
 def first_files(files: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from lotwise import fixed
+from lotwise.session import existing
 
 
 def input_format(uri: str) -> str:
@@ -46,6 +47,10 @@ def read_dataset(spark: SparkSession, root: str, dataset_id: str, split: str = "
 
 
 def read_inputs(spark: SparkSession, path: str, chunks: list[int] | None = None) -> DataFrame:
-    """Saved input chunks; ``chunks`` prunes to their folders."""
-    df = spark.read.parquet(path)
-    return df if chunks is None else df.filter(F.col("chunk_idx").isin(chunks))
+    """Saved input chunks; ``chunks`` lists and reads only their folders."""
+    if chunks is None:
+        return spark.read.parquet(path)
+    folders = existing(spark, [f"{path}/chunk_idx={c}" for c in chunks])
+    if not folders:
+        return spark.read.parquet(path).filter(F.lit(False))
+    return spark.read.option("basePath", path).parquet(*folders)

@@ -15,10 +15,12 @@ from lotwise.sources.sinks import write_results
 from lotwise.sources.tables import read_inputs
 
 
-def read_output_stream(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
+def read_output_stream(
+    spark: SparkSession, path: str, files_per_batch: int = 1000, glob: str = fixed.OUTPUT_FILE_GLOB
+) -> DataFrame:
     """Lines of output files as they arrive, with chunk, job and file."""
     scan = (
-        spark.readStream.option("pathGlobFilter", fixed.OUTPUT_FILE_GLOB)
+        spark.readStream.option("pathGlobFilter", glob)
         .option("recursiveFileLookup", "true")
         .option("maxFilesPerTrigger", files_per_batch)
         .text(path, lineSep="\n")
@@ -41,6 +43,7 @@ def stream_collect(
     adapter: ModelAdapter,
     files_per_batch: int = 1000,
     available_now: bool = True,
+    glob: str = fixed.OUTPUT_FILE_GLOB,
 ) -> StreamingQuery:
     """Join each arriving output file to its saved chunk and write that chunk's results.
 
@@ -56,14 +59,14 @@ def stream_collect(
         chunks = [r.chunk_idx for r in batch.select("chunk_idx").distinct().collect()]
         if not chunks:
             return
-        gate = output_gate(session, outputs, chunks=chunks)
+        gate = output_gate(session, outputs, chunks=chunks, glob=glob)
         lines = apply_gate(extract(batch, adapter), gate).repartition("chunk_idx")
         saved = read_inputs(session, inputs, chunks).repartition("chunk_idx")
         with settings(session, spark__sql__requireAllClusterKeysForCoPartition="false"):
             write_results(joined_states(lines, saved, adapter.result_column), results, dynamic=True)
 
     writer = (
-        read_output_stream(spark, outputs, files_per_batch)
+        read_output_stream(spark, outputs, files_per_batch, glob)
         .writeStream.foreachBatch(write_batch)
         .option("checkpointLocation", checkpoint)
     )
