@@ -20,14 +20,14 @@ def stripped(value: Column) -> Column:
 def strict_json(line: Column, schema: str) -> Column:
     """The line as a struct, or null unless it is exactly one valid JSON object.
 
-    ``from_json`` stops at the end of the first value. Whatever follows must
-    therefore break one of two wrappings: after the value, ``[line]`` accepts only
-    ``]`` or ``,`` and ``{"v":line}`` only ``}`` or ``,``, so both together accept
-    just the end of the line, and the size check rules out a second element.
+    ``from_json`` stops at the end of the first value, so the line is parsed in two
+    wrappings. After that value ``[line]`` accepts only ``]``, or ``,`` and a value;
+    ``{"v":line}`` only ``}``, or ``,`` and a key. Nothing but the end of the line
+    satisfies both.
     """
     listed = F.from_json(F.concat(F.lit("["), line, F.lit("]")), f"array<struct<{_fields(schema)}>>", _OPTIONS)
     keyed = F.from_json(F.concat(F.lit('{"v":'), line, F.lit(',"n":1}')), "n int", _OPTIONS)
-    return F.when((F.size(listed) == 1) & (keyed["n"] == 1), F.get(listed, F.lit(0)))
+    return F.when(keyed["n"] == 1, F.get(listed, F.lit(0)))
 
 
 def _fields(ddl: str) -> str:

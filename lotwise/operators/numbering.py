@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lotwise.session import materialize, scratch_path
+from lotwise.session import materialize
 
 # Up to here a table of per-block sums is handled by one window task and broadcast
 # (a few MB); beyond it the sums are distributed and the join is left to AQE.
@@ -100,7 +100,9 @@ def number_by_file(scan: DataFrame, limit: int | None = None, name: str = "ordin
     return numbered if limit is None else numbered.filter(F.col(name) < limit)
 
 
-def number_by_split(scan: DataFrame, limit: int | None = None, name: str = "ordinal") -> DataFrame:
+def number_by_split(
+    scan: DataFrame, limit: int | None = None, name: str = "ordinal", scratch: str | None = None
+) -> DataFrame:
     """Number the rows of an unfiltered text or CSV scan in (file path, line) order.
 
     A task reads each of its file splits from start to end, so positions inside a
@@ -116,6 +118,7 @@ def number_by_split(scan: DataFrame, limit: int | None = None, name: str = "ordi
             F.monotonically_increasing_id().alias(_POS),
         ),
         "split-numbering",
+        scratch,
     )
     blocks = staged.groupBy(_FILE, _START).agg(F.count(F.lit(1)).alias("__n"), F.min(_POS).alias("__first"))
     splits = blocks.count()
@@ -143,6 +146,7 @@ def number_by_key(
     limit: int | None = None,
     unique: bool = False,
     name: str = "ordinal",
+    scratch: str | None = None,
 ) -> DataFrame:
     """Number rows in the order of ``keys`` with one range shuffle.
 
@@ -163,7 +167,7 @@ def number_by_key(
         order += [F.col("__tie"), F.col("__copy")]
     ranged = arranged.repartitionByRange(partitions, *order) if partitions else arranged.repartitionByRange(*order)
     placed = ranged.sortWithinPartitions(*order).drop("__tie", "__copy")
-    staged = materialize(placed.withColumn(_POS, F.monotonically_increasing_id()), "key-numbering")
+    staged = materialize(placed.withColumn(_POS, F.monotonically_increasing_id()), "key-numbering", scratch)
 
     blocked = staged.withColumn(_BLOCK, _task(F.col(_POS)))
     tasks = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -182,14 +186,16 @@ def assign_ordinals(
     limit: int | None = None,
     unique: bool = False,
     text_source: bool = False,
+    scratch: str | None = None,
 ) -> DataFrame:
     """Add ``ordinal`` (0, 1, 2, ...) in key order, or in input order when no keys are given.
 
-    Without keys ``df`` must be a scan as returned by ``read_input``.
+    Without keys ``df`` must be a scan as returned by ``read_input``. ``scratch`` names
+    the folder of the scratch copy, for callers that delete it afterwards.
     """
     if keys:
-        return number_by_key(df, keys, partitions, limit, unique)
-    return number_by_split(df, limit) if text_source else number_by_file(df, limit)
+        return number_by_key(df, keys, partitions, limit, unique, scratch=scratch)
+    return number_by_split(df, limit, scratch=scratch) if text_source else number_by_file(df, limit)
 
 
 def assign_chunks(df: DataFrame, size: int) -> DataFrame:

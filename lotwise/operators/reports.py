@@ -24,15 +24,10 @@ def records_per_chunk(numbered: DataFrame) -> DataFrame:
 
 
 def output_paths(manifest: DataFrame) -> DataFrame:
-    """Result path of each chunk, in chunk order when listed as one array."""
+    """Result path of each chunk: a table, as there may be too many chunks for one list."""
     return manifest.select("chunk_idx", "results_path")
 
 
-def output_path_list(manifest: DataFrame) -> DataFrame:
-    """All result paths as one sorted array: one short string per chunk."""
-    return manifest.agg(F.array_sort(F.collect_list("results_path")).alias("output_paths"))
-
-
 def estimate_cost(usage: DataFrame, prices: DataFrame) -> DataFrame:
     """Tokens and dollars per model. Tokens are summed before the price join, so the join sees one row per model."""
     totals = usage.groupBy("model_id").agg(

@@ -77,8 +77,11 @@ def output_gate(
 def apply_gate(outputs: DataFrame, gate: Gate) -> DataFrame:
     if gate.files is None:
         return outputs
-    files = F.broadcast(gate.files) if gate.small else gate.files
-    return outputs.join(files, ["chunk_idx", "file_path"], "left_semi")
+    if gate.small:
+        return outputs.join(F.broadcast(gate.files), ["chunk_idx", "file_path"], "left_semi")
+    # Files are unique, so an inner join keeps the same rows; a semi join would be
+    # moved below the repartitioning by chunk and shuffle the lines once more.
+    return outputs.join(gate.files, ["chunk_idx", "file_path"])
 
 
 def fail_on_bad(outputs: DataFrame) -> DataFrame:

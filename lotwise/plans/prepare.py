@@ -11,7 +11,8 @@ from lotwise.functions.prompts import PromptTemplate, check_columns, render, req
 from lotwise.operators.numbering import assign_chunks, assign_ordinals
 from lotwise.operators.reports import records_per_chunk
 from lotwise.plans.spec import JobSpec
-from lotwise.sources.sinks import write_inputs, write_requests
+from lotwise.session import drop_path, scratch_path
+from lotwise.sources.sinks import write_inputs, write_manifest, write_requests
 from lotwise.sources.tables import dataset_path, input_format, read_input
 
 
@@ -32,10 +33,10 @@ def read_source(spark: SparkSession, spec: JobSpec) -> tuple[DataFrame, bool]:
     return read_input(spark, uri), input_format(uri) == "csv"
 
 
-def stamp(df: DataFrame, spec: JobSpec, text_source: bool = False) -> DataFrame:
+def stamp(df: DataFrame, spec: JobSpec, text_source: bool = False, scratch: str | None = None) -> DataFrame:
     """Input rows with ``ordinal``, ``chunk_idx`` and ``record_id``, limits applied."""
     numbered = assign_ordinals(
-        df, spec.order_by, limit=spec.row_limit, unique=spec.order_is_unique, text_source=text_source
+        df, spec.order_by, limit=spec.row_limit, unique=spec.order_is_unique, text_source=text_source, scratch=scratch
     )
     stamped = with_record_id(assign_chunks(numbered, spec.chunk_size), spec.job_name_prefix)
     return drop_index_column(stamped)
@@ -97,10 +98,12 @@ def prepare(spark: SparkSession, spec: JobSpec) -> DataFrame:
     check_columns(source, required_columns(adapter.model_type, template), f"the input of {spec.job_name_prefix}")
 
     at = spec.layout
-    stamped = stamp(source, spec, text_source)
+    scratch = scratch_path(spark, "numbering")
+    stamped = stamp(source, spec, text_source, scratch)
     write_inputs(stamped, at.inputs)
+    drop_path(spark, scratch)  # the saved inputs replace it
     inputs = spark.read.schema(stamped.schema).parquet(at.inputs)
     write_requests(build_requests(inputs, adapter, template, spec), at.requests)
     manifest = build_manifest(inputs, spec)
-    manifest.write.mode("overwrite").parquet(at.manifest)
+    write_manifest(manifest, at.manifest)
     return spark.read.schema(manifest.schema).parquet(at.manifest)

@@ -41,6 +41,11 @@ def write_requests(df: DataFrame, path: str) -> None:
     )
 
 
+def write_manifest(manifest: DataFrame, path: str, fmt: str = "parquet") -> None:
+    """Write the manifest as Parquet, or as JSON lines (null fields are left out)."""
+    manifest.write.mode("overwrite").format(fmt).save(path)
+
+
 def write_results(df: DataFrame, path: str, dynamic: bool = False) -> None:
     """Write joined results as snappy Parquet under ``state=.../chunk_idx=N``.
 
