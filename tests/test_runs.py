@@ -1,0 +1,285 @@
+"""Prepare and collect through files."""
+
+import json
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from lotwise import JobSpec, collect, good_results, prepare, read_results, rejected_lines, run_collect
+from lotwise.functions.naming import chunk_label, job_name, with_record_id
+from lotwise.operators.joins import unmatched
+from lotwise.plans.collect import BadOutputError
+from lotwise.sources.sinks import write_csv, write_manifest
+from lotwise.sources.tables import input_format, stage_dataset
+
+TEXT = "anthropic.sample-v1"
+VECTOR = "amazon.titan-embed-text-v2:0"
+
+
+def spec_of(tmp_path, **job):
+    return JobSpec(**{"job_name_prefix": "run", "model_id": TEXT, "root": str(tmp_path), "prompt_id": "joke_about_topic", **job})
+
+
+def topics(spark, tmp_path, n=25, name="topics.parquet"):
+    path = str(tmp_path / name)
+    df = spark.range(0, n, 1, 3).select(F.concat(F.lit("topic "), F.col("id")).alias("topic"), "id")
+    df.write.parquet(path)
+    return path
+
+
+def answer(record_id, text):
+    return json.dumps({"recordId": record_id, "modelOutput": {"content": [{"type": "text", "text": text}]}})
+
+
+def put(spec, chunk, job, name, lines):
+    folder = f"{spec.layout.outputs}/chunk_idx={chunk}/{job}"
+    os.makedirs(folder, exist_ok=True)
+    with open(f"{folder}/{name}.jsonl.out", "w") as out:
+        out.write("\n".join(lines))
+    with open(f"{folder}/manifest.json.out", "w") as out:
+        out.write("{}")
+
+
+def ids_by_chunk(spark, spec):
+    rows = spark.read.parquet(spec.layout.inputs).orderBy("ordinal").collect()
+    chunks = {}
+    for r in rows:
+        chunks.setdefault(r.chunk_idx, []).append(r.record_id)
+    return chunks
+
+
+def files_in(path):
+    return sorted(f for f in os.listdir(path) if f.startswith("part-"))
+
+
+def test_prepare_writes_inputs_requests_and_manifest(spark, tmp_path):
+    spec = spec_of(tmp_path, input_uri=topics(spark, tmp_path), max_records_per_job=10)
+    manifest = {r.chunk_idx: r for r in prepare(spark, spec).collect()}
+    assert {c: r.n_records for c, r in manifest.items()} == {0: 10, 1: 10, 2: 5}
+    for chunk, row in manifest.items():
+        assert row.job_name.startswith(f"run-part-{chunk:04d}-") and row.model_id == TEXT
+        (name,) = files_in(row.requests_path)
+        lines = [json.loads(x) for x in open(f"{row.requests_path}/{name}")]
+        saved = spark.read.parquet(row.inputs_path).orderBy("ordinal").collect()
+        assert [x["recordId"] for x in lines] == [r.record_id for r in saved]
+        prompts = [x["modelInput"]["messages"][0]["content"][0]["text"] for x in lines]
+        assert prompts == [f"Write a short joke about {r.topic}. Keep it under fifty words." for r in saved]
+    saved = spark.read.parquet(spec.layout.inputs)
+    assert saved.filter("id <> ordinal").count() == 0
+    assert saved.select("record_id").distinct().count() == 25
+
+
+def test_two_runs_give_the_same_lines(spark, tmp_path):
+    path = topics(spark, tmp_path)
+    lines = []
+    for root in ("a", "b"):
+        spec = spec_of(tmp_path / root, input_uri=path, max_records_per_job=10, order_by=["topic"])
+        prepare(spark, spec)
+        lines.append(sorted(r.value for r in spark.read.text(spec.layout.requests).collect()))
+    assert lines[0] == lines[1]
+
+
+@pytest.mark.parametrize(
+    "limits,expected",
+    [
+        ({"max_records_total": 25}, [10, 10, 5]),
+        ({"max_num_jobs": 3}, [10, 10, 10]),
+        ({"max_num_jobs": 3, "max_records_total": 12}, [10, 2]),
+        ({"max_num_jobs": 0}, [10] * 10),
+        ({"max_records_total": 1000}, [10] * 10),
+    ],
+)
+@pytest.mark.parametrize("order_by", [[], ["id"]])
+def test_limits(spark, tmp_path, limits, expected, order_by):
+    path = topics(spark, tmp_path, 100)
+    spec = spec_of(tmp_path, input_uri=path, max_records_per_job=10, order_by=order_by, **limits)
+    rows = prepare(spark, spec).orderBy("chunk_idx").collect()
+    assert [r.n_records for r in rows] == expected
+
+
+def test_rerun_replaces_the_whole_prefix(spark, tmp_path):
+    path = topics(spark, tmp_path)
+    prepare(spark, spec_of(tmp_path, input_uri=path, max_records_per_job=5))
+    again = spec_of(tmp_path, input_uri=path, max_records_per_job=20)
+    assert prepare(spark, again).count() == 2
+    assert len([f for f in os.listdir(again.layout.requests) if "chunk_idx" in f]) == 2
+
+
+def test_errors_before_any_job_runs(spark, tmp_path):
+    path = topics(spark, tmp_path)
+    with pytest.raises(ValueError, match=r"\['source'\]"):
+        prepare(spark, spec_of(tmp_path, input_uri=path, prompt_id="question_answering"))
+    with pytest.raises(ValueError, match="input_text"):
+        prepare(spark, spec_of(tmp_path, input_uri=path, model_id=VECTOR, prompt_id=None))
+    with pytest.raises(ValueError, match="unsupported"):
+        prepare(spark, spec_of(tmp_path, input_uri=path, model_id="Anthropic"))
+    with pytest.raises(ValueError, match="exactly one"):
+        prepare(spark, spec_of(tmp_path))
+    for uri in ("x.CSV", "x.json", "x"):
+        with pytest.raises(ValueError):
+            input_format(uri)
+    spark.range(1).withColumn("chunk_idx", F.lit(1)).withColumn("topic", F.lit("t")).write.parquet(f"{tmp_path}/r.parquet")
+    with pytest.raises(ValueError, match="reserved"):
+        prepare(spark, spec_of(tmp_path, input_uri=f"{tmp_path}/r.parquet"))
+    assert not os.path.exists(f"{tmp_path}/run")
+
+
+def test_csv_input_in_file_order(spark, tmp_path):
+    path = tmp_path / "topics.csv"
+    path.write_text(',topic\n0,b\n1,"a, ""x""\nnext"\n2,\n3,nan\n')
+    spec = spec_of(tmp_path, input_uri=str(path))
+    prepare(spark, spec)
+    saved = spark.read.parquet(spec.layout.inputs).orderBy("ordinal")
+    assert saved.columns == ["topic", "ordinal", "record_id", "chunk_idx"]
+    assert [r.topic for r in saved.collect()] == ["b", 'a, "x"\nnext', None, "nan"]
+
+
+def test_dataset_input(spark, tmp_path):
+    df = spark.range(7).select(F.col("id").cast("string").alias("topic"))
+    stage_dataset(df, str(tmp_path), "owner/name", "test")
+    stage_dataset(df.limit(2), str(tmp_path), "owner/name")
+    spec = spec_of(tmp_path, dataset_id="owner/name", split="test")
+    assert prepare(spark, spec).first().n_records == 7
+    stage_dataset(df.limit(3), str(tmp_path), "owner/name", "test")
+    assert prepare(spark, spec).first().n_records == 3
+
+
+def test_own_record_ids(spark, tmp_path):
+    df = spark.createDataFrame([(0, 5), (1, None)], "ordinal long, record_id int")
+    rows = with_record_id(df, "p").orderBy("ordinal").collect()
+    assert rows[0].record_id == "5" and len(rows[1].record_id) == 32
+
+
+def test_job_names(spark):
+    df = spark.createDataFrame([(0,), (12,), (10000,)], "c int")
+    names = [r[0] for r in df.select(job_name("my run_" + "x" * 60, F.col("c"))).collect()]
+    assert [n[: n.index("-part")] for n in names] == ["myrun" + "x" * 39] * 2 + ["myrun" + "x" * 38]
+    assert all(len(n) <= 63 and n.split("-part-")[1][:-7] in ("0000", "0012", "10000") for n in names)
+    assert df.select(chunk_label(F.col("c"))).collect()[2][0] == "10000"
+    one, two = (df.select(job_name("p", F.col("c"), run)).first()[0] for run in ("a", "b"))
+    assert one != two
+
+
+def test_null_texts_get_no_request(spark, tmp_path):
+    path = str(tmp_path / "texts.parquet")
+    spark.createDataFrame([("a",), (None,), ("c",)], "input_text string").coalesce(1).write.parquet(path)
+    spec = spec_of(tmp_path, input_uri=path, model_id=VECTOR, prompt_id=None, request_options={"dimensions": 256})
+    prepare(spark, spec)
+    bodies = [json.loads(r.value)["modelInput"] for r in spark.read.text(spec.layout.requests).collect()]
+    assert bodies == [{"inputText": "a", "dimensions": 256}, {"inputText": "c", "dimensions": 256}]
+
+
+def collected_run(spark, tmp_path):
+    spec = spec_of(tmp_path, input_uri=topics(spark, tmp_path), max_records_per_job=10)
+    prepare(spark, spec)
+    return spec, ids_by_chunk(spark, spec)
+
+
+def test_collect(spark, tmp_path):
+    spec, ids = collected_run(spark, tmp_path)
+    put(spec, 0, "job-a", "0000", [answer(i, f"re {i}") for i in ids[0]] + ["", "  "])
+    put(spec, 0, "job-a", "0001", [answer(i, "second file") for i in ids[0]])
+    put(spec, 1, "job-b", "0000", [answer(ids[1][0], "zero"), "not json", answer("stranger", "x"),
+                                   json.dumps({"recordId": ids[1][1], "modelOutput": {"content": []}}),
+                                   json.dumps({"recordId": ids[1][2]}), answer(ids[2][0], "other chunk")])
+    table = run_collect(spark, spec)
+    good = good_results(table)
+    assert good.columns[:2] == ["record_id", "response"]
+    assert {(r.record_id, r.response) for r in good.collect()} == {(i, f"re {i}") for i in ids[0]} | {
+        (ids[1][0], "zero"),
+        (ids[1][2], None),
+    }
+    bad = {(r.state, r.error, r.record_id) for r in rejected_lines(table).collect()}
+    assert bad == {
+        ("rejected", "not a JSON object", None),
+        ("rejected", "empty content", ids[1][1]),
+        ("unmatched", None, "stranger"),
+        ("unmatched", None, ids[2][0]),
+    }
+    assert {tuple(r) for r in collect(spark, spec).select("record_id", "response").collect()} == {
+        tuple(r) for r in good.select("record_id", "response").collect()
+    }
+    merged = read_results(spark, spec.layout.results)
+    assert merged.count() == 12 and "output_line" not in merged.columns
+    assert len(files_in(f"{spec.layout.results}/state=ok/chunk_idx=0")) == 1
+    inputs = spark.read.parquet(spec.layout.inputs)
+    sides = unmatched(inputs, merged).groupBy("side").count().collect()
+    assert {tuple(r) for r in sides} == {("input", 13)}
+
+
+def test_collect_some_chunks_only(spark, tmp_path):
+    spec, ids = collected_run(spark, tmp_path)
+    for c in (0, 1, 2):
+        put(spec, c, f"job-{c}", "out", [answer(i, "first") for i in ids[c]])
+    assert good_results(run_collect(spark, spec)).count() == 25
+    put(spec, 1, "job-1", "out", [answer(i, "changed") for i in ids[1]])
+    run_collect(spark, spec, chunks=[1, 77])
+    counts = read_results(spark, spec.layout.results).groupBy("chunk_idx", "response").count().collect()
+    assert {tuple(r) for r in counts} == {(0, "first", 10), (1, "changed", 10), (2, "first", 5)}
+
+
+def test_fail_mode_names_file_and_line(spark, tmp_path):
+    spec, ids = collected_run(spark, tmp_path)
+    put(spec, 0, "job-a", "0000", [answer(ids[0][0], "x"), "", "not json {"])
+    with pytest.raises(BadOutputError, match=r"0000\.jsonl\.out on line 3: 'not json \{'"):
+        run_collect(spark, spec, on_bad="fail")
+    put(spec, 0, "job-a", "0000", [answer(ids[0][0], "x"), json.dumps({"recordId": ids[0][1], "modelOutput": {"content": []}})])
+    with pytest.raises(BadOutputError, match="empty content"):
+        run_collect(spark, spec, on_bad="fail")
+
+
+def test_ledger_gate(spark, tmp_path):
+    spec, ids = collected_run(spark, tmp_path)
+    for c in (0, 1, 2):
+        put(spec, c, f"job-{c}", "out", [answer(i, "x") for i in ids[c]])
+    ledger = spark.createDataFrame(
+        [("a/job-0", "Completed", None), ("a/job-1", "Failed", "Failed"), ("a/job-2", "PartiallyCompleted", "PartiallyCompleted")],
+        "job_arn string, status string, error_message string",
+    )
+    chunks = lambda **kw: {r.chunk_idx for r in good_results(run_collect(spark, spec, ledger, **kw)).collect()}
+    assert chunks() == {0}
+    assert chunks(accept_partial=True) == {0, 2}
+
+
+def test_gate_too_large_to_broadcast(spark, tmp_path, monkeypatch):
+    from lotwise.plans import collect as plan
+
+    spec, ids = collected_run(spark, tmp_path)
+    for c in (0, 1, 2):
+        put(spec, c, f"job-{c}", "a", [answer(i, "first") for i in ids[c]])
+        put(spec, c, f"job-{c}", "b", [answer(i, "second") for i in ids[c]])
+    monkeypatch.setattr(plan, "SMALL_ROWS", 1)
+    assert {r.response for r in good_results(run_collect(spark, spec)).collect()} == {"first"}
+
+
+def test_collect_without_any_output(spark, tmp_path):
+    spec, _ = collected_run(spark, tmp_path)
+    os.makedirs(spec.layout.outputs)
+    table = run_collect(spark, spec)
+    assert table.count() == 0 and "response" in table.columns and "topic" in table.columns
+
+
+def test_empty_output_file(spark, tmp_path):
+    spec, _ = collected_run(spark, tmp_path)
+    put(spec, 0, "job-0", "out", [])
+    assert collect(spark, spec).count() == 0
+
+
+def test_embedding_run(spark, tmp_path):
+    path = str(tmp_path / "texts.parquet")
+    spark.createDataFrame([("a", [9.0]), ("b", [8.0])], "input_text string, embedding array<double>").coalesce(1).write.parquet(path)
+    spec = spec_of(tmp_path, input_uri=path, model_id=VECTOR, prompt_id=None)
+    prepare(spark, spec)
+    ids = ids_by_chunk(spark, spec)[0]
+    put(spec, 0, "j", "o", [json.dumps({"recordId": i, "modelOutput": {"embedding": [n + 0.1, 1]}}) for n, i in enumerate(ids)])
+    rows = good_results(run_collect(spark, spec)).orderBy("input_text").collect()
+    assert [(r.input_text, r.embedding_x, r.embedding_y) for r in rows] == [("a", [0.1, 1.0], [9.0]), ("b", [1.1, 1.0], [8.0])]
+
+
+def test_csv_and_manifest_files(spark, tmp_path):
+    df = spark.createDataFrame([("a", [1.5, 2.0], None)], "t string, e array<double>, n string")
+    write_csv(df, f"{tmp_path}/o.csv")
+    assert tuple(spark.read.csv(f"{tmp_path}/o.csv", header=True).first()) == ("a", "[1.5,2.0]", None)
+    write_manifest(df, f"{tmp_path}/m", "json")
+    assert json.loads(spark.read.text(f"{tmp_path}/m").first()[0]) == {"t": "a", "e": [1.5, 2.0]}
