@@ -1,0 +1,96 @@
+"""Streams fed in several runs against one checkpoint."""
+
+import datetime as dt
+import json
+import os
+
+from test_runs import answer, ids_by_chunk, put, spec_of, topics
+
+from lotwise import fold_events, prepare, read_log, read_results, stream_collect
+from lotwise.functions.adapters import adapter_for
+from lotwise.operators.ledger import classify, failure_windows, update_ledger
+from lotwise.streaming.status import alarm_stream, read_event_stream, route_events
+from pyspark.sql import functions as F
+
+T0 = dt.datetime(2024, 1, 1)
+
+
+def drop_events(folder, name, events):
+    os.makedirs(folder, exist_ok=True)
+    with open(f"{folder}/{name}.json", "w") as out:
+        for job, status, minute, seq in events:
+            ts = (T0 + dt.timedelta(minutes=minute)).isoformat()
+            out.write(json.dumps({"job_arn": job, "status": status, "event_ts": ts, "seq": seq}) + "\n")
+
+
+def test_latest_state_over_runs_ignores_late_events(spark, tmp_path):
+    inbox, log, state = (f"{tmp_path}/{n}" for n in ("inbox", "log", "state"))
+    drop_events(inbox, "1", [("a", "Submitted", 0, 1), ("a", "InProgress", 5, 2), ("b", "Submitted", 1, 1)])
+    fold_events(read_event_stream(spark, inbox), log, state).awaitTermination()
+    assert {(r.job_arn, r.status) for r in read_log(spark, log).collect()} == {("a", "InProgress"), ("b", "Submitted")}
+    drop_events(inbox, "2", [("a", "Validating", 2, 9), ("b", "Completed", 9, 1), ("b", "Failed", 9, 2)])
+    fold_events(read_event_stream(spark, inbox), log, state).awaitTermination()
+    latest = read_log(spark, log)
+    assert {(r.job_arn, r.status) for r in latest.collect()} == {("a", "InProgress"), ("b", "Failed")}
+    ledger = spark.createDataFrame([(j, "Submitted", None) for j in "abc"], "job_arn string, status string, error_message string")
+    rows = {r.job_arn: (r.status, r.error_message) for r in update_ledger(ledger, latest).collect()}
+    assert rows == {"a": ("InProgress", None), "b": ("Failed", "Failed"), "c": ("Submitted", None)}
+
+
+def test_classes(spark):
+    states = {
+        "Completed": "success", "Failed": "failure", "Stopped": "failure", "PartiallyCompleted": "failure",
+        "Expired": "failure", "Submitted": "heartbeat", "InProgress": "heartbeat", "Stopping": "heartbeat",
+        "Validating": "heartbeat", "Scheduled": "heartbeat", "completed": None, None: None,
+    }
+    df = spark.createDataFrame([(s,) for s in states], "s string")
+    assert {r.s: r.c for r in df.withColumn("c", classify(F.col("s"))).collect()} == states
+
+
+def test_unknown_jobs_and_states_are_quarantined(spark, tmp_path):
+    inbox, known, unknown, state = (f"{tmp_path}/{n}" for n in ("inbox", "known", "unknown", "state"))
+    ledger = spark.createDataFrame([("a", "m")], "job_arn string, model_id string")
+    drop_events(inbox, "1", [("a", "Completed", 0, 1), ("x", "Completed", 0, 1), ("a", "Running", 1, 2)])
+    route_events(read_event_stream(spark, inbox), ledger, known, unknown, state).awaitTermination()
+    assert [(r.job_arn, r.model_id, r["class"]) for r in spark.read.parquet(known).collect()] == [("a", "m", "success")]
+    assert {(r.job_arn, r.status) for r in spark.read.parquet(unknown).collect()} == {("x", "Completed"), ("a", "Running")}
+
+
+def test_failure_alarm(spark, tmp_path):
+    inbox, alarms, state = (f"{tmp_path}/{n}" for n in ("inbox", "alarms", "state"))
+    first = [("a", "Failed", 1, 1), ("b", "Expired", 4, 1), ("c", "Completed", 2, 1), ("d", "Failed", 12, 1)]
+    drop_events(inbox, "1", first)
+    alarm_stream(read_event_stream(spark, inbox), alarms, state).awaitTermination()
+    drop_events(inbox, "2", [("e", "Failed", 90, 1)])
+    alarm_stream(read_event_stream(spark, inbox), alarms, state).awaitTermination()
+    drop_events(inbox, "3", [("f", "Failed", 95, 1)])
+    alarm_stream(read_event_stream(spark, inbox), alarms, state).awaitTermination()
+    got = {(r.window_start, r.n_failed) for r in spark.read.parquet(alarms).collect()}
+    assert got == {(T0, 2), (T0 + dt.timedelta(minutes=10), 1)}
+    events = spark.read.schema("job_arn string, status string, event_ts timestamp, seq long").json(inbox)
+    assert {r.window_start for r in failure_windows(events, threshold=2).collect()} == {T0}
+
+
+def test_stream_collect_over_runs(spark, tmp_path):
+    spec = spec_of(tmp_path, input_uri=topics(spark, tmp_path), max_records_per_job=10)
+    prepare(spark, spec)
+    ids = ids_by_chunk(spark, spec)
+    at = spec.layout
+
+    def run():
+        stream_collect(
+            spark, at.outputs, at.inputs, at.results, f"{tmp_path}/state", adapter_for(spec.model_id), files_per_batch=1
+        ).awaitTermination()
+        rows = read_results(spark, at.results).collect()
+        return {(r.chunk_idx, r.response) for r in rows}, len(rows)
+
+    put(spec, 0, "job-0", "b", [answer(i, "b") for i in ids[0]])
+    put(spec, 1, "job-1", "b", [answer(i, "b") for i in ids[1]] + ["broken"])
+    assert run() == ({(0, "b"), (1, "b")}, 20)
+    # The first file by name counts, also when it arrives last; later names change nothing.
+    put(spec, 0, "job-0", "a", [answer(i, "a") for i in ids[0]])
+    put(spec, 1, "job-1", "c", [answer(i, "c") for i in ids[1]])
+    put(spec, 2, "job-2", "b", [answer(i, "b") for i in ids[2]])
+    put(spec, 99, "job-9", "b", [answer("nobody", "b")])
+    assert run() == ({(0, "a"), (1, "b"), (2, "b")}, 25)
+    assert run() == ({(0, "a"), (1, "b"), (2, "b")}, 25)
