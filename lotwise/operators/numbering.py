@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lotwise.session import materialize
+from lotwise.session import MAX_SHUFFLE_PARTITIONS, is_map_only, materialize, sized_shuffles
 
 # Up to here a table of per-block sums is handled by one window task and broadcast
 # (a few MB); beyond it the sums are distributed and the join is left to AQE.
@@ -60,9 +60,9 @@ def prefix_sum(df: DataFrame, order_by: Sequence[str], value: str, rows: int | N
     ranged = df.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
     staged = materialize(ranged.withColumn(_POS, F.monotonically_increasing_id()), "prefix")
     blocked = staged.withColumn(_BLOCK, _task(F.col(_POS)))
-    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = MAX_SHUFFLE_PARTITIONS  # no more blocks than shuffle partitions
     blocks = prefix_sum(
-        blocked.groupBy(_BLOCK).agg(F.sum(value).alias("__sum")), [_BLOCK], "__sum", min(tasks, SMALL_ROWS), "__base"
+        blocked.groupBy(_BLOCK).agg(F.sum(value).alias("__sum")), [_BLOCK], "__sum", tasks, "__base"
     ).drop("__sum")
     within = Window.partitionBy(_BLOCK).orderBy(_POS).rowsBetween(Window.unboundedPreceding, -1)
     return (
@@ -88,9 +88,11 @@ def number_by_file(scan: DataFrame, limit: int | None = None, name: str = "ordin
     counts = scan.groupBy(F.col("_metadata.file_path").alias(_FILE)).agg(F.count(F.lit(1)).alias("__n"))
     offsets = prefix_sum(counts, [_FILE], "__n", files).drop("__n")
     if limit is not None:
-        needed = [r[0] for r in offsets.filter(F.col(_OFFSET) < limit).select(_FILE).limit(SMALL_FILES + 1).collect()]
-        if len(needed) <= SMALL_FILES:
-            scan = scan.filter(F.col("_metadata.file_path").isin(needed))
+        needed = offsets.filter(F.col(_OFFSET) < limit).select(_FILE, _OFFSET).limit(SMALL_FILES + 1).collect()
+        if 0 < len(needed) <= SMALL_FILES:
+            files = len(needed)
+            scan = scan.filter(F.col("_metadata.file_path").isin([r[0] for r in needed]))
+            offsets = scan.sparkSession.createDataFrame(needed, offsets.schema)
     rows = scan.select(
         *columns, F.col("_metadata.file_path").alias(_FILE), F.col("_metadata.row_index").alias(_POS)
     )
@@ -163,14 +165,19 @@ def number_by_key(
     order = [quoted(k) for k in keys]
     arranged = df
     if not unique:
+        if not is_map_only(df):
+            # Row order after a shuffle may change when a task is repeated, and with
+            # it the scan positions below: pin the rows first.
+            df = materialize(df, "numbering-input")
         arranged = df.select("*", _row_hash(df).alias("__tie"), F.monotonically_increasing_id().alias("__copy"))
         order += [F.col("__tie"), F.col("__copy")]
     ranged = arranged.repartitionByRange(partitions, *order) if partitions else arranged.repartitionByRange(*order)
     placed = ranged.sortWithinPartitions(*order).drop("__tie", "__copy")
-    staged = materialize(placed.withColumn(_POS, F.monotonically_increasing_id()), "key-numbering", scratch)
+    with sized_shuffles(df.sparkSession, df):
+        staged = materialize(placed.withColumn(_POS, F.monotonically_increasing_id()), "key-numbering", scratch)
 
     blocked = staged.withColumn(_BLOCK, _task(F.col(_POS)))
-    tasks = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = partitions or MAX_SHUFFLE_PARTITIONS
     counts = blocked.groupBy(_BLOCK).agg(F.count(F.lit(1)).alias("__n"))
     offsets = prefix_sum(counts, [_BLOCK], "__n", tasks).drop("__n")
     numbered = blocked.join(_sized(offsets, tasks), _BLOCK).select(

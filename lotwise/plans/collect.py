@@ -15,11 +15,14 @@ from lotwise.operators.joins import join_results
 from lotwise.operators.ledger import collectable_jobs
 from lotwise.operators.numbering import SMALL_ROWS
 from lotwise.plans.spec import JobSpec
-from lotwise.session import settings
+from lotwise.session import sized_shuffles
 from lotwise.sources.outputs import first_files, list_outputs, locate_bad_lines, read_outputs
 from lotwise.sources.sinks import write_results
 from lotwise.sources.tables import read_inputs
 
+# Lets the join on (chunk, id) use the partitioning by chunk that the files need anyway.
+BY_CHUNK = {"spark__sql__requireAllClusterKeysForCoPartition": "false"}
+
 _MARK = "unusable output line in "
 
 
@@ -144,6 +147,7 @@ def run_collect(
     bounded sizes, so the tasks are even whatever the ids look like.
     """
     outputs, gate, adapter = _outputs(spark, spec, ledger, accept_partial, chunks)
+    lines = outputs
     # A small gate drops files before the shuffle, a large one rides on it.
     if gate.small:
         outputs = apply_gate(outputs, gate).repartition("chunk_idx")
@@ -151,9 +155,9 @@ def run_collect(
         outputs = apply_gate(outputs.repartition("chunk_idx"), gate)
     if on_bad == "fail":
         outputs = fail_on_bad(outputs)
-    inputs = read_inputs(spark, spec.layout.inputs, chunks).repartition("chunk_idx")
-    states = joined_states(outputs, inputs, adapter.result_column)
-    with settings(spark, spark__sql__requireAllClusterKeysForCoPartition="false"):
+    inputs = read_inputs(spark, spec.layout.inputs, chunks)
+    states = joined_states(outputs, inputs.repartition("chunk_idx"), adapter.result_column)
+    with sized_shuffles(spark, lines, inputs, **BY_CHUNK):
         try:
             write_results(states, spec.layout.results, dynamic=chunks is not None)
         except Exception as exc:

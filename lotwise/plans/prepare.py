@@ -30,7 +30,7 @@ def read_source(spark: SparkSession, spec: JobSpec) -> tuple[DataFrame, bool]:
     uri = source_uri(spec)
     if spec.dataset_id is not None:
         return spark.read.parquet(uri), False
-    return read_input(spark, uri), input_format(uri) == "csv"
+    return read_input(spark, uri, multi_line=spec.multi_line), input_format(uri) == "csv"
 
 
 def stamp(df: DataFrame, spec: JobSpec, text_source: bool = False, scratch: str | None = None) -> DataFrame:

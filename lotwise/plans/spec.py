@@ -49,6 +49,7 @@ class JobSpec:
     order_by: Sequence[str] = ()
     order_is_unique: bool = False
     null_policy: str = "literal"
+    multi_line: bool = True
     output_glob: str = fixed.OUTPUT_FILE_GLOB
     run_id: str = ""
     request_options: Mapping[str, Any] = field(default_factory=dict)

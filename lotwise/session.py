@@ -84,6 +84,49 @@ def ship_package(spark: SparkSession) -> None:
     _shipped.add(app)
 
 
+def planned_bytes(df: DataFrame) -> int:
+    """Size of the tables a plan reads, from Spark's statistics; starts no job."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = (int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    return sum(s for s in sizes if s < 1 << 60)  # larger means unknown
+
+
+# Operators that leave each row where its scan put it.
+_MAP_ONLY = {"Project", "Filter", "Generate", "LogicalRelation", "Range", "LocalRelation", "SubqueryAlias"}
+
+
+def is_map_only(df: DataFrame) -> bool:
+    """Whether a recomputed task gets its rows back in the same order."""
+    open_nodes = [df._jdf.queryExecution().optimizedPlan()]
+    while open_nodes:
+        node = open_nodes.pop()
+        if node.getClass().getSimpleName() not in _MAP_ONLY:
+            return False
+        children = node.children()
+        open_nodes += [children.apply(i) for i in range(children.size())]
+    return True
+
+
+SHUFFLE_BYTES = 128 << 20
+MAX_SHUFFLE_PARTITIONS = 50_000
+
+
+@contextmanager
+def sized_shuffles(spark: SparkSession, *inputs: DataFrame, **conf: str) -> Iterator[None]:
+    """Run an action whose shuffles start with a partition per 128 MB of its inputs.
+
+    A fixed partition count suits one table size only. AQE merges partitions that
+    turn out small, but never splits one that starts too large.
+    """
+    usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = sum(planned_bytes(df) for df in inputs) // SHUFFLE_BYTES
+    partitions = max(usual, min(wanted, MAX_SHUFFLE_PARTITIONS))
+    with settings(
+        spark, spark__sql__adaptive__coalescePartitions__initialPartitionNum=str(partitions), **conf
+    ):
+        yield
+
+
 @contextmanager
 def settings(spark: SparkSession, **conf: str) -> Iterator[None]:
     """Run an action under temporary SQL settings (dots written as double underscores)."""

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lotwise.operators.numbering import quoted
+from lotwise.session import sized_shuffles
 
 
 def write_inputs(df: DataFrame, path: str) -> None:
@@ -30,15 +31,9 @@ def write_requests(df: DataFrame, path: str) -> None:
     One file per chunk needs each chunk in one task: the only shuffle here. Chunks
     have equal, bounded sizes, so the tasks are even.
     """
-    (
-        df.repartition("chunk_idx")
-        .sortWithinPartitions("chunk_idx", "ordinal")
-        .select("chunk_idx", "value")
-        .write.mode("overwrite")
-        .option("compression", "none")
-        .partitionBy("chunk_idx")
-        .text(path, lineSep="\n")
-    )
+    lines = df.repartition("chunk_idx").sortWithinPartitions("chunk_idx", "ordinal").select("chunk_idx", "value")
+    with sized_shuffles(df.sparkSession, df):
+        lines.write.mode("overwrite").option("compression", "none").partitionBy("chunk_idx").text(path, lineSep="\n")
 
 
 def write_manifest(manifest: DataFrame, path: str, fmt: str = "parquet") -> None:

@@ -18,17 +18,21 @@ def input_format(uri: str) -> str:
     return ending
 
 
-def read_input(spark: SparkSession, uri: str, schema: StructType | str | None = None) -> DataFrame:
+def read_input(
+    spark: SparkSession, uri: str, schema: StructType | str | None = None, multi_line: bool = True
+) -> DataFrame:
     """Scan a CSV (header row, quoted line breaks) or Parquet table.
 
     CSV columns are strings unless a schema is given: nothing is inferred, so no
-    extra pass is made and values keep their text.
+    extra pass is made and values keep their text. With ``multi_line`` one task reads
+    a whole CSV file; switch it off where no value holds a line break, so that large
+    files are split.
     """
     kind = input_format(uri)
     reader = spark.read if schema is None else spark.read.schema(schema)
     if kind == "parquet":
         return reader.parquet(uri)
-    return reader.csv(uri, header=True, multiLine=True, escape='"')
+    return reader.csv(uri, header=True, multiLine=multi_line, escape='"')
 
 
 def dataset_path(root: str, dataset_id: str, split: str = "train") -> str:

@@ -8,8 +8,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from lotwise import fixed
 from lotwise.functions.adapters import ModelAdapter
-from lotwise.plans.collect import apply_gate, extract, joined_states, output_gate
-from lotwise.session import settings
+from lotwise.plans.collect import BY_CHUNK, apply_gate, extract, joined_states, output_gate
+from lotwise.session import sized_shuffles
 from lotwise.sources.outputs import path_chunk_idx, path_job_id
 from lotwise.sources.sinks import write_results
 from lotwise.sources.tables import read_inputs
@@ -61,9 +61,10 @@ def stream_collect(
             return
         gate = output_gate(session, outputs, chunks=chunks, glob=glob)
         lines = apply_gate(extract(batch, adapter), gate).repartition("chunk_idx")
-        saved = read_inputs(session, inputs, chunks).repartition("chunk_idx")
-        with settings(session, spark__sql__requireAllClusterKeysForCoPartition="false"):
-            write_results(joined_states(lines, saved, adapter.result_column), results, dynamic=True)
+        saved = read_inputs(session, inputs, chunks)
+        states = joined_states(lines, saved.repartition("chunk_idx"), adapter.result_column)
+        with sized_shuffles(session, saved, **BY_CHUNK):
+            write_results(states, results, dynamic=True)
 
     writer = (
         read_output_stream(spark, outputs, files_per_batch, glob)
