@@ -41,10 +41,6 @@ INPUT_FORMATS = ("csv", "parquet")
 OUTPUT_FILE_GLOB = "*.jsonl.out"
 INDEX_COLUMNS = ("Unnamed: 0", "_c0")
 
-# Pauses between inline calls, in seconds.
-TEXT_CALL_PAUSE = 0.1
-EMBEDDING_CALL_PAUSE = 0.05
-
 # Lengths of previews in reports.
 RESPONSE_PREVIEW = 200
 INPUT_PREVIEW = 100

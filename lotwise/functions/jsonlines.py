@@ -24,11 +24,11 @@ def strict_json(line: Column, schema: str) -> Column:
     ``from_json`` stops at the end of the first value, so the line is parsed in two
     wrappings. After that value ``[line]`` accepts only ``]``, or ``,`` and a value;
     ``{"v":line}`` only ``}``, or ``,`` and a key. Nothing but the end of the line
-    satisfies both.
+    satisfies both. Bytes that are not UTF-8 make a line bad instead of being replaced.
     """
     listed = F.from_json(F.concat(F.lit("["), line, F.lit("]")), f"array<struct<{_fields(schema)}>>", _OPTIONS)
     keyed = F.from_json(F.concat(F.lit('{"v":'), line, F.lit(',"n":1}')), "n int", _OPTIONS)
-    return F.when(keyed["n"] == 1, F.get(listed, F.lit(0)))
+    return F.when(F.is_valid_utf8(line) & (keyed["n"] == 1), F.get(listed, F.lit(0)))
 
 
 def _fields(ddl: str) -> str:

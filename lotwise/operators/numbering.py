@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lotwise.session import MAX_SHUFFLE_PARTITIONS, is_map_only, materialize, sized_shuffles
+from lotwise.session import is_map_only, materialize, shuffle_bound, sized_shuffles
 
 # Up to here a table of per-block sums is handled by one window task and broadcast
 # (a few MB); beyond it the sums are distributed and the join is left to AQE.
@@ -53,17 +53,17 @@ def prefix_sum(df: DataFrame, order_by: Sequence[str], value: str, rows: int | N
     """
     before = Window.rowsBetween(Window.unboundedPreceding, -1)
     zero = F.lit(0).cast("long")
-    if rows is not None and rows <= SMALL_ROWS:
+    if rows is not None and rows <= SMALL_ROWS:  # checked bound: one task holds them easily
         w = Window.orderBy(*order_by).rowsBetween(Window.unboundedPreceding, -1)
         return df.withColumn(name, F.coalesce(F.sum(value).over(w), zero))
 
     ranged = df.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
     staged = materialize(ranged.withColumn(_POS, F.monotonically_increasing_id()), "prefix")
     blocked = staged.withColumn(_BLOCK, _task(F.col(_POS)))
-    tasks = MAX_SHUFFLE_PARTITIONS  # no more blocks than shuffle partitions
-    blocks = prefix_sum(
-        blocked.groupBy(_BLOCK).agg(F.sum(value).alias("__sum")), [_BLOCK], "__sum", tasks, "__base"
-    ).drop("__sum")
+    # A block is a shuffle partition, so their sums are few.
+    tasks = shuffle_bound(df.sparkSession)
+    sums = blocked.groupBy(_BLOCK).agg(F.sum(value).alias("__sum"))
+    blocks = prefix_sum(sums, [_BLOCK], "__sum", tasks, "__base").drop("__sum")
     within = Window.partitionBy(_BLOCK).orderBy(_POS).rowsBetween(Window.unboundedPreceding, -1)
     return (
         blocked.join(_sized(blocks, tasks), _BLOCK)
@@ -177,7 +177,7 @@ def number_by_key(
         staged = materialize(placed.withColumn(_POS, F.monotonically_increasing_id()), "key-numbering", scratch)
 
     blocked = staged.withColumn(_BLOCK, _task(F.col(_POS)))
-    tasks = partitions or MAX_SHUFFLE_PARTITIONS
+    tasks = partitions or shuffle_bound(df.sparkSession)
     counts = blocked.groupBy(_BLOCK).agg(F.count(F.lit(1)).alias("__n"))
     offsets = prefix_sum(counts, [_BLOCK], "__n", tasks).drop("__n")
     numbered = blocked.join(_sized(offsets, tasks), _BLOCK).select(

@@ -111,6 +111,11 @@ SHUFFLE_BYTES = 128 << 20
 MAX_SHUFFLE_PARTITIONS = 50_000
 
 
+def shuffle_bound(spark: SparkSession) -> int:
+    """No shuffle of this package has more partitions."""
+    return max(MAX_SHUFFLE_PARTITIONS, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 @contextmanager
 def sized_shuffles(spark: SparkSession, *inputs: DataFrame, **conf: str) -> Iterator[None]:
     """Run an action whose shuffles start with a partition per 128 MB of its inputs.

@@ -98,3 +98,10 @@ def test_line_numbers_count_blank_lines_over_many_splits(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
     got = {(r.file_path.split("/")[-1], r.line_number, r.value) for r in found}
     assert got == {("a.txt", i + 1, f"bad {i}") for i in (3, 777, 1999)} | {("b.txt", 2, "only bad")}
+
+
+def test_bytes_that_are_not_utf8_make_a_bad_line(spark, tmp_path):
+    (tmp_path / "a.txt").write_bytes(b'{"recordId":"ok \xc3\xa9"}\n{"recordId":"bad \xff"}\n')
+    good, bad = split_good_bad(parse_lines(spark.read.text(str(tmp_path)), SCHEMA))
+    assert [r.parsed.recordId for r in good.collect()] == ["ok é"]
+    assert bad.count() == 1
