@@ -13,6 +13,7 @@ Each reduces to "offset of my block + position in my block"; only the block tabl
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -131,6 +132,22 @@ def number_by_split(
     return numbered if limit is None else numbered.filter(F.col(name) < limit)
 
 
+def _first_files(scan: DataFrame, limit: int) -> DataFrame:
+    """The scan cut down to its first files by path that together hold ``limit`` rows.
+
+    Looks at 1, 2, 4, ... files, so it reads at most about twice what is needed.
+    """
+    # Local paths come as file:///x here and as file:/x in the metadata column.
+    files = sorted(re.sub(r"^(\w+):///", r"\1:/", p) for p in scan.inputFiles())
+    wanted = 1
+    while wanted < len(files) and wanted <= SMALL_FILES:
+        first = scan.filter(F.col("_metadata.file_path").isin(files[:wanted]))
+        if first.limit(limit).count() >= limit:
+            return first
+        wanted *= 2
+    return scan
+
+
 def _row_hash(df: DataFrame) -> Column:
     """Hash of the whole row; maps and variants cannot be hashed and go in as JSON."""
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -94,6 +95,11 @@ def fail_on_bad(outputs: DataFrame) -> DataFrame:
     return outputs.withColumn("record_id", checked)
 
 
+def _check_mode(on_bad: str) -> None:
+    if on_bad not in ("quarantine", "fail"):
+        raise ValueError("on_bad must be quarantine or fail")
+
+
 def _outputs(
     spark: SparkSession, spec: JobSpec, ledger: DataFrame | None, accept_partial: bool, chunks: list[int] | None
 ) -> tuple[DataFrame, Gate, ModelAdapter]:
@@ -112,6 +118,7 @@ def collect(
     on_bad: str = "quarantine",
 ) -> DataFrame:
     """Good answers joined to their inputs, as a DataFrame. Bad lines are left out, or stop the query (``fail``)."""
+    _check_mode(on_bad)
     outputs, gate, adapter = _outputs(spark, spec, ledger, accept_partial, chunks)
     outputs = apply_gate(outputs, gate)
     outputs = fail_on_bad(outputs) if on_bad == "fail" else outputs.filter(F.col("error").isNull())
@@ -146,6 +153,7 @@ def run_collect(
     (chunk, id) and the one-file-per-chunk layout together. Chunks have equal,
     bounded sizes, so the tasks are even whatever the ids look like.
     """
+    _check_mode(on_bad)
     outputs, gate, adapter = _outputs(spark, spec, ledger, accept_partial, chunks)
     lines = outputs
     # A small gate drops files before the shuffle, a large one rides on it.
@@ -171,6 +179,7 @@ def _located(spark: SparkSession, exc: Exception, schema: str) -> Exception:
     if not found:
         return exc
     path, why, line = found.groups()
+    path = unquote(path)  # reported URL-encoded
     bad = locate_bad_lines(spark, [path], schema).orderBy("line_number").first()
     if bad is not None:
         return BadOutputError(f"cannot parse {path} on line {bad.line_number}: {bad.value!r}")

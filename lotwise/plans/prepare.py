@@ -95,7 +95,8 @@ def prepare(spark: SparkSession, spec: JobSpec) -> DataFrame:
     taken = sorted(RESERVED & set(source.columns))
     if taken:
         raise ValueError(f"the input of {spec.job_name_prefix} uses the reserved columns {taken}")
-    check_columns(source, required_columns(adapter.model_type, template), f"the input of {spec.job_name_prefix}")
+    required = required_columns(adapter.model_type, template) | set(spec.order_by)
+    check_columns(source, required, f"the input of {spec.job_name_prefix}")
 
     at = spec.layout
     scratch = scratch_path(spark, "numbering")

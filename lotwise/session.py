@@ -27,12 +27,17 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "lot
     )
 
 
+_own_scratch: dict[str, str] = {}
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for scratch tables: ``spark.checkpoint.dir``, or a temporary folder where it is unset."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = tempfile.mkdtemp(prefix="lotwise-scratch-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        app = spark.sparkContext.applicationId
+        if app not in _own_scratch:
+            _own_scratch[app] = tempfile.mkdtemp(prefix="lotwise-scratch-")
+        root = _own_scratch[app]
     return root.rstrip("/")
 
 

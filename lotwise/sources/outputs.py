@@ -14,7 +14,9 @@ LINES = "value string, chunk_idx int, file_path string, job_id string"
 
 
 def path_job_id(path: Column) -> Column:
-    return F.regexp_extract(path, r"/chunk_idx=\d+/(?:job_id=)?([^/]+)/", 1)
+    """Job folder of a file; ``_metadata.file_path`` is URL-encoded, a plus sign is not."""
+    found = F.regexp_extract(path, r"/chunk_idx=\d+/(?:job_id=)?([^/]+)/", 1)
+    return F.when(found.contains("%"), F.url_decode(F.replace(found, F.lit("+"), F.lit("%2B")))).otherwise(found)
 
 
 def path_chunk_idx(path: Column) -> Column:
@@ -51,7 +53,7 @@ def list_outputs(
     if not folders:
         return spark.createDataFrame([], "file_path string, chunk_idx int, job_id string")
     reader = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("basePath", path)
-    file_path = F.col("path")
+    file_path = F.col("_metadata.file_path")  # spelled as for text lines, unlike the path column
     return reader.load(folders).select(
         file_path.alias("file_path"),
         path_chunk_idx(file_path).alias("chunk_idx"),

@@ -119,6 +119,19 @@ def test_by_split_follows_lines_over_many_splits(spark, tmp_path):
     assert sorted(int(r.id) for r in quoted.collect()) == list(range(1500))
 
 
+@pytest.mark.parametrize("limit,files", [(5, 1), (10, 1), (11, 2), (25, 4), (79, 8), (81, 9), (1000, 9)])
+def test_a_limited_text_scan_is_cut_to_its_first_files(spark, tmp_path, limit, files):
+    path = tmp_path / "some dir.csv"
+    path.mkdir()
+    for part in range(9):
+        (path / f"p {part}%.csv").write_text("\n".join(["id", *(str(part * 10 + i) for i in range(10))]) + "\n")
+    scan = read_input(spark, str(path))
+    cut = numbering._first_files(scan, limit)
+    assert cut.select("_metadata.file_path").distinct().count() == files
+    numbered = number_by_split(scan, limit)
+    assert sorted(int(r.id) for r in numbered.collect()) == list(range(min(limit, 90)))
+
+
 def test_csv_with_line_breaks_in_values(spark, tmp_path):
     path = tmp_path / "q.csv"
     path.write_text('id,text\n0,"one\ntwo, ""three"""\n1,plain\n')

@@ -283,3 +283,25 @@ def test_csv_and_manifest_files(spark, tmp_path):
     assert tuple(spark.read.csv(f"{tmp_path}/o.csv", header=True).first()) == ("a", "[1.5,2.0]", None)
     write_manifest(df, f"{tmp_path}/m", "json")
     assert json.loads(spark.read.text(f"{tmp_path}/m").first()[0]) == {"t": "a", "e": [1.5, 2.0]}
+
+
+def test_paths_with_spaces_percents_and_pluses(spark, tmp_path):
+    spec = spec_of(tmp_path, job_name_prefix="my run 100%+é", input_uri=topics(spark, tmp_path), max_records_per_job=10)
+    prepare(spark, spec)
+    ids = ids_by_chunk(spark, spec)
+    for c in (0, 1, 2):
+        put(spec, c, f"job {c}+%41", "a b", [answer(i, "first") for i in ids[c]])
+        put(spec, c, f"job {c}+%41", "c d", [answer(i, "second") for i in ids[c]])
+    ledger = spark.createDataFrame([(f"a/job {c}+%41", "Completed", None) for c in (0, 2)], "job_arn string, status string, error_message string")
+    rows = good_results(run_collect(spark, spec, ledger)).select("chunk_idx", "response").distinct().collect()
+    assert {tuple(r) for r in rows} == {(0, "first"), (2, "first")}
+    put(spec, 0, "job 0+%41", "a b", [answer(ids[0][0], "x"), "oops"])
+    with pytest.raises(BadOutputError, match="a b.jsonl.out on line 2: 'oops'"):
+        run_collect(spark, spec, on_bad="fail")
+    with pytest.raises(ValueError, match="on_bad"):
+        run_collect(spark, spec, on_bad="ignore")
+
+
+def test_order_columns_must_exist(spark, tmp_path):
+    with pytest.raises(ValueError, match="when"):
+        prepare(spark, spec_of(tmp_path, input_uri=topics(spark, tmp_path), order_by=["when"]))
