@@ -39,7 +39,8 @@ FAILURE_STATUSES = ("Failed", "Stopped", "PartiallyCompleted", "Expired")
 # File names.
 INPUT_FORMATS = ("csv", "parquet")
 OUTPUT_FILE_GLOB = "*.jsonl.out"
-INDEX_COLUMNS = ("Unnamed: 0", "_c0")
+INDEX_COLUMN = "Unnamed: 0"
+BLANK_HEADER = "_c0"
 
 # Lengths of previews in reports.
 RESPONSE_PREVIEW = 200

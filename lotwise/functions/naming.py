@@ -34,9 +34,10 @@ def with_record_id(df: DataFrame, prefix: str) -> DataFrame:
     return df.withColumn("record_id", generated)
 
 
-def drop_index_column(df: DataFrame) -> DataFrame:
-    """Drop the unnamed index column of tables saved with one."""
-    return df.drop(*[c for c in fixed.INDEX_COLUMNS if c in df.columns])
+def drop_index_column(df: DataFrame, text_source: bool = True) -> DataFrame:
+    """Drop the index column of tables saved with one; in a CSV its header may be blank."""
+    names = [fixed.INDEX_COLUMN, *([fixed.BLANK_HEADER] if text_source else [])]
+    return df.drop(*[c for c in names if c in df.columns])
 
 
 def job_id(job_arn: Column) -> Column:

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lotwise.session import is_map_only, materialize, shuffle_bound, sized_shuffles
+from lotwise.session import is_map_only, is_whole_scan, materialize, shuffle_bound, sized_shuffles
 
 # Up to here a table of per-block sums is handled by one window task and broadcast
 # (a few MB); beyond it the sums are distributed and the join is left to AQE.
@@ -31,6 +31,7 @@ SMALL_LIMIT = 10_000
 SMALL_FILES = 1_000
 
 _FILE, _START, _POS, _BLOCK, _OFFSET = "__file", "__start", "__pos", "__block", "__offset"
+_TIE, _COPY = "__tie", "__copy"
 # monotonically_increasing_id: task number above bit 33, position in the task below.
 _TASK_BITS = 33
 
@@ -169,36 +170,41 @@ def number_by_key(
 ) -> DataFrame:
     """Number rows in the order of ``keys`` with one range shuffle.
 
-    Rows with equal keys are ordered by a hash of the row, and identical rows by
-    scan position, so one key or one group of copies holding much of the table
-    still spreads over many tasks. ``unique=True`` states that ``keys`` have no ties.
+    Rows with equal keys keep the file order of a Parquet scan; of other tables they
+    follow a hash of the row, and identical rows their position. Either way no two
+    rows tie, so one key or one group of copies holding much of the table still
+    spreads over many tasks. ``unique=True`` states that ``keys`` have no ties.
     """
+    source, columns = df, [quoted(c) for c in df.columns]
+    order = [quoted(k) for k in keys]
+    if not unique:
+        if is_whole_scan(df):
+            df = number_by_file(df, name=_TIE)
+            order += [F.col(_TIE)]
+        else:
+            if not is_map_only(df):
+                # Row order after a shuffle may change when a task is repeated, and
+                # with it the positions below: pin the rows first.
+                source = df = materialize(df, "numbering-input")
+            df = df.select("*", _row_hash(df).alias(_TIE), F.monotonically_increasing_id().alias(_COPY))
+            order += [F.col(_TIE), F.col(_COPY)]
+
     if limit is not None and limit <= SMALL_LIMIT:
-        order = [quoted(k) for k in keys] + ([] if unique else [_row_hash(df)])
         first = df.orderBy(*order).limit(limit)
-        w = Window.orderBy(*order)
-        return first.withColumn(name, F.row_number().over(w).cast("long") - 1)
+        numbered = first.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("long") - 1)
+        return numbered.select(*columns, name)
 
-    order = [quoted(k) for k in keys]
-    arranged = df
-    if not unique:
-        if not is_map_only(df):
-            # Row order after a shuffle may change when a task is repeated, and with
-            # it the scan positions below: pin the rows first.
-            df = materialize(df, "numbering-input")
-        arranged = df.select("*", _row_hash(df).alias("__tie"), F.monotonically_increasing_id().alias("__copy"))
-        order += [F.col("__tie"), F.col("__copy")]
-    ranged = arranged.repartitionByRange(partitions, *order) if partitions else arranged.repartitionByRange(*order)
-    placed = ranged.sortWithinPartitions(*order).drop("__tie", "__copy")
-    with sized_shuffles(df.sparkSession, df):
-        staged = materialize(placed.withColumn(_POS, F.monotonically_increasing_id()), "key-numbering", scratch)
+    ranged = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
+    placed = ranged.sortWithinPartitions(*order).select(*columns, F.monotonically_increasing_id().alias(_POS))
+    with sized_shuffles(df.sparkSession, source):
+        staged = materialize(placed, "key-numbering", scratch)
 
     blocked = staged.withColumn(_BLOCK, _task(F.col(_POS)))
     tasks = partitions or shuffle_bound(df.sparkSession)
     counts = blocked.groupBy(_BLOCK).agg(F.count(F.lit(1)).alias("__n"))
     offsets = prefix_sum(counts, [_BLOCK], "__n", tasks).drop("__n")
     numbered = blocked.join(_sized(offsets, tasks), _BLOCK).select(
-        *[quoted(c) for c in df.columns], (F.col(_OFFSET) + _in_task(F.col(_POS))).alias(name)
+        *columns, (F.col(_OFFSET) + _in_task(F.col(_POS))).alias(name)
     )
     return numbered if limit is None else numbered.filter(F.col(name) < limit)
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lotwise.functions.adapters import ModelAdapter, adapter_for
 from lotwise.functions.naming import drop_index_column, job_name, with_record_id
 from lotwise.functions.prompts import PromptTemplate, check_columns, render, required_columns, resolve_prompt
+from lotwise.operators.joins import duplicate_ids
 from lotwise.operators.numbering import assign_chunks, assign_ordinals
 from lotwise.operators.reports import records_per_chunk
 from lotwise.plans.spec import JobSpec
@@ -39,7 +40,7 @@ def stamp(df: DataFrame, spec: JobSpec, text_source: bool = False, scratch: str
         df, spec.order_by, limit=spec.row_limit, unique=spec.order_is_unique, text_source=text_source, scratch=scratch
     )
     stamped = with_record_id(assign_chunks(numbered, spec.chunk_size), spec.job_name_prefix)
-    return drop_index_column(stamped)
+    return drop_index_column(stamped, text_source)
 
 
 def build_requests(
@@ -104,6 +105,10 @@ def prepare(spark: SparkSession, spec: JobSpec) -> DataFrame:
     write_inputs(stamped, at.inputs)
     drop_path(spark, scratch)  # the saved inputs replace it
     inputs = spark.read.schema(stamped.schema).parquet(at.inputs)
+    if spec.unique_ids and "record_id" in source.columns:
+        repeated = duplicate_ids(inputs).limit(5).collect()
+        if repeated:
+            raise ValueError(f"repeated record ids, such as {[(r.chunk_idx, r.record_id) for r in repeated]}")
     write_requests(build_requests(inputs, adapter, template, spec), at.requests)
     manifest = build_manifest(inputs, spec)
     write_manifest(manifest, at.manifest)

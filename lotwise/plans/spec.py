@@ -32,8 +32,9 @@ class JobSpec:
     """What to prepare: one input, one model, optional prompt and limits.
 
     ``root`` is the storage folder of all runs; ``order_by`` names the columns that
-    fix the row order (input order when empty); ``run_id`` tells runs with the same
-    prefix apart in job names.
+    fix the row order (input order when empty); ``unique_ids`` refuses own record ids
+    that repeat inside a chunk (they multiply in the join otherwise); ``run_id`` tells
+    runs with the same prefix apart in job names.
     """
 
     job_name_prefix: str
@@ -50,6 +51,7 @@ class JobSpec:
     order_is_unique: bool = False
     null_policy: str = "literal"
     multi_line: bool = True
+    unique_ids: bool = False
     output_glob: str = fixed.OUTPUT_FILE_GLOB
     run_id: str = ""
     request_options: Mapping[str, Any] = field(default_factory=dict)

@@ -9,6 +9,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from pathlib import Path
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -96,19 +97,29 @@ def planned_bytes(df: DataFrame) -> int:
     return sum(s for s in sizes if s < 1 << 60)  # larger means unknown
 
 
-# Operators that leave each row where its scan put it.
-_MAP_ONLY = {"Project", "Filter", "Generate", "LogicalRelation", "Range", "LocalRelation", "SubqueryAlias"}
-
-
-def is_map_only(df: DataFrame) -> bool:
-    """Whether a recomputed task gets its rows back in the same order."""
-    open_nodes = [df._jdf.queryExecution().optimizedPlan()]
+def _operators(df: DataFrame) -> set[str]:
+    found, open_nodes = set(), [df._jdf.queryExecution().optimizedPlan()]
     while open_nodes:
         node = open_nodes.pop()
-        if node.getClass().getSimpleName() not in _MAP_ONLY:
-            return False
+        found.add(node.getClass().getSimpleName())
         children = node.children()
         open_nodes += [children.apply(i) for i in range(children.size())]
+    return found
+
+
+def is_map_only(df: DataFrame) -> bool:
+    """Whether a repeated task gets its rows back in the same order."""
+    return _operators(df) <= {"Project", "Filter", "Generate", "LogicalRelation", "Range", "LocalRelation"}
+
+
+def is_whole_scan(df: DataFrame) -> bool:
+    """Whether ``df`` is all rows of a Parquet scan, whatever its columns."""
+    if not _operators(df) <= {"Project", "LogicalRelation"}:
+        return False
+    try:
+        df.select("_metadata.row_index")
+    except AnalysisException:
+        return False
     return True
 
 

@@ -33,7 +33,13 @@ def write_requests(df: DataFrame, path: str) -> None:
     """
     lines = df.repartition("chunk_idx").sortWithinPartitions("chunk_idx", "ordinal").select("chunk_idx", "value")
     with sized_shuffles(df.sparkSession, df):
-        lines.write.mode("overwrite").option("compression", "none").partitionBy("chunk_idx").text(path, lineSep="\n")
+        (
+            lines.write.mode("overwrite")
+            .option("compression", "none")
+            .option("maxRecordsPerFile", 0)
+            .partitionBy("chunk_idx")
+            .text(path, lineSep="\n")
+        )
 
 
 def write_manifest(manifest: DataFrame, path: str, fmt: str = "parquet") -> None:

@@ -75,6 +75,20 @@ def test_equal_keys_get_the_same_numbers_whatever_the_partitioning(spark, scatte
     assert {tuple(r) for r in one.collect()} == {tuple(r) for r in two.collect()}
 
 
+@pytest.mark.parametrize("limit", [None, 300])
+def test_equal_keys_keep_file_order(spark, tmp_path, scattered, limit):
+    path = str(tmp_path / "t.parquet")
+    scattered.repartitionByRange(5, "id").sortWithinPartitions("id").write.parquet(path)
+    scan = read_input(spark, path).select("third", "id")
+    w = Window.orderBy("third", "id")
+    want = scan.withColumn("n", (F.row_number().over(w) - 1).cast("long")).filter(f"n < {limit or 5000}")
+    got = number_by_key(scan, ["third"], limit=limit)
+    assert got.columns == ["third", "id", "ordinal"]
+    assert {tuple(r) for r in got.collect()} == {(r.third, r.id, r.n) for r in want.collect()}
+    filtered = number_by_key(scan.filter("id % 2 = 0"), ["third"])
+    assert sorted(r.ordinal for r in filtered.collect()) == list(range(2500))
+
+
 def test_map_columns_can_be_numbered(spark):
     df = spark.range(20).select(F.lit(1).alias("k"), F.create_map(F.lit("a"), F.col("id")).alias("m"))
     assert number_by_key(df, ["k"]).select("ordinal").distinct().count() == 20

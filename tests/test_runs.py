@@ -305,3 +305,12 @@ def test_paths_with_spaces_percents_and_pluses(spark, tmp_path):
 def test_order_columns_must_exist(spark, tmp_path):
     with pytest.raises(ValueError, match="when"):
         prepare(spark, spec_of(tmp_path, input_uri=topics(spark, tmp_path), order_by=["when"]))
+
+
+def test_repeated_own_ids_can_be_refused(spark, tmp_path):
+    path = str(tmp_path / "own.parquet")
+    spark.createDataFrame([("t", "a"), ("u", "a"), ("v", "b")], "topic string, record_id string").coalesce(1).write.parquet(path)
+    with pytest.raises(ValueError, match="repeated record ids"):
+        prepare(spark, spec_of(tmp_path, input_uri=path, unique_ids=True))
+    prepare(spark, spec_of(tmp_path, input_uri=path, unique_ids=True, max_records_per_job=1))
+    assert prepare(spark, spec_of(tmp_path, input_uri=path)).first().n_records == 3
