@@ -53,7 +53,6 @@ def prefix_sum(df: DataFrame, order_by: Sequence[str], value: str, rows: int | N
 
     ``rows`` is a known upper bound on the row count; at most ``SMALL_ROWS`` take one window task.
     """
-    before = Window.rowsBetween(Window.unboundedPreceding, -1)
     zero = F.lit(0).cast("long")
     if rows is not None and rows <= SMALL_ROWS:  # checked bound: one task holds them easily
         w = Window.orderBy(*order_by).rowsBetween(Window.unboundedPreceding, -1)
@@ -111,9 +110,12 @@ def number_by_split(
 
     A task reads each of its file splits from start to end, so positions inside a
     split follow the lines whatever the packing of splits into tasks. The scratch
-    copy is map-only and pins the split boundaries.
+    copy is map-only and pins the split boundaries. With ``limit`` it holds only the
+    first files.
     """
     columns = [quoted(c) for c in scan.columns]
+    if limit is not None:
+        scan = _first_files(scan, limit)
     staged = materialize(
         scan.select(
             *columns,
@@ -143,7 +145,7 @@ def _first_files(scan: DataFrame, limit: int) -> DataFrame:
     wanted = 1
     while wanted < len(files) and wanted <= SMALL_FILES:
         first = scan.filter(F.col("_metadata.file_path").isin(files[:wanted]))
-        if first.limit(limit).count() >= limit:
+        if first.count() >= limit:
             return first
         wanted *= 2
     return scan

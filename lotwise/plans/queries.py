@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from lotwise import fixed
 from lotwise.functions.adapters import adapter_for, route_requests
 from lotwise.functions.jsonlines import parse_lines, split_good_bad, strict_json
-from lotwise.functions.naming import job_id, job_name, with_record_id
+from lotwise.functions.naming import drop_index_column, job_id, job_name, with_record_id
 from lotwise.functions.prompts import render, render_by_id, resolve_prompt, unknown_prompt_ids
 from lotwise.operators.joins import duplicate_ids, join_results, unmatched
 from lotwise.operators.ledger import (
@@ -48,11 +48,11 @@ from lotwise.operators.reports import (
     score_summary,
 )
 from lotwise.operators.scoring import input_text_fallback, score_embeddings, score_text, score_to
-from lotwise.plans.collect import collect, extract, good_results, rejected_lines, run_collect
+from lotwise.plans.collect import collect, extract, good_results, run_collect
 from lotwise.plans.prepare import build_manifest, build_requests, prepare, rejected_inputs, stamp
 from lotwise.plans.spec import JobSpec
 from lotwise.session import scratch_path
-from lotwise.sources.outputs import first_files, missing_outputs, read_outputs
+from lotwise.sources.outputs import first_files, missing_outputs
 from lotwise.sources.sinks import read_results, write_csv
 from lotwise.sources.tables import read_dataset, read_input, stage_dataset
 from lotwise.streaming.collect import stream_collect
@@ -403,8 +403,6 @@ def csv_index_column(spark, d):
     path = scratch_path(spark, "indexed") + ".csv"
     rows = table(spark, d, "documents").select(F.col("doc_id").alias("Unnamed: 0"), "doc_id", "lang", "n_chars")
     write_csv(rows, path)
-    from lotwise.functions.naming import drop_index_column
-
     kept = drop_index_column(read_input(spark, path))
     return kept.select(F.col("doc_id").cast("long"), "lang", F.col("n_chars").cast("long"))
 

@@ -143,6 +143,7 @@ def test_a_limited_text_scan_is_cut_to_its_first_files(spark, tmp_path, limit, f
     cut = numbering._first_files(scan, limit)
     assert cut.select("_metadata.file_path").distinct().count() == files
     numbered = number_by_split(scan, limit)
+    assert "some%20dir.csv" not in str(numbered.inputFiles())  # reads the scratch copy
     assert sorted(int(r.id) for r in numbered.collect()) == list(range(min(limit, 90)))
 
 
