@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterable, Iterator
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotwise.session import materialize
+from lotwise.session import materialize, scratch_path
 
 #: A word is a longest run of characters other than these (``bytes.split`` cuts at the same ones).
 SPACE = r"\x20\x09-\x0D"
@@ -27,17 +27,17 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def application_path(spark: SparkSession, name: str) -> str:
+    """A new path under ``spark.checkpoint.dir`` that goes when the application ends."""
+    path = scratch_path(spark, f"llm-{name}")
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return path
+
+
 def cut(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once to shared storage and read it back, so that nothing recomputes it.
-
-    The copy lies under ``spark.checkpoint.dir`` and goes when the application ends.
-    """
-    out = materialize(df, f"llm-{name}")
-    spark = df.sparkSession
-    for path in {file.rsplit("/", 1)[0] for file in out.inputFiles()[:1]}:
-        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
-    return out
+    """Write ``df`` once to shared storage and read it back, so that nothing recomputes it."""
+    return materialize(df, name, application_path(df.sparkSession, name))
 
 
 def blocks(rows: Iterable[tuple], size: Callable[[tuple], int], most: int) -> Iterator[list[tuple]]:

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotwise.llm import mixing, quality
-from lotwise.llm.common import table
+from lotwise.llm import mixing, quality, token_counts, warc
+from lotwise.llm.common import application_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -77,7 +78,30 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op4_token_counts")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")
+    )
+
+
 @query("op6_mix_sources")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.mix_plan(table(spark, sf_dir, "documents"))
     return plan.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+@query(
+    "op7_warc",
+    """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+q AS (SELECT page_id, strlen(h) AS n, sha1(h) AS digest, max(page_id) OVER (PARTITION BY h) AS top FROM p)
+SELECT page_id, n::BIGINT AS payload_bytes, digest AS payload_digest,
+  CASE WHEN n >= 1000 AND page_id < top THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN n >= 1000 AND page_id < top THEN top END AS refers_to
+FROM q""",
+)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archive = application_path(spark, "warc")
+    warc.write_archive(table(spark, sf_dir, "pages"), archive)
+    return warc.read_pages(spark, archive)

@@ -1,0 +1,45 @@
+"""Counts equal the library's over whole texts, whatever the chunks."""
+
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from lotwise.llm.token_counts import count_tokens
+
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+SCHEMA = "doc_id long, text string, n_tokens string"
+TEXTS = [
+    "",
+    None,
+    " ",
+    "word",
+    "It's a test,  with   runs \n\n of\tspace \u00a0 and\u2003 odd\x1c ones\x85 !",
+    "a  <|endoftext|> b<|endoftext|>c <|endoftext|>",
+    "naïve café 日本語 テスト 😀😀 e\u0301 \u0301x",
+    "some words and others 12 345 " * 40,
+    "x" * 700 + " tail",
+    "no spaces" + "-" * 300 + "end of it " * 30,
+    " " * 500 + "end",
+    "\u00a0 a\u00a0 b" * 60,
+]
+
+
+@pytest.fixture(scope="module")
+def library():
+    return Tokenizer.from_file(PATH)
+
+
+@pytest.mark.parametrize("chunk,overlap", [(1 << 16, 1 << 10), (64, 16), (40, 4)])
+def test_equals_library(spark, library, chunk, overlap):
+    rows = [(i, t, "clash") for i, t in enumerate(TEXTS)] + [(7, TEXTS[7], "again"), (None, TEXTS[8], None)]
+    got = count_tokens(spark.createDataFrame(rows, SCHEMA), PATH, 20, chunk, overlap).collect()
+    want = []
+    for i, t, _ in rows:
+        n = len(library.encode(t or "", add_special_tokens=False).ids)
+        want.append((i, len((t or "").encode()), n, n > 20))
+    assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
+
+
+def test_empty_table(spark):
+    out = count_tokens(spark.createDataFrame([], SCHEMA), PATH)
+    assert out.columns == ["doc_id", "n_bytes", "n_tokens", "over_limit"] and out.count() == 0
