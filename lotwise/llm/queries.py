@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotwise.llm import mixing, quality, token_counts, warc
+from lotwise.llm import bpe, mixing, quality, token_counts, warc
 from lotwise.llm.common import application_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -105,3 +105,8 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     archive = application_path(spark, "warc")
     warc.write_archive(table(spark, sf_dir, "pages"), archive)
     return warc.read_pages(spark, archive)
+
+
+@query("op2_bpe")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
