@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotwise.llm import bpe, mixing, quality, token_counts, warc
+from lotwise.llm import bpe, mixing, quality, simhash, token_counts, warc
 from lotwise.llm.common import application_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -110,3 +110,10 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_bpe")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op9_simhash")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    bits = F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint")
+    return found.select("doc_id", bits, "component_id")
