@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotwise.llm import bpe, mixing, quality, simhash, token_counts, warc
+from lotwise.llm import bpe, line_dedup, mixing, quality, simhash, token_counts, warc
 from lotwise.llm.common import application_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -117,3 +117,37 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     bits = F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint")
     return found.select("doc_id", bits, "component_id")
+
+
+@query(
+    "op10_line_dedup",
+    rf"""
+WITH d AS (SELECT doc_id, text, coalesce('s' || source, 'none') AS site FROM documents),
+lines AS (
+  SELECT doc_id, site, unnest(string_split(text, chr(10))) AS raw, generate_subscripts(string_split(text, chr(10)), 1) AS i
+  FROM d WHERE text IS NOT NULL
+), cleaned AS (
+  SELECT *, regexp_replace(raw, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g') AS line FROM lines
+), spread AS (
+  SELECT line, min(doc_id) AS home FROM cleaned WHERE line <> '' GROUP BY line
+  HAVING count(DISTINCT site) >= {line_dedup.MIN_SITES}
+), kept AS (
+  SELECT c.doc_id, c.i, c.raw, c.line, s.line IS NOT NULL AND s.home IS DISTINCT FROM c.doc_id AS gone
+  FROM cleaned c LEFT JOIN spread s ON c.line = s.line
+)
+SELECT doc_id, count(*) FILTER (line <> '')::BIGINT AS n_lines, count(*) FILTER (gone)::BIGINT AS n_removed,
+  sha256(coalesce(string_agg(raw, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM kept GROUP BY doc_id""",
+)
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    n = lambda text: F.size(
+        F.filter(F.split(F.coalesce(text, F.lit("")), "\n", -1), lambda x: x.rlike("[^\\x20\\x09-\\x0D]"))
+    ).cast("long")
+    counted = docs.select("doc_id", "text", "source", n(F.col("text")).alias("n_lines"))
+    return line_dedup.line_dedup(counted).select(
+        "doc_id",
+        "n_lines",
+        (F.col("n_lines") - n(F.col("text"))).alias("n_removed"),
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"),
+    )
