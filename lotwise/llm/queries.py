@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotwise.llm import bpe, line_dedup, mixing, quality, simhash, token_counts, warc
+from lotwise.llm import bpe, line_dedup, mixing, pii, quality, simhash, token_counts, warc
 from lotwise.llm.common import application_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -151,3 +151,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("n_lines") - n(F.col("text"))).alias("n_removed"),
         F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"),
     )
+
+
+@query("op8_pii")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pii_digests(table(spark, sf_dir, "documents"))
