@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotwise.llm import bpe, line_dedup, mixing, pii, quality, simhash, token_counts, warc
+from lotwise.llm import bpe, embedding_dedup, line_dedup, mixing, pii, quality, simhash, token_counts, warc
 from lotwise.llm.common import application_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -156,3 +156,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_pii")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_digests(table(spark, sf_dir, "documents"))
+
+
+@query("op3_embedding_dedup")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))

@@ -20,8 +20,9 @@ SHINGLE = 4
 SEED = 42
 BITS = 64
 MAX_DIFFERENT = 4
-#: Fingerprints that one side of a task's node pair should hold, and the deepest split of the trie over tasks.
+#: Fingerprints that one side of a task's node pair should hold, and depths between which the trie is cut for tasks.
 NODE_ROWS = 1 << 15
+DEPTHS = (3, 16)
 #: Trie nodes of up to so many fingerprints are compared one by one.
 LEAF = 8
 #: Node pairs that a task expands at once.
@@ -157,9 +158,9 @@ def print_links(prints: DataFrame, most: int = MAX_DIFFERENT, node_rows: int = N
     pair of nodes whose prefixes differ in up to ``most`` bits.
     """
     n = prints.count()
-    depth = max(0, min(16, math.ceil(math.log2(max(n, 1) / node_rows)))) if n > node_rows else 0
+    depth = min(max(math.ceil(math.log2(max(n, 1) / node_rows)), DEPTHS[0]), DEPTHS[1])
     masks = [m for m in range(1 << depth) if m.bit_count() <= most]
-    node = F.shiftrightunsigned("print", BITS - depth) if depth else F.lit(0).cast("long")
+    node = F.shiftrightunsigned("print", BITS - depth)
     # A node meets itself, and each node that differs from it by a mask: once, under the smaller name.
     meets = prints.select("print", node.alias("node"), F.explode(F.array(*[F.lit(m) for m in masks])).alias("mask"))
     other = F.col("node").bitwiseXOR(F.col("mask").cast("long"))
