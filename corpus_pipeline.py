@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lotwise.llm import mixing, quality
+from lotwise.llm import bpe, line_dedup, mixing, quality, simhash
 from lotwise.llm.common import cut, table
 from lotwise.session import ship_package
 
@@ -15,15 +17,42 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
+    ship_package(spark)
     return quality.quality_rules(docs).filter("kept").select(*docs.columns)
 
 
+def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without lines that stand on many sites; ``n_chars`` follows the text."""
+    ship_package(spark)
+    kind = docs.schema["n_chars"].dataType
+    return line_dedup.line_dedup(docs).withColumn("n_chars", F.length("text").cast(kind)).select(*docs.columns)
+
+
+def keep_one_of_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates."""
+    ship_package(spark)
+    return simhash.keep_one(docs)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them."""
+    ship_package(spark)
     return mixing.mix(docs)
 
 
-STAGES: list[tuple[str, Stage]] = [("quality_rules", keep_good), ("mix_sources", mix_sources)]
+def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row per document with its token count and the digests of its ids and of their decoded text."""
+    ship_package(spark)
+    return bpe.encode_digests(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality_rules", keep_good),
+    ("line_dedup", drop_boilerplate),
+    ("simhash_near_dedup", keep_one_of_copies),
+    ("mix_sources", mix_sources),
+    ("bpe", encode_tokens),
+]
 
 #: Byte-pair encoding and fingerprints have no SQL form.
 ORACLE_SQL = None
