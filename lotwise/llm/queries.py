@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotwise.llm import bpe, embedding_dedup, line_dedup, mixing, pii, quality, simhash, token_counts, warc
+from lotwise.llm import (
+    bpe,
+    embedding_dedup,
+    line_dedup,
+    mixing,
+    pii,
+    quality,
+    simhash,
+    substring_dedup,
+    token_counts,
+    warc,
+)
 from lotwise.llm.common import application_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -161,3 +172,34 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_embedding_dedup")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query(
+    "op5_substring_dedup",
+    r"""
+WITH w AS (
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
+  FROM documents
+), lists AS (
+  SELECT doc_id, list_transform(range(1, len(ws) - 18), lambda i: array_to_string(ws[i:i + 19], ' ')) AS wins
+  FROM w WHERE len(ws) >= 20
+), windows AS (
+  SELECT doc_id, unnest(wins) AS win, generate_subscripts(wins, 1) AS i FROM lists
+), later AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY win ORDER BY doc_id, i) AS n FROM windows)
+  WHERE n > 1
+), gone AS (
+  SELECT DISTINCT doc_id, i + d AS place FROM later, range(20) AS t(d)
+), words AS (
+  SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS place FROM w
+), kept AS (
+  SELECT words.doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY words.place) AS t
+  FROM words LEFT JOIN gone ON gone.doc_id = words.doc_id AND gone.place = words.place
+  WHERE gone.place IS NULL GROUP BY words.doc_id
+)
+SELECT w.doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT AS n_removed,
+  sha256(coalesce(t, '')) AS kept_sha256
+FROM w LEFT JOIN kept ON kept.doc_id = w.doc_id""",
+)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeat_digests(table(spark, sf_dir, "documents"))
