@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from abc import ABC, abstractmethod
+from collections.abc import Mapping
 from typing import Any
 
 from pyspark.sql import Column
@@ -189,10 +190,15 @@ def adapter_for(model_id: str) -> ModelAdapter:
     raise ValueError(f"unsupported model_id: {model_id}")
 
 
-def route_requests(model_id: Column, text: Column, record_id: Column, **options: Any) -> Column:
-    """Request line for a table that names its model in a column; null for unknown models."""
+def route_requests(
+    model_id: Column, text: Column, record_id: Column, options: Mapping[str, Mapping[str, Any]] | None = None
+) -> Column:
+    """Request line for a table that names its model in a column; null for unknown models.
+
+    ``options`` are per model type (``{"text": {...}, "embedding": {...}}``): those of one never reach another.
+    """
     result = F.lit(None).cast("string")
     for adapter in reversed(_ADAPTERS):
-        line = F.to_json(adapter.request(text, record_id, **options))
+        line = F.to_json(adapter.request(text, record_id, **(options or {}).get(adapter.model_type, {})))
         result = F.when(adapter.matches(model_id), line).otherwise(result)
     return result

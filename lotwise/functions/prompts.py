@@ -51,19 +51,12 @@ class PromptTemplate:
         return frozenset(s.field for s in self.segments if s.field is not None)
 
 
-# prompt id -> template; one field each, named in the template.
+# Shipped templates; users register their own.
 _PROMPTS: dict[str, str] = {
-    "joke_about_topic": "Write a short joke about {topic}. Keep it under fifty words.",
-    "sentiment_classifier": (
-        "Decide whether the text below is `positive`, `negative` or `neutral`. "
-        "Answer with that one word only.\n\nText:\n{input_text}"
-    ),
-    "question_answering": (
-        "Work through the task below step by step inside <thinking> tags, "
-        "then give the result inside <answer> tags.\n\n<task>\n{source}\n</task>\n"
-    ),
-    "summarization": "Give a summary of two or three sentences for this text:\n\n{text}",
-    "sentiment": "Is the mood of this text positive, negative or neutral?\n\n{text}",
+    "tone_of_text": "Is the mood of this text positive, negative or neutral?\n\n{text}",
+    "language_of_text": "Name the language of the following text in English.\n\n{text}",
+    "keywords_of_text": "List up to ten keywords of this document, one per line.\n\n{text}",
+    "names_for_product": "Suggest three names for this product: {description}",
 }
 
 

@@ -74,8 +74,12 @@ def join_ledger(events: DataFrame, ledger: DataFrame) -> DataFrame:
 
 
 def update_ledger(ledger: DataFrame, events: DataFrame) -> DataFrame:
-    """Ledger with each job's latest known state; jobs without events keep their row."""
-    newest = with_class(latest_status(events)).select(
+    """Ledger with each job's latest known state; jobs without events keep their row.
+
+    Events whose state is not in the list change nothing, however new they are.
+    """
+    known = events.filter(classify(F.col("status")).isNotNull())
+    newest = with_class(latest_status(known)).select(
         "job_arn", F.col("status").alias("__status"), F.col("error_message").alias("__error")
     )
     seen = F.col("__status").isNotNull()

@@ -29,7 +29,10 @@ def output_paths(manifest: DataFrame) -> DataFrame:
 
 
 def estimate_cost(usage: DataFrame, prices: DataFrame) -> DataFrame:
-    """Tokens and dollars per model. Tokens are summed before the price join, so the join sees one row per model."""
+    """Tokens and dollars per model; a model without a price has null dollars.
+
+    Tokens are summed before the price join, so the join sees one row per model.
+    """
     totals = usage.groupBy("model_id").agg(
         F.count(F.lit(1)).alias("n_records"),
         F.sum("input_tokens").alias("input_tokens"),
@@ -38,7 +41,7 @@ def estimate_cost(usage: DataFrame, prices: DataFrame) -> DataFrame:
     dollars = (
         F.col("input_tokens") * F.col("usd_per_1k_in") + F.coalesce(F.col("output_tokens") * F.col("usd_per_1k_out"), F.lit(0.0))
     ) / 1000
-    return totals.join(prices, "model_id").select(
+    return totals.join(prices, "model_id", "left").select(
         "model_id", "n_records", "input_tokens", "output_tokens", dollars.alias("usd")
     )
 

@@ -13,6 +13,7 @@ from lotwise import fixed
 from lotwise.functions.adapters import EmbeddingAdapter, MessagesAdapter, ModelAdapter
 from lotwise.functions.jsonlines import strict_json, stripped
 from lotwise.functions.prompts import PromptTemplate, render
+from lotwise.operators.numbering import quoted
 
 # Builds a client inside the task: it takes a request body and returns an answer body, both JSON text.
 ClientFactory = Callable[[], Callable[[str], str]]
@@ -74,8 +75,8 @@ def score(
 ) -> DataFrame:
     """Input columns plus the adapter's result columns, ``success`` and ``error``; a failed row never stops the job.
 
-    ``max_concurrency`` is the number of tasks that call at once; each keeps its
-    share of ``requests_per_second``.
+    Columns of these names from an earlier scoring are replaced. ``max_concurrency`` is
+    the number of tasks that call at once; each keeps its share of ``requests_per_second``.
     """
     pause = 0.0
     if requests_per_second is not None:
@@ -92,10 +93,12 @@ def score(
         .when(F.col("__parsed").isNull(), "the answer is not a JSON object")
         .otherwise(adapter.inline_problem(F.col("__parsed")))
     )
-    checked = parsed.withColumn("error", problem)
-    ok = F.col("error").isNull()
+    checked = parsed.withColumn("__problem", problem)
+    ok = F.col("__problem").isNull()
     results = [F.when(ok, c).alias(n) for n, c in adapter.inline_response(F.col("__parsed")).items()]
-    return checked.select(*[F.col(f"`{c}`") for c in df.columns], *results, ok.alias("success"), "error")
+    made = {n.lower() for n in (*adapter.inline_response(F.col("__parsed")), "success", "error")}
+    carried = [quoted(c) for c in df.columns if c.lower() not in made]
+    return checked.select(*carried, *results, ok.alias("success"), F.col("__problem").alias("error"))
 
 
 def score_text(

@@ -52,8 +52,8 @@ from lotwise.plans.collect import collect, extract, good_results, run_collect
 from lotwise.plans.prepare import build_manifest, build_requests, prepare, rejected_inputs, stamp
 from lotwise.plans.spec import JobSpec
 from lotwise.session import scratch_path
-from lotwise.sources.outputs import first_files, missing_outputs
-from lotwise.sources.sinks import read_results, write_csv
+from lotwise.sources.outputs import first_files, missing_outputs, path_chunk_idx
+from lotwise.sources.sinks import read_results, write_csv, write_requests
 from lotwise.sources.tables import read_dataset, read_input, stage_dataset
 from lotwise.streaming.collect import stream_collect
 from lotwise.streaming.status import fold_events, read_log, route_events
@@ -90,7 +90,7 @@ def spec_for(d: str, root: str = ".", **changes) -> JobSpec:
         "model_id": TEXT_MODEL,
         "root": root,
         "input_uri": f"{d}/documents.parquet",
-        "prompt_id": "sentiment",
+        "prompt_id": "tone_of_text",
         "max_records_per_job": SIZE,
         "order_by": ["doc_id"],
         "order_is_unique": True,
@@ -301,16 +301,18 @@ def _with_prompt_id(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     "SELECT doc_id, CASE lang WHEN 'en' THEN CAST(to_json({'recordId': CAST(doc_id AS VARCHAR), 'modelInput': "
-    f"{{'anthropic_version': '{fixed.TEXT_API_VERSION}', 'max_tokens': {fixed.BATCH_MAX_TOKENS}, 'messages': "
+    f"{{'anthropic_version': '{fixed.TEXT_API_VERSION}', 'max_tokens': 5, 'messages': "
     "[{'role': 'user', 'content': [{'type': 'text', 'text': text}]}]}}) AS VARCHAR) "
-    "WHEN 'fr' THEN CAST(to_json({'recordId': CAST(doc_id AS VARCHAR), 'modelInput': {'inputText': text}}) AS VARCHAR) "
+    "WHEN 'fr' THEN CAST(to_json({'recordId': CAST(doc_id AS VARCHAR), 'modelInput': {'inputText': text, "
+    "'dimensions': 256}}) AS VARCHAR) "
     "END AS value FROM documents"
 )
 def mixed_models(spark, d):
     lang = F.col("lang")
     model = F.when(lang == "en", TEXT_MODEL).when(lang == "fr", EMBEDDING_MODEL).otherwise("some.other-model")
+    options = {"text": {"max_tokens": 5}, "embedding": {"dimensions": 256}}
     return table(spark, d, "documents").select(
-        "doc_id", route_requests(model, F.col("text"), F.col("doc_id").cast("string")).alias("value")
+        "doc_id", route_requests(model, F.col("text"), F.col("doc_id").cast("string"), options).alias("value")
     )
 
 
@@ -460,20 +462,25 @@ def quarantine_bad_lines(spark, d):
 
 
 @query(
-    "SELECT doc_id + 1 AS line_number, lang, source FROM documents WHERE lang = 'de'"
+    f"SELECT CAST(ordinal // {SIZE} AS INTEGER) AS chunk_idx, ordinal % {SIZE} + 1 AS line_number, lang, source "
+    f"FROM ({ORDINALS}) WHERE lang = 'de'"
 )
 def bad_line_numbers(spark, d):
-    """Lines of one text file that are not JSON, with their line numbers."""
+    """Lines that are not JSON, with file and line number: a text file per chunk, so the work spreads over tasks."""
     path = scratch_path(spark, "lines")
-    docs = table(spark, d, "documents")
+    docs = stamped(spark, d)
     good = F.to_json(F.struct(F.col("doc_id").cast("string").alias("recordId")))
     line = F.when(F.col("lang") == "de", F.concat_ws(" ", "lang", "source")).otherwise(good)
-    one_file = docs.select("doc_id", line.alias("value")).coalesce(1).sortWithinPartitions("doc_id")
-    one_file.select("value").write.text(path)
+    write_requests(docs.select("chunk_idx", "ordinal", line.alias("value")), path)
     scan = spark.read.text(path)
     bad = number_lines(scan, strict_json(F.col("value"), "recordId string").isNull())
     words = F.split("value", " ")
-    return bad.select("line_number", words[0].alias("lang"), words[1].alias("source"))
+    return bad.select(
+        path_chunk_idx(F.col("file_path")).alias("chunk_idx"),
+        "line_number",
+        words[0].alias("lang"),
+        words[1].alias("source"),
+    )
 
 
 def _blocks(spark: SparkSession, d: str) -> DataFrame:
@@ -609,11 +616,16 @@ def join_answers(spark, d):
 
 @query(
     f"SELECT s.chunk_idx, s.record_id, 'input' AS side FROM ({STAMPED}) s "
-    "WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = s.doc_id)"
+    "WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = s.doc_id) "
+    "UNION ALL SELECT 0 AS chunk_idx, 'label ' || doc_id AS record_id, 'output' AS side FROM labels WHERE toxic = 1"
 )
 def join_unmatched(spark, d):
+    """Rows without an answer, and answers (one per toxic label) that belong to no row."""
     rows = stamped(spark, d)
-    return unmatched(rows, _extracted(spark, rows, d))
+    strangers = table(spark, d, "labels").filter("toxic = 1").select(
+        F.lit(0).alias("chunk_idx"), F.concat(F.lit("label "), F.col("doc_id")).alias("record_id")
+    )
+    return unmatched(rows, _extracted(spark, rows, d).select("chunk_idx", "record_id").unionByName(strangers))
 
 
 @query(
@@ -796,6 +808,11 @@ LATEST = (
     "SELECT job_arn, arg_max(status, (event_ts, seq)) AS status, max(event_ts) AS event_ts, "
     f"arg_max(seq, (event_ts, seq)) AS seq FROM ({STATUS_EVENTS}) GROUP BY 1"
 )
+#: States outside the list change no ledger row.
+LATEST_KNOWN = (
+    "SELECT job_arn, arg_max(status, (event_ts, seq)) AS status "
+    f"FROM ({STATUS_EVENTS}) WHERE status <> 'Running' GROUP BY 1"
+)
 CLASS = (
     "CASE WHEN status = 'Completed' THEN 'success' WHEN status IN ('Failed', 'PartiallyCompleted') THEN 'failure' "
     "WHEN status = 'InProgress' THEN 'heartbeat' END"
@@ -867,18 +884,22 @@ def ledger_lookup(spark, d):
 
 
 @query(
-    "SELECT e.seq, e.job_arn, l.model_id "
-    f"FROM ({STATUS_EVENTS}) e JOIN ({LEDGER}) l ON e.job_arn = l.job_arn WHERE e.status <> 'Running'"
+    "SELECT e.seq, e.job_arn, l.model_id, l.job_arn IS NOT NULL AND e.status <> 'Running' AS accepted "
+    f"FROM ({STATUS_EVENTS}) e LEFT JOIN ({LEDGER}) l ON e.job_arn = l.job_arn"
 )
 def ledger_lookup_stream(spark, d):
     known, unknown, state = (scratch_path(spark, n) for n in ("known", "unknown", "route-state"))
     route_events(_status_events(spark, d, stream=True), _ledger(spark, d), known, unknown, state).awaitTermination()
-    return spark.read.parquet(known).select("seq", "job_arn", "model_id")
+    halves = [
+        spark.read.parquet(path).select("seq", "job_arn", "model_id", F.lit(accepted).alias("accepted"))
+        for path, accepted in ((known, True), (unknown, False))
+    ]
+    return halves[0].unionByName(halves[1])
 
 
 @query(
     f"SELECT l.job_arn, l.model_id, coalesce(n.status, 'Submitted') AS status, CASE WHEN n.status IN ('Failed', "
-    f"'PartiallyCompleted') THEN n.status END AS error_message FROM ({LEDGER}) l LEFT JOIN ({LATEST}) n ON l.job_arn = n.job_arn"
+    f"'PartiallyCompleted') THEN n.status END AS error_message FROM ({LEDGER}) l LEFT JOIN ({LATEST_KNOWN}) n ON l.job_arn = n.job_arn"
 )
 def updated_ledger(spark, d):
     return update_ledger(_ledger(spark, d), _status_events(spark, d))
@@ -981,6 +1002,18 @@ def score_skips_missing_fields(spark, d):
     return score_text(rows, sample_text_client, "{lang}: {text}").select("doc_id", "success")
 
 
+@query(
+    f"SELECT doc_id, (length(text) + 4) || ' characters' AS response, true AS success, NULL::VARCHAR AS error "
+    f"FROM documents WHERE {REFUSED}"
+)
+def rescore_failed(spark, d):
+    """Rows that failed are scored again, without the sign the model refuses; their old results are replaced."""
+    failed = _scored_once(spark, d, "first-round").filter("not success")
+    mended = failed.withColumn("text", F.replace("text", F.lit("@"), F.lit("#")))
+    again = score_text(mended, sample_text_client, "{lang}: {text}", with_usage=True)
+    return score_to(again, scratch_path(spark, "second-round")).select("doc_id", "response", "success", "error")
+
+
 @query(
     f"SELECT count(*) AS processed, count(*) FILTER (NOT {REFUSED}) AS successful, "
     f"count(*) FILTER ({REFUSED}) AS failed FROM documents"
@@ -1000,11 +1033,11 @@ def first_success(spark, d):
 @query(
     "SELECT lang AS model_id, count(*) AS n_records, CAST(sum(length(text) + 4) AS BIGINT) AS input_tokens, "
     "CAST(count(*) * 2 AS BIGINT) AS output_tokens, round(sum(length(text) + 4) * p / 1000 + count(*) * 2 * q / 1000, 6) AS usd "
-    "FROM documents JOIN (VALUES ('en', 0.00025, 0.00125), ('fr', 0.003, 0.015), ('de', 0.00002, NULL)) v(m, p, q0) "
+    "FROM documents LEFT JOIN (VALUES ('en', 0.00025, 0.00125), ('fr', 0.003, 0.015), ('de', 0.00002, NULL)) v(m, p, q0) "
     f"ON lang = m, LATERAL (SELECT coalesce(q0, 0) AS q) WHERE NOT {REFUSED} GROUP BY lang, p, q"
 )
 def cost_estimate(spark, d):
-    """Token cost with the language standing for the model."""
+    """Token cost with the language standing for the model; one language has no price."""
     scored = _scored_once(spark, d, "cost").filter("success")
     usage = scored.select(F.col("lang").alias("model_id"), "usage.*")
     prices = spark.createDataFrame(
@@ -1022,12 +1055,13 @@ def previews(spark, d):
 
 
 @query(
-    f"SELECT doc_id, lang, CASE WHEN NOT {REFUSED} THEN (length(text) + 4) || ' characters' END AS response, "
-    f"CASE WHEN {REFUSED} THEN 'false' ELSE 'true' END AS success FROM documents"
+    f"SELECT doc_id, lang, CASE WHEN NOT {REFUSED} THEN chr(10) || '  ' || (length(text) + 4) || ' characters' || chr(9) || ' ' END "
+    f"AS response, CASE WHEN {REFUSED} THEN 'false' ELSE 'true' END AS success FROM documents"
 )
 def csv_results(spark, d):
-    """Scored rows written as CSV and read back, nested columns as JSON."""
+    """Scored rows written as CSV and read back, nested columns as JSON; answers begin and end in white space."""
     path = scratch_path(spark, "scored") + ".csv"
-    write_csv(_scored(spark, d), path)
+    padded = F.concat(F.lit("\n  "), F.col("response"), F.lit("\t "))
+    write_csv(_scored(spark, d).withColumn("response", padded), path)
     rows = read_input(spark, path)
     return rows.select(F.col("doc_id").cast("long"), "lang", "response", "success")

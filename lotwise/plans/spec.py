@@ -10,21 +10,17 @@ from typing import Any
 from lotwise import fixed
 
 
-def _limit(name: str, value: Any) -> int | None:
-    """A limit from a job file: number, digits, or nothing (null, blank, "none")."""
-    if isinstance(value, str):
-        value = value.strip()
-        if value.lower() in ("", "none"):
-            return None
-    if value is None:
+LIMITS = ("max_num_jobs", "max_records_per_job", "max_records_total")
+
+
+def _from_environment(name: str) -> int | None:
+    """A positive whole number from the environment; None where the variable is unset or empty."""
+    text = os.environ.get(name, "").strip()
+    if not text:
         return None
-    try:
-        number = int(value)
-    except (TypeError, ValueError) as exc:
-        raise ValueError(f"{name} must be an integer") from exc
-    if number < 0:
-        raise ValueError(f"{name} must not be negative")
-    return number
+    if not text.isdigit() or int(text) == 0:
+        raise ValueError(f"{name} must be a positive whole number: {text!r}")
+    return int(text)
 
 
 @dataclass(frozen=True)
@@ -34,7 +30,12 @@ class JobSpec:
     ``root`` is the storage folder of all runs; ``order_by`` names the columns that
     fix the row order (input order when empty); ``unique_ids`` refuses own record ids
     that repeat inside a chunk (they multiply in the join otherwise); ``run_id`` tells
-    runs with the same prefix apart in job names.
+    runs with the same prefix apart in job names and record ids. Without one, record ids
+    carry a fingerprint of the source files and this spec, so answers to another table
+    never match. Limits are whole numbers; 0 jobs or records per job means no limit.
+
+    ``multi_line`` reads CSV values with line breaks, at the price of one task per file.
+    For large CSV files without such values switch it off, so that files are split.
     """
 
     job_name_prefix: str
@@ -62,8 +63,10 @@ class JobSpec:
             value = getattr(self, f.name)
             if isinstance(value, str):
                 object.__setattr__(self, f.name, value.strip())
-        for name in ("max_num_jobs", "max_records_per_job", "max_records_total"):
-            object.__setattr__(self, name, _limit(name, getattr(self, name)))
+        for name in LIMITS:
+            value = getattr(self, name)
+            if value is not None and (type(value) is not int or value < 0):
+                raise ValueError(f"{name} must be a whole number that is not negative: {value!r}")
         if self.max_records_total == 0:
             raise ValueError("max_records_total must be positive when given")
 
@@ -85,17 +88,14 @@ class JobSpec:
 
     @property
     def chunk_size(self) -> int:
-        default = int(os.environ.get(fixed.RECORDS_PER_JOB_ENV) or fixed.DEFAULT_RECORDS_PER_JOB)
-        return self.max_records_per_job or default
+        return self.max_records_per_job or _from_environment(fixed.RECORDS_PER_JOB_ENV) or fixed.DEFAULT_RECORDS_PER_JOB
 
     @property
     def row_limit(self) -> int | None:
         """Rows to keep: the smaller of the total limit and jobs times chunk size; None means all."""
         total = self.max_records_total
         if total is None:
-            total = _limit(fixed.TOTAL_RECORDS_ENV, os.environ.get(fixed.TOTAL_RECORDS_ENV))
-            if total == 0:
-                raise ValueError(f"{fixed.TOTAL_RECORDS_ENV} must be positive when given")
+            total = _from_environment(fixed.TOTAL_RECORDS_ENV)
         by_jobs = self.max_num_jobs * self.chunk_size if self.max_num_jobs else None
         given = [n for n in (total, by_jobs) if n is not None]
         return min(given) if given else None

@@ -64,10 +64,18 @@ def read_results(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """Write a table as CSV with a header; nested columns as JSON text."""
+    """Write a table as CSV with a header; nested columns as JSON text. White space at the ends of values stays."""
     nested = (T.ArrayType, T.StructType, T.MapType)
     flat = [
         F.to_json(quoted(f.name)).alias(f.name) if isinstance(f.dataType, nested) else quoted(f.name)
         for f in df.schema.fields
     ]
-    df.select(*flat).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    (
+        df.select(*flat)
+        .write.mode("overwrite")
+        .option("header", True)
+        .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )

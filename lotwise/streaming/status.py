@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -32,16 +34,24 @@ def read_log(spark: SparkSession, log: str) -> DataFrame:
 
 
 def route_events(
-    events: DataFrame, ledger: DataFrame, known: str, unknown: str, checkpoint: str, available_now: bool = True
+    events: DataFrame,
+    ledger: DataFrame | Callable[[SparkSession], DataFrame],
+    known: str,
+    unknown: str,
+    checkpoint: str,
+    available_now: bool = True,
 ) -> StreamingQuery:
     """Look up each event's ledger row: known jobs go to one table, others to quarantine.
 
-    The ledger has one row per job; Spark picks the join by its size in each batch.
-    An event whose state is not in the list is quarantined too.
+    The ledger has one row per job; Spark picks the join by its size in each batch. For
+    a stream that keeps running, give a function that reads it: it is called for every
+    batch, so jobs that are submitted meanwhile are known. An event whose state is not in
+    the list is quarantined too.
     """
 
     def write_epoch(batch: DataFrame, epoch: int) -> None:
-        joined = join_ledger(with_class(batch), ledger).withColumn(
+        rows = ledger(batch.sparkSession) if callable(ledger) else ledger
+        joined = join_ledger(with_class(batch), rows).withColumn(
             "accepted", F.col("known") & F.col("class").isNotNull()
         )
         joined.persist()

@@ -42,7 +42,7 @@ def test_fields_that_no_column_can_fill(text):
 def test_registry():
     with pytest.raises(ValueError, match="need a prompt_id"):
         resolve_prompt("text", None)
-    with pytest.raises(ValueError, match="available: .*question_answering"):
+    with pytest.raises(ValueError, match="available: .*tone_of_text"):
         resolve_prompt("text", "no-such-prompt")
     assert resolve_prompt("embedding", None) is None
     register_prompt("shout", "SAY {word}!")

@@ -6,19 +6,23 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from lotwise import fixed
 from lotwise import JobSpec, collect, good_results, prepare, read_results, rejected_lines, run_collect
+from lotwise.functions.prompts import register_prompt
 from lotwise.functions.naming import chunk_label, job_name, with_record_id
 from lotwise.operators.joins import unmatched
 from lotwise.plans.collect import BadOutputError
 from lotwise.sources.sinks import write_csv, write_manifest
 from lotwise.sources.tables import input_format, stage_dataset
 
-TEXT = "anthropic.sample-v1"
-VECTOR = "amazon.titan-embed-text-v2:0"
+TEXT = f"{fixed.TEXT_MODEL_MARK}.sample-v1"
+VECTOR = fixed.EMBEDDING_MODEL_MARK
+register_prompt("line_about_topic", "Write one line about {topic}.")
+register_prompt("needs_source", "Shorten: {source}")
 
 
 def spec_of(tmp_path, **job):
-    return JobSpec(**{"job_name_prefix": "run", "model_id": TEXT, "root": str(tmp_path), "prompt_id": "joke_about_topic", **job})
+    return JobSpec(**{"job_name_prefix": "run", "model_id": TEXT, "root": str(tmp_path), "prompt_id": "line_about_topic", **job})
 
 
 def topics(spark, tmp_path, n=25, name="topics.parquet"):
@@ -64,7 +68,7 @@ def test_prepare_writes_inputs_requests_and_manifest(spark, tmp_path):
         saved = spark.read.parquet(row.inputs_path).orderBy("ordinal").collect()
         assert [x["recordId"] for x in lines] == [r.record_id for r in saved]
         prompts = [x["modelInput"]["messages"][0]["content"][0]["text"] for x in lines]
-        assert prompts == [f"Write a short joke about {r.topic}. Keep it under fifty words." for r in saved]
+        assert prompts == [f"Write one line about {r.topic}." for r in saved]
     saved = spark.read.parquet(spec.layout.inputs)
     assert saved.filter("id <> ordinal").count() == 0
     assert saved.select("record_id").distinct().count() == 25
@@ -109,7 +113,7 @@ def test_rerun_replaces_the_whole_prefix(spark, tmp_path):
 def test_errors_before_any_job_runs(spark, tmp_path):
     path = topics(spark, tmp_path)
     with pytest.raises(ValueError, match=r"\['source'\]"):
-        prepare(spark, spec_of(tmp_path, input_uri=path, prompt_id="question_answering"))
+        prepare(spark, spec_of(tmp_path, input_uri=path, prompt_id="needs_source"))
     with pytest.raises(ValueError, match="input_text"):
         prepare(spark, spec_of(tmp_path, input_uri=path, model_id=VECTOR, prompt_id=None))
     with pytest.raises(ValueError, match="unsupported"):
