@@ -21,19 +21,47 @@ def job_name(prefix: str, chunk_idx: Column, run_id: str = "") -> Column:
     return F.regexp_replace(F.concat(kept, suffix), fixed.JOB_NAME_FORBIDDEN, "")
 
 
-def generated_id(prefix: str) -> Column:
-    """Id from prefix and row number, so a recomputed row gets the same id."""
-    return F.substring(F.sha2(F.concat_ws(":", F.lit(prefix), F.col("ordinal").cast("string")), 256), 1, 32)
+def generated_id(prefix: str, run: str = "") -> Column:
+    """Id from prefix, run and row number: a recomputed row gets the same id, a row of another run never does."""
+    parts = [F.lit(prefix), *([F.lit(run)] if run else []), F.col("ordinal").cast("string")]
+    return F.substring(F.sha2(F.concat_ws(":", *parts), 256), 1, 32)
 
 
-def with_record_id(df: DataFrame, prefix: str) -> DataFrame:
-    """Stamp ``record_id``; an id column of the user's is kept, with its nulls filled."""
-    generated = generated_id(prefix)
-    if "record_id" in df.columns:
-        return df.withColumn("record_id", F.coalesce(F.col("record_id").cast("string"), generated))
+def own_column(df: DataFrame, name: str) -> str | None:
+    """The column of ``df`` that the session takes for ``name``, in its own spelling."""
+    exact = str(df.sparkSession.conf.get("spark.sql.caseSensitive")).lower() == "true"
+    return next((c for c in df.columns if c == name or not exact and c.lower() == name.lower()), None)
+
+
+def with_record_id(df: DataFrame, prefix: str, run: str = "") -> DataFrame:
+    """Stamp ``record_id``; an id column of the user's, in any spelling the session accepts, keeps its values."""
+    generated = generated_id(prefix, run)
+    own = own_column(df, "record_id")
+    if own is not None:
+        return df.withColumnRenamed(own, "record_id").withColumn(
+            "record_id", F.coalesce(F.col("record_id").cast("string"), generated)
+        )
     return df.withColumn("record_id", generated)
 
 
+# Columns that a run adds; input columns of these names are kept under other names until the results are read.
+RESERVED = ("ordinal", "chunk_idx", "state", "output_line")
+_KEPT = "__own_"
+
+
+def set_aside(df: DataFrame) -> DataFrame:
+    """Input columns that are named like columns of the run, under names of their own."""
+    clashing = [c for c in (own_column(df, name) for name in RESERVED) if c is not None]
+    return df.withColumnsRenamed({c: _KEPT + c for c in clashing})
+
+
+def brought_back(df: DataFrame) -> DataFrame:
+    """Input columns under their own names again, in place of the run's columns of these names."""
+    kept = [c for c in df.columns if c.startswith(_KEPT)]
+    replaced = [own_column(df, c.removeprefix(_KEPT)) for c in kept]
+    return df.drop(*[c for c in replaced if c]).withColumnsRenamed({c: c.removeprefix(_KEPT) for c in kept})
+
+
 def drop_index_column(df: DataFrame, text_source: bool = True) -> DataFrame:
     """Drop the index column of tables saved with one; in a CSV its header may be blank."""
     names = [fixed.INDEX_COLUMN, *([fixed.BLANK_HEADER] if text_source else [])]

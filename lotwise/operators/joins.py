@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lotwise.functions.naming import own_column
 from lotwise.operators.numbering import quoted
 
 # Ids are unique to a chunk, not to a run: equal ids in different chunks never meet.
@@ -13,11 +14,12 @@ KEYS = ["chunk_idx", "record_id"]
 
 def suffix_collision(outputs: DataFrame, inputs: DataFrame, result: str) -> tuple[DataFrame, DataFrame, str]:
     """Rename a result column that the input also has: ``_x`` for the model's, ``_y`` for the input's."""
-    if result not in inputs.columns:
+    own = own_column(inputs, result)
+    if own is None:
         return outputs, inputs, result
     return (
         outputs.withColumnRenamed(result, f"{result}_x"),
-        inputs.withColumnRenamed(result, f"{result}_y"),
+        inputs.withColumnRenamed(own, f"{own}_y"),
         f"{result}_x",
     )
 

@@ -12,12 +12,13 @@ from pyspark.sql import functions as F
 from lotwise import fixed
 from lotwise.functions.adapters import ModelAdapter, adapter_for
 from lotwise.functions.jsonlines import parse_lines
+from lotwise.functions.naming import brought_back, job_id
 from lotwise.operators.joins import join_results
 from lotwise.operators.ledger import collectable_jobs
 from lotwise.operators.numbering import SMALL_ROWS
 from lotwise.plans.spec import JobSpec
 from lotwise.session import sized_shuffles
-from lotwise.sources.outputs import first_files, list_outputs, locate_bad_lines, read_outputs
+from lotwise.sources.outputs import first_files, list_outputs, locate_bad_lines, missing_outputs, read_outputs
 from lotwise.sources.sinks import write_results
 from lotwise.sources.tables import read_inputs
 
@@ -31,6 +32,10 @@ class BadOutputError(ValueError):
     """An output line that cannot be used, with its file and line number where known."""
 
 
+class MissingOutputError(ValueError):
+    """A completed job that left no output file."""
+
+
 @dataclass(frozen=True)
 class Gate:
     """Output files to use; ``files`` is None when all of them are."""
@@ -117,13 +122,38 @@ def collect(
     chunks: list[int] | None = None,
     on_bad: str = "quarantine",
 ) -> DataFrame:
-    """Good answers joined to their inputs, as a DataFrame. Bad lines are left out, or stop the query (``fail``)."""
+    """Good answers joined to their inputs, as a DataFrame.
+
+    Bad lines are left out. With ``fail`` they are looked for first, and the call stops
+    with file and line number of one.
+    """
     _check_mode(on_bad)
     outputs, gate, adapter = _outputs(spark, spec, ledger, accept_partial, chunks)
     outputs = apply_gate(outputs, gate)
-    outputs = fail_on_bad(outputs) if on_bad == "fail" else outputs.filter(F.col("error").isNull())
+    if on_bad == "fail":
+        bad = outputs.filter(F.col("error").isNotNull()).select("file_path", "error", "line").first()
+        if bad is not None:
+            raise _named(spark, unquote(bad.file_path), bad.error, bad.line, adapter.output_schema)
+    outputs = outputs.filter(F.col("error").isNull())
     inputs = read_inputs(spark, spec.layout.inputs, chunks)
-    return join_results(outputs.drop("error", "line", "file_path", "job_id"), inputs, adapter.result_column)
+    joined = join_results(outputs.drop("error", "line", "file_path", "job_id"), inputs, adapter.result_column)
+    return brought_back(joined)
+
+
+def missing_jobs(
+    spark: SparkSession,
+    spec: JobSpec,
+    ledger: DataFrame,
+    accept_partial: bool = False,
+    chunks: list[int] | None = None,
+) -> DataFrame:
+    """Jobs to be collected that left no output file: ``job_id, chunk_idx`` (null where the ledger has none)."""
+    chunk = F.col("chunk_idx").cast("int") if "chunk_idx" in ledger.columns else F.lit(None).cast("int")
+    jobs = ledger.select(job_id(F.col("job_arn")).alias("job_id"), chunk.alias("chunk_idx"))
+    jobs = jobs.join(collectable_jobs(ledger, accept_partial).distinct(), "job_id", "left_semi")
+    if chunks is not None:
+        jobs = jobs.filter(F.col("chunk_idx").isin(chunks))
+    return missing_outputs(jobs, list_outputs(spark, spec.layout.outputs, chunks, spec.output_glob))
 
 
 def joined_states(outputs: DataFrame, inputs: DataFrame, result: str) -> DataFrame:
@@ -146,14 +176,26 @@ def run_collect(
     accept_partial: bool = False,
     chunks: list[int] | None = None,
     on_bad: str = "quarantine",
+    on_missing: str = "fail",
 ) -> DataFrame:
-    """Write ``results/state=.../chunk_idx=N`` in one pass over the outputs and return the written table.
+    """Write ``results/chunk_idx=N/state=...`` in one pass over the outputs and return the written table.
+
+    With a ledger, a completed job without an output file stops the run, or becomes a
+    row of state ``missing`` (``on_missing="report"``). Given ``chunks`` are replaced whole.
 
     Both sides are shuffled once, by chunk: that serves the file gate, the join on
     (chunk, id) and the one-file-per-chunk layout together. Chunks have equal,
     bounded sizes, so the tasks are even whatever the ids look like.
     """
     _check_mode(on_bad)
+    if on_missing not in ("fail", "report"):
+        raise ValueError("on_missing must be fail or report")
+    missing = None
+    if ledger is not None:
+        missing = missing_jobs(spark, spec, ledger, accept_partial, chunks)
+        first = missing.limit(5).collect() if on_missing == "fail" else []
+        if first:
+            raise MissingOutputError(f"completed jobs without an output file, such as {[r.job_id for r in first]}")
     outputs, gate, adapter = _outputs(spark, spec, ledger, accept_partial, chunks)
     lines = outputs
     # A small gate drops files before the shuffle, a large one rides on it.
@@ -165,21 +207,37 @@ def run_collect(
         outputs = fail_on_bad(outputs)
     inputs = read_inputs(spark, spec.layout.inputs, chunks)
     states = joined_states(outputs, inputs.repartition("chunk_idx"), adapter.result_column)
+    if missing is not None and on_missing == "report":
+        states = states.unionByName(_missing_rows(missing, states), allowMissingColumns=True)
     with sized_shuffles(spark, lines, inputs, **BY_CHUNK):
         try:
-            write_results(states, spec.layout.results, dynamic=chunks is not None)
+            write_results(states, spec.layout.results, chunks)
         except Exception as exc:
             raise _located(spark, exc, adapter.output_schema) from exc
     return spark.read.schema(states.schema).parquet(spec.layout.results)
 
 
+def _missing_rows(missing: DataFrame, states: DataFrame) -> DataFrame:
+    line = {f.name: F.lit(None).cast(f.dataType) for f in states.schema["output_line"].dataType.fields}
+    line |= {"job_id": F.col("job_id"), "error": F.lit("no output file")}
+    return missing.select(
+        "chunk_idx",
+        F.lit("missing").alias("state"),
+        F.struct(*(c.alias(n) for n, c in line.items())).alias("output_line"),
+    )
+
+
 def _located(spark: SparkSession, exc: Exception, schema: str) -> Exception:
     """The failure with the line number, found by reading the one offending file again."""
     found = re.search(re.escape(_MARK) + r"(\S+) : ([^\n]*?) : (.*)", str(exc))
     if not found:
         return exc
     path, why, line = found.groups()
-    path = unquote(path)  # reported URL-encoded
+    return _named(spark, unquote(path), why, line, schema)  # the path is reported URL-encoded
+
+
+def _named(spark: SparkSession, path: str, why: str, line: str | None, schema: str) -> BadOutputError:
+    """The failure of a known file, with the line number if a line of it does not parse."""
     bad = locate_bad_lines(spark, [path], schema).orderBy("line_number").first()
     if bad is not None:
         return BadOutputError(f"cannot parse {path} on line {bad.line_number}: {bad.value!r}")
@@ -188,7 +246,7 @@ def _located(spark: SparkSession, exc: Exception, schema: str) -> Exception:
 
 def good_results(table: DataFrame) -> DataFrame:
     """Result rows of a run: input columns plus the answer."""
-    return table.filter(F.col("state") == "ok").drop("state", "output_line")
+    return brought_back(table.filter(F.col("state") == "ok").drop("state", "output_line"))
 
 
 def rejected_lines(table: DataFrame) -> DataFrame:

@@ -2,25 +2,29 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotwise.functions.adapters import ModelAdapter, adapter_for
-from lotwise.functions.naming import drop_index_column, job_name, with_record_id
+from lotwise.functions.naming import (
+    brought_back,
+    drop_index_column,
+    job_name,
+    own_column,
+    set_aside,
+    with_record_id,
+)
 from lotwise.functions.prompts import PromptTemplate, check_columns, render, required_columns, resolve_prompt
 from lotwise.operators.joins import duplicate_ids
 from lotwise.operators.numbering import assign_chunks, assign_ordinals
-from lotwise.operators.reports import records_per_chunk
 from lotwise.plans.spec import JobSpec
-from lotwise.session import drop_path, scratch_path
-from lotwise.sources.sinks import write_inputs, write_manifest, write_requests
+from lotwise.session import scratch_scope
+from lotwise.sources.sinks import write_inputs, write_manifest, write_rejected, write_requests
 from lotwise.sources.tables import dataset_path, input_format, read_input
 
 
-# Columns that a run adds to its tables.
-RESERVED = frozenset({"ordinal", "chunk_idx", "state", "output_line"})
-
-
 def source_uri(spec: JobSpec) -> str:
     spec.check_source()
     return spec.input_uri if spec.input_uri is not None else dataset_path(spec.root, spec.dataset_id, spec.split)
@@ -34,23 +38,52 @@ def read_source(spark: SparkSession, spec: JobSpec) -> tuple[DataFrame, bool]:
     return read_input(spark, uri, multi_line=spec.multi_line), input_format(uri) == "csv"
 
 
-def stamp(df: DataFrame, spec: JobSpec, text_source: bool = False, scratch: str | None = None) -> DataFrame:
-    """Input rows with ``ordinal``, ``chunk_idx`` and ``record_id``, limits applied."""
+def fingerprint(spark: SparkSession, spec: JobSpec) -> str:
+    """What tells this run from others under its prefix: ``run_id``, else a hash of source files and spec.
+
+    Paths, lengths and times come from the file listing; no file is read.
+    """
+    if spec.run_id:
+        return spec.run_id
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(source_uri(spec))
+    mark = F.xxhash64("path", "length", F.col("modificationTime").cast("double")).cast("decimal(20,0)")
+    found = files.agg(F.count(F.lit(1)), F.sum(mark)).first()
+    return hashlib.sha256(f"{found[0]} {found[1]} {spec}".encode()).hexdigest()[:16]
+
+
+def stamp(df: DataFrame, spec: JobSpec, text_source: bool = False, run: str | None = None) -> DataFrame:
+    """Input rows with ``ordinal``, ``chunk_idx`` and ``record_id``, limits applied.
+
+    Input columns of these names are set aside; see ``brought_back``.
+    """
+    renamed = set_aside(df)
+    order = [dict(zip(df.columns, renamed.columns)).get(key, key) for key in spec.order_by]
     numbered = assign_ordinals(
-        df, spec.order_by, limit=spec.row_limit, unique=spec.order_is_unique, text_source=text_source, scratch=scratch
+        renamed, order, limit=spec.row_limit, unique=spec.order_is_unique, text_source=text_source
     )
-    stamped = with_record_id(assign_chunks(numbered, spec.chunk_size), spec.job_name_prefix)
+    run = spec.run_id if run is None else run
+    stamped = with_record_id(assign_chunks(numbered, spec.chunk_size), spec.job_name_prefix, run)
     return drop_index_column(stamped, text_source)
 
 
+def request_text(inputs: DataFrame, template: PromptTemplate | None, null_policy: str) -> DataFrame:
+    """``chunk_idx, ordinal, record_id`` of saved inputs and ``__text``, null where no request can be written.
+
+    Templates see the input's own columns, also those named like columns of the run.
+    """
+    keys = {"chunk_idx": "__chunk_idx", "ordinal": "__ordinal", "record_id": "__record_id"}
+    own = brought_back(inputs.withColumns({new: F.col(old) for old, new in keys.items()}))
+    text = render(own, template, null_policy) if template else F.col("input_text").cast("string")
+    return own.select(*(F.col(new).alias(old) for old, new in keys.items()), text.alias("__text"))
+
+
 def build_requests(
     inputs: DataFrame, adapter: ModelAdapter, template: PromptTemplate | None, spec: JobSpec
 ) -> DataFrame:
     """Request lines (``chunk_idx, ordinal, value``). Rows without text are left out; see ``rejected_inputs``."""
-    text = render(inputs, template, spec.null_policy) if template else F.col("input_text").cast("string")
     request = adapter.request(F.col("__text"), F.col("record_id"), **spec.request_options)
     return (
-        inputs.withColumn("__text", text)
+        request_text(inputs, template, spec.null_policy)
         .filter(F.col("__text").isNotNull())
         .select("chunk_idx", "ordinal", F.to_json(request).alias("value"))
     )
@@ -60,56 +93,65 @@ def rejected_inputs(
     inputs: DataFrame, template: PromptTemplate | None, null_policy: str = "literal"
 ) -> DataFrame:
     """Input rows for which no request can be written: null embedding text, or null fields under ``drop``."""
-    text = render(inputs, template, null_policy) if template else F.col("input_text").cast("string")
-    return inputs.filter(text.isNull())
+    own = brought_back(inputs)
+    text = render(own, template, null_policy) if template else F.col("input_text").cast("string")
+    return own.filter(text.isNull())
+
 
+def build_manifest(numbered: DataFrame, spec: JobSpec, text: str | None = None) -> DataFrame:
+    """One row per job: its name, paths, records and requests.
 
-def build_manifest(numbered: DataFrame, spec: JobSpec) -> DataFrame:
-    """One row per chunk: job name, record count and paths. Reads only ``chunk_idx``."""
+    ``text`` names the column that is null where a row has no request; without one every
+    row has one, and only ``chunk_idx`` is read. A chunk without requests is no job.
+    """
     at = spec.layout
+    counts = numbered.groupBy("chunk_idx").agg(
+        F.count(F.lit(1)).alias("n_records"), F.count(F.col(text) if text else F.lit(1)).alias("n_requests")
+    )
     folder = F.concat(F.lit("/chunk_idx="), F.col("chunk_idx").cast("string"))
 
     def path(base: str):
         return F.concat(F.lit(base), folder)
 
-    return records_per_chunk(numbered).select(
+    return counts.filter("n_requests > 0").select(
         "chunk_idx",
         F.lit(spec.model_id).alias("model_id"),
         job_name(spec.job_name_prefix, F.col("chunk_idx"), spec.run_id).alias("job_name"),
         path(at.inputs).alias("inputs_path"),
         path(at.requests).alias("requests_path"),
         path(at.outputs).alias("outputs_path"),
-        path(f"{at.results}/state=ok").alias("results_path"),
+        F.concat(path(at.results), F.lit("/state=ok")).alias("results_path"),
         "n_records",
+        "n_requests",
     )
 
 
 def prepare(spark: SparkSession, spec: JobSpec) -> DataFrame:
-    """Write inputs, requests and manifest of a run; returns the manifest table.
+    """Write inputs, requests, rejected inputs and manifest of a run; returns the manifest table.
 
     Inputs are written first and everything after reads them back, so the
-    request files and the saved rows agree by construction.
+    request files and the saved rows agree by construction. Input rows for which no
+    request can be written are saved under ``rejected_inputs``.
     """
     adapter = adapter_for(spec.model_id)
     template = resolve_prompt(adapter.model_type, spec.prompt_id)
     source, text_source = read_source(spark, spec)
-    taken = sorted(RESERVED & set(source.columns))
-    if taken:
-        raise ValueError(f"the input of {spec.job_name_prefix} uses the reserved columns {taken}")
     required = required_columns(adapter.model_type, template) | set(spec.order_by)
     check_columns(source, required, f"the input of {spec.job_name_prefix}")
 
     at = spec.layout
-    scratch = scratch_path(spark, "numbering")
-    stamped = stamp(source, spec, text_source, scratch)
-    write_inputs(stamped, at.inputs)
-    drop_path(spark, scratch)  # the saved inputs replace it
+    run = fingerprint(spark, spec)
+    with scratch_scope(spark, "prepare"):
+        stamped = stamp(source, spec, text_source, run)
+        write_inputs(stamped, at.inputs)
     inputs = spark.read.schema(stamped.schema).parquet(at.inputs)
-    if spec.unique_ids and "record_id" in source.columns:
+    if spec.unique_ids and own_column(source, "record_id"):
         repeated = duplicate_ids(inputs).limit(5).collect()
         if repeated:
             raise ValueError(f"repeated record ids, such as {[(r.chunk_idx, r.record_id) for r in repeated]}")
     write_requests(build_requests(inputs, adapter, template, spec), at.requests)
-    manifest = build_manifest(inputs, spec)
+    write_rejected(rejected_inputs(inputs, template, spec.null_policy), at.rejected_inputs)
+    texts = request_text(inputs, template, spec.null_policy)
+    manifest = build_manifest(texts, spec, "__text").withColumn("run", F.lit(run))
     write_manifest(manifest, at.manifest)
     return spark.read.schema(manifest.schema).parquet(at.manifest)

@@ -48,10 +48,10 @@ from lotwise.operators.reports import (
     score_summary,
 )
 from lotwise.operators.scoring import input_text_fallback, score_embeddings, score_text, score_to
-from lotwise.plans.collect import collect, extract, good_results, run_collect
+from lotwise.plans.collect import collect, extract, good_results, rejected_lines, run_collect
 from lotwise.plans.prepare import build_manifest, build_requests, prepare, rejected_inputs, stamp
 from lotwise.plans.spec import JobSpec
-from lotwise.session import scratch_path
+from lotwise.session import materialize, scratch_path
 from lotwise.sources.outputs import first_files, missing_outputs, path_chunk_idx
 from lotwise.sources.sinks import read_results, write_csv, write_requests
 from lotwise.sources.tables import read_dataset, read_input, stage_dataset
@@ -109,6 +109,9 @@ STAMPED = (
     f"SELECT *, CAST(ordinal // {SIZE} AS INTEGER) AS chunk_idx, sha256('docs:' || ordinal)[1:32] AS record_id "
     f"FROM ({ORDINALS})"
 )
+#: Saved runs name themselves in their ids.
+RUN = {"run_id": "r1"}
+RUN_STAMPED = STAMPED.replace("'docs:'", "'docs:r1:'")
 PROMPT = "'Is the mood of this text positive, negative or neutral?' || chr(10) || chr(10) || text"
 
 
@@ -361,7 +364,7 @@ def job_names(spark, d):
     "AS job_name, '/data/docs/inputs/chunk_idx=' || chunk_idx AS inputs_path, "
     "'/data/docs/requests/chunk_idx=' || chunk_idx AS requests_path, "
     "'/data/docs/outputs/chunk_idx=' || chunk_idx AS outputs_path, "
-    "'/data/docs/results/state=ok/chunk_idx=' || chunk_idx AS results_path "
+    "'/data/docs/results/chunk_idx=' || chunk_idx || '/state=ok' AS results_path, n_records AS n_requests "
     f"FROM (SELECT chunk_idx, count(*) AS n_records FROM ({STAMPED}) GROUP BY 1)"
 )
 def manifest(spark, d):
@@ -369,7 +372,7 @@ def manifest(spark, d):
 
 
 @query(
-    "SELECT chunk_idx, '/data/docs/results/state=ok/chunk_idx=' || chunk_idx AS results_path "
+    "SELECT chunk_idx, '/data/docs/results/chunk_idx=' || chunk_idx || '/state=ok' AS results_path "
     f"FROM (SELECT DISTINCT chunk_idx FROM ({STAMPED}))"
 )
 def result_paths(spark, d):
@@ -379,9 +382,9 @@ def result_paths(spark, d):
 # --- sources and sinks ---------------------------------------------------------------------
 
 
-@query(f"SELECT chunk_idx, record_id, {PROMPT} AS prompt FROM ({STAMPED})")
+@query(f"SELECT chunk_idx, record_id, {PROMPT} AS prompt FROM ({RUN_STAMPED})")
 def request_jsonl_roundtrip(spark, d):
-    spec = spec_for(d, root=scratch_path(spark, "requests"))
+    spec = spec_for(d, root=scratch_path(spark, "requests"), **RUN)
     prepare(spark, spec)
     lines = spark.read.text(spec.layout.requests)
     schema = (
@@ -593,7 +596,7 @@ def _extracted(spark: SparkSession, rows: DataFrame, d: str) -> DataFrame:
 
 def _labelled_run(spark: SparkSession, d: str, name: str) -> JobSpec:
     """Prepare a run over all documents and write the output files a service would leave."""
-    spec = spec_for(d, root=scratch_path(spark, name))
+    spec = spec_for(d, root=scratch_path(spark, name), **RUN)
     prepare(spark, spec)
     answers = _labelled_answers(spark, spark.read.parquet(spec.layout.inputs), d)
     answers.repartition("chunk_idx").write.partitionBy("chunk_idx", "job_id").text(spec.layout.outputs)
@@ -605,6 +608,7 @@ JOINED = (
     f"SELECT s.record_id, {VERDICT} AS response, s.doc_id, s.text, s.lang, s.chunk_idx "
     f"FROM ({STAMPED}) s JOIN labels l ON s.doc_id = l.doc_id"
 )
+RUN_JOINED = JOINED.replace(STAMPED, RUN_STAMPED)
 RESULT_COLUMNS = ["record_id", "response", "doc_id", "text", "lang", "chunk_idx"]
 
 
@@ -689,7 +693,7 @@ def jobs_without_output(spark, d):
     return missing_outputs(jobs, files)
 
 
-@query(JOINED)
+@query(RUN_JOINED)
 def results_roundtrip(spark, d):
     """Whole run through files: inputs, requests, outputs, results, merged view."""
     spec = _labelled_run(spark, d, "results")
@@ -697,41 +701,186 @@ def results_roundtrip(spark, d):
     return read_results(spark, spec.layout.results).select(*RESULT_COLUMNS)
 
 
-@query(JOINED)
+@query(RUN_JOINED)
 def collect_lazy(spark, d):
     spec = _labelled_run(spark, d, "collect")
     return collect(spark, spec).select(*RESULT_COLUMNS)
 
 
-@query(JOINED)
+@query(RUN_JOINED)
 def collect_stream(spark, d):
     spec = _labelled_run(spark, d, "stream")
-    at = spec.layout
-    stream_collect(
-        spark, at.outputs, at.inputs, at.results, scratch_path(spark, "stream-state"), adapter_for(TEXT_MODEL),
-        glob=spec.output_glob,
-    ).awaitTermination()
-    return read_results(spark, at.results).select(*RESULT_COLUMNS)
+    return _stream(spark, spec).select(*RESULT_COLUMNS)
 
 
 @query(
-    f"SELECT s.chunk_idx, s.record_id, {VERDICT} AS response, s.doc_id FROM ({STAMPED}) s JOIN labels l "
+    f"SELECT s.chunk_idx, s.record_id, {VERDICT} AS response, s.doc_id FROM ({RUN_STAMPED}) s JOIN labels l "
     "ON s.doc_id = l.doc_id WHERE s.chunk_idx IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F')"
 )
 def collect_with_ledger(spark, d):
     """Only completed jobs are collected: a chunk's job completed if the customer of that number has an F order."""
     spec = _labelled_run(spark, d, "gated")
+    table_ = run_collect(spark, spec, _run_ledger(spark, d, spec), on_missing="report")
+    return good_results(table_).select("chunk_idx", "record_id", "response", "doc_id")
+
+
+def _run_ledger(spark: SparkSession, d: str, spec: JobSpec) -> DataFrame:
+    """A chunk's job completed if the customer of that number has an F order, else it failed."""
     jobs = spark.read.parquet(spec.layout.manifest).select(
         F.concat(F.lit("jobs/job-"), F.col("chunk_idx")).alias("job_arn"), "chunk_idx"
     )
     done = table(spark, d, "orders").filter(F.col("o_orderstatus") == "F").select(F.col("o_custkey").alias("chunk_idx"))
     done = done.distinct().withColumn("status", F.lit("Completed"))
     status = F.coalesce("status", F.lit("Failed"))
-    ledger = jobs.join(done, "chunk_idx", "left").select(
-        "job_arn", status.alias("status"), failure_message(status).alias("error_message")
+    return jobs.join(done, "chunk_idx", "left").select(
+        "job_arn", "chunk_idx", status.alias("status"), failure_message(status).alias("error_message")
     )
-    table_ = run_collect(spark, spec, ledger)
-    return good_results(table_).select("chunk_idx", "record_id", "response", "doc_id")
+
+
+def _stream(spark: SparkSession, spec: JobSpec, **options) -> DataFrame:
+    at = spec.layout
+    stream_collect(
+        spark, at.outputs, at.inputs, at.results, scratch_path(spark, "stream-state"), adapter_for(TEXT_MODEL),
+        glob=spec.output_glob, **options,
+    ).awaitTermination()
+    return read_results(spark, at.results)
+
+
+F_CHUNKS = "(SELECT o_custkey FROM orders WHERE o_orderstatus = 'F')"
+
+
+@query(
+    f"SELECT s.chunk_idx, s.record_id, {VERDICT} AS response, s.doc_id FROM ({RUN_STAMPED}) s JOIN labels l "
+    f"ON s.doc_id = l.doc_id WHERE s.chunk_idx IN {F_CHUNKS}"
+)
+def stream_gated(spark, d):
+    """The stream takes output of completed jobs only, like the batch."""
+    spec = _labelled_run(spark, d, "stream-gated")
+    ledger = _run_ledger(spark, d, spec)
+    return _stream(spark, spec, ledger=lambda _: ledger).select("chunk_idx", "record_id", "response", "doc_id")
+
+
+@query(
+    f"SELECT s.record_id, s.doc_id, {VERDICT} AS response FROM ({RUN_STAMPED}) s JOIN labels l ON s.doc_id = l.doc_id "
+    f"UNION ALL SELECT s.record_id, s.doc_id, 'again' AS response FROM ({RUN_STAMPED}) s WHERE lang = 'de'"
+)
+def stream_two_jobs_per_chunk(spark, d):
+    """A second job of each chunk arrives in later batches: answers of both stay."""
+    spec = _labelled_run(spark, d, "two-jobs")
+    saved = spark.read.parquet(spec.layout.inputs).filter(F.col("lang") == "de")
+    more = saved.select(
+        "chunk_idx", F.concat(F.lit("late-"), F.col("chunk_idx")).alias("job_id"),
+        _answer(F.lit("again"), F.col("record_id")).alias("value"),
+    )
+    more.repartition("chunk_idx").write.mode("append").partitionBy("chunk_idx", "job_id").text(spec.layout.outputs)
+    return _stream(spark, spec, files_per_batch=7).select("record_id", "doc_id", "response")
+
+
+@query("SELECT doc_id, false AS answered FROM labels")
+def rerun_same_prefix(spark, d):
+    """Another run under the same prefix: answers to the first one match none of its rows."""
+    spec = _labelled_run(spark, d, "rerun")
+    prepare(spark, spec_for(d, root=spec.root, run_id="r2"))
+    states = run_collect(spark, spec)
+    answered = states.filter("state = 'ok'").select("doc_id", F.lit(True).alias("answered"))
+    labels = table(spark, d, "labels").select("doc_id").join(answered, "doc_id", "left")
+    return labels.select("doc_id", F.coalesce("answered", F.lit(False)).alias("answered"))
+
+
+@query(
+    f"SELECT s.chunk_idx, s.chunk_idx % 2 = 0 AS good, count(*) AS n_rows FROM ({RUN_STAMPED}) s JOIN labels l "
+    "ON s.doc_id = l.doc_id GROUP BY ALL"
+)
+def chunk_rerun_turns_bad(spark, d):
+    """Every other chunk is collected again after its output broke: nothing of its good rows remains."""
+    spec = _labelled_run(spark, d, "turns-bad")
+    run_collect(spark, spec)
+    answers = spark.read.text(spec.layout.outputs)
+    odd = answers.filter("chunk_idx % 2 = 1").select("chunk_idx", "job_id", F.lit("{ broken").alias("value"))
+    odd = materialize(odd, "broken")
+    writer = odd.repartition("chunk_idx").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("chunk_idx", "job_id").text(spec.layout.outputs)
+    chunks = [r.chunk_idx for r in odd.select("chunk_idx").distinct().collect()]
+    run_collect(spark, spec, chunks=chunks)
+    table_ = spark.read.parquet(spec.layout.results)
+    return table_.groupBy("chunk_idx", (F.col("state") == "ok").alias("good")).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@query(
+    "SELECT d.doc_id, d.lang AS \"State\", d.doc_id || '-' || d.n_chars AS record_id, d.source AS \"Response_y\", "
+    "d.n_chars * 2 AS ordinal, l.quality AS quality FROM documents d JOIN labels l ON d.doc_id = l.doc_id"
+)
+def carried_columns(spark, d):
+    """Input columns named like columns of the run come back whole."""
+    root = scratch_path(spark, "carried")
+    rows = table(spark, d, "documents").select(
+        "doc_id", "text", F.col("lang").alias("State"), F.concat_ws("-", "doc_id", "n_chars").alias("Record_ID"),
+        F.col("source").alias("Response"), (F.col("n_chars") * 2).alias("ordinal"),
+    )
+    path = f"{root}/table.parquet"
+    rows.write.parquet(path)
+    spec = spec_for(d, root=root, input_uri=path, **RUN)
+    prepare(spark, spec)
+    saved = spark.read.parquet(spec.layout.inputs).join(table(spark, d, "labels"), "doc_id")
+    answers = saved.select(
+        "chunk_idx", F.concat(F.lit("job-"), F.col("chunk_idx")).alias("job_id"),
+        _answer(F.col("quality").cast("string"), F.col("record_id")).alias("value"),
+    )
+    answers.repartition("chunk_idx").write.partitionBy("chunk_idx", "job_id").text(spec.layout.outputs)
+    found = good_results(run_collect(spark, spec))
+    return found.select(
+        "doc_id", "State", "record_id", "Response_y", "ordinal",
+        F.col("response_x").cast("int").alias("quality"),
+    )
+
+
+def _with_missing_texts(spark: SparkSession, d: str, name: str) -> JobSpec:
+    """A prepared embedding run in which German rows and the whole second chunk have no text."""
+    root = scratch_path(spark, name)
+    gone = (F.col("lang") == "de") | F.col("doc_id").between(SIZE, 2 * SIZE - 1)
+    rows = table(spark, d, "documents").select("doc_id", F.when(~gone, F.col("text")).alias("input_text"))
+    path = f"{root}/texts.parquet"
+    rows.write.parquet(path)
+    spec = spec_for(d, root=root, input_uri=path, model_id=EMBEDDING_MODEL, prompt_id=None, **RUN)
+    prepare(spark, spec)
+    return spec
+
+
+NO_TEXT = f"(lang = 'de' OR doc_id BETWEEN {SIZE} AND {2 * SIZE - 1})"
+
+
+@query(
+    f"SELECT doc_id, CAST(ordinal // {SIZE} AS INTEGER) AS chunk_idx FROM ({ORDINALS}) WHERE {NO_TEXT}"
+)
+def rejected_inputs_saved(spark, d):
+    spec = _with_missing_texts(spark, d, "rejected")
+    return spark.read.parquet(spec.layout.rejected_inputs).select("doc_id", "chunk_idx")
+
+
+@query(
+    f"SELECT CAST(ordinal // {SIZE} AS INTEGER) AS chunk_idx, count(*) AS n_records, count(*) FILTER (NOT {NO_TEXT}) "
+    f"AS n_requests FROM ({ORDINALS}) GROUP BY 1 HAVING count(*) FILTER (NOT {NO_TEXT}) > 0"
+)
+def manifest_requests(spark, d):
+    """A chunk without requests is no job; the others count records and requests."""
+    spec = _with_missing_texts(spark, d, "counted")
+    lines = spark.read.text(spec.layout.requests).groupBy("chunk_idx").agg(F.count(F.lit(1)).alias("n_requests"))
+    jobs = spark.read.parquet(spec.layout.manifest).select("chunk_idx", "n_records")
+    return jobs.join(lines, "chunk_idx").select("chunk_idx", "n_records", "n_requests")
+
+
+@query(
+    f"SELECT 'lost-' || c AS job_id, c AS chunk_idx, 'no output file' AS error FROM "
+    f"(SELECT DISTINCT CAST(ordinal // {SIZE} AS INTEGER) AS c FROM ({ORDINALS})) WHERE c IN {F_CHUNKS}"
+)
+def completed_without_output(spark, d):
+    """A second, completed job per chunk left no file: the results say so."""
+    spec = _labelled_run(spark, d, "lost")
+    ledger = _run_ledger(spark, d, spec)
+    lost = ledger.withColumn("job_arn", F.concat(F.lit("jobs/lost-"), F.col("chunk_idx")))
+    table_ = run_collect(spark, spec, ledger.unionByName(lost), on_missing="report")
+    missing = rejected_lines(table_).filter("state = 'missing' AND job_id LIKE 'lost-%'")
+    return missing.select("job_id", "chunk_idx", "error")
 
 
 @query(

@@ -136,8 +136,8 @@ class Layout:
         return self._at("manifest")
 
     @property
-    def quarantine(self) -> str:
-        return self._at("quarantine")
+    def rejected_inputs(self) -> str:
+        return self._at("rejected_inputs")
 
     @property
     def ledger(self) -> str:

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 import zipfile
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 from pathlib import Path
 
 from pyspark.errors import AnalysisException
@@ -29,12 +31,19 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "lot
 
 
 _own_scratch: dict[str, str] = {}
+_scope: ContextVar[str | None] = ContextVar("scratch scope", default=None)
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """Shared folder for scratch tables: ``spark.checkpoint.dir``, or a temporary folder where it is unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    """Shared folder for scratch tables: ``spark.checkpoint.dir``.
+
+    Where that is unset, a local session gets a temporary folder; on a cluster the
+    executors would not share it, so that is an error.
+    """
+    root = _scope.get() or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         app = spark.sparkContext.applicationId
         if app not in _own_scratch:
             _own_scratch[app] = tempfile.mkdtemp(prefix="lotwise-scratch-")
@@ -43,7 +52,29 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new path for a scratch table; whatever is there goes when the application ends."""
+    path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    files, target = _file_system(spark, path)
+    files.deleteOnExit(target)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession, name: str) -> Iterator[None]:
+    """Scratch tables made inside are deleted at the end, also after an error."""
+    path = scratch_path(spark, name)
+    token = _scope.set(path)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+        drop_path(spark, path)
+
+
+def _file_system(spark: SparkSession, path: str) -> tuple:
+    """The Hadoop file system of a path, and the path in its terms."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
 
 
 def materialize(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
@@ -61,16 +92,22 @@ def materialize(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
 
 def drop_path(spark: SparkSession, path: str) -> None:
     """Delete a scratch table of our own once nothing reads it any more."""
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    files, target = _file_system(spark, path)
+    files.delete(target, True)
+
+
+def children(spark: SparkSession, folder: str) -> list[str]:
+    """Names in a folder; none if it does not exist."""
+    files, target = _file_system(spark, folder)
+    if not files.exists(target):
+        return []
+    return sorted(status.getPath().getName() for status in files.listStatus(target))
 
 
-def existing(spark: SparkSession, paths: list[str]) -> list[str]:
-    """The paths that exist."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    targets = ((p, jvm.org.apache.hadoop.fs.Path(p)) for p in paths)
-    return [p for p, t in targets if t.getFileSystem(conf).exists(t)]
+def existing(spark: SparkSession, folder: str, names: list[str]) -> list[str]:
+    """Paths of the named children of a folder that exist, by one listing of the folder."""
+    found = set(children(spark, folder))
+    return [f"{folder}/{name}" for name in names if name in found]
 
 
 _shipped: set[str] = set()

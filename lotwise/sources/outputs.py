@@ -25,7 +25,7 @@ def path_chunk_idx(path: Column) -> Column:
 
 def chunk_folders(spark: SparkSession, path: str, chunks: list[int]) -> list[str]:
     """Existing folders of the given chunks, so that no other folder is listed."""
-    return existing(spark, [f"{path}/chunk_idx={c}" for c in chunks])
+    return existing(spark, path, [f"chunk_idx={c}" for c in chunks])
 
 
 def read_outputs(

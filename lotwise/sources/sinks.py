@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lotwise.functions.naming import brought_back
 from lotwise.operators.numbering import quoted
-from lotwise.session import sized_shuffles
+from lotwise.session import drop_path, existing, sized_shuffles
 
 
 def write_inputs(df: DataFrame, path: str) -> None:
@@ -42,25 +43,35 @@ def write_requests(df: DataFrame, path: str) -> None:
         )
 
 
+def write_rejected(df: DataFrame, path: str) -> None:
+    """Save input rows that got no request; usually few, so no folders."""
+    df.write.mode("overwrite").option("compression", "snappy").parquet(path)
+
+
 def write_manifest(manifest: DataFrame, path: str, fmt: str = "parquet") -> None:
     """Write the manifest as Parquet, or as JSON lines (null fields are left out)."""
     manifest.write.mode("overwrite").format(fmt).save(path)
 
 
-def write_results(df: DataFrame, path: str, dynamic: bool = False) -> None:
-    """Write joined results as snappy Parquet under ``state=.../chunk_idx=N``.
+def write_results(df: DataFrame, path: str, chunks: list[int] | None = None) -> None:
+    """Write joined results as snappy Parquet under ``chunk_idx=N/state=S``.
 
-    ``dynamic`` replaces only the chunks present in ``df`` (streaming, reruns).
+    With ``chunks`` only these are replaced, each as a whole: states and rows it had
+    before and has no more are gone. A repeated call leaves the same files.
     """
-    writer = df.write.mode("overwrite").option("compression", "snappy").partitionBy("state", "chunk_idx")
-    if dynamic:
-        writer = writer.option("partitionOverwriteMode", "dynamic")
-    writer.parquet(path)
+    writer = df.write.option("compression", "snappy").partitionBy("chunk_idx", "state")
+    if chunks is None:
+        writer.mode("overwrite").parquet(path)
+        return
+    for folder in existing(df.sparkSession, path, [f"chunk_idx={c}" for c in chunks]):
+        drop_path(df.sparkSession, folder)
+    writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
 def read_results(spark: SparkSession, path: str) -> DataFrame:
     """All good chunk results under one prefix as one table."""
-    return spark.read.option("mergeSchema", "true").parquet(f"{path}/state=ok").drop("output_line")
+    table = spark.read.option("mergeSchema", "true").parquet(path).filter(F.col("state") == "ok")
+    return brought_back(table.drop("state", "output_line"))
 
 
 def write_csv(df: DataFrame, path: str) -> None:

@@ -54,7 +54,7 @@ def read_inputs(spark: SparkSession, path: str, chunks: list[int] | None = None)
     """Saved input chunks; ``chunks`` lists and reads only their folders."""
     if chunks is None:
         return spark.read.parquet(path)
-    folders = existing(spark, [f"{path}/chunk_idx={c}" for c in chunks])
+    folders = existing(spark, path, [f"chunk_idx={c}" for c in chunks])
     if not folders:
         return spark.read.parquet(path).filter(F.lit(False))
     return spark.read.option("basePath", path).parquet(*folders)

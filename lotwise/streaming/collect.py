@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -9,8 +11,8 @@ from pyspark.sql.streaming import StreamingQuery
 from lotwise import fixed
 from lotwise.functions.adapters import ModelAdapter
 from lotwise.plans.collect import BY_CHUNK, apply_gate, extract, joined_states, output_gate
-from lotwise.session import sized_shuffles
-from lotwise.sources.outputs import path_chunk_idx, path_job_id
+from lotwise.session import children, sized_shuffles
+from lotwise.sources.outputs import path_chunk_idx, path_job_id, read_outputs
 from lotwise.sources.sinks import write_results
 from lotwise.sources.tables import read_inputs
 
@@ -34,6 +36,22 @@ def read_output_stream(
     )
 
 
+def watch_outputs(
+    spark: SparkSession, path: str, files_per_batch: int = 1000, glob: str = fixed.OUTPUT_FILE_GLOB
+) -> DataFrame:
+    """Names of output files as they arrive, with their chunk; contents are not read."""
+    scan = (
+        spark.readStream.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length long, content binary")
+        .option("pathGlobFilter", glob)
+        .option("recursiveFileLookup", "true")
+        .option("maxFilesPerTrigger", files_per_batch)
+        .load(path)
+    )
+    file_path = F.col("_metadata.file_path")
+    return scan.select(file_path.alias("file_path"), path_chunk_idx(file_path).alias("chunk_idx"))
+
+
 def stream_collect(
     spark: SparkSession,
     outputs: str,
@@ -44,30 +62,51 @@ def stream_collect(
     files_per_batch: int = 1000,
     available_now: bool = True,
     glob: str = fixed.OUTPUT_FILE_GLOB,
+    ledger: Callable[[SparkSession], DataFrame] | None = None,
+    accept_partial: bool = False,
 ) -> StreamingQuery:
-    """Join each arriving output file to its saved chunk and write that chunk's results.
+    """Rebuild the results of each chunk that gets a new output file.
 
-    A batch reads only the input folders of its own chunks (at most
-    ``files_per_batch`` of them) and replaces only their result folders, so a
-    replayed batch leaves the same files. Of several files of a job the first by
-    name counts, whichever arrives first.
+    The stream carries file names only. A touched chunk is built again from all its files
+    that count, as the batch collect would build it, and replaced whole, so a replayed
+    batch and any order of arrival leave the same results. ``ledger`` reads the ledger and
+    is called for every batch: then only files of completed jobs count. A job may complete
+    after its files arrived: chunks whose jobs are due but not in the results are rebuilt
+    when the stream starts, and by later batches.
     """
 
+    def rebuild(session: SparkSession, chunks: list[int]) -> None:
+        known = None if ledger is None else ledger(session)
+        for at in range(0, len(chunks), files_per_batch):
+            some = chunks[at : at + files_per_batch]
+            gate = output_gate(session, outputs, known, accept_partial, some, glob)
+            read = extract(read_outputs(session, outputs, some, glob), adapter)
+            lines = apply_gate(read, gate).repartition("chunk_idx")
+            saved = read_inputs(session, inputs, some)
+            states = joined_states(lines, saved.repartition("chunk_idx"), adapter.result_column)
+            with sized_shuffles(session, saved, **BY_CHUNK):
+                write_results(states, results, some)
+
+    def due(session: SparkSession) -> list[int]:
+        """Chunks with a completed job whose file is not in the results yet."""
+        gate = output_gate(session, outputs, ledger(session), accept_partial, glob=glob)
+        waiting = gate.files.select("chunk_idx", path_job_id(F.col("file_path")).alias("job_id"))
+        if children(session, results):
+            built = session.read.parquet(results).select("chunk_idx", "output_line.job_id")
+            waiting = waiting.join(built.distinct(), ["chunk_idx", "job_id"], "left_anti")
+        return sorted(r.chunk_idx for r in waiting.select("chunk_idx").distinct().collect())
+
     def write_batch(batch: DataFrame, _: int) -> None:
-        session = batch.sparkSession
         # Chunk numbers of the batch: no more than its files.
-        chunks = [r.chunk_idx for r in batch.select("chunk_idx").distinct().collect()]
-        if not chunks:
-            return
-        gate = output_gate(session, outputs, chunks=chunks, glob=glob)
-        lines = apply_gate(extract(batch, adapter), gate).repartition("chunk_idx")
-        saved = read_inputs(session, inputs, chunks)
-        states = joined_states(lines, saved.repartition("chunk_idx"), adapter.result_column)
-        with sized_shuffles(session, saved, **BY_CHUNK):
-            write_results(states, results, dynamic=True)
+        chunks = {r.chunk_idx for r in batch.select("chunk_idx").distinct().collect()}
+        if ledger is not None:
+            chunks |= set(due(batch.sparkSession))
+        rebuild(batch.sparkSession, sorted(chunks))
 
+    if ledger is not None and children(spark, outputs):
+        rebuild(spark, due(spark))
     writer = (
-        read_output_stream(spark, outputs, files_per_batch, glob)
+        watch_outputs(spark, outputs, files_per_batch, glob)
         .writeStream.foreachBatch(write_batch)
         .option("checkpointLocation", checkpoint)
     )

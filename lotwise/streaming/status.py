@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from lotwise.session import children, drop_path
 from lotwise.operators.ledger import EVENT_SCHEMA, failure_windows, join_ledger, latest_status, with_class
 
 LOG_SCHEMA = "job_arn string, status string, event_ts timestamp, seq bigint, epoch bigint"
@@ -28,6 +29,24 @@ def fold_events(events: DataFrame, log: str, checkpoint: str, available_now: boo
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
+def compact_log(spark: SparkSession, log: str) -> None:
+    """Replace the epochs of a log by one that holds their newest states.
+
+    The snapshot is written before what it covers is deleted, and folding twice changes
+    nothing, so a failure in between and a replayed epoch do no harm.
+    """
+    epochs = children(spark, log)
+    numbers = [int(e.removeprefix("epoch=")) for e in epochs if e.startswith("epoch=")]
+    if len(numbers) < 2:
+        return
+    covered = [f"{log}/epoch={n}" for n in numbers]
+    folded = latest_status(spark.read.schema(LOG_SCHEMA).option("basePath", log).parquet(*covered).drop("epoch"))
+    # Snapshots count down from -1, epochs of the stream count up from 0.
+    folded.write.mode("overwrite").parquet(f"{log}/epoch={min(0, *numbers) - 1}")
+    for path in covered:
+        drop_path(spark, path)
+
+
 def read_log(spark: SparkSession, log: str) -> DataFrame:
     """Newest state per job over all epochs."""
     return latest_status(spark.read.schema(LOG_SCHEMA).parquet(log).drop("epoch"))
