@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,14 +42,15 @@ def read_source(spark: SparkSession, spec: JobSpec) -> tuple[DataFrame, bool]:
 def fingerprint(spark: SparkSession, spec: JobSpec) -> str:
     """What tells this run from others under its prefix: ``run_id``, else a hash of source files and spec.
 
-    Paths, lengths and times come from the file listing; no file is read.
+    Paths, lengths and times come from the file listing; no file is read. Where the run
+    is stored does not matter.
     """
     if spec.run_id:
         return spec.run_id
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(source_uri(spec))
     mark = F.xxhash64("path", "length", F.col("modificationTime").cast("double")).cast("decimal(20,0)")
     found = files.agg(F.count(F.lit(1)), F.sum(mark)).first()
-    return hashlib.sha256(f"{found[0]} {found[1]} {spec}".encode()).hexdigest()[:16]
+    return hashlib.sha256(f"{found[0]} {found[1]} {replace(spec, root='')}".encode()).hexdigest()[:16]
 
 
 def stamp(df: DataFrame, spec: JobSpec, text_source: bool = False, run: str | None = None) -> DataFrame:

@@ -11,9 +11,9 @@ from lotwise import JobSpec, collect, good_results, prepare, read_results, rejec
 from lotwise.functions.prompts import register_prompt
 from lotwise.functions.naming import chunk_label, job_name, with_record_id
 from lotwise.operators.joins import unmatched
-from lotwise.plans.collect import BadOutputError
+from lotwise.plans.collect import BadOutputError, MissingOutputError
 from lotwise.sources.sinks import write_csv, write_manifest
-from lotwise.sources.tables import input_format, stage_dataset
+from lotwise.sources.tables import input_format, read_input, stage_dataset
 
 TEXT = f"{fixed.TEXT_MODEL_MARK}.sample-v1"
 VECTOR = fixed.EMBEDDING_MODEL_MARK
@@ -123,9 +123,6 @@ def test_errors_before_any_job_runs(spark, tmp_path):
     for uri in ("x.CSV", "x.json", "x"):
         with pytest.raises(ValueError):
             input_format(uri)
-    spark.range(1).withColumn("chunk_idx", F.lit(1)).withColumn("topic", F.lit("t")).write.parquet(f"{tmp_path}/r.parquet")
-    with pytest.raises(ValueError, match="reserved"):
-        prepare(spark, spec_of(tmp_path, input_uri=f"{tmp_path}/r.parquet"))
     assert not os.path.exists(f"{tmp_path}/run")
 
 
@@ -206,7 +203,7 @@ def test_collect(spark, tmp_path):
     }
     merged = read_results(spark, spec.layout.results)
     assert merged.count() == 12 and "output_line" not in merged.columns
-    assert len(files_in(f"{spec.layout.results}/state=ok/chunk_idx=0")) == 1
+    assert len(files_in(f"{spec.layout.results}/chunk_idx=0/state=ok")) == 1
     inputs = spark.read.parquet(spec.layout.inputs)
     sides = unmatched(inputs, merged).groupBy("side").count().collect()
     assert {tuple(r) for r in sides} == {("input", 13)}
@@ -226,8 +223,9 @@ def test_collect_some_chunks_only(spark, tmp_path):
 def test_fail_mode_names_file_and_line(spark, tmp_path):
     spec, ids = collected_run(spark, tmp_path)
     put(spec, 0, "job-a", "0000", [answer(ids[0][0], "x"), "", "not json {"])
-    with pytest.raises(BadOutputError, match=r"0000\.jsonl\.out on line 3: 'not json \{'"):
-        run_collect(spark, spec, on_bad="fail")
+    for collecting in (run_collect, collect):
+        with pytest.raises(BadOutputError, match=r"0000\.jsonl\.out on line 3: 'not json \{'"):
+            collecting(spark, spec, on_bad="fail")
     put(spec, 0, "job-a", "0000", [answer(ids[0][0], "x"), json.dumps({"recordId": ids[0][1], "modelOutput": {"content": []}})])
     with pytest.raises(BadOutputError, match="empty content"):
         run_collect(spark, spec, on_bad="fail")
@@ -318,3 +316,100 @@ def test_repeated_own_ids_can_be_refused(spark, tmp_path):
         prepare(spark, spec_of(tmp_path, input_uri=path, unique_ids=True))
     prepare(spark, spec_of(tmp_path, input_uri=path, unique_ids=True, max_records_per_job=1))
     assert prepare(spark, spec_of(tmp_path, input_uri=path)).first().n_records == 3
+
+
+def test_columns_named_like_the_runs_come_back(spark, tmp_path):
+    path = str(tmp_path / "own.parquet")
+    schema = "topic string, State string, ORDINAL long, chunk_idx string, Response string"
+    spark.createDataFrame([("t", "x", 9, "c", "r"), ("u", "y", 8, "d", None)], schema).coalesce(1).write.parquet(path)
+    register_prompt("own_columns", "{topic} {ORDINAL} {chunk_idx}")
+    spec = spec_of(tmp_path, input_uri=path, prompt_id="own_columns", order_by=["ORDINAL"])
+    prepare(spark, spec)
+    lines = [json.loads(r.value) for r in spark.read.text(spec.layout.requests).collect()]
+    assert [x["modelInput"]["messages"][0]["content"][0]["text"] for x in lines] == ["u 8 d", "t 9 c"]
+    put(spec, 0, "j", "o", [answer(x["recordId"], "re") for x in lines])
+    table = run_collect(spark, spec)
+    for found in (good_results(table), read_results(spark, spec.layout.results), collect(spark, spec)):
+        rows = found.select("topic", "State", "ORDINAL", "chunk_idx", "Response_y", "response_x").collect()
+        assert sorted(map(tuple, rows)) == [("t", "x", 9, "c", "r", "re"), ("u", "y", 8, "d", None, "re")]
+
+
+def test_answers_of_another_run_never_match(spark, tmp_path):
+    spec, ids = collected_run(spark, tmp_path)
+    put(spec, 0, "job-a", "o", [answer(i, "old") for i in ids[0]])
+    again = spec_of(tmp_path, input_uri=topics(spark, tmp_path, 30, "other.parquet"), max_records_per_job=10)
+    prepare(spark, again)
+    assert not set(sum(ids.values(), [])) & set(sum(ids_by_chunk(spark, again).values(), []))
+    assert {r.state for r in run_collect(spark, again).collect()} == {"unmatched"}
+    assert spark.read.parquet(again.layout.manifest).select("run").distinct().count() == 1
+
+
+def test_a_chunk_is_replaced_whole(spark, tmp_path):
+    spec, ids = collected_run(spark, tmp_path)
+    for c in (0, 1):
+        put(spec, c, "job", "o", [answer(i, "good") for i in ids[c]])
+    run_collect(spark, spec)
+    put(spec, 1, "job", "o", ["broken"])
+    run_collect(spark, spec, chunks=[1])
+    put(spec, 0, "job", "o", [])
+    run_collect(spark, spec, chunks=[0])
+    rows = spark.read.parquet(spec.layout.results).select("chunk_idx", "state").collect()
+    assert [tuple(r) for r in rows] == [(1, "rejected")]
+
+
+def test_completed_job_without_output(spark, tmp_path):
+    spec, ids = collected_run(spark, tmp_path)
+    put(spec, 0, "job-0", "o", [answer(i, "x") for i in ids[0]])
+    schema = "job_arn string, chunk_idx int, status string, error_message string"
+    ledger = [("a/job-0", 0, "Completed", None), ("a/job-1", 1, "Completed", None), ("a/job-2", 2, "Failed", "Failed")]
+    ledger = spark.createDataFrame(ledger, schema)
+    with pytest.raises(MissingOutputError, match="job-1"):
+        run_collect(spark, spec, ledger)
+    table = run_collect(spark, spec, ledger, on_missing="report")
+    missing = rejected_lines(table).filter("state = 'missing'").collect()
+    assert [(r.chunk_idx, r.job_id, r.error) for r in missing] == [(1, "job-1", "no output file")]
+    assert good_results(table).count() == 10
+
+
+def test_rejected_inputs_and_requests(spark, tmp_path):
+    path = str(tmp_path / "texts.parquet")
+    spark.createDataFrame([("a",), (None,), (None,), (None,)], "input_text string").coalesce(1).write.parquet(path)
+    spec = spec_of(tmp_path, input_uri=path, model_id=VECTOR, prompt_id=None, max_records_per_job=2)
+    assert [(r.chunk_idx, r.n_records, r.n_requests) for r in prepare(spark, spec).collect()] == [(0, 2, 1)]
+    assert spark.read.parquet(spec.layout.rejected_inputs).count() == 3
+
+
+@pytest.mark.parametrize("broken", [False, True])
+def test_prepare_leaves_no_scratch(spark, tmp_path, monkeypatch, broken):
+    from lotwise import session
+    from lotwise.plans import prepare as plan
+
+    path = topics(spark, tmp_path)
+    monkeypatch.setitem(session._own_scratch, spark.sparkContext.applicationId, str(tmp_path / "scratch"))
+    if broken:
+        monkeypatch.setattr(plan, "write_inputs", lambda *_: 1 / 0)
+    spec = spec_of(tmp_path, input_uri=path, order_by=["topic"])
+    if broken:
+        with pytest.raises(ZeroDivisionError):
+            prepare(spark, spec)
+    else:
+        prepare(spark, spec)
+    assert not os.path.exists(tmp_path / "scratch") or os.listdir(tmp_path / "scratch") == []
+
+
+def test_a_cluster_needs_a_shared_scratch_folder():
+    from types import SimpleNamespace
+
+    from lotwise.session import scratch_root
+
+    cluster = SimpleNamespace(conf={}, sparkContext=SimpleNamespace(master="yarn", applicationId="x"))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_root(cluster)
+    cluster.conf["spark.checkpoint.dir"] = "hdfs://shared/"
+    assert scratch_root(cluster) == "hdfs://shared"
+
+
+def test_csv_keeps_white_space(spark, tmp_path):
+    values = ["  lead", "trail \n", "\nx", "in  side"]
+    write_csv(spark.createDataFrame([(v,) for v in values], "v string"), f"{tmp_path}/w.csv")
+    assert sorted(r.v for r in read_input(spark, f"{tmp_path}/w.csv").collect()) == sorted(values)

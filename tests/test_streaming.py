@@ -6,10 +6,11 @@ import os
 
 from test_runs import answer, ids_by_chunk, put, spec_of, topics
 
-from lotwise import fold_events, prepare, read_log, read_results, stream_collect
+from lotwise import collect, fold_events, good_results, prepare, read_log, read_results, run_collect, stream_collect
 from lotwise.functions.adapters import adapter_for
 from lotwise.operators.ledger import classify, failure_windows, update_ledger
-from lotwise.streaming.status import alarm_stream, read_event_stream, route_events
+from lotwise.sources.ledger import read_ledger, record_events, record_submissions, save_ledger
+from lotwise.streaming.status import alarm_stream, compact_log, read_event_stream, route_events
 from pyspark.sql import functions as F
 
 T0 = dt.datetime(2024, 1, 1)
@@ -94,3 +95,77 @@ def test_stream_collect_over_runs(spark, tmp_path):
     put(spec, 99, "job-9", "b", [answer("nobody", "b")])
     assert run() == ({(0, "a"), (1, "b"), (2, "b")}, 25)
     assert run() == ({(0, "a"), (1, "b"), (2, "b")}, 25)
+
+
+def test_stream_equals_batch_with_a_ledger(spark, tmp_path):
+    """Jobs that complete after their files arrived, a second job of a chunk, and a failed one."""
+    spec = spec_of(tmp_path, input_uri=topics(spark, tmp_path), max_records_per_job=10)
+    manifest = prepare(spark, spec)
+    ids = ids_by_chunk(spark, spec)
+    at = spec.layout
+    jobs = manifest.select("job_name", F.concat(F.lit("a/job-"), F.col("chunk_idx")).alias("job_arn"), F.lit("Submitted").alias("status"))
+    record_submissions(manifest, jobs, at.ledger)
+    for c in (0, 1, 2):
+        put(spec, c, f"job-{c}", "o", [answer(i, "x") for i in ids[c]])
+
+    def stream():
+        stream_collect(
+            spark, at.outputs, at.inputs, f"{tmp_path}/streamed", f"{tmp_path}/state", adapter_for(spec.model_id),
+            ledger=lambda s: read_ledger(s, at.ledger),
+        ).awaitTermination()
+        table = spark.read.parquet(f"{tmp_path}/streamed")
+        return sorted((r.chunk_idx, r.record_id, r.response) for r in table.filter("state = 'ok'").collect())
+
+    def batch():
+        rows = good_results(run_collect(spark, spec, read_ledger(spark, at.ledger))).collect()
+        return sorted((r.chunk_idx, r.record_id, r.response) for r in rows)
+
+    schema = "job_arn string, status string, event_ts timestamp, seq long"
+    events = lambda *rows: spark.createDataFrame([(j, s, T0, n) for j, s, n in rows], schema)
+    record_events(spark, events(("a/job-0", "Completed", 1), ("a/job-1", "Failed", 1)), at.ledger)
+    first = stream()
+    assert {r[0] for r in first} == {0} and first == batch()
+    # No new file arrives, but a job completes.
+    record_events(spark, events(("a/job-2", "Completed", 2), ("a/job-0", "Running", 3)), at.ledger)
+    second = stream()
+    assert {r[0] for r in second} == {0, 2} and second == batch()
+    assert len(os.listdir(at.ledger)) == 2
+
+
+def test_two_jobs_of_a_chunk_in_two_batches(spark, tmp_path):
+    spec = spec_of(tmp_path, input_uri=topics(spark, tmp_path), max_records_per_job=10)
+    prepare(spark, spec)
+    ids = ids_by_chunk(spark, spec)
+    at = spec.layout
+    put(spec, 0, "job-a", "o", [answer(i, "a") for i in ids[0][:5]])
+    put(spec, 0, "job-b", "o", [answer(i, "b") for i in ids[0][5:]])
+    stream_collect(
+        spark, at.outputs, at.inputs, at.results, f"{tmp_path}/state", adapter_for(spec.model_id), files_per_batch=1
+    ).awaitTermination()
+    streamed = sorted((r.record_id, r.response) for r in read_results(spark, at.results).collect())
+    assert streamed == sorted((r.record_id, r.response) for r in collect(spark, spec).collect()) and len(streamed) == 10
+
+
+def test_log_compaction(spark, tmp_path):
+    inbox, log, state = (f"{tmp_path}/{n}" for n in ("inbox", "log", "state"))
+    for n in range(3):
+        drop_events(inbox, str(n), [("a", "InProgress", n, n), (f"j{n}", "Submitted", n, 1)])
+        fold_events(read_event_stream(spark, inbox), log, state).awaitTermination()
+        if n:
+            before = sorted(map(tuple, read_log(spark, log).collect()))
+            compact_log(spark, log)
+            assert sorted(map(tuple, read_log(spark, log).collect())) == before and len(before) == n + 2
+            assert len([f for f in os.listdir(log) if f.startswith("epoch=")]) == 1
+
+
+def test_ledger_is_read_for_every_batch(spark, tmp_path):
+    inbox, known, unknown, state, at = (f"{tmp_path}/{n}" for n in ("inbox", "known", "unknown", "state", "ledger"))
+    row = lambda job: spark.createDataFrame([(job, "m", "Submitted", None)], "job_arn string, model_id string, status string, error_message string")
+    save_ledger(row("a"), at)
+    for n, job in enumerate("ab"):
+        drop_events(inbox, str(n), [(job, "Completed", 0, 1)])
+        route_events(
+            read_event_stream(spark, inbox), lambda s: read_ledger(s, at), known, unknown, state
+        ).awaitTermination()
+        save_ledger(row("b"), at)
+    assert {r.job_arn for r in spark.read.parquet(known).collect()} == {"a", "b"}
