@@ -185,7 +185,9 @@ def _candidates(words: np.ndarray, hashes: WordHashes, marks: list[int], buckets
     return np.flatnonzero(np.cumsum(change)[: len(words) - WINDOW + 1] > 0)
 
 
-_WINDOWS = "hash long, check int, doc_id long, key long, start int, run int"
+#: ``tail`` holds 32 more bits of the hash above the start: values that differ from row to row stand together, and
+#: what repeats from row to row does so too, which compresses well.
+_WINDOWS = "hash long, tail long, doc_id long, key long, run int"
 
 
 def _windows(buckets: int):
@@ -198,10 +200,9 @@ def _windows(buckets: int):
     schema = pa.schema(
         {
             "hash": pa.int64(),
-            "check": pa.int32(),
+            "tail": pa.int64(),
             "doc_id": pa.int64(),
             "key": pa.int64(),
-            "start": pa.int32(),
             "run": pa.int32(),
         }
     )
@@ -210,10 +211,9 @@ def _windows(buckets: int):
         return pa.RecordBatch.from_arrays(
             [
                 pa.array(hash_.view(np.int64)),
-                pa.array(check.astype(np.uint32).view(np.int32)),
+                pa.array((check.astype(np.uint64) << np.uint64(32) | start.astype(np.uint64)).view(np.int64)),
                 docs.take(pa.array(place)),
                 keys.take(pa.array(place)),
-                pa.array(start.astype(np.int32)),
                 pa.array(run.astype(np.int32)),
             ],
             schema=schema,
@@ -257,9 +257,8 @@ def _later(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Windows that start earlier elsewhere, from windows sorted by hash, document and start; known runs pass."""
     carried = None  # hash, check, key and start of the first window of the last group
     for batch in batches:
-        one, two, key, start, run = (
-            batch.column(c).to_numpy() for c in ("hash", "check", "key", "start", "run")
-        )
+        one, tail, key, run = (batch.column(c).to_numpy() for c in ("hash", "tail", "key", "run"))
+        two, start = tail >> 32, (tail & 0xFFFFFFFF).astype(np.int32)
         known = run > 0
         yield pa.RecordBatch.from_arrays(
             [pa.array(key[known]), pa.array(start[known]), pa.array(run[known])], ["key", "start", "run"]
@@ -345,7 +344,7 @@ def _marked(docs: DataFrame, buckets: int | None) -> DataFrame:
     marks = marks.groupBy("key").agg(F.collect_list("mark").alias("marks"))
     windows = rows.join(marks, "key").mapInArrow(_windows(buckets), _WINDOWS)
     windows = windows.repartition("hash").sortWithinPartitions(
-        "hash", "check", F.col("doc_id").asc_nulls_last(), "key", "start"
+        "hash", F.shiftright("tail", 32), F.col("doc_id").asc_nulls_last(), "key", "tail"
     )
     later = windows.mapInArrow(_later, "key long, start int, run int")
     runs = later.groupBy("key").agg(F.collect_list(F.struct("start", "run")).alias("marks"))
