@@ -22,13 +22,15 @@ from pyspark.sql import types as T
 
 from lotwise.session import is_map_only, is_whole_scan, materialize, shuffle_bound, sized_shuffles
 
-# Up to here a table of per-block sums is handled by one window task and broadcast
-# (a few MB); beyond it the sums are distributed and the join is left to AQE.
+# Up to here a table of per-block sums is added up by one window task.
 SMALL_ROWS = 100_000
+# Blocks of a distributed prefix sum.
+SUM_BLOCKS = 1_000
 # Up to here a row limit is taken with a top-k before numbering.
 SMALL_LIMIT = 10_000
-# Up to here needed files are named one by one in a pruning filter.
-SMALL_FILES = 1_000
+# Entries of a broadcast map from blocks to offsets (a hash and a long: some 80 MB); a
+# table of more blocks is numbered in groups, each with a map of its own.
+MAP_ROWS = 2_000_000
 
 _FILE, _START, _POS, _BLOCK, _OFFSET = "__file", "__start", "__pos", "__block", "__offset"
 _TIE, _COPY = "__tie", "__copy"
@@ -51,31 +53,52 @@ def _in_task(pos: Column) -> Column:
 def prefix_sum(df: DataFrame, order_by: Sequence[str], value: str, rows: int | None = None, name: str = _OFFSET) -> DataFrame:
     """Add ``name``: the sum of ``value`` over all rows before this one in ``order_by`` order.
 
-    ``rows`` is a known upper bound on the row count; at most ``SMALL_ROWS`` take one window task.
+    ``rows`` is a known upper bound on the row count; at most ``SMALL_ROWS`` take one window
+    task. More, or an unknown number, are summed within ``SUM_BLOCKS`` ranges first.
     """
     zero = F.lit(0).cast("long")
     if rows is not None and rows <= SMALL_ROWS:  # checked bound: one task holds them easily
         w = Window.orderBy(*order_by).rowsBetween(Window.unboundedPreceding, -1)
         return df.withColumn(name, F.coalesce(F.sum(value).over(w), zero))
 
-    ranged = df.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
-    staged = materialize(ranged.withColumn(_POS, F.monotonically_increasing_id()), "prefix")
-    blocked = staged.withColumn(_BLOCK, _task(F.col(_POS)))
-    # A block is a shuffle partition, so their sums are few.
-    tasks = shuffle_bound(df.sparkSession)
-    sums = blocked.groupBy(_BLOCK).agg(F.sum(value).alias("__sum"))
-    blocks = prefix_sum(sums, [_BLOCK], "__sum", tasks, "__base").drop("__sum")
-    within = Window.partitionBy(_BLOCK).orderBy(_POS).rowsBetween(Window.unboundedPreceding, -1)
+    ranged = df.repartitionByRange(SUM_BLOCKS, *order_by).sortWithinPartitions(*order_by)
+    staged = materialize(ranged.withColumn("__place", F.monotonically_increasing_id()), "prefix")
+    blocked = staged.withColumn("__range", _task(F.col("__place")))
+    sums = blocked.groupBy("__range").agg(F.sum(value).alias("__sum"))
+    over_blocks = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = sums.select("__range", F.coalesce(F.sum("__sum").over(over_blocks), zero).alias("__base"))
+    within = Window.partitionBy("__range").orderBy("__place").rowsBetween(Window.unboundedPreceding, -1)
     return (
-        blocked.join(_sized(blocks, tasks), _BLOCK)
+        blocked.join(F.broadcast(blocks), "__range")
         .withColumn(name, F.col("__base") + F.coalesce(F.sum(value).over(within), zero))
-        .drop(_BLOCK, _POS, "__base")
+        .drop("__range", "__place", "__base")
     )
 
 
-def _sized(df: DataFrame, rows: int) -> DataFrame:
-    """Broadcast only below a proven row bound; otherwise AQE picks the join from measured sizes."""
-    return F.broadcast(df) if rows <= SMALL_ROWS else df
+def _with_offsets(rows: DataFrame, offsets: DataFrame, key: Sequence[str], blocks: int) -> DataFrame:
+    """Rows with their block's offset, by broadcasts of bounded size: rows are never shuffled for it.
+
+    The map holds a 64-bit hash of each block's key. Where two keys share a hash, the key
+    columns themselves are broadcast.
+    """
+    mark = F.xxhash64(*key)
+    hashed = offsets.select(mark.alias("__mark"), *key, F.col(_OFFSET))
+    if blocks > 1 and hashed.groupBy("__mark").count().filter("count > 1").isEmpty():
+        hashed = hashed.drop(*key)
+        same = ["__mark"]
+    else:
+        same = ["__mark", *key]
+    rows = rows.withColumn("__mark", mark)
+    groups = max(1, -(-blocks // MAP_ROWS))
+    parts = []
+    for g in range(groups):
+        own = F.pmod("__mark", F.lit(groups)) == g
+        one, few = (rows, hashed) if groups == 1 else (rows.filter(own), hashed.filter(own))
+        parts.append(one.join(F.broadcast(few), same).drop("__mark"))
+    out = parts[0]
+    for more in parts[1:]:
+        out = out.unionByName(more)
+    return out
 
 
 def number_by_file(scan: DataFrame, limit: int | None = None, name: str = "ordinal") -> DataFrame:
@@ -89,15 +112,15 @@ def number_by_file(scan: DataFrame, limit: int | None = None, name: str = "ordin
     counts = scan.groupBy(F.col("_metadata.file_path").alias(_FILE)).agg(F.count(F.lit(1)).alias("__n"))
     offsets = prefix_sum(counts, [_FILE], "__n", files).drop("__n")
     if limit is not None:
-        needed = offsets.filter(F.col(_OFFSET) < limit).select(_FILE, _OFFSET).limit(SMALL_FILES + 1).collect()
-        if 0 < len(needed) <= SMALL_FILES:
-            files = len(needed)
-            scan = scan.filter(F.col("_metadata.file_path").isin([r[0] for r in needed]))
-            offsets = scan.sparkSession.createDataFrame(needed, offsets.schema)
+        # Offsets rise with the path, so the last file that is needed prunes all after it.
+        last = offsets.filter(F.col(_OFFSET) < limit).agg(F.max(_FILE)).first()[0]
+        if last is not None:
+            scan = scan.filter(F.col("_metadata.file_path") <= last)
+            offsets = offsets.filter(F.col(_FILE) <= last)
     rows = scan.select(
         *columns, F.col("_metadata.file_path").alias(_FILE), F.col("_metadata.row_index").alias(_POS)
     )
-    numbered = rows.join(_sized(offsets, files), _FILE).select(
+    numbered = _with_offsets(rows, offsets, [_FILE], files).select(
         *columns, (F.col(_OFFSET) + F.col(_POS)).alias(name)
     )
     return numbered if limit is None else numbered.filter(F.col(name) < limit)
@@ -128,9 +151,10 @@ def number_by_split(
     )
     blocks = staged.groupBy(_FILE, _START).agg(F.count(F.lit(1)).alias("__n"), F.min(_POS).alias("__first"))
     splits = blocks.count()
-    offsets = prefix_sum(blocks, [_FILE, _START], "__n", splits).drop("__n")
-    numbered = staged.join(_sized(offsets, splits), [_FILE, _START]).select(
-        *columns, (F.col(_OFFSET) + F.col(_POS) - F.col("__first")).alias(name)
+    offsets = prefix_sum(blocks, [_FILE, _START], "__n", splits)
+    offsets = offsets.select(_FILE, _START, (F.col(_OFFSET) - F.col("__first")).alias(_OFFSET))
+    numbered = _with_offsets(staged, offsets, [_FILE, _START], splits).select(
+        *columns, (F.col(_OFFSET) + F.col(_POS)).alias(name)
     )
     return numbered if limit is None else numbered.filter(F.col(name) < limit)
 
@@ -143,8 +167,8 @@ def _first_files(scan: DataFrame, limit: int) -> DataFrame:
     # Local paths come as file:///x here and as file:/x in the metadata column.
     files = sorted(re.sub(r"^(\w+):///", r"\1:/", p) for p in scan.inputFiles())
     wanted = 1
-    while wanted < len(files) and wanted <= SMALL_FILES:
-        first = scan.filter(F.col("_metadata.file_path").isin(files[:wanted]))
+    while wanted < len(files):
+        first = scan.filter(F.col("_metadata.file_path") <= files[wanted - 1])
         if first.count() >= limit:
             return first
         wanted *= 2
@@ -202,10 +226,10 @@ def number_by_key(
         staged = materialize(placed, "key-numbering", scratch)
 
     blocked = staged.withColumn(_BLOCK, _task(F.col(_POS)))
-    tasks = partitions or shuffle_bound(df.sparkSession)
+    tasks = partitions or shuffle_bound(df.sparkSession, source)
     counts = blocked.groupBy(_BLOCK).agg(F.count(F.lit(1)).alias("__n"))
     offsets = prefix_sum(counts, [_BLOCK], "__n", tasks).drop("__n")
-    numbered = blocked.join(_sized(offsets, tasks), _BLOCK).select(
+    numbered = _with_offsets(blocked, offsets, [_BLOCK], tasks).select(
         *columns, (F.col(_OFFSET) + _in_task(F.col(_POS))).alias(name)
     )
     return numbered if limit is None else numbered.filter(F.col(name) < limit)

@@ -161,12 +161,12 @@ def is_whole_scan(df: DataFrame) -> bool:
 
 
 SHUFFLE_BYTES = 128 << 20
-MAX_SHUFFLE_PARTITIONS = 50_000
 
 
-def shuffle_bound(spark: SparkSession) -> int:
-    """No shuffle of this package has more partitions."""
-    return max(MAX_SHUFFLE_PARTITIONS, int(spark.conf.get("spark.sql.shuffle.partitions")))
+def shuffle_bound(spark: SparkSession, *inputs: DataFrame) -> int:
+    """Partitions that a shuffle of these tables starts with: one per 128 MB, and no fewer than the setting."""
+    usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(usual, sum(planned_bytes(df) for df in inputs) // SHUFFLE_BYTES)
 
 
 @contextmanager
@@ -176,12 +176,8 @@ def sized_shuffles(spark: SparkSession, *inputs: DataFrame, **conf: str) -> Iter
     A fixed partition count suits one table size only. AQE merges partitions that
     turn out small, but never splits one that starts too large.
     """
-    usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = sum(planned_bytes(df) for df in inputs) // SHUFFLE_BYTES
-    partitions = max(usual, min(wanted, MAX_SHUFFLE_PARTITIONS))
-    with settings(
-        spark, spark__sql__adaptive__coalescePartitions__initialPartitionNum=str(partitions), **conf
-    ):
+    partitions = str(shuffle_bound(spark, *inputs))
+    with settings(spark, spark__sql__adaptive__coalescePartitions__initialPartitionNum=partitions, **conf):
         yield
 
 

@@ -180,3 +180,31 @@ def test_empty_tables(spark, tmp_path):
     spark.range(0).write.parquet(path)
     assert number_by_file(read_input(spark, path)).count() == 0
     assert number_by_key(read_input(spark, path), ["id"]).count() == 0
+
+
+def test_many_blocks_take_several_broadcasts_and_no_shuffle_of_rows(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t.parquet")
+    spark.range(0, 600, 1, 3).repartitionByRange(4, "id").sortWithinPartitions("id").write.option(
+        "maxRecordsPerFile", 20
+    ).parquet(path)
+    monkeypatch.setattr(numbering, "MAP_ROWS", 7)
+    monkeypatch.setattr(numbering, "SMALL_ROWS", 3)
+    scan = read_input(spark, path)
+    numbered = number_by_file(scan)
+    plan = numbered._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") >= 4 and "SortMergeJoin" not in plan
+    assert numbered.filter("id <> ordinal").count() == 0 and numbered.count() == 600
+    assert sorted(r.id for r in number_by_file(scan, limit=130).collect()) == list(range(130))
+    keyed = number_by_key(scan, ["id"], partitions=9)
+    assert keyed.filter("id <> ordinal").count() == 0 and keyed.count() == 600
+
+
+def test_very_many_shuffle_partitions(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "200000")
+    try:
+        df = spark.range(40).select((39 - F.col("id")).alias("pos"), F.lit(2).alias("v"))
+        got = {r.pos: r.s for r in prefix_sum(df, ["pos"], "v", None, "s").collect()}
+        assert got == {p: 2 * p for p in range(40)}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
