@@ -18,7 +18,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
     ship_package(spark)
-    return quality.quality_rules(docs).filter("kept").select(*docs.columns)
+    return quality.kept_documents(docs)
 
 
 def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

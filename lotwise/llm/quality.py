@@ -139,3 +139,14 @@ def quality_rules(docs: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
     )
     judged = stats.withColumns({"base_failed": base_failed, "failed_rules": failed})
     return judged.withColumn("kept", ~F.col("base_failed") & (F.size("failed_rules") == 0))
+
+
+def kept_documents(docs: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
+    """The rows of ``docs`` that the rules keep, with its columns as they are, also those named like base columns.
+
+    The verdict drops rows as an explode of nothing: a filter would be pushed below the projections and compute the
+    words of a text again for every metric that it uses.
+    """
+    packed = docs.select("text", F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("__row"))
+    once = F.explode(F.when(F.col("kept"), F.array(F.lit(True)))).alias("__once")
+    return quality_rules(packed, rules).select("__row", once).select("__row.*")

@@ -62,3 +62,15 @@ def test_no_user_functions_in_the_plan(spark):
 
 def test_empty_table(spark):
     assert quality.quality_rules(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_kept_documents(spark):
+    """The kept rows as they were, their own columns included, and the words of a text computed once."""
+    rows = [(i, " ".join(f"the{i} of word{k}" for k in range(9 + i)), "x" * i) for i in range(-4, 4)] + [(9, None, "")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, n_words string")
+    out = quality.kept_documents(frame)
+    good = {r.doc_id for r in quality.quality_rules(frame).filter("kept").collect()}
+    assert good and out.columns == frame.columns
+    assert sorted(map(tuple, out.collect())) == sorted(r for r in rows if r[0] in good)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("[^\\x20\\x09-\\x0D]+, 0)") == 1
