@@ -1,4 +1,4 @@
-"""Embedding near-dedup by product quantisation: inverted lists, residual codes, table-lookup distances, exact cosine."""
+"""Embedding near-dedup: inverted lists, a bound on the lists that may hold a neighbour, exact cosine."""
 
 from __future__ import annotations
 
@@ -11,6 +11,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType
 
 from lotwise.llm.common import cut
 from lotwise.llm.components import Forest, components
@@ -20,12 +21,13 @@ COSINE = 0.9
 SAMPLE_ROWS = 1 << 14
 SAMPLE_BYTES = 64 << 20
 MAX_LISTS = 1 << 12
-SUBSPACES = 8
-CODES = 256
 ROUNDS = 8
-#: Probes suffice for this share of trial pairs at the least cosine.
-TRIAL_RECALL = 0.995
-TRIALS = 4096
+#: Lists are made fewer, down to MEMBERS vectors each, while a vector visits more than so many on average.
+VISITS = 16
+#: The share of pairs at the least cosine that meet: lists are left out by a bound alone, so all do.
+TRIAL_RECALL = 1.0
+#: Distances that are held at once.
+DISTANCES = 1 << 20
 #: Vectors on either side of a task; queries and candidate pairs that a task holds at once.
 MEMBERS = 4096
 VISITORS = 1 << 15
@@ -43,11 +45,17 @@ def _square_distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.maximum((a * a).sum(1)[:, None] - 2 * a @ b.T + (b * b).sum(1)[None, :], 0.0)
 
 
+def _nearest(points: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    step = max(1, DISTANCES // len(centres))
+    parts = [_square_distances(points[at : at + step], centres).argmin(1) for at in range(0, len(points), step)]
+    return np.concatenate(parts)
+
+
 def _centres(points: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
     """k-means; a centre that loses all points stays where it is."""
     centres = points[rng.choice(len(points), min(k, len(points)), replace=False)].copy()
     for _ in range(ROUNDS):
-        nearest = _square_distances(points, centres).argmin(1)
+        nearest = _nearest(points, centres)
         count = np.bincount(nearest, minlength=len(centres))
         total = np.zeros_like(centres)
         np.add.at(total, nearest, points)
@@ -57,62 +65,68 @@ def _centres(points: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray
 
 @dataclass(frozen=True)
 class Index:
-    """Coarse centres, a codebook per subspace of the residuals, and the number of lists to probe."""
+    """Centres of the lists, and the largest distance of unit vectors that link. A vector's own list is the nearest."""
 
     lists: np.ndarray
-    books: list[np.ndarray]
-    edges: list[int]
-    probes: int
+    reach: float
 
     @classmethod
     def fit(cls, sample: np.ndarray, rows: int, cosine: float) -> Index:
-        """``sample``: unit vectors; ``rows``: vectors to be indexed. Lists grow with the square root of the rows."""
-        rng = np.random.default_rng(SEED)
-        k = max(1, min(MAX_LISTS, 1 << round(math.log2(math.sqrt(rows))), len(sample) // 4 or 1))
-        lists = _centres(sample, k, rng)
-        residual = sample - lists[_square_distances(sample, lists).argmin(1)]
-        size = sample.shape[1]
-        edges = np.linspace(0, size, min(SUBSPACES, size) + 1).astype(int).tolist()
-        books = [_centres(residual[:, lo:hi], CODES, rng) for lo, hi in zip(edges, edges[1:])]
-        # Trial pairs at the least cosine: a probe count that finds nearly all of them from one end or the other.
-        x = sample[rng.choice(len(sample), min(TRIALS, len(sample)), replace=False)]
-        turn = rng.standard_normal(x.shape)
-        turn -= (turn * x).sum(1, keepdims=True) * x
-        length = np.sqrt((turn * turn).sum(1, keepdims=True))
-        y = cosine * x + math.sqrt(max(0.0, 1 - cosine * cosine)) * turn / np.where(length > 0, length, 1)
-        from_x, from_y = (np.argsort(_square_distances(v, lists), axis=1) for v in (x, y))
-        rank = np.minimum(
-            (from_x == from_y[:, :1]).argmax(axis=1),
-            (from_y == from_x[:, :1]).argmax(axis=1),
-        )
-        return cls(lists, books, edges, min(len(lists), int(np.quantile(rank, TRIAL_RECALL, method="higher")) + 1))
+        """``sample``: unit vectors; ``rows``: vectors to be indexed. Lists grow with the square root of the rows.
+
+        The sample sets the cost alone: with any centres every link is found. Where vectors without structure would
+        visit most lists, there are only as many as blocks of members.
+        """
+        most = min(MAX_LISTS, len(sample) // 4 or 1)
+        least = min(most, 1 << max(0, math.ceil(math.log2(rows / MEMBERS))))
+        k = max(least, min(most, 1 << round(math.log2(math.sqrt(rows)))))
+        reach = math.sqrt(max(0.0, 2 - 2 * cosine))
+        while True:
+            index = cls(_centres(sample, k, np.random.default_rng(SEED)), reach)
+            if k <= least or sum(len(found) - 1 for found in index.visits(sample)) <= VISITS * len(sample):
+                return index
+            k = max(least, k // 2)
+
+    def visits(self, unit: np.ndarray) -> Iterator[np.ndarray]:
+        """Per vector its own list, then each list that it visits.
+
+        A vector within ``reach`` that is in another list lies on that list's side of the plane halfway between the two
+        centres, so the plane is within ``reach`` of this vector, and the other way round: only lists beyond a plane
+        further off are left out. Of the two lists of a pair one visits the other, by turns.
+        """
+        every, step = np.arange(len(self.lists)), max(1, DISTANCES // len(self.lists))
+        for at in range(0, len(unit), step):
+            far = _square_distances(unit[at : at + step], self.lists)
+            own = far.argmin(1)
+            homes, of = np.unique(own, return_inverse=True)
+            apart = np.sqrt(_square_distances(self.lists[homes], self.lists))[of]
+            near = far - far.min(1)[:, None] <= 2 * self.reach * apart + 1e-6
+            home = own[:, None]
+            near &= (home != every) & ((home < every) == ((home + every) % 2 == 1))
+            for h, row in zip(own.tolist(), near):
+                yield np.concatenate([[h], np.flatnonzero(row)]).astype(np.int32)
+
+    def coded(self, unit: np.ndarray, of_list: np.ndarray | int) -> tuple[np.ndarray, np.ndarray]:
+        """Single precision offsets from a list's centre, and a bound for what that rounds in square distances."""
+        offset = unit - self.lists[of_list]
+        length = 2 + np.sqrt((offset * offset).sum(1))  # the other end is at most 2 from the centre
+        return offset.astype(np.float32), (unit.shape[1] + 8) * 2.0**-23 * length**2
 
     def place(self, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Lists to probe (the vector's own first), codes of the residual, and the error of the coded vector."""
-        far = _square_distances(unit, self.lists)
-        near = np.argpartition(far, self.probes - 1, axis=1)[:, : self.probes]
-        near = np.take_along_axis(near, np.argsort(np.take_along_axis(far, near, 1), axis=1, kind="stable"), 1)
-        residual = unit - self.lists[near[:, 0]]
-        codes = np.empty((len(unit), len(self.books)), np.uint8)
-        error = np.zeros(len(unit))
-        for s, (book, lo, hi) in enumerate(zip(self.books, self.edges, self.edges[1:])):
-            codes[:, s] = _square_distances(residual[:, lo:hi], book).argmin(1)
-            error += ((residual[:, lo:hi] - book[codes[:, s]]) ** 2).sum(1)
-        return near.astype(np.int32), codes, np.sqrt(error)
+        """Lists to meet (the vector's own first, -1 after the last), codes and their error in the own list."""
+        found = list(self.visits(unit))
+        lists = np.full((len(unit), max(map(len, found), default=1)), -1, np.int32)
+        for row, some in zip(lists, found):
+            row[: len(some)] = some
+        return lists, *self.coded(unit, lists[:, 0])
 
     def candidates(
         self, queries: np.ndarray, of_list: int, codes: np.ndarray, error: np.ndarray, cosine: float
     ) -> np.ndarray:
-        """Which members of a list each query may link with, by distances from tables of its residual.
-
-        The true distance is at least the looked-up one less the member's coding error, so no link is lost here.
-        """
-        residual = queries - self.lists[of_list]
-        total = np.zeros((len(queries), len(codes)))
-        for s, (book, lo, hi) in enumerate(zip(self.books, self.edges, self.edges[1:])):
-            total += _square_distances(residual[:, lo:hi], book)[:, codes[:, s]]
-        reach = math.sqrt(max(0.0, 2 - 2 * cosine)) + error + 1e-6
-        return total <= (reach * reach)[None, :]
+        """Which members of a list each query may link with, by distances in single precision; no link is lost here."""
+        x = self.coded(queries, of_list)[0]
+        total = (x * x).sum(1)[:, None] - 2 * x @ codes.T + (codes * codes).sum(1)[None, :]
+        return total <= (max(0.0, 2 - 2 * cosine) + error + 1e-6)[None, :]
 
 
 def _links(index: Index, cosine: float, of_list: int, a: dict, b: dict, allowed) -> Iterator[tuple]:
@@ -128,16 +142,17 @@ def _links(index: Index, cosine: float, of_list: int, a: dict, b: dict, allowed)
             yield i[linked], j[linked]
 
 
-def _join(index: Index, cosine: float):
+def _join(index: Index, cosine: float, kind: str):
     def side(rows: pd.DataFrame) -> dict:
-        vectors = np.frombuffer(b"".join(rows["vector"]), np.float64).reshape(len(rows), -1)
+        vectors = np.frombuffer(b"".join(rows["vector"]), kind).reshape(-1, index.lists.shape[1])
+        unit = _unit(vectors.astype(np.float64)) if len(rows) else np.empty((0, index.lists.shape[1]))
+        code, error = index.coded(unit, int(rows["list"].iloc[0]) if len(rows) else 0)
         return {
             "key": rows["key"].to_numpy(),
             "copies": rows["copies"].to_numpy(np.int64),
-            "unit": _unit(vectors) if len(rows) else vectors.reshape(0, index.lists.shape[1]),
-            "code": np.frombuffer(b"".join(rows["code"]), np.uint8).reshape(len(rows), -1),
-            "error": rows["error"].to_numpy(),
-            "probes": np.frombuffer(b"".join(rows["probes"]), np.int32).reshape(len(rows), -1),
+            "unit": unit,
+            "code": code,
+            "error": error,
         }
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
@@ -150,13 +165,6 @@ def _join(index: Index, cosine: float):
         if own:
             places = np.arange(n)
             allowed = lambda part: places[part, None] < places[None, :]
-        elif visits:
-            # A visitor meets a member that would visit the visitor's list as well: the smaller list has the pair.
-            home = a["probes"][:, 0]
-            back = [np.zeros(n, bool) for _ in range(len(index.lists))]
-            for other in np.unique(home[home < of_list]).tolist():
-                back[other] = (b["probes"] == other).any(axis=1)
-            allowed = lambda part: ~np.stack([back[h] for h in home[part]])
         else:
             allowed = lambda part: True
         shift = 0 if own else n
@@ -174,33 +182,29 @@ def _join(index: Index, cosine: float):
     return run
 
 
-def _index_rows(index: Index):
+def _index_rows(index: Index, kind: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            flat = batch.column("embedding").flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+            flat = batch.column("embedding").flatten().to_numpy(zero_copy_only=False).astype(kind)
             vectors = flat.reshape(batch.num_rows, -1)
-            near, codes, error = index.place(_unit(vectors))
-            binary = lambda a: pa.array([r.tobytes() for r in a], pa.binary())
+            found = list(index.visits(_unit(vectors.astype(np.float64))))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("key"),
                     batch.column("copies"),
-                    binary(vectors),
-                    binary(codes),
-                    pa.array(error),
-                    binary(near),
-                    pa.array(list(near), pa.list_(pa.int32())),
+                    pa.array([r.tobytes() for r in vectors], pa.binary()),
+                    pa.array(found, pa.list_(pa.int32())),
                 ],
-                ["key", "copies", "vector", "code", "error", "probes", "lists"],
+                ["key", "copies", "vector", "lists"],
             )
 
     return run
 
 
-_INDEXED = "key string, copies long, vector binary, code binary, error double, probes binary, lists array<int>"
-_CARRIED = ["key", "copies", "vector", "code", "error", "probes"]
+_INDEXED = "key string, copies long, vector binary, lists array<int>"
+_CARRIED = ["key", "copies", "vector"]
 
 
 def linked_copies(distinct: DataFrame, size: int, cosine: float) -> DataFrame:
@@ -213,10 +217,14 @@ def linked_copies(distinct: DataFrame, size: int, cosine: float) -> DataFrame:
     take = max(1, min(SAMPLE_ROWS, SAMPLE_BYTES // (8 * size)))
     sample = distinct.orderBy(F.xxhash64("key"), "key").limit(take).select("embedding").toPandas()["embedding"]
     index = Index.fit(_unit(np.array(sample.tolist(), np.float64)), rows, cosine)
-    indexed = cut(distinct.select("key", "copies", "embedding").mapInArrow(_index_rows(index), _INDEXED), "indexed")
+    # Vectors travel in the precision that they came in.
+    kind = "<f4" if distinct.schema["embedding"].dataType.elementType == FloatType() else "<f8"
+    coded = distinct.select("key", "copies", "embedding").mapInArrow(_index_rows(index, kind), _INDEXED)
+    indexed = cut(coded, "indexed")
+    visited = F.slice("lists", 2, MAX_LISTS)
     # Lists are at most MAX_LISTS, so this plan is small; blocks are counts of bounded tasks.
     members = indexed.groupBy(F.col("lists")[0].alias("list")).agg(F.count("*").alias("m"))
-    visitors = indexed.select(F.explode(F.slice("lists", 2, index.probes)).alias("list")).groupBy("list")
+    visitors = indexed.select(F.explode(visited).alias("list")).groupBy("list")
     visitors = visitors.agg(F.count("*").alias("v"))
     blocks = members.join(visitors, "list", "left").select(
         "list",
@@ -234,21 +242,22 @@ def linked_copies(distinct: DataFrame, size: int, cosine: float) -> DataFrame:
     )
     hosts = F.transform(upto(F.col("chunks")), lambda c: tasks(F.lit(True), F.col("own"), c, F.lit(0)))
     home = home.select("list", *_CARRIED, F.explode(F.concat(pairs, hosts)).alias("task"))
-    away = indexed.select(*_CARRIED, F.explode(F.slice("lists", 2, index.probes)).alias("list")).join(blocks, "list")
+    away = indexed.select(*_CARRIED, F.explode(visited).alias("list")).join(blocks, "list")
     guests = F.transform(upto(F.col("blocks")), lambda o: tasks(F.lit(True), o, deal(F.col("chunks")), F.lit(1)))
     away = away.select("list", *_CARRIED, F.explode(guests).alias("task"))
     dealt = home.unionByName(away).select("list", "task.*", *_CARRIED)
     return dealt.groupBy("list", "visits", "i", "j").applyInPandas(
-        _join(index, cosine), "key string, links long, other string"
+        _join(index, cosine, kind), "key string, links long, other string"
     )
 
 
 def near_duplicates(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     """Vectors with their near-duplicates by cosine: ``vec_id, n_links, component_id, kept``, a row per row.
 
-    Exact copies are one vector with a count. Distinct vectors are coded by an index fitted on a bounded sample; each
-    probes the lists near it, distances from tables leave candidates, and the cosine in double precision decides, so
-    every link is true; a link is missed only if neither end probes the other's list.
+    Exact copies are one vector with a count. Distinct vectors go to lists around centres fitted on a bounded sample;
+    each meets its own list and all others that may hold a neighbour, distances in single precision leave candidates,
+    and the cosine in double precision decides, so every link is true and none is missed. Vectors without structure
+    meet most others: their cost grows with the square of the table.
 
     Vectors that are null, zero, or hold null or non-finite components link with nothing, and vectors of different
     lengths never link. Repeated ids are vectors of their own. Null ids are never the smallest; a group of null ids

@@ -87,3 +87,34 @@ def test_recall(n, size):
     assert met.mean() >= 0.97 and all(kept)
     far = index.candidates(x[:50], px[0, 0], cx, ex, 0.9)
     assert far.mean() < 0.9
+
+
+def test_all_links_outside_the_sample(spark, monkeypatch):
+    """Neighbours along the data's own directions, nearly all outside the sample, against all pairs."""
+    monkeypatch.setattr(ed, "SAMPLE_ROWS", 512)
+    monkeypatch.setattr(ed, "MEMBERS", 100)
+    rng = np.random.default_rng(5)
+    spread = rng.standard_normal((12, 64))
+    hidden = rng.standard_normal((3000, 12))
+    near = hidden + 0.33 * rng.standard_normal(hidden.shape)
+    x = np.concatenate([hidden, near]) @ spread + 0.05 * rng.standard_normal((6000, 64))
+    x = x.astype(np.float32)
+    unit = ed._unit(x.astype(np.float64))
+    links = (unit @ unit.T >= 0.9).sum(1) - 1
+    data = spark.createDataFrame([(i, v.tolist(), None, None) for i, v in enumerate(x)], SCHEMA)
+    got = {r.vec_id: r.n_links for r in ed.near_duplicates(data).collect()}
+    assert sum(links) > 4000 and got == dict(enumerate(links.tolist()))
+
+
+def test_lists_are_left_out_where_none_can_hold_a_neighbour():
+    """Groups far apart: the bound leaves few lists, and each pair of neighbours meets in one of them."""
+    rng = np.random.default_rng(6)
+    x = ed._unit(np.repeat(rng.standard_normal((40, 64)), 150, axis=0) + 0.25 * rng.standard_normal((6000, 64)))
+    index = ed.Index.fit(x[::7], len(x), 0.9)
+    found, _, _ = index.place(x)
+    assert len(index.lists) > 8 and (found >= 0).sum(1).mean() < len(index.lists) / 4
+    i, j = np.nonzero(np.triu(x @ x.T >= 0.9, 1))
+    home = found[:, 0]
+    met = (home[i] == home[j]).astype(int)
+    met += (found[i, 1:] == home[j, None]).sum(1) + (found[j, 1:] == home[i, None]).sum(1)
+    assert len(i) > 1000 and (met == 1).all()
