@@ -9,11 +9,13 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lotwise.llm.bpe import text_parts
 from lotwise.llm.common import blocks
+from lotwise.session import planned_bytes
 
 WINDOW = 20
 #: Positions whose remainder by PERIOD is in COVER carry an anchor of ANCHOR words. The differences of COVER are all
@@ -23,6 +25,8 @@ PERIOD = 13
 COVER = (0, 1, 3, 9)
 ANCHOR = 8
 BLOCK_BYTES = 8 << 20
+#: A bucket of anchors for so many bytes of planned input.
+BUCKET_BYTES = 32 << 20
 MEMO = 400_000
 
 _MULTIPLIER = 0x9E3779B97F4A7C15
@@ -99,12 +103,15 @@ def _bucketed(buckets: int):
     """Anchors of each block by bucket of their hash.
 
     An anchor that a block holds twice or more is known to repeat: all its places are marked here, and it is sent on
-    once. So an anchor that a third of all documents share arrives once per block.
+    once. So an anchor that a third of all documents share arrives in its bucket once per block; the marks of a block
+    are a group of their own.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
-        for block in _row_blocks(batches):
+        task = TaskContext.get().partitionId()
+        for at, block in enumerate(_row_blocks(batches)):
+            own = -1 - (task << 32 | at)
             keys, found = [], []
             for key, _, text, _ in {r[0]: r for r in block}.values():
                 _, anchors = _anchors(hashes, hashes.words(text))
@@ -119,13 +126,14 @@ def _bucketed(buckets: int):
             fresh = np.concatenate([np.ones(min(1, len(name)), bool), name[1:] != name[:-1]])
             group = np.cumsum(fresh) - 1
             repeats = np.bincount(group)[group] > 1 if len(group) else fresh
-            out = {"bucket": [], "known": [], "keys": [], "runs": [], "names": []}
+            out = {"group": [], "bucket": [], "known": [], "keys": [], "runs": [], "names": []}
 
             def put(bucket: int, known: bool, key: np.ndarray, name: np.ndarray) -> None:
                 """Names by document: each key once, with the number of its names."""
                 by = np.argsort(key, kind="stable")
                 key, name = key[by], name[by]
                 starts = np.flatnonzero(np.concatenate([np.ones(min(1, len(key)), bool), key[1:] != key[:-1]]))
+                out["group"].append(own if known else bucket)
                 out["bucket"].append(bucket)
                 out["known"].append(known)
                 out["keys"].append(key[starts].tobytes())
@@ -143,6 +151,7 @@ def _bucketed(buckets: int):
                 out,
                 pa.schema(
                     {
+                        "group": pa.int64(),
                         "bucket": pa.int32(),
                         "known": pa.bool_(),
                         "keys": pa.binary(),
@@ -156,22 +165,20 @@ def _bucketed(buckets: int):
 
 
 def _repeated(rows: pd.DataFrame) -> pd.DataFrame:
-    """Anchors of a bucket that come from two blocks or were known to repeat: a row per document and anchor."""
-
-    def flat(part: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-        keys = np.frombuffer(b"".join(part["keys"]), np.int64)
-        runs = np.frombuffer(b"".join(part["runs"]), np.int32)
-        return np.repeat(keys, runs), np.frombuffer(b"".join(part["names"]), np.uint32)
-
-    bucket, known = int(rows["bucket"].iloc[0]), rows["known"].to_numpy()
-    key, name = flat(rows[~known])
-    order = np.argsort(name, kind="stable")
-    key, name = key[order], name[order]
-    same = name[1:] == name[:-1]
-    again = np.concatenate([[False], same]) | np.concatenate([same, [False]]) if len(name) else same
-    known_key, known_name = flat(rows[known])
-    key, name = np.concatenate([key[again], known_key]), np.concatenate([name[again], known_name])
-    return pd.DataFrame({"key": key, "mark": np.int64(bucket) << 32 | name.astype(np.int64)})
+    """Repeating anchors, a row per document and anchor: those of a bucket from two blocks, or what a block knows."""
+    keys = np.frombuffer(b"".join(rows["keys"]), np.int64)
+    key = np.repeat(keys, np.frombuffer(b"".join(rows["runs"]), np.int32))
+    name = np.frombuffer(b"".join(rows["names"]), np.uint32)
+    if rows["known"].iloc[0]:
+        bucket = np.repeat(rows["bucket"].to_numpy(np.int64), rows["names"].str.len() // 4)
+    else:
+        bucket = np.int64(rows["bucket"].iloc[0])
+        order = np.argsort(name, kind="stable")
+        key, name = key[order], name[order]
+        same = name[1:] == name[:-1]
+        again = np.concatenate([[False], same]) | np.concatenate([same, [False]]) if len(name) else same
+        key, name = key[again], name[again]
+    return pd.DataFrame({"key": key, "mark": bucket << 32 | name.astype(np.int64)})
 
 
 def _candidates(words: np.ndarray, hashes: WordHashes, marks: list[int], buckets: int) -> np.ndarray:
@@ -331,16 +338,22 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(kept, pa.string())], ["doc_id", "text"])
 
 
+def _bucket_count(docs: DataFrame) -> int:
+    """Buckets that stay of one size as the input grows; where its size is not known, as many as shuffle partitions."""
+    least = max(16, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return max(least, -(-planned_bytes(docs) // BUCKET_BYTES))
+
+
 def _marked(docs: DataFrame, buckets: int | None) -> DataFrame:
     """Each row's text with the runs of its windows that start earlier elsewhere: ``doc_id, text, marks``."""
     spark = docs.sparkSession
-    buckets = buckets or max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    buckets = buckets or _bucket_count(docs)
     doc_id = F.col("doc_id").cast("long")
     rows = docs.select(F.xxhash64(doc_id, "text").alias("key"), doc_id.alias("doc_id"), "text")
     blobs = rows.select("key", "text").mapInArrow(
-        _bucketed(buckets), "bucket int, known boolean, keys binary, runs binary, names binary"
+        _bucketed(buckets), "group long, bucket int, known boolean, keys binary, runs binary, names binary"
     )
-    marks = blobs.groupBy("bucket").applyInPandas(_repeated, "key long, mark long")
+    marks = blobs.groupBy("group").applyInPandas(_repeated, "key long, mark long")
     marks = marks.groupBy("key").agg(F.collect_list("mark").alias("marks"))
     windows = rows.join(marks, "key").mapInArrow(_windows(buckets), _WINDOWS)
     windows = windows.repartition("hash").sortWithinPartitions(

@@ -85,3 +85,28 @@ def test_run_hashes():
     runs = hashes.runs(words, 3)
     assert len(runs) == 10 and runs[0] == runs[6] and runs[3] == runs[9] and len(set(runs.tolist())) == 6
     assert set(runs.tolist()).isdisjoint(hashes.runs(words, 3, salt=1).tolist())
+
+
+def test_buckets_follow_the_input(spark, tmp_path, monkeypatch):
+    spark.createDataFrame(rows(), SCHEMA).write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    least = sd._bucket_count(docs)
+    size = sum(f.stat().st_size for f in (tmp_path / "docs").glob("*.parquet"))
+    monkeypatch.setattr(sd, "BUCKET_BYTES", size // (4 * least))
+    assert sd._bucket_count(docs) >= 4 * least
+    assert found(docs) == [r[:4] for r in plain(rows())]
+
+
+def test_marks_of_blocks_are_groups_of_their_own(spark):
+    """A passage that every document holds reaches its buckets once per block."""
+    passage = " ".join(f"p{i}" for i in range(40))
+    docs = spark.createDataFrame([(i, passage, "") for i in range(400)], SCHEMA).repartition(12)
+    made = docs.selectExpr("doc_id AS key", "text").mapInArrow(
+        sd._bucketed(4), "group long, bucket int, known boolean, keys binary, runs binary, names binary"
+    )
+    made = made.toPandas()
+    blocks = made.loc[made.known, "group"].nunique()
+    sent = made[~made.known].groupby("group")["names"].apply(lambda x: sum(map(len, x)) // 4)
+    anchors = 4 * (40 - sd.ANCHOR + 1) // sd.PERIOD + 1
+    assert blocks == 12 and set(made.loc[~made.known, "group"]) <= set(range(4)) and sent.sum() <= anchors * blocks
+    assert (made.loc[made.known, "group"] < 0).all() and made[made.known].groupby("group").size().max() <= 4
