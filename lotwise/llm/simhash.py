@@ -180,6 +180,20 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(_fingerprints, f"{schema}, print long")
 
 
+def _grouped(docs: DataFrame, most: int) -> DataFrame:
+    """:func:`near_duplicates` plus ``root``, one fingerprint that names the group."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
+    rows = cut(fingerprints(rows), "fingerprints")
+    prints = rows.groupBy("print").agg(F.min("doc_id").alias("least"))
+    prints = cut(prints, "prints")
+    groups = components(print_links(prints.select("print"), most), "print-links")
+    named = prints.join(groups.withColumnRenamed("node", "print"), "print", "left")
+    named = named.withColumn("root", F.coalesce("root", "print"))
+    ids = named.groupBy("root").agg(F.min("least").alias("component_id"))
+    named = named.join(ids, "root").select("print", "root", "component_id")
+    return rows.join(named, "print").select("doc_id", "text_hash", "print", "component_id", "root")
+
+
 def near_duplicates(docs: DataFrame, most: int = MAX_DIFFERENT) -> DataFrame:
     """Groups of texts with close fingerprints: ``doc_id, text_hash, print, component_id``, a row per row of ``docs``.
 
@@ -190,30 +204,19 @@ def near_duplicates(docs: DataFrame, most: int = MAX_DIFFERENT) -> DataFrame:
     the smallest; a group of null ids alone has a null component_id. Repeated rows stay. An empty table gives an empty
     result. Other columns are ignored.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
-    rows = cut(fingerprints(rows), "fingerprints")
-    prints = rows.groupBy("print").agg(F.min("doc_id").alias("least"))
-    prints = cut(prints, "prints")
-    groups = components(print_links(prints.select("print"), most), "print-links")
-    named = prints.join(groups.withColumnRenamed("node", "print"), "print", "left")
-    named = named.withColumn("root", F.coalesce("root", "print"))
-    ids = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = named.join(ids, "root").select("print", "component_id")
-    return rows.join(named, "print").select("doc_id", "text_hash", "print", "component_id")
+    return _grouped(docs, most).drop("root")
 
 
 def keep_one(docs: DataFrame, most: int = MAX_DIFFERENT) -> DataFrame:
     """One document of each group of near-duplicates, with the columns of ``docs``: the one with the smallest doc_id.
 
     Of rows with that id, the one with the smallest text hash stays, and one of equal rows. A group of null ids alone
-    keeps its row with the smallest text hash per fingerprint.
+    keeps its row with the smallest text hash. An id that stands in several groups counts in each.
     """
-    found = near_duplicates(docs, most)
-    group = F.when(F.col("component_id").isNull(), F.col("print"))
-    best = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("component_id", group.alias("g")).agg(
-        F.min("text_hash").alias("__hash")
-    )
-    best = best.select(F.col("component_id").alias("__id"), "__hash")
+    # The smallest id, then the smallest text hash, of each group: nulls last.
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+    best = _grouped(docs, most).groupBy("root").agg(F.min(order).alias("least"))
+    best = best.select(F.col("least.doc_id").alias("__id"), F.col("least.text_hash").alias("__hash"))
     rows = docs.withColumn("__text_hash", F.xxhash64("text"))
     same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.col("__text_hash") == F.col("__hash"))
     kept = rows.join(best, same, "left_semi")

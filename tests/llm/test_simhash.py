@@ -147,3 +147,15 @@ def test_components(spark, links):
     linked = {n for a, b in links if a != b for n in (a, b)}
     frame = spark.createDataFrame([*links, (None, 3)], "a int, b int")
     assert {r.node: r.root for r in components(frame).collect()} == {n: root[n] for n in linked}
+
+
+def test_keep_one_by_group(spark):
+    """An id in two unrelated groups loses neither; a group of null ids alone keeps one row over its fingerprints."""
+    one, two, other = ("a b c d e f g", "t u v w x y z", "k l m n o p q")
+    words = [f"w{i}" for i in range(400)]
+    near = [" ".join(words[:n]) for n in (400, 399, 397)]
+    assert 1 < len({plain_print(t) for t in near}) and set(plain_groups([plain_print(t) for t in near])) == {0}
+    rows = [(1, one, ""), (1, two, ""), (2, one, ""), (3, two, ""), (4, other, "")] + [(None, t, "") for t in near]
+    kept = [(r.doc_id, r.text) for r in simhash.keep_one(spark.createDataFrame(rows, SCHEMA)).collect()]
+    assert sorted(kept[i] for i in range(len(kept)) if kept[i][0]) == [(1, one), (1, two), (4, other)]
+    assert len([t for i, t in kept if i is None and t in near]) == 1 and len(kept) == 4
