@@ -151,7 +151,7 @@ SELECT doc_id, count(*) FILTER (line <> '')::BIGINT AS n_lines, count(*) FILTER
 FROM kept GROUP BY doc_id""",
 )
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = table(spark, sf_dir, "documents").filter("text IS NOT NULL")  # as in the SQL
     n = lambda text: F.size(
         F.filter(F.split(F.coalesce(text, F.lit("")), "\n", -1), lambda x: x.rlike("[^\\x20\\x09-\\x0D]"))
     ).cast("long")

@@ -96,3 +96,12 @@ def test_simhash(spark, docs):
         least[g] = min(r.doc_id, least.get(g, r.doc_id))
     want = [(r.doc_id, f"{p:016x}", least[g]) for r, p, g in zip(docs, prints, groups)]
     assert found(spark, "op9_simhash") == sorted(want)
+
+
+def test_line_dedup_sql_on_null_texts(spark, tmp_path):
+    rows = [(i, None if i % 5 == 0 else f"on every site\nown {i}", "en", f"s{i % 12}", i) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs.coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    con = check_queries.duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    assert check_queries.compare(spark, con, str(tmp_path), "op10_line_dedup") is None
