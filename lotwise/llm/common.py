@@ -27,6 +27,27 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def packed(docs: DataFrame, *columns: Column) -> DataFrame:
+    """``docs`` as one column ``row`` beside ``columns``: its names, whatever they are, meet no other.
+
+    ``select("row.*")`` gives its columns back.
+    """
+    return docs.select(F.struct(*(F.col(quoted(c)) for c in docs.columns)).alias("row"), *columns)
+
+
+def quoted(name: str) -> str:
+    """A column's name as a reference to it, also with dots or backticks in it."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def unused(docs: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until no column of ``docs`` has it."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def application_path(spark: SparkSession, name: str) -> str:
     """A new path under ``spark.checkpoint.dir`` that goes when the application ends."""
     path = scratch_path(spark, f"llm-{name}")

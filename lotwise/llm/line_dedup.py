@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-import pandas as pd
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
-from lotwise.llm.common import SPACE, cut
+from lotwise.llm.common import SPACE, cut, let, packed, quoted
 
 MIN_SITES = 10
 #: Sketches have 2^12 registers: their relative error is 1.6 percent, so an estimate outside this share is decisive.
@@ -25,11 +22,11 @@ def _line(text: Column) -> Column:
 
 
 def _lines(docs: DataFrame, *keep: Column | str) -> DataFrame:
-    """A row per line with a word: ``keep`` and the hash of the line without white space at its ends."""
+    """A row per line with a word: ``keep``, its place, and the hash of the line without white space at its ends."""
     lines = F.split(F.coalesce(F.col("text"), F.lit("")), "\n", -1)
-    rows = docs.select(*keep, F.explode(lines).alias("__line"))
-    rows = rows.filter(F.col("__line").rlike(f"[^{SPACE}]"))
-    return rows.withColumn("line_hash", F.xxhash64(_line(F.col("__line")))).drop("__line")
+    rows = docs.select(*keep, F.posexplode(lines).alias("place", "line"))
+    rows = rows.filter(F.col("line").rlike(f"[^{SPACE}]"))
+    return rows.withColumn("line_hash", F.xxhash64(_line(F.col("line")))).drop("line")
 
 
 def _sized(table: DataFrame) -> DataFrame:
@@ -43,7 +40,7 @@ def spread_lines(docs: DataFrame, site: str = "source", min_sites: int = MIN_SIT
     Each line hash has a HyperLogLog sketch of its sites, built before the shuffle and merged after it. Estimates far
     from the threshold decide; lines near it are counted exactly in a second pass over these alone.
     """
-    where = F.coalesce(F.concat(F.lit("s"), F.col(site).cast("string")), F.lit("none")).alias("site")
+    where = F.coalesce(F.concat(F.lit("s"), F.col(quoted(site)).cast("string")), F.lit("none")).alias("site")
     lines = _lines(docs, F.col("doc_id").cast("long").alias("doc_id"), where)
     sketched = lines.groupBy("line_hash").agg(
         F.hll_sketch_estimate(F.hll_sketch_agg("site", LOG_REGISTERS)).alias("sites"), F.min("doc_id").alias("home")
@@ -65,18 +62,15 @@ def spread_lines(docs: DataFrame, site: str = "source", min_sites: int = MIN_SIT
     return found.join(sure.union(exact), "line_hash", "left_semi").select("line_hash", "home")
 
 
-@F.pandas_udf(StringType())
-def _without(texts: pd.Series, hashes: pd.Series) -> pd.Series:
-    def cleaned(text: str | None, marked) -> str | None:
-        if marked is None or text is None:
-            return text
-        gone = set(marked.tolist())
-        signed = lambda h: h - (1 << 64) if h >> 63 else h
-        line_hash = lambda line: signed(xxhash.xxh64_intdigest(line.strip(_EDGE).encode(), 42))
-        # White-space lines are no lines; the hash of nothing stands for them and is never marked.
-        return "\n".join(line for line in text.split("\n") if line_hash(line) not in gone)
+def _without(text: Column, gone: Column) -> Column:
+    """A text without the lines at the places ``gone``; as it is where that is null."""
 
-    return pd.Series([cleaned(t, h) for t, h in zip(texts, hashes)], index=texts.index, dtype=object)
+    def rest(lines: Column) -> Column:
+        # A difference of arrays works by hash, so a long text with many lines to drop is no product of the two.
+        places = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone)
+        return F.array_join(F.transform(places, lambda i: F.get(lines, i)), "\n")
+
+    return F.when(gone.isNull(), text).otherwise(let(F.split(text, "\n", -1), rest))
 
 
 def line_dedup(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITES) -> DataFrame:
@@ -91,11 +85,13 @@ def line_dedup(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITES
     table gives an empty one. All columns are carried and only ``text`` changes.
     """
     spread = _sized(cut(spread_lines(docs, site, min_sites), "boilerplate"))
-    key = [F.col("doc_id").cast("long").alias("__id"), F.xxhash64("text").alias("__hash")]
-    away = _lines(docs, *key).join(spread, "line_hash").filter(~F.col("home").eqNullSafe(F.col("__id")))
-    marks = away.groupBy("__id", "__hash").agg(F.collect_set("line_hash").alias("__gone"))
-    marks = marks.select(F.col("__id").alias("__mark_id"), F.col("__hash").alias("__mark_hash"), "__gone")
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__mark_id")) & (F.xxhash64("text") == F.col("__mark_hash"))
-    both = docs.join(marks, same, "left")
-    text = _without(F.col("text"), F.col("__gone"))
-    return both.select(*(text.alias(c) if c == "text" else F.col(c) for c in docs.columns))
+    id_, hash_ = F.col("doc_id").cast("long"), F.xxhash64("text")
+    away = _lines(docs, id_.alias("id"), hash_.alias("hash")).join(spread, "line_hash")
+    away = away.filter(~F.col("home").eqNullSafe(F.col("id")))
+    marks = away.groupBy(F.col("id").alias("mark_id"), F.col("hash").alias("mark_hash"))
+    marks = marks.agg(F.collect_set("place").alias("gone"))
+    rows = packed(docs, id_.alias("id"), hash_.alias("hash"))
+    both = rows.join(marks, F.col("id").eqNullSafe(F.col("mark_id")) & (F.col("hash") == F.col("mark_hash")), "left")
+    of_row = lambda c: F.col("row").getField(c)
+    text = _without(of_row("text"), F.col("gone"))
+    return both.select(*((text if c == "text" else of_row(c)).alias(c) for c in docs.columns))

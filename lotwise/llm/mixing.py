@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lotwise.llm.common import SPACE, cut
+from lotwise.llm.common import SPACE, cut, packed
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -73,18 +73,16 @@ def source_targets(
 
 
 def _rated(rows: DataFrame, targets: DataFrame) -> DataFrame:
-    """Adds ``__copies, __source_size, __target`` to rows with ``source`` and ``__draw``."""
-    targets = targets.select(
-        F.col("source").alias("__source"), F.col("source_size").alias("__source_size"), F.col("target").alias("__target")
-    )
-    length, count = targets.agg(F.sum(F.octet_length("__source")), F.count("*")).first()
+    """Adds ``copies, source_size, target`` to rows with ``source`` and ``draw``."""
+    targets = targets.withColumnRenamed("source", "of_source")
+    length, count = targets.agg(F.sum(F.octet_length("of_source")), F.count("*")).first()
     if (length or 0) + 64 * count <= BROADCAST_BYTES:
         targets = F.broadcast(targets)
     # Beyond that size both sides are shuffled; adaptive execution splits a source with a third of all rows.
-    both = rows.join(targets, F.col("source").cast("string").eqNullSafe(F.col("__source")))
-    rate = F.when(F.col("__source_size") > 0, F.col("__target") / F.col("__source_size")).otherwise(F.lit(0.0))
-    uniform = F.shiftrightunsigned("__draw", 11).cast("double") / F.lit(float(1 << 53))
-    return both.withColumn("__copies", F.floor(rate) + (uniform < rate - F.floor(rate)).cast("long")).drop("__source")
+    both = rows.join(targets, F.col("source").eqNullSafe(F.col("of_source")))
+    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
+    uniform = F.shiftrightunsigned("draw", 11).cast("double") / F.lit(float(1 << 53))
+    return both.withColumn("copies", F.floor(rate) + (uniform < rate - F.floor(rate)).cast("long"))
 
 
 def mix_plan(
@@ -108,20 +106,14 @@ def mix_plan(
             "doc_id",
             F.col("source").cast("string").alias("source"),
             text_size(F.col("text")).alias("size"),
-            F.xxhash64(F.lit(seed), "doc_id", "text").alias("__draw"),
+            F.xxhash64(F.lit(seed), "doc_id", "text").alias("draw"),
         ),
         "sizes",
     )
     targets = source_targets(
         sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, most
     )
-    return _rated(sized, targets).select(
-        "doc_id",
-        "size",
-        F.col("__source_size").alias("source_size"),
-        F.col("__target").alias("target"),
-        F.col("__copies").alias("copies"),
-    )
+    return _rated(sized, targets).select("doc_id", "size", "source_size", "target", "copies")
 
 
 def mix(
@@ -140,6 +132,7 @@ def mix(
         F.sum(text_size(F.col("text"))).alias("source_size")
     )
     targets = source_targets(sizes, weights, share, most)
-    drawn = docs.withColumn("__draw", F.xxhash64(F.lit(seed), "doc_id", "text"))
-    copies = F.explode(F.array_repeat(F.lit(0), F.col("__copies").cast("int")))
-    return _rated(drawn, targets).select(*docs.columns, copies.alias("__copy")).drop("__copy")
+    draw = F.xxhash64(F.lit(seed), "doc_id", "text").alias("draw")
+    drawn = packed(docs, F.col("source").cast("string").alias("source"), draw)
+    copies = F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int")))
+    return _rated(drawn, targets).select("row", copies.alias("copy")).select("row.*")

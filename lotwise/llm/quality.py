@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lotwise.llm.common import SPACE, let, words
+from lotwise.llm.common import SPACE, let, packed, unused, words
 
 #: Very common words of English, German, French and Spanish.
 STOP_WORDS = (
@@ -17,6 +17,9 @@ STOP_WORDS = (
     "au aux avec ce dans de du elle en est et il la le les ne ou par pas pour que qui se son sont sur un une vous "
     "al como con del el ella las lo los más no para pero por si sin su sus una y"
 ).split()
+#: Taken off both ends of a word before it is looked up, and capitals that are then made small.
+EDGE = ".,;:!?¡¿\"'()[]{}…«»“”„‘’*_-"
+CAPITALS = ("ABCDEFGHIJKLMNOPQRSTUVWXYZÁÉÍÑÓÖÚÜÄ", "abcdefghijklmnopqrstuvwxyzáéíñóöúüä")
 #: Words of a repeat window: a power of two, as its hash is built by doubling.
 WINDOW = 8
 MAX_LENGTH = 1 << 30
@@ -35,12 +38,12 @@ class Rule:
 #: Metrics that the rules may name, over the base columns.
 METRICS: dict[str, Callable[[], Column]] = {
     "words": lambda: F.col("n_words").cast("double"),
-    "mean_word_chars": lambda: F.col("word_chars") / F.col("n_words"),
-    "symbols_per_word": lambda: F.col("n_symbols") / F.col("n_words"),
-    "stop_word_share": lambda: F.col("n_stop_words") / F.col("n_words"),
-    "duplicate_line_share": lambda: F.col("n_dup_lines") / F.col("n_lines"),
-    "ellipsis_line_share": lambda: F.col("n_ellipsis_lines") / F.col("n_lines"),
-    "bullet_line_share": lambda: F.col("n_bullet_lines") / F.col("n_lines"),
+    "mean_word_chars": lambda: F.try_divide("word_chars", "n_words"),
+    "symbols_per_word": lambda: F.try_divide("n_symbols", "n_words"),
+    "stop_word_share": lambda: F.try_divide("n_stop_words", "n_words"),
+    "duplicate_line_share": lambda: F.try_divide("n_dup_lines", "n_lines"),
+    "ellipsis_line_share": lambda: F.try_divide("n_ellipsis_lines", "n_lines"),
+    "bullet_line_share": lambda: F.try_divide("n_bullet_lines", "n_lines"),
 }
 
 RULES = (
@@ -90,10 +93,12 @@ def text_stats(docs: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     # A line counts if it holds a word.
     lines = F.filter(F.split(text, "\n", -1), lambda line: line.rlike(f"[^{SPACE}]"))
-    n = F.size("__words")
+    # Columns of its own, under names that the table does not have.
+    w, at_lines, h = (unused(docs, f"__{name}") for name in ("words", "lines", "windows"))
+    n = F.size(w)
     # Hashes of 8 words from hashes of 4, of 2, of 1: a step joins each hash with the one that follows its words.
     join = lambda width: lambda h: F.zip_with(h, F.slice(h, width + 1, MAX_LENGTH), lambda a, b: F.xxhash64(a, b))
-    hashes = F.transform("__words", lambda w: F.xxhash64(w))
+    hashes = F.transform(w, lambda x: F.xxhash64(x))
     for width in (1, 2, 4):
         hashes = let(hashes, join(width))
     windows = F.slice(hashes, 1, F.greatest(n - (WINDOW - 1), F.lit(0)))
@@ -101,17 +106,17 @@ def text_stats(docs: DataFrame) -> DataFrame:
     stop = [F.lit(w) for w in STOP_WORDS]
     base = {
         "n_words": long(n),
-        "word_chars": long(F.length(F.array_join("__words", ""))),
+        "word_chars": long(F.length(F.array_join(w, ""))),
         "n_symbols": long(F.regexp_count(text, F.lit("[#*$%&|<>]"))),
-        "n_stop_words": long(F.size(F.filter("__words", lambda w: w.isin(*stop)))),
-        "n_lines": long(F.size("__lines")),
-        "n_dup_lines": long(F.size("__lines") - F.size(F.array_distinct("__lines"))),
-        "n_ellipsis_lines": long(F.size(F.filter("__lines", lambda x: x.rlike(rf"(\.\.\.|…)[{SPACE}]*$")))),
-        "n_bullet_lines": long(F.size(F.filter("__lines", lambda x: x.rlike(rf"^[{SPACE}]*[-*•·]")))),
-        "n_repeat_words": _repeat_words(F.col("__windows")),
+        "n_stop_words": long(F.size(F.filter(w, lambda x: F.translate(F.btrim(x, F.lit(EDGE)), *CAPITALS).isin(*stop)))),
+        "n_lines": long(F.size(at_lines)),
+        "n_dup_lines": long(F.size(at_lines) - F.size(F.array_distinct(at_lines))),
+        "n_ellipsis_lines": long(F.size(F.filter(at_lines, lambda x: x.rlike(rf"(\.\.\.|…)[{SPACE}]*$")))),
+        "n_bullet_lines": long(F.size(F.filter(at_lines, lambda x: x.rlike(rf"^[{SPACE}]*[-*•·]")))),
+        "n_repeat_words": _repeat_words(F.col(h)),
     }
-    split = docs.withColumns({"__words": words(F.col("text")), "__lines": lines}).withColumn("__windows", windows)
-    return split.withColumns(base).drop("__words", "__lines", "__windows")
+    split = docs.withColumns({w: words(F.col("text")), at_lines: lines}).withColumn(h, windows)
+    return split.withColumns(base).drop(w, at_lines, h)
 
 
 def quality_rules(docs: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
@@ -147,6 +152,6 @@ def kept_documents(docs: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
     The verdict drops rows as an explode of nothing: a filter would be pushed below the projections and compute the
     words of a text again for every metric that it uses.
     """
-    packed = docs.select("text", F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("__row"))
+    rows = packed(docs, F.col("text"))
     once = F.explode(F.when(F.col("kept"), F.array(F.lit(True)))).alias("__once")
-    return quality_rules(packed, rules).select("__row", once).select("__row.*")
+    return quality_rules(rows, rules).select("row", once).select("row.*")

@@ -39,10 +39,12 @@ def query(name: str, sql: str | None = None):
 def _quality_sql() -> str:
     """The base and the shipped thresholds over DuckDB lists."""
     stop = ", ".join(f"'{w}'" for w in quality.STOP_WORDS)
+    edge = quality.EDGE.replace("'", "''")
+    plain = "translate(trim(x, '{}'), '{}', '{}')".format(edge, *quality.CAPITALS)
     ratio = {
-        "mean_word_chars": "word_chars / n_words",
-        "symbols_per_word": "n_symbols / n_words",
-        "stop_word_share": "n_stop / n_words",
+        "mean_word_chars": "word_chars / nullif(n_words, 0)",
+        "symbols_per_word": "n_symbols / nullif(n_words, 0)",
+        "stop_word_share": "n_stop / nullif(n_words, 0)",
         "duplicate_line_share": "n_dup_lines / nullif(n_lines, 0)",
         "ellipsis_line_share": "n_ellipsis / nullif(n_lines, 0)",
         "bullet_line_share": "n_bullet / nullif(n_lines, 0)",
@@ -68,7 +70,7 @@ WITH split AS (
 ), stats AS (
   SELECT s.doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
     (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
-    len(list_filter(w, lambda x: x IN ({stop})))::BIGINT AS n_stop, len(l)::BIGINT AS n_lines,
+    len(list_filter(w, lambda x: {plain} IN ({stop})))::BIGINT AS n_stop, len(l)::BIGINT AS n_lines,
     (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines,
     len(list_filter(l, lambda x: regexp_matches(x, '(\.\.\.|…)[\x20\x09-\x0D]*$')))::BIGINT AS n_ellipsis,
     len(list_filter(l, lambda x: regexp_matches(x, '^[\x20\x09-\x0D]*[-*•·]')))::BIGINT AS n_bullet,
@@ -133,9 +135,10 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "op10_line_dedup",
     rf"""
-WITH d AS (SELECT doc_id, text, coalesce('s' || source, 'none') AS site FROM documents),
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, text, coalesce('s' || source, 'none') AS site FROM documents),
 lines AS (
-  SELECT doc_id, site, unnest(string_split(text, chr(10))) AS raw, generate_subscripts(string_split(text, chr(10)), 1) AS i
+  SELECT r, doc_id, site, unnest(string_split(text, chr(10))) AS raw,
+    generate_subscripts(string_split(text, chr(10)), 1) AS i
   FROM d WHERE text IS NOT NULL
 ), cleaned AS (
   SELECT *, regexp_replace(raw, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g') AS line FROM lines
@@ -143,15 +146,19 @@ lines AS (
   SELECT line, min(doc_id) AS home FROM cleaned WHERE line <> '' GROUP BY line
   HAVING count(DISTINCT site) >= {line_dedup.MIN_SITES}
 ), kept AS (
-  SELECT c.doc_id, c.i, c.raw, c.line, s.line IS NOT NULL AND s.home IS DISTINCT FROM c.doc_id AS gone
+  SELECT c.r, c.i, c.raw, c.line, s.line IS NOT NULL AND s.home IS DISTINCT FROM c.doc_id AS gone
   FROM cleaned c LEFT JOIN spread s ON c.line = s.line
+), texts AS (
+  SELECT r, count(*) FILTER (line <> '') AS n_lines, count(*) FILTER (gone) AS n_removed,
+    string_agg(raw, chr(10) ORDER BY i) FILTER (NOT gone) AS t
+  FROM kept GROUP BY r
 )
-SELECT doc_id, count(*) FILTER (line <> '')::BIGINT AS n_lines, count(*) FILTER (gone)::BIGINT AS n_removed,
-  sha256(coalesce(string_agg(raw, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
-FROM kept GROUP BY doc_id""",
+SELECT doc_id, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_removed, 0)::BIGINT AS n_removed,
+  sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN texts ON d.r = texts.r""",
 )
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").filter("text IS NOT NULL")  # as in the SQL
+    docs = table(spark, sf_dir, "documents")
     n = lambda text: F.size(
         F.filter(F.split(F.coalesce(text, F.lit("")), "\n", -1), lambda x: x.rlike("[^\\x20\\x09-\\x0D]"))
     ).cast("long")

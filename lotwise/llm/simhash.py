@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lotwise.llm.bpe import text_parts
-from lotwise.llm.common import cut
+from lotwise.llm.common import cut, packed
 from lotwise.llm.components import Forest, components
 
 SHINGLE = 4
@@ -216,8 +216,7 @@ def keep_one(docs: DataFrame, most: int = MAX_DIFFERENT) -> DataFrame:
     # The smallest id, then the smallest text hash, of each group: nulls last.
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
     best = _grouped(docs, most).groupBy("root").agg(F.min(order).alias("least"))
-    best = best.select(F.col("least.doc_id").alias("__id"), F.col("least.text_hash").alias("__hash"))
-    rows = docs.withColumn("__text_hash", F.xxhash64("text"))
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.col("__text_hash") == F.col("__hash"))
-    kept = rows.join(best, same, "left_semi")
-    return kept.dropDuplicates(["doc_id", "__text_hash"]).drop("__text_hash")
+    best = best.select(F.col("least.doc_id").alias("best_id"), F.col("least.text_hash").alias("best_hash"))
+    rows = packed(docs, F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("hash"))
+    same = F.col("id").eqNullSafe(F.col("best_id")) & (F.col("hash") == F.col("best_hash"))
+    return rows.join(best, same, "left_semi").dropDuplicates(["id", "hash"]).select("row.*")

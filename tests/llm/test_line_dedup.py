@@ -67,3 +67,24 @@ def test_sketches_of_many_sites(spark):
 
 def test_empty_table(spark):
     assert ld.line_dedup(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_names_of_columns(spark):
+    """Carried columns may have any name."""
+    named = "doc_id long, text string, source string, `a.b` string, `__gone` long, row int, place int, `t``k` int"
+    data = [(i, f"everywhere\nown {i}", f"s{i}", "x", i, 1, 2, 3) for i in range(12)]
+    got = ld.line_dedup(spark.createDataFrame(data, named))
+    assert got.columns == ["doc_id", "text", "source", "a.b", "__gone", "row", "place", "t`k"]
+    want = [(i, text if i == 0 else f"own {i}", *more) for i, text, *more in data]
+    assert sorted(map(tuple, got.collect())) == want
+
+
+def test_long_text_without_python(spark):
+    """A text with very many lines, most of them marked, in built-in functions alone."""
+    many = [f"line {i}" for i in range(60_000)]
+    data = [(i, "\n".join(many) if i < 2 else "\n".join(many[i::10]), f"s{i % 3}", "") for i in range(12)]
+    data = [(i, text + f"\nown {i}", site, more) for i, text, site, more in data]
+    out = ld.line_dedup(spark.createDataFrame(data, SCHEMA), min_sites=3)
+    got = {r.doc_id: r.text for r in out.collect()}
+    assert got[0] == data[0][1] and [got[i] for i in range(1, 12)] == [r[1] for r in sorted(plain(data, 3))[1:]]
+    assert "Python" not in out._jdf.queryExecution().toString()

@@ -99,9 +99,13 @@ def test_simhash(spark, docs):
 
 
 def test_line_dedup_sql_on_null_texts(spark, tmp_path):
+    """Every document is a row, also one without a text."""
     rows = [(i, None if i % 5 == 0 else f"on every site\nown {i}", "en", f"s{i % 12}", i) for i in range(40)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     docs.coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
     con = check_queries.duckdb.connect()
     con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
     assert check_queries.compare(spark, con, str(tmp_path), "op10_line_dedup") is None
+    found = {r.doc_id: r for r in QUERIES["op10_line_dedup"](spark, str(tmp_path)).collect()}
+    assert sorted(found) == list(range(40))
+    assert found[0].n_lines == found[0].n_removed == 0 and found[0].kept_sha256 == hashlib.sha256().hexdigest()

@@ -54,6 +54,30 @@ def test_plan(spark):
     assert sorted(map(tuple, plan), key=repr) == sorted(map(tuple, again), key=repr)
 
 
+def test_every_source_comes_near_its_target(spark):
+    """Sources of many documents of one size: within four deviations of the draw, whatever their rate."""
+    data = [(i, "one two three", f"s{i % 7}" if i % 3 else "big", "") for i in range(9000)]
+    plan = mixing.mix_plan(spark.createDataFrame(data, SCHEMA)).collect()
+    found = {}
+    for r in plan:
+        found.setdefault((r.source_size, r.target), []).append(r.size * r.copies)
+    for (size, target), taken in found.items():
+        n, part = len(taken), target / size % 1
+        assert abs(sum(taken) - target * n * 3 / size) <= 4 * 3 * (n * part * (1 - part)) ** 0.5 + 1e-6
+
+
+def test_names_of_columns(spark):
+    named = "doc_id long, text string, source string, `a.b` string, copies int, `__copies` int, target string"
+    frame = spark.createDataFrame([(i, "a b c", f"s{i % 3}", "x", 1, 2, "t") for i in range(30)], named)
+    mixed = mixing.mix(frame)
+    assert mixed.columns == frame.columns and {tuple(r)[3:] for r in mixed.collect()} == {("x", 1, 2, "t")}
+
+
+def test_very_long_text(spark):
+    frame = spark.createDataFrame([(1, "word " * 300_000, "a", ""), (2, "x", "b", "")], SCHEMA)
+    assert {r.doc_id: r["size"] for r in mixing.mix_plan(frame).collect()} == {1: 300_000, 2: 1}
+
+
 @pytest.mark.parametrize("bound", [8 << 20, -1])
 def test_mix_emits_the_plan(spark, monkeypatch, bound):
     monkeypatch.setattr(mixing, "BROADCAST_BYTES", bound)

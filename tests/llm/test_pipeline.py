@@ -101,3 +101,21 @@ def test_tokens(stages):
 
 def test_run(spark, stages):
     assert rows(corpus_pipeline.run(spark, stages[0])) == rows(stages[1][4][1])
+
+
+def test_empty_table(spark, tmp_path):
+    spark.createDataFrame([], COLUMNS).write.parquet(f"{tmp_path}/documents.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_names_of_columns(spark, tmp_path):
+    """Stages carry columns of any name, and need no ``n_chars``."""
+    named = "doc_id long, text string, source string, `a.b` string, row int, n_words string, `__gone` int"
+    data = [(i, text, source, "x", 1, "y", 2) for i, text, _, source, _ in documents()]
+    docs = spark.createDataFrame(data, named)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.columns == docs.columns
+        out.write.parquet(f"{tmp_path}/{name}")
+        docs = spark.read.parquet(f"{tmp_path}/{name}")
+    assert {tuple(r)[3:] for r in docs.collect()} == {("x", 1, "y", 2)}

@@ -55,6 +55,30 @@ def test_rules(spark):
     assert quality.quality_rules(spark.createDataFrame(rows, "doc_id long, text string"), ()).filter("kept").count() == 4
 
 
+def test_texts_without_words(spark):
+    """Verdicts of every rule exist where ratios have no denominator."""
+    rows = [(i, t, "") for i, t in enumerate([None, "", " \n\t", "\n", "word", "the", "#"])]
+    got = {r.doc_id: r for r in quality.quality_rules(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert all(r.base_failed and not r.kept for r in got.values())
+    assert [got[i].failed_rules for i in range(4)] == [[]] * 4
+    assert got[4].failed_rules == ["stop_words"] and got[5].failed_rules == []
+    assert got[6].failed_rules == ["word_length", "symbols", "stop_words"]
+
+
+def test_stop_words_as_written_in_prose(spark):
+    rows = [(0, "The. Of, And; \"IS\" (für) ¿Más? Los! ÜBER"), (1, "them. off andy this-one")]
+    stats = quality.text_stats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.n_stop_words for r in stats} == {0: 7, 1: 0}
+
+
+def test_very_long_text_and_names(spark):
+    """A text of many words, and columns with the names of the operator's own."""
+    words = [f"w{i % 20_011} the" for i in range(200_000)]
+    frame = spark.createDataFrame([(1, " ".join(words), "x", 2)], "doc_id long, text string, `__words` string, `a.b` int")
+    row = quality.quality_rules(frame).first()
+    assert (row.n_words, row.n_repeat_words) == plain(" ".join(words))[::4] and (row["__words"], row["a.b"]) == ("x", 2)
+
+
 def test_no_user_functions_in_the_plan(spark):
     plan = quality.quality_rules(spark.range(1).withColumn("text", F.lit("x")))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Exchange" not in plan

@@ -159,3 +159,11 @@ def test_keep_one_by_group(spark):
     kept = [(r.doc_id, r.text) for r in simhash.keep_one(spark.createDataFrame(rows, SCHEMA)).collect()]
     assert sorted(kept[i] for i in range(len(kept)) if kept[i][0]) == [(1, one), (1, two), (4, other)]
     assert len([t for i, t in kept if i is None and t in near]) == 1 and len(kept) == 4
+
+
+def test_names_of_columns(spark):
+    named = "doc_id long, text string, `__id` string, `__hash` int, `a.b` int, root int, `best_id` int"
+    data = [(1, "a b c d e", "x", 1, 2, 3, 4), (2, "a b c d e", "y", 1, 2, 3, 4), (3, "other", "z", 1, 2, 3, 4)]
+    got = simhash.keep_one(spark.createDataFrame(data, named))
+    assert got.columns == ["doc_id", "text", "__id", "__hash", "a.b", "root", "best_id"]
+    assert sorted(map(tuple, got.collect())) == [data[0], data[2]]
