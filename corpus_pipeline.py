@@ -16,32 +16,53 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
+    """Documents that the quality rules keep.
+
+    Null, empty and blank texts have no words and go. Repeated rows stay or go alike. An empty table gives an empty one.
+    All columns are carried as they are, whatever their names.
+    """
     ship_package(spark)
     return quality.kept_documents(docs)
 
 
 def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without lines that stand on many sites; ``n_chars`` follows the text."""
+    """All documents, without lines that stand on many sites; ``n_chars``, where there is one, follows the text.
+
+    Null texts stay null, texts of nothing but such lines become empty. Repeated rows are treated alike. A null source is
+    a site of its own. An empty table gives an empty one. All other columns are carried as they are.
+    """
     ship_package(spark)
-    kind = docs.schema["n_chars"].dataType
-    return line_dedup.line_dedup(docs).withColumn("n_chars", F.length("text").cast(kind)).select(*docs.columns)
+    out = line_dedup.line_dedup(docs)
+    if "n_chars" not in docs.columns:
+        return out
+    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def keep_one_of_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
+    """One document of each group of near-duplicates, the one with the smallest id.
+
+    Null, empty and blank texts are one group. Of repeated rows one stays; null ids stay only where a group has no other.
+    An empty table gives an empty one. All columns are carried as they are.
+    """
     ship_package(spark)
     return simhash.keep_one(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them."""
+    """Documents as often as the mix takes them: not at all, once or twice.
+
+    Null and empty texts have size 0 and are drawn at their source's rate. Repeated rows are drawn alike. A null source is
+    a source of its own, the last. An empty table gives an empty one. All columns are carried as they are.
+    """
     ship_package(spark)
     return mixing.mix(docs)
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A row per document with its token count and the digests of its ids and of their decoded text."""
+    """A row per document with its token count and the digests of its ids and of their decoded text.
+
+    A null text is encoded as an empty one, to no tokens. Repeated rows stay rows. An empty table gives an empty result.
+    """
     ship_package(spark)
     return bpe.encode_digests(docs, public_tokenizers.path("word_bpe_49k.json"))
 
