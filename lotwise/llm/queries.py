@@ -11,13 +11,16 @@ from pyspark.sql import functions as F
 from lotwise.llm import (
     bpe,
     embedding_dedup,
+    lexical,
     line_dedup,
     mixing,
+    phrases,
     pii,
     quality,
     simhash,
     substring_dedup,
     token_counts,
+    toxicity,
     warc,
 )
 from lotwise.llm.common import application_path, table
@@ -210,3 +213,87 @@ FROM w LEFT JOIN kept ON kept.doc_id = w.doc_id""",
 )
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.repeat_digests(table(spark, sf_dir, "documents"))
+
+
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+
+@query(
+    "op11_lexical_search",
+    f"""
+WITH d AS (
+  SELECT r, doc_id, ts, len(ts)::BIGINT AS n
+  FROM (SELECT row_number() OVER () AS r, doc_id,
+          regexp_extract_all(translate(coalesce(text, ''), {_LOWER}), '{_TERM}') AS ts FROM documents)
+  WHERE len(ts) > 0
+), counts AS (SELECT count(*)::BIGINT AS n_docs, sum(n)::BIGINT AS n_terms FROM d),
+tf AS (SELECT r, term, count(*)::BIGINT AS tf FROM (SELECT r, unnest(ts) AS term FROM d) GROUP BY r, term),
+w AS (
+  SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM tf, counts GROUP BY term, n_docs
+), items AS (
+  SELECT row_number() OVER () AS k, item_id, text FROM (SELECT DISTINCT item_id, text FROM benchmark)
+), q AS (
+  SELECT DISTINCT k, item_id, term
+  FROM (SELECT k, item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), {_LOWER}), '{_TERM}')) AS term FROM items)
+), scored AS (
+  SELECT k, q.item_id, d.r, d.doc_id,
+    sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_docs) // n_terms))))::BIGINT AS score
+  FROM q JOIN tf ON q.term = tf.term JOIN w ON q.term = w.term JOIN d ON tf.r = d.r, counts
+  GROUP BY k, q.item_id, d.r, d.doc_id
+)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY k ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0
+) WHERE rank <= {lexical.TOP}""",
+)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query(
+    "op13_collocations",
+    rf"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    unnest(string_split_regex(translate(coalesce(text, ''), {_LOWER}), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), texts AS (
+  SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda w: w <> '') AS ws FROM pieces
+), totals AS (
+  SELECT lang, sum(len(ws))::BIGINT AS n FROM texts GROUP BY lang
+), places AS (
+  SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM texts
+), found AS (
+  SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS phrase, count(*)::BIGINT AS f
+  FROM places, range(1, {phrases.LONGEST + 1}) AS t(k) WHERE i + k - 1 <= len(ws)
+  GROUP BY lang, k, phrase HAVING count(*) >= {phrases.MIN_COUNT}
+), cand AS (
+  SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS ws FROM found WHERE k > 1
+), cuts AS (
+  SELECT c.lang, c.phrase, c.a, j, l.f AS l, r.f AS r, n, ((1000::HUGEINT * c.a * n) // (l.f::HUGEINT * r.f))::BIGINT AS score
+  FROM (SELECT *, unnest(range(1, k)) AS j FROM cand) c JOIN totals t ON c.lang = t.lang
+  JOIN found l ON l.lang = c.lang AND l.phrase = array_to_string(c.ws[1:j], ' ')
+  JOIN found r ON r.lang = c.lang AND r.phrase = array_to_string(c.ws[j + 1:], ' ')
+), best AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1
+), inside AS (
+  SELECT lang, array_to_string(ws[i:i + m - 1], ' ') AS phrase, max(a) AS longer
+  FROM (SELECT *, unnest(range(1, k + 1)) AS i FROM cand), range(2, {phrases.LONGEST}) AS t(m)
+  WHERE m < k AND i + m - 1 <= k GROUP BY ALL
+), ranked AS (
+  SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.phrase) AS rank
+  FROM best b LEFT JOIN inside s ON b.lang = s.lang AND b.phrase = s.phrase
+  WHERE s.phrase IS NULL OR 100 * longer < {phrases.SHARE} * a
+)
+SELECT lang, rank::BIGINT AS rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= {phrases.TOP}""",
+)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+@query("op12_toxicity")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    at = F.transform("spans", lambda s: F.concat_ws(":", s["start"], s["end"]))
+    return found.select("doc_id", "held_out", "score", "predicted", F.array_join(at, ",").alias("spans"))

@@ -1,0 +1,95 @@
+"""Ranks and scores against a plain loop."""
+
+import math
+import re
+
+import numpy as np
+import pytest
+
+from lotwise.llm import lexical
+
+DOCS = "doc_id long, text string, item_id string, score string"
+ITEMS = "item_id long, text string, doc_id string, rank int"
+
+
+def terms(text):
+    low = "".join(c.lower() if c.isascii() else c for c in text or "")
+    return re.findall("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+", low)
+
+
+def plain(docs, items, top=10):
+    split = [(i, terms(t)) for i, t, *_ in docs]
+    full = [(i, t) for i, t in split if t]
+    n_docs, n_terms = len(full), sum(len(t) for _, t in full)
+    out = []
+    for item, text in {(i, t) for i, t, *_ in items}:
+        wanted = set(terms(text))
+        weights = {}
+        for term in wanted:
+            df = sum(term in t for _, t in full)
+            weights[term] = math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df + 1)))
+        scored = []
+        for doc, t in full:
+            m = 100 - 90 + (90 * len(t) * n_docs) // n_terms
+            score = sum(w * (10**9 * t.count(x) // (1000 * t.count(x) + 8 * m)) for x, w in weights.items())
+            if score > 0:
+                scored.append((-score, doc is None, doc))
+        scored.sort(key=lambda s: (s[0], s[1], s[2] or 0))
+        out += [(item, k + 1, doc, -score) for k, (score, _, doc) in enumerate(scored[:top])]
+    return sorted(out, key=repr)
+
+
+def documents():
+    rng = np.random.default_rng(9)
+    word = [*(f"W{i % 90}" for i in range(300)), *(f"rare{i}" for i in range(60)), "Éa", "éa", "naïve", "x-y", "a_b"]
+    out = [(i, " ".join(rng.choice(word, rng.integers(1, 60))), "clash", "") for i in range(150)]
+    out += [(500 + i, out[3][1], "", "") for i in range(30)] + [(7, out[3][1], "same id", ""), out[3]]
+    odd = [None, "", " \n", "--- !!!", "\x00a\x7fb", "日本 語", "w1 " * 5000, "  "]
+    out += [(700 + i, t, None, None) for i, t in enumerate(odd)]
+    return out + [(None, out[3][1], "", ""), (None, "rare1 rare2", "", "")]
+
+
+def items():
+    rng = np.random.default_rng(10)
+    out = [(i, " ".join(rng.choice([f"w{k}" for k in range(90)], 6)) + f" rare{i}", "", 0) for i in range(12)]
+    odd = [None, "", "...", "not there", "É éa ÉA a b", "日本", documents()[3][1], "w1 W1 w1"]
+    out += [(100 + i, t, "clash", 1) for i, t in enumerate(odd)]
+    return out + [(1, "rare5 rare6", "same id", 2), out[0], (None, "rare1", "", 3)]
+
+
+def found(spark, docs, wanted, top=10):
+    docs, wanted = spark.createDataFrame(docs, DOCS).repartition(5), spark.createDataFrame(wanted, ITEMS)
+    got = lexical.search(docs, wanted, top)
+    assert got.columns == ["item_id", "rank", "doc_id", "score"]
+    return sorted(map(tuple, got.collect()), key=repr)
+
+
+def test_term_counts():
+    for _, text, *_ in documents():
+        got = {t.decode(): n for t, n in lexical.term_counts(text).items()}
+        want = terms(text)
+        assert got == {t: want.count(t) for t in set(want)}
+
+
+@pytest.mark.parametrize("top", [10, 3])
+def test_equals_plain(spark, top):
+    assert found(spark, documents(), items(), top) == plain(documents(), items(), top)
+
+
+def test_in_blocks(spark, monkeypatch):
+    """Few items per block, few scores at once, one merge group."""
+    for name, value in {"CELLS": 7, "MERGES": 1}.items():
+        monkeypatch.setattr(lexical, name, value)
+    monkeypatch.setattr(lexical.item_blocks, "__defaults__", (600,))
+    assert found(spark, documents(), items()) == plain(documents(), items())
+
+
+def test_ties_and_copies(spark):
+    docs = [(100 - i, "same words here", "", "") for i in range(40)] + [(None, "same words here", "", "")]
+    got = found(spark, docs, [(1, "words", "", 0)])
+    assert [r[2] for r in sorted(got, key=lambda r: r[1])] == list(range(61, 71))
+
+
+def test_empty_tables(spark):
+    assert found(spark, [], items()) == [] and found(spark, documents(), []) == []
+    assert found(spark, [(1, None, "", "")], items()) == []

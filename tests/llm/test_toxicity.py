@@ -1,0 +1,130 @@
+"""Marginals against all labellings, gradients by what they reach, scores by held-out labels."""
+
+import itertools
+import zlib
+
+import numpy as np
+import pytest
+
+from lotwise.llm import toxicity as tx
+
+SF = "/root/testdata/sf0.1"
+DOCS = "doc_id long, text string, toxic string, score string"
+LABELS = "doc_id long, toxic int, text string"
+
+
+def brute(e, start, steps):
+    """Marginal log odds of label 1 at each place, from all labellings of a run."""
+    n = len(e)
+    total = np.zeros((n, 2))
+    for labels in itertools.product((0, 1), repeat=n):
+        score = sum(e[i] for i in range(n) if labels[i]) + start * labels[0]
+        score += sum(steps[a, b] for a, b in zip(labels, labels[1:]))
+        for i, label in enumerate(labels):
+            total[i, label] += np.exp(score)
+    return np.log(total[:, 1] / total[:, 0])
+
+
+def test_marginals_equal_all_labellings():
+    rng = np.random.default_rng(1)
+    ids = np.array([0, 1, 2, 3, 0, 0, 4, 0, 5, 6, 7, 8, 9, 1])
+    e, steps = rng.normal(size=len(ids)), rng.normal(size=(2, 2))
+    chains = tx.Chains(ids)
+    found = chains.forward(e, 0.7, steps) + chains.backward(e, steps)
+    for a, b in ((1, 4), (6, 7), (8, 14)):
+        assert np.allclose(found[a:b], brute(e[a:b], 0.7, steps))
+
+
+def words(rng, n):
+    return list(rng.choice([f"w{i}" for i in range(400)], n))
+
+
+def corpus(n=400, seed=2):
+    """Toxic texts hold insults of one stem with any ending, clean ones never do; a few labels are wrong."""
+    rng = np.random.default_rng(seed)
+    rows, labels = [], []
+    for i in range(n):
+        text = words(rng, rng.integers(5, 80))
+        toxic = i % 4 == 0
+        if toxic:
+            for at in rng.integers(0, len(text), 3):
+                text.insert(at, str(rng.choice(["Idiot", "stupid", f"scumm{rng.integers(1000)}"])))
+        marks = rng.choice([" ", " ", " ", ". ", ", ", "\n"], len(text))
+        rows.append((i, "".join(w + m for w, m in zip(text, marks)), "clash", ""))
+        labels.append((i, int(toxic), "clash"))
+    return rows, labels
+
+
+def test_field_learns_labelled_tokens():
+    rows, labels = corpus()
+    model = tx.fit([r[1] for r in rows], [k for _, k, _ in labels], 0.25)
+    texts, toxic = zip(*[(r[1], k) for r, (_, k, _) in zip(*corpus(seed=3))])
+    found = list(tx.tag_texts(tx.Tagger(model), iter(texts)))
+    scores = np.array([tx.document_score(model, most, total) for most, total, _ in found])
+    assert ((scores >= 0.5) == np.array(toxic, bool)).mean() > 0.98
+    tagged = [text[a:b].lower() for text, (_, _, spans) in zip(texts, found) for a, b, _ in spans]
+    insults = ("idiot", "stupid", "scumm")
+    assert len(tagged) > 250 and np.mean([all(w.startswith(insults) for w in t.split()) for t in tagged]) > 0.98
+
+
+def test_texts_in_parts(monkeypatch):
+    """Cuts at sentence ends change nothing, whatever the size of parts and blocks."""
+    rows, labels = corpus(80)
+    model = tx.fit([r[1] for r in rows], [k for _, k, _ in labels], 0.25)
+    texts = ["", "Idiot", " ".join(r[1] + "." for r in rows), "é" * 50 + "! Idiot", "..."] + [r[1] for r in rows[:9]]
+    want = list(tx.tag_texts(tx.Tagger(model), iter(texts)))
+    monkeypatch.setattr(tx, "PART_CHARS", 500)
+    monkeypatch.setattr(tx, "BLOCK_CHARS", 700)
+    monkeypatch.setattr(tx, "MEMO", 20)
+    got = list(tx.tag_texts(tx.Tagger(model), iter(texts)))
+    assert len(got) == len(texts)
+    for (a, b, c), (x, y, z) in zip(got, want):
+        assert a == pytest.approx(x) and b == pytest.approx(y) and [s[:2] for s in c] == [s[:2] for s in z]
+    assert texts[3][got[3][2][0][0] :] == "Idiot"
+
+
+def test_toxicity(spark):
+    rows, labels = corpus()
+    odd = [None, "", " \n", "...", "Idiot! " * 40_000, "x" * 200_000]
+    rows += [(1000 + i, t, None, None) for i, t in enumerate(odd)] + [(None, "stupid idiot", "", ""), rows[0], (1, "idiot", "", "")]
+    labels += [(5, 1, ""), (5, 0, ""), (9, 0, ""), (9, 0, ""), (None, 1, ""), (12, None, ""), (5000, 1, "")]
+    docs = spark.createDataFrame(rows, DOCS).repartition(3)
+    got = tx.toxicity(docs, spark.createDataFrame(labels, LABELS))
+    assert got.columns == ["doc_id", "held_out", "score", "predicted", "spans"]
+    out = got.collect()
+    assert sorted(repr(r.doc_id) for r in out) == sorted(repr(r[0]) for r in rows)
+    for r in out:
+        held = r.doc_id is not None and zlib.crc32(str(r.doc_id).encode()) % 5 == 0
+        assert r.held_out == held and 0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5)
+    by_id = {r.doc_id: r for r in out if r.doc_id is None or r.doc_id >= 1000}
+    assert [by_id[1000 + i].predicted for i in range(6)] == [0, 0, 0, 0, 1, 0] and by_id[None].predicted == 1
+    assert [tuple(s)[:2] for s in by_id[None].spans] == [(0, 12)] and len(by_id[1004].spans) == 40_000
+    again = tx.toxicity(docs.repartition(5), spark.createDataFrame(labels[::-1], LABELS)).collect()
+    assert sorted(map(repr, out)) == sorted(map(repr, again))
+
+
+def test_held_out_labels_are_not_read(spark):
+    """Turning every label of fold 0 round changes no score."""
+    rows, labels = corpus()
+    turned = [(i, 1 - k if zlib.crc32(str(i).encode()) % 5 == 0 else k, t) for i, k, t in labels]
+    docs = spark.createDataFrame(rows, DOCS)
+    a, b = (tx.toxicity(docs, spark.createDataFrame(x, LABELS)).select("doc_id", "score").collect() for x in (labels, turned))
+    assert turned != labels and sorted(map(tuple, a)) == sorted(map(tuple, b))
+
+
+def test_empty_tables(spark):
+    none = spark.createDataFrame([], DOCS)
+    rows, labels = corpus(20)
+    assert tx.toxicity(none, spark.createDataFrame(labels, LABELS)).count() == 0
+    got = tx.toxicity(spark.createDataFrame(rows, DOCS), spark.createDataFrame([], LABELS)).collect()
+    assert len(got) == 20 and {r.predicted for r in got} == {0} and len({r.score for r in got}) == 1
+    one = tx.toxicity(spark.createDataFrame(rows, DOCS), spark.createDataFrame([(i, 1, "") for i in range(20)], LABELS))
+    assert {r.predicted for r in one.collect()} == {1}
+
+
+def test_held_out_accuracy(spark):
+    read = lambda t: spark.read.parquet(f"{SF}/{t}.parquet")
+    scored = tx.toxicity(read("documents"), read("labels")).join(read("labels"), "doc_id").filter("held_out").collect()
+    y, s = np.array([r.toxic for r in scored]), np.array([r.score for r in scored])
+    assert len(y) > 500 and ((s >= 0.5) == (y == 1)).mean() >= 0.98
+    assert ((s >= 0.5) & (y == 1)).sum() >= 0.95 * (y == 1).sum()
