@@ -62,7 +62,7 @@ def found(spark, rows, **options):
     return sorted(map(tuple, got.collect()))
 
 
-@pytest.mark.parametrize("least,top", [(8, 2000), (15, 5)])
+@pytest.mark.parametrize("least,top", [(8, 2000), (12, 5)])
 def test_equals_plain(spark, least, top):
     want = plain(documents(), least, top)
     assert len({r[0] for r in want}) >= 3 and len(want) > 10
