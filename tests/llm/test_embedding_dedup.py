@@ -61,8 +61,9 @@ def test_equals_all_pairs(spark):
 
 
 def test_small_blocks(spark, monkeypatch):
-    """Many blocks and chunks per list, few candidates at once, every list probed."""
-    for name, value in {"MEMBERS": 5, "VISITORS": 7, "QUERIES": 3, "PAIRS": 4, "TRIAL_RECALL": 1.0}.items():
+    """Many blocks and chunks per list, few queries, codes and candidates at once."""
+    small = {"MEMBERS": 5, "VECTOR_BYTES": 900, "CODE_BYTES": 700, "QUERIES": 3, "CODES": 4, "PAIRS": 4}
+    for name, value in small.items():
         monkeypatch.setattr(ed, name, value)
     assert found(spark, rows()) == sorted(plain(rows()), key=repr)
 
@@ -71,22 +72,70 @@ def test_empty_table(spark):
     assert found(spark, []) == []
 
 
-@pytest.mark.parametrize("n,size", [(3000, 64), (3000, 24)])
-def test_recall(n, size):
-    """Probing and coding find nearly all pairs at the least cosine, and nothing below it."""
-    rng = np.random.default_rng(11)
+def close_pairs(rng, n, size, cosine):
     x = ed._unit(rng.standard_normal((n, size)))
     turn = rng.standard_normal((n, size))
     turn -= (turn * x).sum(1, keepdims=True) * x
     turn /= np.linalg.norm(turn, axis=1, keepdims=True)
-    y = 0.901 * x + math.sqrt(1 - 0.901**2) * turn
-    index = ed.Index.fit(x[:2000], 2 * n, 0.9)
-    (px, cx, ex), (py, cy, ey) = index.place(x), index.place(y)
-    met = (px == py[:, :1]).any(1) | (py == px[:, :1]).any(1)
-    kept = [index.candidates(x[i : i + 1], py[i, 0], cy[i : i + 1], ey[i : i + 1], 0.9)[0, 0] for i in range(n)]
-    assert met.mean() >= 0.97 and all(kept)
-    far = index.candidates(x[:50], px[0, 0], cx, ex, 0.9)
-    assert far.mean() < 0.9
+    return x, cosine * x + math.sqrt(1 - cosine**2) * turn
+
+
+@pytest.mark.parametrize("size", [64, 24, 7])
+@pytest.mark.parametrize("groups", [0, 40])
+def test_no_pair_is_lost(size, groups):
+    """Outside the sample, with and without structure: pairs at the least cosine meet and stay candidates."""
+    rng = np.random.default_rng(11)
+    x, y = close_pairs(rng, 3000, size, 0.9001)
+    if groups:
+        near = ed._unit(rng.standard_normal((groups, size)))[rng.integers(0, groups, 3000)]
+        x = ed._unit(near + 0.3 * x / math.sqrt(size))
+        y = ed._unit(x + 0.2 * y)
+    x, y = x[(x * y).sum(1) >= 0.9], y[(x * y).sum(1) >= 0.9]
+    index = ed.Index.fit(ed._unit(x[: len(x) // 3] + 1e-3), 2 * len(x), 0.9)
+    lists = [list(index.visits(v)) for v in (x, y)]
+    homes = [np.array([v[0] for v in found]) for found in lists]
+    assert all((h[1] in a[1:]) + (h[0] in b[1:]) + (h[0] == h[1]) == 1 for a, b, h in zip(*lists, zip(*homes)))
+    for one, other, home in ((x, y, homes[1]), (y, x, homes[0])):
+        codes, error = index.coded(other, home)
+        assert codes.shape == (len(x), -(-size // 4)) and error.max() < 1.2
+        for at in range(0, len(x), 50):
+            part = slice(at, at + 50)
+            near = index.candidates(one[part], home[part], codes[part], error[part], 0.9)
+            assert near.diagonal().all()
+
+
+def test_table_sums_are_products_with_decoded_codes():
+    rng = np.random.default_rng(2)
+    x = ed._unit(rng.standard_normal((2000, 30)))
+    index = ed.Index.fit(x[:1000], len(x), 0.9)
+    home = ed._nearest(x, index.lists)
+    codes, error = index.coded(x, home)
+    decoded = index.lists[home] + np.concatenate([index.books[s][codes[:, s]] for s in range(8)], axis=1)[:, :30]
+    assert np.allclose(np.linalg.norm(x - decoded, axis=1), error, atol=1e-5)
+    centres, words = index.tables(x[:5])
+    sums = centres[home] + sum(words[s][codes[:, s]] for s in range(8))
+    assert np.allclose(sums, decoded @ x[:5].T, atol=1e-5)
+    # Most codes are ruled out, though the vectors have no structure.
+    assert index.candidates(x[:50], home, codes, error, 0.9).mean() < 0.1
+
+
+def test_lengths_in_one_plan(spark, monkeypatch):
+    """More lengths than there are indexes for."""
+    monkeypatch.setattr(ed, "LENGTHS", 2)
+    rng = np.random.default_rng(4)
+    data = []
+    for size in range(1, 9):
+        for v in rng.standard_normal((12, size)):
+            data.append((len(data), [float(np.float32(x)) for x in v], 0, ""))
+    assert found(spark, data) == sorted(plain(data), key=repr)
+
+
+def test_doubles(spark):
+    rng = np.random.default_rng(8)
+    x, y = close_pairs(rng, 40, 12, 0.95)
+    data = [(i, v.tolist()) for i, v in enumerate(np.concatenate([x, y]))]
+    got = ed.near_duplicates(spark.createDataFrame(data, "vec_id long, embedding array<double>")).collect()
+    assert sorted(map(tuple, got), key=repr) == sorted(plain(data), key=repr)
 
 
 def test_all_links_outside_the_sample(spark, monkeypatch):
@@ -111,10 +160,12 @@ def test_lists_are_left_out_where_none_can_hold_a_neighbour():
     rng = np.random.default_rng(6)
     x = ed._unit(np.repeat(rng.standard_normal((40, 64)), 150, axis=0) + 0.25 * rng.standard_normal((6000, 64)))
     index = ed.Index.fit(x[::7], len(x), 0.9)
-    found, _, _ = index.place(x)
-    assert len(index.lists) > 8 and (found >= 0).sum(1).mean() < len(index.lists) / 4
+    lists = list(index.visits(x))
+    assert len(index.lists) > 8 and np.mean([len(v) for v in lists]) < len(index.lists) / 4
+    meets = np.zeros((len(x), len(index.lists)), bool)
+    for row, some in zip(meets, lists):
+        row[some[1:]] = True
     i, j = np.nonzero(np.triu(x @ x.T >= 0.9, 1))
-    home = found[:, 0]
-    met = (home[i] == home[j]).astype(int)
-    met += (found[i, 1:] == home[j, None]).sum(1) + (found[j, 1:] == home[i, None]).sum(1)
+    home = np.array([v[0] for v in lists])
+    met = (home[i] == home[j]).astype(int) + meets[i, home[j]] + meets[j, home[i]]
     assert len(i) > 1000 and (met == 1).all()
