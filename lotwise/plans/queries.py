@@ -7,6 +7,7 @@ answers exist for labelled documents, so the unlabelled ones are the missing one
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,6 +18,7 @@ from lotwise.functions.adapters import adapter_for, route_requests
 from lotwise.functions.jsonlines import parse_lines, split_good_bad, strict_json
 from lotwise.functions.naming import drop_index_column, job_id, job_name, with_record_id
 from lotwise.functions.prompts import render, render_by_id, resolve_prompt, unknown_prompt_ids
+from lotwise.operators.calls import Throttled
 from lotwise.operators.joins import duplicate_ids, join_results, unmatched
 from lotwise.operators.ledger import (
     classify,
@@ -52,6 +54,7 @@ from lotwise.plans.collect import collect, extract, good_results, rejected_lines
 from lotwise.plans.prepare import build_manifest, build_requests, prepare, rejected_inputs, stamp
 from lotwise.plans.spec import JobSpec
 from lotwise.session import materialize, scratch_path
+from lotwise.sources.calls import call_keys, finished_calls
 from lotwise.sources.outputs import first_files, missing_outputs, path_chunk_idx
 from lotwise.sources.sinks import read_results, write_csv, write_requests
 from lotwise.sources.tables import read_dataset, read_input, stage_dataset
@@ -1163,6 +1166,59 @@ def rescore_failed(spark, d):
     return score_to(again, scratch_path(spark, "second-round")).select("doc_id", "response", "success", "error")
 
 
+def strict_text_client() -> Callable[[str], str]:
+    """Deterministic stand-in for a text model that takes every prompt."""
+    return lambda body: json.dumps(
+        {"content": [{"text": f"{len(json.loads(body)['messages'][0]['content'])} characters"}]}
+    )
+
+
+def busy_text_client() -> Callable[[str], str]:
+    """Deterministic stand-in for a busy service: it puts a prompt off as often as its length modulo 4 says."""
+    seen: dict[str, int] = {}
+
+    def answer(body: str) -> str:
+        prompt = json.loads(body)["messages"][0]["content"]
+        seen[body] = seen.get(body, 0) + 1
+        if seen[body] <= len(prompt) % 4:
+            raise Throttled("rate exceeded")
+        del seen[body]
+        return json.dumps({"content": [{"text": f"{len(prompt)} characters"}]})
+
+    return answer
+
+
+@query(
+    f"SELECT doc_id, (length(text) + 4) || ' characters' AS response, true AS success, "
+    f"CASE WHEN {REFUSED} THEN 1 ELSE 0 END AS run FROM documents"
+)
+def score_resume(spark, d):
+    """A run that some calls failed in, taken up by a second one: only those calls are made again."""
+    log = scratch_path(spark, "call-log")
+    docs = table(spark, d, "documents")
+    n = math.ceil(docs.count() / 4)
+    score_text(docs, sample_text_client, "{lang}: {text}", log=log, wave_calls=n)
+    scored = score_text(docs, strict_text_client, "{lang}: {text}", log=log, wave_calls=n)
+    body = F.to_json(adapter_for(TEXT_MODEL).inline_request(render(docs, "{lang}: {text}"), max_tokens=fixed.INLINE_MAX_TOKENS))
+    runs = finished_calls(spark, log).select("call_key", "call.run")
+    keyed = scored.withColumn("call_key", call_keys(body))
+    return keyed.join(runs, "call_key").select("doc_id", "response", "success", "run")
+
+
+@query(
+    "SELECT doc_id, CASE WHEN n % 4 < 3 THEN n || ' characters' END AS response, n % 4 < 3 AS success, "
+    "CASE WHEN n % 4 = 3 THEN 'rate exceeded' END AS error, CAST(least(n % 4 + 1, 3) AS INTEGER) AS tries "
+    "FROM (SELECT doc_id, length(doc_id || ': ' || text) AS n FROM documents)"
+)
+def score_throttled(spark, d):
+    """A service that throttles: calls are made again at a slower pace, those put off too often fail in their row."""
+    scored = score_text(
+        table(spark, d, "documents"), busy_text_client, "{doc_id}: {text}", attempts=3, backoff=0.0,
+        requests_per_second=1_000_000, in_flight=4, with_tries=True, hold=0.0, floor=0.5,
+    )
+    return scored.select("doc_id", "response", "success", "error", "tries")
+
+
 @query(
     f"SELECT count(*) AS processed, count(*) FILTER (NOT {REFUSED}) AS successful, "
     f"count(*) FILTER ({REFUSED}) AS failed FROM documents"

@@ -1,0 +1,237 @@
+"""Pace, retries and waves, with a clock of their own and a client that counts."""
+
+import json
+import os
+import sys
+import threading
+import time
+
+import pytest
+from pyspark import cloudpickle
+from pyspark.sql import functions as F
+
+from lotwise.operators.calls import CallPolicy, Clock, Pace, Throttled, call_all, looks_throttled
+from lotwise.operators.scoring import score_embeddings, score_text
+from lotwise.sources.calls import complete_waves, finished_calls
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+class Fake:
+    """A clock that only sleeping moves."""
+
+    def __init__(self, draws=()):
+        self.t, self.slept, self.draws = 0.0, [], iter(draws)
+        self.clock = Clock(lambda: self.t, self.sleep, lambda: next(self.draws, 1.0))
+
+    def sleep(self, seconds):
+        self.slept.append(round(seconds, 6))
+        self.t += seconds
+
+
+def run(client, bodies, policy, fake):
+    pace = Pace(policy, fake.clock)
+    return list(call_all(client, bodies, policy, pace, fake.clock)), pace
+
+
+def test_even_pace():
+    fake, at = Fake(), []
+    out, _ = run(lambda b: at.append(fake.t) or b, list("abcd"), CallPolicy(rate=4), fake)
+    assert out == [(b, None, 1) for b in "abcd"] and at == [0, 0.25, 0.5, 0.75]
+
+
+def test_time_without_calls_is_no_credit():
+    fake, at = Fake(), []
+
+    def slow_then_quick(body):
+        at.append(fake.t)
+        fake.t += 5 if body == "a" else 0
+        return body
+
+    run(slow_then_quick, list("abc"), CallPolicy(rate=1), fake)
+    assert at == [0, 5, 6]
+
+
+def test_rate_is_halved_and_comes_back():
+    fake, rates = Fake(), []
+    policy = CallPolicy(rate=8, attempts=4, backoff=1, hold=0, gain=0.25)
+    answers = iter([Throttled(), Throttled(), "x", "y", "z", "w"])
+    pace = Pace(policy, fake.clock)
+
+    def client(_):
+        rates.append(pace.rate)
+        answer = next(answers)
+        if isinstance(answer, Exception):
+            raise answer
+        return answer
+
+    out = list(call_all(client, list("abcd"), policy, pace, fake.clock))
+    assert out == [("x", None, 3), ("y", None, 1), ("z", None, 1), ("w", None, 1)]
+    assert rates == [8, 4, 2, 4, 6, 8] and pace.rate == 8
+    # Waits drawn in full, 1 and 2 seconds, are longer than the pace asks for; then calls keep the pace.
+    assert fake.slept == [1.0, 2.0, 0.5, 0.25, round(1 / 6, 6)]
+
+
+def test_throttling_at_once_cuts_once_and_not_below_the_floor():
+    fake = Fake()
+    pace = Pace(CallPolicy(rate=8, hold=1.0, floor=0.25), fake.clock)
+    for _ in range(5):
+        pace.slower()
+    assert pace.rate == 4
+    for _ in range(5):
+        fake.t += 1
+        pace.slower()
+    assert pace.rate == 2
+
+
+def test_full_jitter_and_longest_wait():
+    fake = Fake(draws=[0.5, 0.0, 1.0, 0.25])
+
+    def down(_):
+        raise RuntimeError("down")
+
+    out, _ = run(down, ["a"], CallPolicy(attempts=5, backoff=4, longest_wait=10), fake)
+    assert out == [(None, "down", 5)] and fake.slept == [2.0, 0.0, 10.0, 2.5]
+
+
+def test_other_errors_do_not_slow_the_pace():
+    fake = Fake()
+
+    def bad(_):
+        raise ValueError("no such field")
+
+    _, pace = run(bad, ["a", "b"], CallPolicy(rate=5, hold=0), fake)
+    assert pace.rate == 5
+    assert looks_throttled(RuntimeError("ThrottlingException: Rate exceeded")) and looks_throttled(Throttled())
+    assert not looks_throttled(ValueError("no such field"))
+
+
+def test_calls_in_flight_are_bounded_and_ordered():
+    lock, now, most = threading.Lock(), 0, 0
+
+    def client(body):
+        nonlocal now, most
+        with lock:
+            now += 1
+            most = max(most, now)
+        time.sleep(0.002 * (int(body) % 3))
+        with lock:
+            now -= 1
+        return body
+
+    policy = CallPolicy(in_flight=4)
+    clock = Clock()
+    out = list(call_all(client, map(str, range(60)), policy, Pace(policy, clock), clock))
+    assert [o[0] for o in out] == [str(i) for i in range(60)] and 1 < most <= 4
+    for wrong in ({"rate": 0}, {"attempts": 0}, {"in_flight": 0}):
+        with pytest.raises(ValueError):
+            CallPolicy(**wrong)
+
+
+def counting(folder, deadly="", refused=""):
+    """A client that leaves a file per call, kills its process at one prompt and refuses another."""
+
+    def factory():
+        import uuid
+
+        def answer(body):
+            prompt = json.loads(body)["messages"][0]["content"]
+            if deadly and deadly in prompt:
+                os._exit(1)
+            with open(f"{folder}/{uuid.uuid4().hex}", "w") as out:
+                out.write(prompt)
+            if refused and refused in prompt:
+                raise RuntimeError("refused")
+            return json.dumps({"content": [{"text": prompt.upper()}]})
+
+        return answer
+
+    return factory
+
+
+def calls_in(folder):
+    return sorted(open(f"{folder}/{name}").read() for name in os.listdir(folder))
+
+
+def texts(spark, n=40):
+    return spark.range(n).select(F.col("id").alias("k"), F.concat(F.lit("t"), F.format_string("%03d", "id")).alias("t"))
+
+
+def test_a_killed_run_is_resumed_without_repeated_calls(spark, tmp_path):
+    log, folder = f"{tmp_path}/log", str(tmp_path / "calls")
+    os.mkdir(folder)
+    rows = texts(spark)
+    # The client dies in some wave: the run fails, and what was finished before stays.
+    with pytest.raises(Exception):
+        score_text(rows, counting(folder, deadly="t017"), "{t}", log=log, wave_calls=8)
+    kept = {r.call_key for r in finished_calls(spark, log).collect()}
+    before = calls_in(folder)
+    waves = len(complete_waves(spark, log))
+    assert waves < 5 and len(kept) == sum(len(set(spark.read.parquet(w).toPandas().call_key)) for w in complete_waves(spark, log))
+    again = str(tmp_path / "again")
+    os.mkdir(again)
+    scored = score_text(rows, counting(again), "{t}", log=log, wave_calls=8)
+    assert {(r.k, r.response, r.success) for r in scored.collect()} == {(i, f"T{i:03d}", True) for i in range(40)}
+    # No call of a finished wave is made again; a wave that was cut off is made whole.
+    assert len(calls_in(again)) == 40 - len(kept) and len(kept) <= len(before)
+    third = str(tmp_path / "third")
+    os.mkdir(third)
+    assert score_text(rows, counting(third), "{t}", log=log).filter("success").count() == 40
+    assert calls_in(third) == [] and not os.path.exists(f"{log}/calls/run=2/_temporary")
+
+
+def test_first_waves_survive_the_death_of_a_later_one(spark, tmp_path):
+    """The deadly prompt is put in the last wave."""
+    log, folder = f"{tmp_path}/log", str(tmp_path / "calls")
+    os.mkdir(folder)
+    from lotwise.functions.adapters import MessagesAdapter
+    from lotwise.sources.calls import call_keys
+
+    body = F.to_json(MessagesAdapter().inline_request(F.col("t"), max_tokens=500))
+    wave = F.pmod(F.pmod(F.xxhash64(call_keys(body)), F.lit(1 << 20)), F.lit(4))
+    of_wave = {r.t: r.w for r in texts(spark).select("t", wave.alias("w")).collect()}
+    deadly = next(t for t, w in of_wave.items() if w == 3)
+    with pytest.raises(Exception):
+        score_text(texts(spark), counting(folder, deadly=deadly), "{t}", log=log, wave_calls=10)
+    assert len(complete_waves(spark, log)) == 3
+    again = str(tmp_path / "again")
+    os.mkdir(again)
+    assert score_text(texts(spark), counting(again), "{t}", log=log, wave_calls=10).filter("success").count() == 40
+    assert set(calls_in(again)) == {t for t, w in of_wave.items() if w == 3} and len(calls_in(again)) == len(set(calls_in(again)))
+
+
+def test_equal_requests_are_one_call_and_failed_ones_are_made_again(spark, tmp_path):
+    log, folder = f"{tmp_path}/log", str(tmp_path / "calls")
+    os.mkdir(folder)
+    rows = texts(spark, 6).unionByName(texts(spark, 3)).unionByName(texts(spark, 1).withColumn("t", F.lit(None).cast("string")))
+    scored = score_text(rows, counting(folder, refused="t004"), "{t}", log=log, with_tries=True, attempts=2, backoff=0)
+    out = sorted((r.k, r.response, r.success, r.error, r.tries) for r in scored.collect())
+    want = [(i, f"T{i:03d}", True, None, 1) for i in (0, 0, 1, 1, 2, 2, 3)]
+    assert out == [*want, (4, None, False, "refused", 2), (5, "T005", True, None, 1)]
+    assert calls_in(folder) == [f"t{i:03d}" for i in (0, 1, 2, 3, 4, 4, 5)]
+    scored = score_text(rows, counting(folder), "{t}", log=log)
+    assert scored.filter("success").count() == 9 and calls_in(folder).count("t004") == 3
+    # Another model is another call, and so is another prompt.
+    assert score_text(texts(spark, 1), counting(folder), "{t}", log=log, model="m2").count() == 1
+    assert calls_in(folder).count("t000") == 2
+
+
+def test_empty_tables_and_names(spark, tmp_path):
+    assert score_text(texts(spark, 0), counting(str(tmp_path)), "{t}", log=f"{tmp_path}/log").count() == 0
+    rows = texts(spark, 2).select("t", F.lit(1).alias("call"), F.lit("x").alias("answer"), F.lit(True).alias("success"))
+    folder = str(tmp_path / "c")
+    os.mkdir(folder)
+    got = score_text(rows, counting(folder), "{t}", log=f"{tmp_path}/log2")
+    assert got.columns == ["t", "call", "answer", "response", "success", "error"]
+    assert {tuple(r)[:4] for r in got.collect()} == {("t000", 1, "x", "T000"), ("t001", 1, "x", "T001")}
+    with pytest.raises(ValueError):
+        score_text(rows, counting(folder), "{t}", log=f"{tmp_path}/log3", wave_calls=0)
+
+
+def test_embeddings_with_a_log(spark, tmp_path):
+    def client():
+        return lambda body: json.dumps({"embedding": [1.0, 2.0], "inputTextTokenCount": len(json.loads(body)["inputText"])})
+
+    rows = spark.createDataFrame([("abc",), ("",), ("de",)], "input_text string")
+    got = score_embeddings(rows, client, log=f"{tmp_path}/log", requests_per_second=1000, in_flight=3)
+    assert {(r.input_text, r.token_count) for r in got.collect()} == {("abc", 3), ("de", 2)}
