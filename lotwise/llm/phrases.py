@@ -5,9 +5,9 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lotwise.llm.common import cut
+from lotwise.session import planned_bytes
 
 LONGEST = 5
 MIN_COUNT = 100
@@ -27,26 +28,24 @@ UNKNOWN = "und"
 #: The share of documents that proposes phrases, and how many deviations below its expected count one is proposed.
 SAMPLE = 1 / 8
 SLACK = 2.5
-#: Text that is counted together in a task, and the parts that a text is read in.
-BLOCK_BYTES = 8 << 20
-PART_BYTES = 1 << 20
-#: Words whose hashes a task remembers.
-MEMO = 400_000
+#: Text that is hashed together in a task, and the parts that a text is read in.
+BLOCK_BYTES = 2 << 20
+PART_CHARS = 1 << 20
+#: Counts that a task holds, by hash or by phrase, before it sends them on.
+HELD_HASHES = 1 << 21
+HELD_PHRASES = 200_000
+#: Input for each bucket of hashes that are counted together.
+BUCKET_BYTES = 4 << 20
 #: Bits for each phrase in a filter, and the most bits of one: 32 MB, whatever the corpus.
 FILTER_BITS = 16
 MOST_BITS = 1 << 28
 
-#: Piece marks become line feeds between spaces, tabs spaces, capitals small letters.
+#: Piece marks become line feeds, tabs spaces, capitals small letters.
 _FLAT = bytes(10 if b in b".,;:!?\n\x0b\x0c\r" else 32 if b == 9 else b for b in range(256)).lower()
 _BREAK = b"\n"
-
-
-class WordHashes(dict):
-    """64-bit hashes of words; 0 for the end of a piece."""
-
-    def __missing__(self, word: bytes) -> int:
-        value = self[word] = 0 if word == _BREAK else xxhash.xxh64_intdigest(word, 7) | 1
-        return value
+#: An odd multiplier of the rolling hash, and its inverse modulo 2^64.
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 1 << 64)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -55,37 +54,74 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def text_words(text: str, most: int = PART_BYTES) -> Iterator[list[bytes]]:
-    """Words of a text in parts, with a line feed where a piece ends."""
+def flat_parts(text: str) -> Iterator[bytes]:
+    """A text in parts of words between spaces, with a line feed where a piece ends."""
     at = 0
     while at < len(text):
-        end = at + most
+        end = at + PART_CHARS
         if end < len(text):
             # A part ends before a space, so no word is cut; without one it goes on to the end.
             end = text.find(" ", end)
             end = len(text) if end < 0 else end
-        flat = text[at:end].encode().translate(_FLAT).replace(_BREAK, b" \n ")
-        yield list(filter(None, flat.split(b" ")))
+        yield text[at:end].encode().translate(_FLAT)
         at = end
 
 
-@dataclass
+class Powers:
+    """Powers of the rolling hash's multiplier and of its inverse, as far as they were needed."""
+
+    def __init__(self) -> None:
+        self.up = self.down = np.ones(1, np.uint64)
+
+    def grown(self, n: int) -> Powers:
+        if len(self.up) < n:
+            n = max(n, BLOCK_BYTES + (BLOCK_BYTES >> 1))
+            self.up, self.down = (
+                np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n - 1, base, np.uint64)]), dtype=np.uint64)
+                for base in (_BASE, _INVERSE)
+            )
+        return self
+
+
 class Stream:
-    """Words of many texts one after another, all parted by line feeds.
+    """Words of many texts one after another, parted by line feeds, found and hashed as one run of bytes.
 
-    ``fresh`` is false for words that a run before this one has counted: the last ones of a text that goes on.
+    ``segments`` are texts or parts: a number for the language, bytes, and how many first words are there only as the
+    start of phrases, since the part before has counted them.
     """
 
-    words: list[bytes]
-    hashes: np.ndarray
-    fresh: np.ndarray
-    lang: np.ndarray
+    def __init__(self, segments: list[tuple[int, bytes, int]], powers: Powers) -> None:
+        self.buffer = b"".join(flat + _BREAK for _, flat, _ in segments)
+        data = np.frombuffer(self.buffer, np.uint8)
+        n = len(data)
+        breaks = data == 10
+        gaps = breaks | (data == 32)
+        first = ~gaps
+        first[1:] &= gaps[:-1]
+        starts = np.flatnonzero(first)
+        ends = np.flatnonzero(~gaps[:-1] & gaps[1:]) + 1
+        # Words and breaks in order.
+        self.starts = np.flatnonzero(first | breaks)
+        ended = breaks[self.starts]
+        self.ends = self.starts + 1
+        self.ends[~ended] = ends
+        powers = powers.grown(n)
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((data + np.uint64(1)) * powers.up[:n], dtype=np.uint64)])
+        word = (sums[ends] - sums[starts]) * powers.down[starts]
+        self.hashes = np.zeros(len(self.starts), np.uint64)
+        self.hashes[~ended] = _mixed(word + (ends - starts).astype(np.uint64)) | np.uint64(1)
+        sizes = np.array([len(flat) + 1 for _, flat, _ in segments])
+        at = np.cumsum(sizes) - sizes
+        of = np.searchsorted(at, self.starts, side="right") - 1
+        self.lang = np.array([lang for lang, _, _ in segments], np.uint64)[of]
+        place = np.arange(len(self.starts)) - np.searchsorted(self.starts, at)[of]
+        self.fresh = place >= np.array([seen for _, _, seen in segments])[of]
 
     def grams(self) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-        """Phrases of 1 word, 2 words, and so on: their number of words, starts, hashes, and those of all places before.
+        """Phrases of 1 word, 2 words, and so on: their number of words; by place their hashes, whether there is a
+        phrase of that many words, and whether it is to be counted.
 
-        A hash names the words, their order and the language. The last array has, by place, whether a phrase of that
-        many words starts there.
+        A hash names the words, their order and the language.
         """
         n = len(self.hashes)
         part = np.cumsum(self.hashes == 0)
@@ -94,49 +130,41 @@ class Stream:
             if n < k:
                 return
             if k > 1:
-                value = _mixed(value[:-1] * np.uint64(0x9E3779B97F4A7C15) + self.hashes[k - 1 :])
+                value = _mixed(value[:-1] * np.uint64(_BASE) + self.hashes[k - 1 :])
             # A piece end anywhere in the window rules it out.
             whole = (part[k - 1 :] == part[: n - k + 1]) & (self.hashes[: n - k + 1] != 0)
             yield k, value, whole, whole & self.fresh[k - 1 :]
 
+    def phrase(self, place: int, k: int) -> bytes:
+        found = self.buffer[self.starts[place] : self.ends[place + k - 1]]
+        return b" ".join(filter(None, found.split(b" ")))
+
 
-def _streams(batches: Iterator[pa.RecordBatch], memo: WordHashes) -> Iterator[Stream]:
-    """Runs of texts with about ``BLOCK_BYTES`` in all."""
-    words: list[bytes] = []
-    fresh: list[np.ndarray] = []
-    spans: list[tuple[int, int]] = []
+def _streams(rows: Iterator[tuple[str, str]]) -> Iterator[Stream]:
+    """Runs of texts (language, text) with about ``BLOCK_BYTES`` in all."""
+    powers = Powers()
+    segments: list[tuple[int, bytes, int]] = []
     held = 0
+    for lang, text in rows:
+        number, carry = xxhash.xxh64_intdigest(lang.encode(), 11), []
+        for part in flat_parts(text):
+            segments.append((number, b" ".join([*carry, part]), len(carry)))
+            held += len(part)
+            if len(text) > PART_CHARS:
+                # What follows may continue a phrase that starts in the last words.
+                tail = list(filter(None, part.replace(_BREAK, b" \n ").split(b" ")))
+                carry = (carry + tail)[-(LONGEST - 1) :]
+            if held >= BLOCK_BYTES:
+                yield Stream(segments, powers)
+                segments, held = [], 0
+    if segments:
+        yield Stream(segments, powers)
 
-    def stream() -> Stream:
-        if len(memo) > MEMO:
-            memo.clear()
-        hashes = np.fromiter(map(memo.__getitem__, words), np.uint64, len(words))
-        lang = np.repeat(
-            np.array([s[0] for s in spans], np.uint64), np.array([s[1] for s in spans], np.int64)
-        )
-        return Stream(words, hashes, np.concatenate(fresh), lang)
-
-    def put(part: list[bytes], seen: int, lang: int) -> None:
-        words.extend(part)
-        words.append(_BREAK)
-        new = np.ones(len(part) + 1, bool)
-        new[:seen] = False
-        fresh.append(new)
-        spans.append((lang, len(part) + 1))
 
+def _batch_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, str]]:
     for batch in batches:
         for lang, text in zip(batch.column("lang"), batch.column("text")):
-            of_lang, carry = xxhash.xxh64_intdigest(lang.as_py().encode(), 11), []
-            for part in text_words(text.as_py()):
-                put(carry + part, len(carry), of_lang)
-                held += sum(map(len, part)) + len(part)
-                # What follows may continue a phrase that starts in the last words.
-                carry = (carry + part)[-(LONGEST - 1) :]
-                if held >= BLOCK_BYTES:
-                    yield stream()
-                    words, fresh, spans, held = [], [], [], 0
-    if words:
-        yield stream()
+            yield lang.as_py(), text.as_py()
 
 
 class Filter:
@@ -176,16 +204,59 @@ def phrase_filter(phrases: DataFrame, n: int) -> Filter:
     return Filter(bits, bitmap)
 
 
-def _counted(known: Broadcast | None, before: Broadcast | None, lengths: tuple[int, ...]):
+class Counts:
+    """Counts by number of words and hash, sent on in packs: a row for each bucket of hashes and number of words.
+
+    Counts are cut at ``least``, which is all that matters of them.
+    """
+
+    def __init__(self, buckets: int, least: int) -> None:
+        self.shift = np.uint64(64 - (buckets - 1).bit_length()) if buckets > 1 else None
+        self.kind = "<u1" if least < 256 else "<u4"
+        self.least, self.held = least, 0
+        self.parts: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+
+    def add(self, k: int, hashes: np.ndarray) -> None:
+        found = np.unique(hashes, return_counts=True)
+        self.parts.setdefault(k, []).append(found)
+        self.held += len(found[0])
+
+    def sent(self) -> pa.RecordBatch:
+        out = {"bucket": [], "k": [], "hashes": [], "counts": []}
+        for k, parts in self.parts.items():
+            hashes, counts = summed(*map(np.concatenate, zip(*parts)))
+            packed = np.minimum(counts, self.least).astype(self.kind)
+            # Sorted hashes lie bucket by bucket: a bucket is their first bits.
+            bucket = np.zeros(len(hashes), np.int64) if self.shift is None else (hashes >> self.shift).astype(np.int64)
+            edges = np.concatenate([[0], np.flatnonzero(np.diff(bucket)) + 1, [len(bucket)]])
+            for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist()):
+                out["bucket"].append(int(bucket[lo]))
+                out["k"].append(k)
+                out["hashes"].append(hashes[lo:hi].tobytes())
+                out["counts"].append(packed[lo:hi].tobytes())
+        self.parts, self.held = {}, 0
+        kinds = {"bucket": pa.int64(), "k": pa.int32(), "hashes": pa.binary(), "counts": pa.binary()}
+        return pa.RecordBatch.from_pydict(out, pa.schema(kinds))
+
+
+def summed(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct hashes, sorted, with the sums of their counts."""
+    order = np.argsort(hashes, kind="stable")
+    hashes, counts = hashes[order], counts[order]
+    starts = np.flatnonzero(np.concatenate([np.ones(min(1, len(hashes)), bool), hashes[1:] != hashes[:-1]]))
+    return hashes[starts], np.add.reduceat(counts.astype(np.int64), starts) if len(starts) else counts
+
+
+def _counted(known: Broadcast | None, before: Broadcast | None, lengths: tuple[int, ...], buckets: int, least: int):
     """Counts by hash of the phrases of the given lengths whose first and last words but one are ``known``.
 
     Those that were as much with what was known ``before`` are left out: they have been counted. Single words are all
-    counted. What stands twice or more in a block is one row. ``proposed`` tells whether the phrase itself is known.
+    counted.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = WordHashes()
-        for stream in _streams(batches, memo):
+        counts = Counts(buckets, least)
+        for stream in _streams(_batch_rows(batches)):
             inside = done = None  # whether the phrase of k - 1 words at each place is known (before)
             for k, value, whole, fresh in stream.grams():
                 take = fresh
@@ -194,21 +265,32 @@ def _counted(known: Broadcast | None, before: Broadcast | None, lengths: tuple[i
                     if before is not None:
                         take &= ~(done[:-1] & done[1:])
                 if k in lengths and take.any():
-                    hashes, counts = np.unique(value[take], return_counts=True)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(np.full(len(hashes), k, np.int32)),
-                            pa.array(hashes.view(np.int64)),
-                            pa.array(_has(known.value[k - 1], hashes) if known else np.zeros(len(hashes), bool)),
-                            pa.array(counts.astype(np.int64)),
-                        ],
-                        ["k", "hash", "proposed", "n"],
-                    )
+                    counts.add(k, value[take])
                 if k == max(lengths):
                     break
                 inside = whole & _has(known.value[k - 1], value)
                 if before is not None:
                     done = whole & _has(before.value[k - 1], value)
+            if counts.held > HELD_HASHES:
+                yield counts.sent()
+        yield counts.sent()
+
+    return run
+
+
+def _totals(known: Broadcast | None, least: int):
+    """Hashes of a bucket that are found ``least`` times or more; ``proposed`` tells whether they were known."""
+    kind = "<u1" if least < 256 else "<u4"
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for k, part in rows.groupby("k"):
+            hashes = np.frombuffer(b"".join(part["hashes"]), np.uint64)
+            hashes, counts = summed(hashes, np.frombuffer(b"".join(part["counts"]), kind))
+            hashes = hashes[counts >= least]
+            proposed = _has(known.value[int(k) - 1], hashes) if known else np.zeros(len(hashes), bool)
+            out.append(pd.DataFrame({"k": int(k), "hash": hashes.view(np.int64), "proposed": proposed}))
+        return pd.concat(out)
 
     return run
 
@@ -216,14 +298,24 @@ def _counted(known: Broadcast | None, before: Broadcast | None, lengths: tuple[i
 def _texts(frequent: Broadcast):
     """Counts of the phrases themselves, of those that the filters of frequent ones hold."""
 
+    def sent(found: Counter[tuple[str, int, bytes]]) -> pa.RecordBatch:
+        langs, ks, phrases = zip(*found) if found else ([], [], [])
+        columns = [
+            pa.array(langs, pa.string()),
+            pa.array(ks, pa.int32()),
+            pa.array([p.decode() for p in phrases], pa.string()),
+            pa.array(found.values(), pa.int64()),
+        ]
+        found.clear()
+        return pa.RecordBatch.from_arrays(columns, ["lang", "k", "phrase", "n"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo, names = WordHashes(), {}
+        found: Counter[tuple[str, int, bytes]] = Counter()
         for batch in batches:
             # A stream has one language, so that its name can go with the counts.
-            for lang in batch.column("lang").unique():
+            for lang in batch.column("lang").unique().to_pylist():
                 mine = batch.filter(pc.equal(batch.column("lang"), lang))
-                for stream in _streams(iter([mine]), memo):
-                    found: Counter[tuple[int, bytes]] = Counter()
+                for stream in _streams(_batch_rows(iter([mine]))):
                     inside = None
                     for k, value, whole, fresh in stream.grams():
                         known = whole & _has(frequent.value[k - 1], value)
@@ -231,20 +323,12 @@ def _texts(frequent: Broadcast):
                             known &= inside[:-1] & inside[1:]
                         inside = known
                         at = np.flatnonzero(known & fresh)
-                        hashes, first, counts = np.unique(value[at], return_index=True, return_counts=True)
+                        _, first, counts = np.unique(value[at], return_index=True, return_counts=True)
                         for place, n in zip(at[first].tolist(), counts.tolist()):
-                            found[k, b" ".join(stream.words[place : place + k])] += n
-                    if found:
-                        (ks, phrases), n = zip(*found.keys()), list(found.values())
-                        yield pa.RecordBatch.from_arrays(
-                            [
-                                pa.array([lang.as_py()] * len(n)),
-                                pa.array(ks, pa.int32()),
-                                pa.array([p.decode() for p in phrases]),
-                                pa.array(n, pa.int64()),
-                            ],
-                            ["lang", "k", "phrase", "n"],
-                        )
+                            found[lang, k, stream.phrase(place, k)] += n
+                    if len(found) > HELD_PHRASES:
+                        yield sent(found)
+        yield sent(found)
 
     return run
 
@@ -252,10 +336,14 @@ def _texts(frequent: Broadcast):
 def _frequent(docs: DataFrame, known: Filters | None, before: Filters | None, lengths: tuple[int, ...], least: int):
     """Phrases by hash that :func:`_counted` finds ``least`` times or more, over all tasks."""
     sc = docs.sparkSession.sparkContext
-    counted = _counted(known and sc.broadcast(known), before and sc.broadcast(before), lengths)
-    counts = docs.mapInArrow(counted, "k int, hash long, proposed boolean, n long")
-    total = counts.groupBy("k", "hash", "proposed").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
-    return cut(total.drop("n"), "phrase-counts")
+    known, before = known and sc.broadcast(known), before and sc.broadcast(before)
+    buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), planned_bytes(docs) // BUCKET_BYTES)
+    buckets = 1 << (buckets - 1).bit_length()
+    counts = docs.select("lang", "text").mapInArrow(
+        _counted(known, before, lengths, buckets, least), "bucket long, k int, hashes binary, counts binary"
+    )
+    total = counts.groupBy("bucket").applyInPandas(_totals(known, least), "k int, hash long, proposed boolean")
+    return cut(total, "phrase-counts")
 
 
 def _added(filters: Filters, found: DataFrame) -> Filters:
@@ -266,10 +354,10 @@ def _added(filters: Filters, found: DataFrame) -> Filters:
 
 
 def frequent_filters(docs: DataFrame, least: int = MIN_COUNT, sample: float = SAMPLE) -> tuple[Filters, int]:
-    """Filters that hold every phrase of ``docs`` (``lang, text``) found ``least`` times or more, and the passes made.
+    """Filters that hold every phrase of ``docs`` found ``least`` times or more, and the number of passes over all.
 
-    Single words are counted over all documents: each is proposed or on the border. A sample of the documents, drawn
-    by hash, then proposes longer phrases, length by length, at a lower threshold. One pass over all documents counts
+    ``docs`` has ``lang, text`` and ``draw``, a hash of the row. Single words are counted over all documents: each is
+    proposed or on the border. A sample of the documents, those with small draws, then proposes longer phrases, length by length, at a lower threshold. One pass over all documents counts
     those and the negative border: phrases that are not proposed while their first and last words but one are. A
     phrase of the border that turns out frequent is added to the proposed ones, which makes a new border of phrases
     around it; passes go on until none of it is frequent.
@@ -280,7 +368,7 @@ def frequent_filters(docs: DataFrame, least: int = MIN_COUNT, sample: float = SA
     frequent = _added([[] for _ in range(LONGEST)], words)
     known, before, passes = frequent, None, 1
     # The sample: a phrase is proposed if it is not much rarer there than a frequent one would be.
-    part = docs.filter(F.pmod(F.xxhash64(F.lit(5), "text"), F.lit(1 << 20)) < int(sample * (1 << 20)))
+    part = docs.filter(F.pmod(F.col("draw"), F.lit(1 << 20)) < int(sample * (1 << 20)))
     expected = least * sample
     low = max(1, math.floor(expected - SLACK * math.sqrt(expected)))
     for k in range(2, LONGEST + 1):
@@ -302,7 +390,7 @@ def phrase_counts(docs: DataFrame, least: int = MIN_COUNT, sample: float = SAMPL
     """Phrases of 1 to 5 words found ``least`` times or more in a language: ``lang, k, phrase, n``, counted exactly."""
     filters, _ = frequent_filters(docs, least, sample)
     frequent = docs.sparkSession.sparkContext.broadcast(filters)
-    counts = docs.mapInArrow(_texts(frequent), "lang string, k int, phrase string, n long")
+    counts = docs.select("lang", "text").mapInArrow(_texts(frequent), "lang string, k int, phrase string, n long")
     total = counts.groupBy("lang", "phrase").agg(F.first("k").alias("k"), F.sum("n").alias("n"))
     return cut(total.filter(F.col("n") >= least), "phrases")
 
@@ -320,10 +408,12 @@ def collocations(
     counted), and so is the arithmetic.
 
     Null and empty texts hold no words. Documents without a language are those of ``und``. Every row counts, repeated
-    ones too; ids are not used. An empty table gives an empty result. Other columns are ignored.
+    ones too; ids only draw the sample. An empty table gives an empty result. Other columns are ignored.
     """
     lang = F.coalesce(F.col("lang").cast("string"), F.lit(UNKNOWN)).alias("lang")
-    rows = docs.filter(F.col("text").isNotNull()).select(lang, "text")
+    # Copies of a text are drawn each on its own, where rows have ids.
+    draw = F.xxhash64(F.lit(5), *(["doc_id"] if "doc_id" in docs.columns else []), "text").alias("draw")
+    rows = docs.filter(F.col("text").isNotNull()).select(lang, "text", draw)
     found = phrase_counts(rows, least, sample)
     words = F.sum(F.regexp_count("text", F.lit(r"[^ \t.,;:!?\n\x0B\f\r]+"))).cast("long")
     totals = cut(rows.groupBy("lang").agg(words.alias("n")), "words")

@@ -4,6 +4,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from lotwise.llm import phrases
@@ -70,10 +71,9 @@ def test_equals_plain(spark, least, top):
 
 
 def test_in_parts(spark, monkeypatch):
-    """Texts in small parts, blocks of few words, a hash memory that is dropped all the time."""
-    monkeypatch.setattr(phrases.text_words, "__defaults__", (40,))
-    monkeypatch.setattr(phrases, "BLOCK_BYTES", 200)
-    monkeypatch.setattr(phrases, "MEMO", 3)
+    """Texts in small parts, blocks of few words, counts that are sent on all the time."""
+    for name, value in {"PART_CHARS": 40, "BLOCK_BYTES": 200, "HELD_HASHES": 20, "HELD_PHRASES": 5}.items():
+        monkeypatch.setattr(phrases, name, value)
     assert found(spark, documents(), least=8) == plain(documents(), 8)
 
 
@@ -84,10 +84,50 @@ def test_full_filters(spark, monkeypatch):
     assert found(spark, documents(), least=8) == plain(documents(), 8)
 
 
+def test_streams(monkeypatch):
+    """Words and phrases of a run of bytes, cut into parts at will."""
+    rows = [("en", r[1]) for r in documents() if r[1]]
+    for part, block in ((1 << 20, 1 << 20), (30, 100), (7, 1)):
+        monkeypatch.setattr(phrases, "PART_CHARS", part)
+        monkeypatch.setattr(phrases, "BLOCK_BYTES", block)
+        got = Counter()
+        for stream in phrases._streams(iter(rows)):
+            for k, value, whole, fresh in stream.grams():
+                assert not (fresh & ~whole).any()
+                got.update((k, stream.phrase(i, k).decode(), int(value[i])) for i in np.flatnonzero(fresh).tolist())
+        names = Counter()
+        for (k, phrase, _), n in got.items():
+            names[phrase] += n
+        want = Counter()
+        for _, text in rows:
+            low = "".join(c.lower() if c.isascii() else c for c in text)
+            for piece in re.split("[.,;:!?\x0a-\x0d]", low):
+                w = re.findall("[^\x20\x09]+", piece)
+                want.update(" ".join(w[i : i + k]) for k in range(1, 6) for i in range(len(w) - k + 1))
+        assert names == want and len(got) == len(want)  # one hash for each phrase
+
+
+def test_counts_are_cut_but_decide_alike():
+    rng = np.random.default_rng(1)
+    counts, want = phrases.Counts(4, 100), Counter()
+    packs = []
+    for _ in range(5):
+        hashes = rng.integers(0, 1 << 63, 40, dtype=np.uint64)[rng.integers(0, 40, 900)] * np.uint64(2)
+        hashes = np.concatenate([hashes, np.full(300, 1 << 62, np.uint64)])
+        counts.add(2, hashes)
+        want.update(hashes.tolist())
+        packs.append(counts.sent().to_pandas())
+    rows = pd.concat(packs)
+    assert len(set(rows["bucket"])) == 4
+    found = [phrases._totals(None, 100)(part) for _, part in rows.groupby("bucket")]
+    got = set(pd.concat(found)["hash"].to_numpy(np.int64).view(np.uint64).tolist())
+    assert got == {h for h, n in want.items() if n >= 100} and 1 << 62 in got
+
+
 def test_border_failures(spark):
     """A sample of next to nothing proposes no phrase: every length is found by a pass around the last one."""
     rows = documents()
-    frame = spark.createDataFrame(rows, SCHEMA).filter("text IS NOT NULL").selectExpr("coalesce(lang, 'und') lang", "text")
+    frame = spark.createDataFrame(rows, SCHEMA).filter("text IS NOT NULL").selectExpr("coalesce(lang, 'und') lang", "text", "xxhash64(doc_id, text) draw")
     _, passes = phrases.frequent_filters(frame, 8, 1e-6)
     assert passes >= 5  # words, pairs, and one pass for each length that a failure opens
     assert found(spark, rows, least=8, sample=1e-6) == plain(rows, 8)
