@@ -6,7 +6,7 @@ from lotwise.operators.scoring import score_embeddings, score_text, score_to
 from lotwise.plans.collect import collect, good_results, rejected_lines, run_collect
 from lotwise.plans.prepare import prepare
 from lotwise.plans.spec import JobSpec, Layout
-from lotwise.sources.sinks import read_results
+from lotwise.sources.results import read_results, read_states
 from lotwise.sources.tables import read_input, stage_dataset
 from lotwise.streaming.collect import stream_collect
 from lotwise.streaming.status import fold_events, read_log
@@ -24,6 +24,7 @@ __all__ = [
     "read_input",
     "read_log",
     "read_results",
+    "read_states",
     "register_adapter",
     "register_prompt",
     "rejected_lines",

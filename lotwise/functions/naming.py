@@ -45,7 +45,7 @@ def with_record_id(df: DataFrame, prefix: str, run: str = "") -> DataFrame:
 
 
 # Columns that a run adds; input columns of these names are kept under other names until the results are read.
-RESERVED = ("ordinal", "chunk_idx", "state", "output_line")
+RESERVED = ("ordinal", "chunk_idx", "state", "output_line", "results_version")
 _KEPT = "__own_"
 
 

@@ -18,8 +18,15 @@ from lotwise.operators.ledger import collectable_jobs
 from lotwise.operators.numbering import SMALL_ROWS
 from lotwise.plans.spec import JobSpec
 from lotwise.session import sized_shuffles
-from lotwise.sources.outputs import first_files, list_outputs, locate_bad_lines, missing_outputs, read_outputs
-from lotwise.sources.sinks import write_results
+from lotwise.sources.outputs import (
+    first_files,
+    list_outputs,
+    locate_bad_lines,
+    missing_outputs,
+    path_job_id,
+    read_outputs,
+)
+from lotwise.sources.results import read_states, write_results
 from lotwise.sources.tables import read_inputs
 
 # Lets the join on (chunk, id) use the partitioning by chunk that the files need anyway.
@@ -177,11 +184,13 @@ def run_collect(
     chunks: list[int] | None = None,
     on_bad: str = "quarantine",
     on_missing: str = "fail",
+    keep_replaced: bool = False,
 ) -> DataFrame:
     """Write ``results/chunk_idx=N/state=...`` in one pass over the outputs and return the written table.
 
     With a ledger, a completed job without an output file stops the run, or becomes a
-    row of state ``missing`` (``on_missing="report"``). Given ``chunks`` are replaced whole.
+    row of state ``missing`` (``on_missing="report"``). Given ``chunks`` are replaced whole, in one step:
+    until then, and if the run fails, readers see the rows of before (``keep_replaced``: see ``write_results``).
 
     Both sides are shuffled once, by chunk: that serves the file gate, the join on
     (chunk, id) and the one-file-per-chunk layout together. Chunks have equal,
@@ -211,10 +220,20 @@ def run_collect(
         states = states.unionByName(_missing_rows(missing, states), allowMissingColumns=True)
     with sized_shuffles(spark, lines, inputs, **BY_CHUNK):
         try:
-            write_results(states, spec.layout.results, chunks)
+            write_results(states, spec.layout.results, chunks, output_jobs(spark, spec, gate, chunks), keep_replaced)
         except Exception as exc:
             raise _located(spark, exc, adapter.output_schema) from exc
-    return spark.read.schema(states.schema).parquet(spec.layout.results)
+    return read_states(spark, spec.layout.results, states.schema)
+
+
+def output_jobs(spark: SparkSession, spec: JobSpec, gate: Gate, chunks: list[int] | None) -> DataFrame:
+    """Jobs whose files are used: ``chunk_idx, job_id``, from file names alone."""
+    return gate_jobs(gate, list_outputs(spark, spec.layout.outputs, chunks, spec.output_glob))
+
+
+def gate_jobs(gate: Gate, files: DataFrame) -> DataFrame:
+    files = files if gate.files is None else gate.files
+    return files.select("chunk_idx", path_job_id(F.col("file_path")).alias("job_id")).distinct()
 
 
 def _missing_rows(missing: DataFrame, states: DataFrame) -> DataFrame:

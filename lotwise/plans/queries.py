@@ -56,7 +56,8 @@ from lotwise.plans.spec import JobSpec
 from lotwise.session import materialize, scratch_path
 from lotwise.sources.calls import call_keys, finished_calls
 from lotwise.sources.outputs import first_files, missing_outputs, path_chunk_idx
-from lotwise.sources.sinks import read_results, write_csv, write_requests
+from lotwise.sources.results import read_results, read_states
+from lotwise.sources.sinks import write_csv, write_requests
 from lotwise.sources.tables import read_dataset, read_input, stage_dataset
 from lotwise.streaming.collect import stream_collect
 from lotwise.streaming.status import fold_events, read_log, route_events
@@ -809,6 +810,34 @@ def chunk_rerun_turns_bad(spark, d):
     return table_.groupBy("chunk_idx", (F.col("state") == "ok").alias("good")).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+@query(
+    f"SELECT chunk_idx, CASE WHEN chunk_idx % 2 = 1 THEN 'second' ELSE 'first' END AS now, count(*) AS n_rows, "
+    f"'first' AS before FROM ({RUN_JOINED}) GROUP BY ALL"
+)
+def results_snapshot(spark, d):
+    """Every other chunk is collected anew; a reader that began before sees all of the first answers, also meanwhile."""
+    spec = _labelled_run(spark, d, "snapshot")
+    answers = spark.read.text(spec.layout.outputs)
+    first = read_after(spark, spec, answers, "first")
+    odd = spark.read.text(spec.layout.outputs).filter("chunk_idx % 2 = 1")
+    chunks = [r.chunk_idx for r in odd.select("chunk_idx").distinct().collect()]
+    read_after(spark, spec, odd, "second", chunks)
+    now = read_results(spark, spec.layout.results).groupBy("chunk_idx", F.col("response").alias("now"))
+    before = good_results(first).groupBy("chunk_idx").agg(F.max("response").alias("before"), F.min("response").alias("least"))
+    both = now.agg(F.count(F.lit(1)).alias("n_rows")).join(before.filter("before = least"), "chunk_idx")
+    return both.select("chunk_idx", "now", "n_rows", "before")
+
+
+def read_after(spark: SparkSession, spec: JobSpec, answers: DataFrame, text: str, chunks: list[int] | None = None) -> DataFrame:
+    """The results after all answers of the given lines were replaced by ``text``."""
+    rid = F.get_json_object("value", "$.recordId")
+    said = answers.select("chunk_idx", "job_id", _answer(F.lit(text), rid).alias("value"))
+    said = materialize(said, "answers")
+    writer = said.repartition("chunk_idx").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("chunk_idx", "job_id").text(spec.layout.outputs)
+    return run_collect(spark, spec, chunks=chunks, keep_replaced=True)
+
+
 @query(
     "SELECT d.doc_id, d.lang AS \"State\", d.doc_id || '-' || d.n_chars AS record_id, d.source AS \"Response_y\", "
     "d.n_chars * 2 AS ordinal, l.quality AS quality FROM documents d JOIN labels l ON d.doc_id = l.doc_id"

@@ -104,6 +104,11 @@ def children(spark: SparkSession, folder: str) -> list[str]:
     return sorted(status.getPath().getName() for status in files.listStatus(target))
 
 
+def make_folder(spark: SparkSession, folder: str) -> None:
+    files, target = _file_system(spark, folder)
+    files.mkdirs(target)
+
+
 def existing(spark: SparkSession, folder: str, names: list[str]) -> list[str]:
     """Paths of the named children of a folder that exist, by one listing of the folder."""
     found = set(children(spark, folder))

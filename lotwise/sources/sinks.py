@@ -1,14 +1,13 @@
-"""Writers of a run: inputs, request files, results, reports."""
+"""Writers of a run: inputs, request files, reports."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lotwise.functions.naming import brought_back
 from lotwise.operators.numbering import quoted
-from lotwise.session import drop_path, existing, sized_shuffles
+from lotwise.session import sized_shuffles
 
 
 def write_inputs(df: DataFrame, path: str) -> None:
@@ -53,27 +52,6 @@ def write_manifest(manifest: DataFrame, path: str, fmt: str = "parquet") -> None
     manifest.write.mode("overwrite").format(fmt).save(path)
 
 
-def write_results(df: DataFrame, path: str, chunks: list[int] | None = None) -> None:
-    """Write joined results as snappy Parquet under ``chunk_idx=N/state=S``.
-
-    With ``chunks`` only these are replaced, each as a whole: states and rows it had
-    before and has no more are gone. A repeated call leaves the same files.
-    """
-    writer = df.write.option("compression", "snappy").partitionBy("chunk_idx", "state")
-    if chunks is None:
-        writer.mode("overwrite").parquet(path)
-        return
-    for folder in existing(df.sparkSession, path, [f"chunk_idx={c}" for c in chunks]):
-        drop_path(df.sparkSession, folder)
-    writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
-
-
-def read_results(spark: SparkSession, path: str) -> DataFrame:
-    """All good chunk results under one prefix as one table."""
-    table = spark.read.option("mergeSchema", "true").parquet(path).filter(F.col("state") == "ok")
-    return brought_back(table.drop("state", "output_line"))
-
-
 def write_csv(df: DataFrame, path: str) -> None:
     """Write a table as CSV with a header; nested columns as JSON text. White space at the ends of values stays."""
     nested = (T.ArrayType, T.StructType, T.MapType)

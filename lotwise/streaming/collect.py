@@ -10,10 +10,12 @@ from pyspark.sql.streaming import StreamingQuery
 
 from lotwise import fixed
 from lotwise.functions.adapters import ModelAdapter
-from lotwise.plans.collect import BY_CHUNK, apply_gate, extract, joined_states, output_gate
+from lotwise.functions.naming import job_id
+from lotwise.operators.ledger import collectable_jobs
+from lotwise.plans.collect import BY_CHUNK, apply_gate, extract, gate_jobs, joined_states, output_gate
 from lotwise.session import children, sized_shuffles
-from lotwise.sources.outputs import path_chunk_idx, path_job_id, read_outputs
-from lotwise.sources.sinks import write_results
+from lotwise.sources.outputs import list_outputs, path_chunk_idx, path_job_id, read_outputs
+from lotwise.sources.results import built_jobs, write_results
 from lotwise.sources.tables import read_inputs
 
 
@@ -52,6 +54,46 @@ def watch_outputs(
     return scan.select(file_path.alias("file_path"), path_chunk_idx(file_path).alias("chunk_idx"))
 
 
+def due_jobs(spark: SparkSession, results: str, ledger: DataFrame, accept_partial: bool = False) -> DataFrame:
+    """Jobs to be collected that are not in the results: ``chunk_idx`` (null where the ledger has none), ``job_id``.
+
+    Reads the ledger and the commits of the results, a row per chunk, and neither results nor outputs.
+    """
+    chunk = F.col("chunk_idx").cast("int") if "chunk_idx" in ledger.columns else F.lit(None).cast("int")
+    jobs = ledger.select(chunk.alias("chunk_idx"), job_id(F.col("job_arn")).alias("job_id")).distinct()
+    jobs = jobs.join(collectable_jobs(ledger, accept_partial).distinct(), "job_id", "left_semi")
+    built = built_jobs(spark, results)
+    known = jobs.filter("chunk_idx IS NOT NULL").join(built, ["chunk_idx", "job_id"], "left_anti")
+    unknown = jobs.filter("chunk_idx IS NULL").join(built.select("job_id"), "job_id", "left_anti")
+    return known.unionByName(unknown)
+
+
+def due_chunks(
+    spark: SparkSession,
+    outputs: str,
+    results: str,
+    ledger: DataFrame,
+    accept_partial: bool = False,
+    glob: str = fixed.OUTPUT_FILE_GLOB,
+) -> list[int]:
+    """Chunks with a completed job whose file is there but not in the results: only their folders are listed.
+
+    A ledger that does not name a job's chunk makes it look through all of them.
+    """
+    waiting = due_jobs(spark, results, ledger, accept_partial).persist()
+    try:
+        chunks = [r.chunk_idx for r in waiting.select("chunk_idx").distinct().collect()]
+        if not chunks:
+            return []
+        files = list_outputs(spark, outputs, None if None in chunks else sorted(chunks), glob)
+        found = files.select("chunk_idx", "job_id").distinct()
+        there = found.join(waiting.select("job_id").distinct(), "job_id", "left_semi")
+        there = there.join(built_jobs(spark, results), ["chunk_idx", "job_id"], "left_anti")
+        return sorted(r.chunk_idx for r in there.select("chunk_idx").distinct().collect())
+    finally:
+        waiting.unpersist()
+
+
 def stream_collect(
     spark: SparkSession,
     outputs: str,
@@ -64,15 +106,17 @@ def stream_collect(
     glob: str = fixed.OUTPUT_FILE_GLOB,
     ledger: Callable[[SparkSession], DataFrame] | None = None,
     accept_partial: bool = False,
+    keep_replaced: bool = False,
 ) -> StreamingQuery:
     """Rebuild the results of each chunk that gets a new output file.
 
     The stream carries file names only. A touched chunk is built again from all its files
-    that count, as the batch collect would build it, and replaced whole, so a replayed
+    that count, as the batch collect would build it, and replaced in one step, so a replayed
     batch and any order of arrival leave the same results. ``ledger`` reads the ledger and
     is called for every batch: then only files of completed jobs count. A job may complete
     after its files arrived: chunks whose jobs are due but not in the results are rebuilt
-    when the stream starts, and by later batches.
+    when the stream starts, and by later batches. What is built stands in the commits of the
+    results, so a batch reads the files of its own chunks and no finished ones.
     """
 
     def rebuild(session: SparkSession, chunks: list[int]) -> None:
@@ -84,17 +128,12 @@ def stream_collect(
             lines = apply_gate(read, gate).repartition("chunk_idx")
             saved = read_inputs(session, inputs, some)
             states = joined_states(lines, saved.repartition("chunk_idx"), adapter.result_column)
+            jobs = gate_jobs(gate, list_outputs(session, outputs, some, glob))
             with sized_shuffles(session, saved, **BY_CHUNK):
-                write_results(states, results, some)
+                write_results(states, results, some, jobs, keep_replaced)
 
     def due(session: SparkSession) -> list[int]:
-        """Chunks with a completed job whose file is not in the results yet."""
-        gate = output_gate(session, outputs, ledger(session), accept_partial, glob=glob)
-        waiting = gate.files.select("chunk_idx", path_job_id(F.col("file_path")).alias("job_id"))
-        if children(session, results):
-            built = session.read.parquet(results).select("chunk_idx", "output_line.job_id")
-            waiting = waiting.join(built.distinct(), ["chunk_idx", "job_id"], "left_anti")
-        return sorted(r.chunk_idx for r in waiting.select("chunk_idx").distinct().collect())
+        return due_chunks(session, outputs, results, ledger(session), accept_partial, glob)
 
     def write_batch(batch: DataFrame, _: int) -> None:
         # Chunk numbers of the batch: no more than its files.

@@ -203,7 +203,8 @@ def test_collect(spark, tmp_path):
     }
     merged = read_results(spark, spec.layout.results)
     assert merged.count() == 12 and "output_line" not in merged.columns
-    assert len(files_in(f"{spec.layout.results}/chunk_idx=0/state=ok")) == 1
+    (version,) = os.listdir(f"{spec.layout.results}/chunk_idx=0/state=ok")
+    assert len(files_in(f"{spec.layout.results}/chunk_idx=0/state=ok/{version}")) == 1
     inputs = spark.read.parquet(spec.layout.inputs)
     sides = unmatched(inputs, merged).groupBy("side").count().collect()
     assert {tuple(r) for r in sides} == {("input", 13)}
