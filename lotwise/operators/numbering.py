@@ -75,7 +75,7 @@ def prefix_sum(df: DataFrame, order_by: Sequence[str], value: str, rows: int | N
     )
 
 
-def _with_offsets(rows: DataFrame, offsets: DataFrame, key: Sequence[str], blocks: int) -> DataFrame:
+def with_offsets(rows: DataFrame, offsets: DataFrame, key: Sequence[str], blocks: int) -> DataFrame:
     """Rows with their block's offset, by broadcasts of bounded size: rows are never shuffled for it.
 
     The map holds a 64-bit hash of each block's key. Where two keys share a hash, the key
@@ -120,7 +120,7 @@ def number_by_file(scan: DataFrame, limit: int | None = None, name: str = "ordin
     rows = scan.select(
         *columns, F.col("_metadata.file_path").alias(_FILE), F.col("_metadata.row_index").alias(_POS)
     )
-    numbered = _with_offsets(rows, offsets, [_FILE], files).select(
+    numbered = with_offsets(rows, offsets, [_FILE], files).select(
         *columns, (F.col(_OFFSET) + F.col(_POS)).alias(name)
     )
     return numbered if limit is None else numbered.filter(F.col(name) < limit)
@@ -153,7 +153,7 @@ def number_by_split(
     splits = blocks.count()
     offsets = prefix_sum(blocks, [_FILE, _START], "__n", splits)
     offsets = offsets.select(_FILE, _START, (F.col(_OFFSET) - F.col("__first")).alias(_OFFSET))
-    numbered = _with_offsets(staged, offsets, [_FILE, _START], splits).select(
+    numbered = with_offsets(staged, offsets, [_FILE, _START], splits).select(
         *columns, (F.col(_OFFSET) + F.col(_POS)).alias(name)
     )
     return numbered if limit is None else numbered.filter(F.col(name) < limit)
@@ -229,7 +229,7 @@ def number_by_key(
     tasks = partitions or shuffle_bound(df.sparkSession, source)
     counts = blocked.groupBy(_BLOCK).agg(F.count(F.lit(1)).alias("__n"))
     offsets = prefix_sum(counts, [_BLOCK], "__n", tasks).drop("__n")
-    numbered = _with_offsets(blocked, offsets, [_BLOCK], tasks).select(
+    numbered = with_offsets(blocked, offsets, [_BLOCK], tasks).select(
         *columns, (F.col(_OFFSET) + _in_task(F.col(_POS))).alias(name)
     )
     return numbered if limit is None else numbered.filter(F.col(name) < limit)

@@ -22,10 +22,15 @@ from lotwise.operators.joins import duplicate_ids
 from lotwise.operators.numbering import assign_chunks, assign_ordinals
 from lotwise.plans.spec import JobSpec
 from lotwise.session import scratch_scope
+from lotwise.sources.csv_split import read_split_csv
 from lotwise.sources.sinks import write_inputs, write_manifest, write_rejected, write_requests
 from lotwise.sources.tables import dataset_path, input_format, read_input
 
 
+#: The column of row numbers that a split CSV is read with.
+ROW_NUMBER = "__csv_row"
+
+
 def source_uri(spec: JobSpec) -> str:
     spec.check_source()
     return spec.input_uri if spec.input_uri is not None else dataset_path(spec.root, spec.dataset_id, spec.split)
@@ -36,6 +41,8 @@ def read_source(spark: SparkSession, spec: JobSpec) -> tuple[DataFrame, bool]:
     uri = source_uri(spec)
     if spec.dataset_id is not None:
         return spark.read.parquet(uri), False
+    if input_format(uri) == "csv" and spec.multi_line == "split":
+        return read_split_csv(spark, uri, ordinal=ROW_NUMBER), True
     return read_input(spark, uri, multi_line=spec.multi_line), input_format(uri) == "csv"
 
 
@@ -58,11 +65,17 @@ def stamp(df: DataFrame, spec: JobSpec, text_source: bool = False, run: str | No
 
     Input columns of these names are set aside; see ``brought_back``.
     """
-    renamed = set_aside(df)
+    numbers = df.columns[-1:] == [ROW_NUMBER]  # rows that were numbered when they were read
+    renamed = set_aside(df.drop(ROW_NUMBER) if numbers and spec.order_by else df)
     order = [dict(zip(df.columns, renamed.columns)).get(key, key) for key in spec.order_by]
-    numbered = assign_ordinals(
-        renamed, order, limit=spec.row_limit, unique=spec.order_is_unique, text_source=text_source
-    )
+    if numbers and not order:
+        numbered = renamed.withColumnRenamed(ROW_NUMBER, "ordinal")
+        if spec.row_limit is not None:
+            numbered = numbered.filter(F.col("ordinal") < spec.row_limit)
+    else:
+        numbered = assign_ordinals(
+            renamed, order, limit=spec.row_limit, unique=spec.order_is_unique, text_source=text_source
+        )
     run = spec.run_id if run is None else run
     stamped = with_record_id(assign_chunks(numbered, spec.chunk_size), spec.job_name_prefix, run)
     return drop_index_column(stamped, text_source)

@@ -53,7 +53,7 @@ from lotwise.operators.scoring import input_text_fallback, score_embeddings, sco
 from lotwise.plans.collect import collect, extract, good_results, rejected_lines, run_collect
 from lotwise.plans.prepare import build_manifest, build_requests, prepare, rejected_inputs, stamp
 from lotwise.plans.spec import JobSpec
-from lotwise.session import materialize, scratch_path
+from lotwise.session import materialize, scratch_path, settings
 from lotwise.sources.calls import call_keys, finished_calls
 from lotwise.sources.outputs import first_files, missing_outputs, path_chunk_idx
 from lotwise.sources.results import read_results, read_states
@@ -406,6 +406,18 @@ def read_csv_roundtrip(spark, d):
     return rows.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text")
 
 
+@query("SELECT doc_id, text, lang, n_chars FROM documents")
+def csv_split_scan(spark, d):
+    """One CSV file whose texts hold line breaks, quotes and commas, read in many splits."""
+    path = scratch_path(spark, "split") + ".csv"
+    rows = table(spark, d, "documents").select("doc_id", "text", "lang", "n_chars")
+    write_csv(rows.repartition(1), path)
+    size = sum(r.length for r in spark.read.format("binaryFile").load(path).select("length").collect())
+    with settings(spark, spark__sql__files__maxPartitionBytes=str(max(1, size // 16)), spark__sql__files__openCostInBytes="0"):
+        found = read_input(spark, path, multi_line="split")
+    return found.select(F.col("doc_id").cast("long"), "text", "lang", F.col("n_chars").cast("long"))
+
+
 @query("SELECT doc_id, lang, n_chars FROM documents")
 def csv_index_column(spark, d):
     """A CSV whose first header is blank, as saved with an index, loses that column."""

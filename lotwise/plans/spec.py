@@ -35,7 +35,8 @@ class JobSpec:
     never match. Limits are whole numbers; 0 jobs or records per job means no limit.
 
     ``multi_line`` reads CSV values with line breaks, at the price of one task per file.
-    For large CSV files without such values switch it off, so that files are split.
+    For large CSV files without such values switch it off, so that files are split; ``"split"`` splits
+    files with such values at the price of a second reading.
     """
 
     job_name_prefix: str
@@ -51,7 +52,7 @@ class JobSpec:
     order_by: Sequence[str] = ()
     order_is_unique: bool = False
     null_policy: str = "literal"
-    multi_line: bool = True
+    multi_line: bool | str = True
     unique_ids: bool = False
     output_glob: str = fixed.OUTPUT_FILE_GLOB
     run_id: str = ""
@@ -67,6 +68,8 @@ class JobSpec:
             value = getattr(self, name)
             if value is not None and (type(value) is not int or value < 0):
                 raise ValueError(f"{name} must be a whole number that is not negative: {value!r}")
+        if self.multi_line not in (True, False, "split"):
+            raise ValueError(f'multi_line must be true, false or "split": {self.multi_line!r}')
         if self.max_records_total == 0:
             raise ValueError("max_records_total must be positive when given")
 

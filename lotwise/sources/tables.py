@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.types import StructType
 
 from lotwise import fixed
 from lotwise.session import existing
+from lotwise.sources.csv_split import read_split_csv
 
 
 def input_format(uri: str) -> str:
@@ -19,19 +21,22 @@ def input_format(uri: str) -> str:
 
 
 def read_input(
-    spark: SparkSession, uri: str, schema: StructType | str | None = None, multi_line: bool = True
+    spark: SparkSession, uri: str, schema: StructType | str | None = None, multi_line: bool | str = True
 ) -> DataFrame:
     """Scan a CSV (header row, quoted line breaks) or Parquet table.
 
     CSV columns are strings unless a schema is given: nothing is inferred, so no
     extra pass is made and values keep their text. With ``multi_line`` one task reads
     a whole CSV file; switch it off where no value holds a line break, so that large
-    files are split.
+    files are split. ``multi_line="split"`` splits files whose values hold line breaks:
+    see ``read_split_csv``.
     """
     kind = input_format(uri)
     reader = spark.read if schema is None else spark.read.schema(schema)
     if kind == "parquet":
         return reader.parquet(uri)
+    if multi_line == "split":
+        return read_split_csv(spark, uri, T._parse_datatype_string(schema) if isinstance(schema, str) else schema)
     return reader.csv(uri, header=True, multiLine=multi_line, escape='"')
 
 
