@@ -188,20 +188,21 @@ def _has(filters: list[Filter], hashes: np.ndarray) -> np.ndarray:
     return found
 
 
-def phrase_filter(phrases: DataFrame, n: int) -> Filter:
-    """The bitmap of ``n`` phrases (``hash``), put together by Spark in pieces of 4 KB."""
+def phrase_filters(phrases: DataFrame) -> dict[int, Filter]:
+    """A bitmap for each number of words of the phrases (``k, hash``), put together by Spark in pieces of 4 KB."""
+    sizes = {r["k"]: r["count"] for r in phrases.groupBy("k").count().collect()}
     bits = 1 << 15
-    while bits < min(FILTER_BITS * n, MOST_BITS):
+    while bits < min(FILTER_BITS * max(sizes.values(), default=0), MOST_BITS):
         bits *= 2
     at = F.col("hash").bitwiseAND(F.lit(bits - 1))
-    pieces = phrases.groupBy(F.shiftright(at, 15).alias("piece")).agg(
+    pieces = phrases.groupBy("k", F.shiftright(at, 15).alias("piece")).agg(
         F.expr(f"bitmap_construct_agg(bitmap_bit_position((hash & {bits - 1}L) % 32768 + 1))").alias("bitmap")
     )
-    bitmap = np.zeros(bits // 8, np.uint8)
-    for r in pieces.toLocalIterator():
+    found = {k: np.zeros(bits // 8, np.uint8) for k in sizes}
+    for r in pieces.collect():  # at most the bits of a filter for each number of words
         part = np.frombuffer(bytes(r["bitmap"]), np.uint8)
-        bitmap[r["piece"] * 4096 : r["piece"] * 4096 + len(part)] = part
-    return Filter(bits, bitmap)
+        found[r["k"]][r["piece"] * 4096 : r["piece"] * 4096 + len(part)] = part
+    return {k: Filter(bits, bitmap) for k, bitmap in found.items()}
 
 
 class Counts:
@@ -248,28 +249,34 @@ def summed(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def _counted(known: Broadcast | None, before: Broadcast | None, lengths: tuple[int, ...], buckets: int, least: int):
-    """Counts by hash of the phrases of the given lengths whose first and last words but one are ``known``.
+    """Counts by hash of phrases of the given lengths whose first and last words but one are ``known``.
 
-    Those that were as much with what was known ``before`` are left out: they have been counted. Single words are all
-    counted.
+    Single words are all counted. Lengths of which nothing is known yet are held to be known: so a sample that knows
+    words alone counts all phrases of these words. With ``before``, what was known in a pass over the same documents,
+    phrases which that pass counted are left out, and those which it did not are held to be known as well.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = Counts(buckets, least)
         for stream in _streams(_batch_rows(batches)):
-            inside = done = None  # whether the phrase of k - 1 words at each place is known (before)
+            inside = done = None  # whether the phrase of k - 1 words at each place is known (was known before)
             for k, value, whole, fresh in stream.grams():
-                take = fresh
+                counted = False
+                reached = whole
                 if k > 1:
-                    take = fresh & inside[:-1] & inside[1:]
+                    reached = whole & inside[:-1] & inside[1:]
                     if before is not None:
-                        take &= ~(done[:-1] & done[1:])
+                        counted = done[:-1] & done[1:]
+                take = fresh & reached & ~counted if before is not None and k > 1 else fresh & reached
                 if k in lengths and take.any():
                     counts.add(k, value[take])
                 if k == max(lengths):
                     break
-                inside = whole & _has(known.value[k - 1], value)
+                filters = known.value[k - 1]
+                inside = whole & _has(filters, value) if filters else reached
                 if before is not None:
+                    if k > 1:
+                        inside = reached & (inside | ~counted)
                     done = whole & _has(before.value[k - 1], value)
             if counts.held > HELD_HASHES:
                 yield counts.sent()
@@ -347,9 +354,8 @@ def _frequent(docs: DataFrame, known: Filters | None, before: Filters | None, le
 
 
 def _added(filters: Filters, found: DataFrame) -> Filters:
-    """The filters, and one more for each length of the phrases found."""
-    sizes = {r["k"]: r["count"] for r in found.groupBy("k").count().collect()}
-    more = {k: phrase_filter(found.filter(F.col("k") == k), n) for k, n in sizes.items()}
+    """The filters, and one more for each number of words of the phrases found."""
+    more = phrase_filters(found)
     return [old + ([more[k]] if k in more else []) for k, old in enumerate(filters, 1)]
 
 
@@ -357,33 +363,39 @@ def frequent_filters(docs: DataFrame, least: int = MIN_COUNT, sample: float = SA
     """Filters that hold every phrase of ``docs`` found ``least`` times or more, and the number of passes over all.
 
     ``docs`` has ``lang, text`` and ``draw``, a hash of the row. Single words are counted over all documents: each is
-    proposed or on the border. A sample of the documents, those with small draws, then proposes longer phrases, length by length, at a lower threshold. One pass over all documents counts
-    those and the negative border: phrases that are not proposed while their first and last words but one are. A
-    phrase of the border that turns out frequent is added to the proposed ones, which makes a new border of phrases
-    around it; passes go on until none of it is frequent.
+    proposed or on the border. A sample of the documents, those with small draws, then proposes longer phrases of
+    frequent words at a lower threshold. One pass over all documents counts those and the negative border: phrases that
+    are not proposed while their first and last words but one are. Phrases of the border that turn out frequent open a
+    new border around them, and that another one: the next pass takes whatever it has not seen counted as proposed, so it
+    counts all of these borders at once. Were a frequent phrase still not counted, a shortest one would have first and
+    last words but one that are frequent and counted, hence known in one of the two passes, which then counted it.
 
     Counts are by hash: equal hashes of different phrases only add to a count, so nothing frequent is lost.
     """
+    longer = tuple(range(2, LONGEST + 1))
     words = _frequent(docs, None, None, (1,), least)
     frequent = _added([[] for _ in range(LONGEST)], words)
-    known, before, passes = frequent, None, 1
+    passes = 1
+    if not frequent[0]:
+        return frequent, passes
     # The sample: a phrase is proposed if it is not much rarer there than a frequent one would be.
     part = docs.filter(F.pmod(F.col("draw"), F.lit(1 << 20)) < int(sample * (1 << 20)))
     expected = least * sample
     low = max(1, math.floor(expected - SLACK * math.sqrt(expected)))
-    for k in range(2, LONGEST + 1):
-        if not known[k - 2]:
-            break
-        known = _added(known, _frequent(part, known, None, (k,), low))
-    # All documents: proposed phrases and their border, then the borders of what the border adds.
-    while True:
-        passes += 1
-        found = _frequent(docs, known, before, tuple(range(2, LONGEST + 1)), least)
-        frequent = _added(frequent, found)
-        grown = _added(known, found.filter(~F.col("proposed") & (F.col("k") < LONGEST)))
-        if grown == known:
-            return frequent, passes
-        before, known = known, grown
+    proposed = _closed(_added(frequent, _frequent(part, frequent, None, longer, low)))
+    found = _frequent(docs, proposed, None, longer, least)
+    frequent, passes = _added(frequent, found), passes + 1
+    failed = found.filter(~F.col("proposed") & (F.col("k") < LONGEST))
+    if not failed.isEmpty():
+        more = _frequent(docs, _added(proposed, failed), proposed, longer, least)
+        frequent, passes = _added(frequent, more), passes + 1
+    return frequent, passes
+
+
+def _closed(filters: Filters) -> Filters:
+    """An empty filter where a length has none: nothing of it is known."""
+    empty = Filter(1 << 15, np.zeros(1 << 12, np.uint8))
+    return [of_length or [empty] for of_length in filters]
 
 
 def phrase_counts(docs: DataFrame, least: int = MIN_COUNT, sample: float = SAMPLE) -> DataFrame:
