@@ -49,6 +49,7 @@ INPUT_PREVIEW = 100
 # Failure alarm.
 ALARM_PERIOD = "5 minutes"
 ALARM_THRESHOLD = 1
+JOB_TIMEOUT_HOURS = 24
 
 # Characters that Python's str.strip() removes.
 WHITESPACE = (

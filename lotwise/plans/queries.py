@@ -12,6 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from lotwise import fixed
 from lotwise.functions.adapters import adapter_for, route_requests
@@ -61,6 +62,7 @@ from lotwise.sources.sinks import write_csv, write_requests
 from lotwise.sources.tables import read_dataset, read_input, stage_dataset
 from lotwise.streaming.collect import stream_collect
 from lotwise.streaming.status import fold_events, read_log, route_events
+from lotwise.streaming.timers import alarm_transitions, expired_jobs, write_timed
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -1120,6 +1122,66 @@ def failure_periods(spark, d):
     return failure_windows(_status_events(spark, d))
 
 
+def _in_two_runs(spark: SparkSession, d: str, name: str, events: DataFrame, rows_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """What a stream with timers writes over events that arrive in two runs; a last event moves the clock past all."""
+    inbox, out, state = (scratch_path(spark, f"{name}-{part}") for part in ("inbox", "out", "state"))
+    events = materialize(events, f"{name}-events")
+    first, middle, last = events.agg(
+        F.min("event_ts"), F.timestamp_millis(F.avg(F.unix_millis("event_ts")).cast("long")), F.max("event_ts")
+    ).first()
+    end = F.lit(last) + F.expr("INTERVAL 10 DAYS")
+    closing = [
+        spark.range(1).select(
+            F.lit("closing").alias("job_arn"), F.lit("Submitted").alias("status"),
+            (end + F.make_dt_interval(days=F.lit(n))).alias("event_ts"), F.lit(n).cast("long").alias("seq"),
+        )
+        for n in range(2)
+    ]
+    parts = [events.filter(F.col("event_ts") <= F.lit(middle)), events.filter(F.col("event_ts") > F.lit(middle)), *closing]
+    for part in parts:
+        part.coalesce(1).write.mode("append").parquet(inbox)
+        stream = spark.readStream.schema(events.schema).parquet(inbox)
+        write_timed(rows_of(stream), out, state).awaitTermination()
+    return spark.read.parquet(out)
+
+
+#: A user's events up to the first completed one are a job's; failures are left out, so that jobs last for days.
+JOB_EVENTS = (
+    "SELECT job_arn, status, event_ts, seq FROM (SELECT *, min(CASE WHEN status = 'Completed' THEN event_ts END) "
+    f"OVER (PARTITION BY job_arn) AS ended FROM ({STATUS_EVENTS}) WHERE status NOT IN ('Failed', 'PartiallyCompleted')) "
+    "WHERE ended IS NULL OR event_ts <= ended"
+)
+
+
+@query(
+    "SELECT job_arn, 'Expired' AS status, s + INTERVAL 24 HOURS AS event_ts FROM ("
+    "SELECT job_arn, date_trunc('millisecond', min(event_ts)) AS s, min(CASE WHEN status = 'Completed' THEN "
+    "date_trunc('millisecond', event_ts) END) AS e "
+    f"FROM ({JOB_EVENTS}) WHERE status <> 'Running' GROUP BY job_arn) WHERE e IS NULL OR e > s + INTERVAL 24 HOURS"
+)
+def job_timeouts(spark, d):
+    """Jobs without a final state a day after their first event, by timers of a stream that was restarted midway."""
+    events = _status_events(spark, d).filter("status NOT IN ('Failed', 'PartiallyCompleted')")
+    ended = F.min(F.when(F.col("status") == "Completed", F.col("event_ts"))).over(Window.partitionBy("job_arn"))
+    jobs = events.withColumn("ended", ended).filter("ended IS NULL OR event_ts <= ended").drop("ended")
+    found = _in_two_runs(spark, d, "timeouts", jobs, expired_jobs)
+    return found.filter("job_arn <> 'closing'").select("job_arn", "status", "event_ts")
+
+
+@query(
+    "WITH w AS (SELECT time_bucket(INTERVAL '5 minutes', ts) AS p, count(*) AS n FROM events "
+    "WHERE event_type IN ('error', 'signup') GROUP BY 1), "
+    "m AS (SELECT *, lag(p) OVER (ORDER BY p) AS before, lead(p) OVER (ORDER BY p) AS after FROM w) "
+    "SELECT 'ALARM' AS state, p + INTERVAL 5 MINUTES AS at, n AS n_failed FROM m "
+    "WHERE before IS NULL OR before < p - INTERVAL 5 MINUTES UNION ALL "
+    "SELECT 'OK', p + INTERVAL 10 MINUTES, 0 FROM m WHERE after IS NULL OR after > p + INTERVAL 5 MINUTES"
+)
+def alarm_changes(spark, d):
+    """The failure alarm going on and off, by timers of a stream that was restarted midway."""
+    found = _in_two_runs(spark, d, "alarm", _status_events(spark, d), alarm_transitions)
+    return found.select("state", "at", "n_failed")
+
+
 # --- inline scoring ------------------------------------------------------------------------
 
 
