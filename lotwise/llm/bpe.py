@@ -134,6 +134,26 @@ class PairIndex:
         return symbol[alive], counts[np.concatenate([[0], ends])] if n else np.zeros(1, np.int64)
 
 
+#: Fixed values of the file format that the encoder stands for.
+NORMALIZERS = [
+    {"type": "NFC"},
+    {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "},
+    {"type": "Lowercase"},
+]
+SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+
+
+def check_split(spec: dict) -> None:
+    """Raises unless a tokenizer file normalises and splits text the way that words are cut here."""
+    steps = (spec.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+    if (spec.get("normalizer") or {}).get("normalizers") != NORMALIZERS:
+        raise ValueError("the encoder needs lower-casing after NFC and white space made one space")
+    if steps[0].get("pattern") != {"Regex": SPLIT} or [s.get("type") for s in steps] != ["Split", "ByteLevel"]:
+        raise ValueError("the encoder needs the word split that it is written for")
+    if spec.get("decoder") is not None or not spec["model"].get("end_of_word_suffix"):
+        raise ValueError("the encoder needs word ends and no decoder")
+
+
 class WordBpe:
     """Encoder and decoder of a tokenizer file with lower-casing, word ends and no decoder."""
 
@@ -143,6 +163,7 @@ class WordBpe:
 
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
+        check_split(spec)
         model = spec["model"]
         merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
         self.index = PairIndex(model["vocab"], merges, model["end_of_word_suffix"])

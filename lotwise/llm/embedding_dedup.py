@@ -37,11 +37,11 @@ DISTANCES = 1 << 20
 VECTOR_BYTES = 4 << 20
 CODE_BYTES = 16 << 20
 #: Queries whose tables, and codes whose sums, are held at once; candidate pairs that are checked at once.
-QUERIES = 256
+QUERIES = 128
 CODES = 2048
 PAIRS = 1 << 17
-#: More than single precision can lose in a sum of table entries.
-ROUNDING = 1e-4
+#: Table entries are whole numbers of this part of one, in 16 bits: sums stay below 4 as they are products of vectors.
+STEP = 2.0**-13
 SEED = 7
 
 
@@ -156,25 +156,28 @@ class Index:
         return codes, np.sqrt(left)
 
     def tables(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Products of queries with the centres (list by query) and with all words (subspace, word, query)."""
+        """Products of queries with the centres (list by query) and with all words (subspace, word, query), in steps."""
         parts = self._parts(queries)[:, : len(self.books)].astype(np.float32)
-        return (self.lists @ queries.T).astype(np.float32), np.einsum("swd,qsd->swq", self.books, parts)
+        words = np.einsum("swd,qsd->swq", self.books, parts)
+        return tuple(np.rint(table / STEP).astype(np.int16) for table in (self.lists @ queries.T, words))
 
     def candidates(
         self, queries: np.ndarray, home: np.ndarray, codes: np.ndarray, error: np.ndarray, cosine: float
     ) -> np.ndarray:
         """Which codes (by row) may stand for a vector that links with a query (by column).
 
-        The product of a query with what a code stands for is a sum of table entries. The vector itself is within
-        ``error`` of that, so its cosine is at most that much higher: no link is lost here.
+        The product of a query with what a code stands for is a sum of table entries, each off by half a step at most.
+        The vector itself is within ``error`` of that, so its cosine is at most that much higher: no link is lost here.
         """
         centres, words = self.tables(queries)
         total = centres[home]
         part = np.empty_like(total)
         for s, table in enumerate(words):
-            np.take(table, codes[:, s], axis=0, out=part)
+            # Every byte names a word: without a check of the range the rows go straight into place.
+            np.take(table, codes[:, s], axis=0, out=part, mode="clip")
             total += part
-        return total >= (cosine - ROUNDING - error).astype(np.float32)[:, None]
+        least = (cosine - error) / STEP - (len(words) + 1) / 2 - 2
+        return total >= np.floor(least).astype(np.int16)[:, None]
 
 
 Indexes = dict[int, Index]

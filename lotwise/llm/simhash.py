@@ -20,9 +20,8 @@ SHINGLE = 4
 SEED = 42
 BITS = 64
 MAX_DIFFERENT = 4
-#: Fingerprints that one side of a task's node pair should hold, and depths between which the trie is cut for tasks.
+#: Fingerprints that a trie node should hold, which is joined with itself by one task.
 NODE_ROWS = 1 << 15
-DEPTHS = (3, 16)
 #: Trie nodes of up to so many fingerprints are compared one by one.
 LEAF = 8
 #: Node pairs that a task expands at once.
@@ -130,47 +129,86 @@ def linked_pairs(a: np.ndarray, b: np.ndarray | None, most: int) -> Iterator[tup
             stack.append((depth + 1, [v[at : at + FRONT] for v in front]))
 
 
-def _join_nodes(most: int):
+def _rotated(values: np.ndarray, by: int) -> np.ndarray:
+    """64-bit numbers with their first ``by`` bits moved to the end; distances stay."""
+    return values << np.uint64(by) | values >> np.uint64(BITS - by) if by else values
+
+
+def _join_node(most: int, turns: list[int]):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        """Links of one pair of trie nodes, as one link from each fingerprint to the smallest of its group."""
+        """Links of one trie node, or of two, as one link from each fingerprint to the smallest of its group."""
         values = rows["print"].to_numpy(np.int64).view(np.uint64)
+        turned = _rotated(values, turns[int(rows["turn"].iloc[0])])
         left = rows["side"].to_numpy() == 0
-        a = np.sort(values[left])
-        if left.all():
-            both, pairs, shift = a, linked_pairs(a, None, most), 0
-        else:
-            b = np.sort(values[~left])
-            both, pairs, shift = np.concatenate([a, b]), linked_pairs(a, b, most), len(a)
+        if left.all() and rows["mask"].iloc[0]:
+            return pd.DataFrame({"a": values[:0].view(np.int64), "b": values[:0].view(np.int64)})
+        sides = [np.argsort(turned[left])] if left.all() else [np.argsort(turned[left]), np.argsort(turned[~left])]
+        ordered = [turned[left][sides[0]], turned[~left][sides[1]] if len(sides) > 1 else None]
+        both = np.concatenate([values[part][order] for part, order in zip((left, ~left), sides)])
+        shift = 0 if ordered[1] is None else len(ordered[0])
+        # The smallest number of a group is its root: by place in the order of the fingerprints themselves.
+        rank = np.argsort(both, kind="stable")
+        place = np.empty(len(both), np.int64)
+        place[rank] = np.arange(len(both))
         forest = Forest(len(both))
-        for x, y in pairs:
-            forest.link(x, y + shift)
-        roots = forest.all_roots()
+        for x, y in linked_pairs(*ordered, most):
+            forest.link(place[x], place[y + shift])
+        both, roots = both[rank], forest.all_roots()
         linked = np.flatnonzero(roots != np.arange(len(both)))
         return pd.DataFrame({"a": both[linked].view(np.int64), "b": both[roots[linked]].view(np.int64)})
 
     return run
 
 
+def _turns(most: int) -> list[tuple[int, int]]:
+    """Starts and widths of ``most + 1`` blocks of the bits: a pair that links agrees on one of them."""
+    edges = [round(i * BITS / (most + 1)) for i in range(most + 2)]
+    return [(lo, hi - lo) for lo, hi in zip(edges, edges[1:])]
+
+
+def trie_nodes(prints: DataFrame, n: int, most: int = MAX_DIFFERENT, node_rows: int = NODE_ROWS) -> DataFrame:
+    """``turn, low, mask, side, print``: each of ``n`` fingerprints under the trie nodes that it is joined in.
+
+    There is a trie for each turn of the bits, which puts another block of them first. A pair that links agrees on all
+    bits of a block, so in the trie that starts with it both are under one node, however deep inside the block. The tries
+    are cut for tasks at a depth that leaves about ``node_rows`` fingerprints under a node: ``most + 1`` copies of each,
+    whatever their number. Only where a whole block leaves larger nodes, these are cut by the bits that follow, and a
+    node also meets those that differ from it in up to ``most`` of these.
+    """
+    depth = max(0, math.ceil(math.log2(max(n, 1) / node_rows)))
+    parts = []
+    for turn, (start, width) in enumerate(_turns(most)):
+        first, more = min(depth, width), max(0, depth - width)
+        bits = F.col("print")
+        if start:
+            bits = F.shiftleft(bits, start).bitwiseOR(F.shiftrightunsigned(F.col("print"), BITS - start))
+        node = F.shiftrightunsigned(bits, BITS - first - more) if first else F.lit(0).cast("long")
+        masks = [m for m in range(1 << more) if m.bit_count() <= most]
+        rows = prints.select("print", node.alias("node"), F.explode(F.array(*[F.lit(m) for m in masks])).alias("mask"))
+        other = F.col("node").bitwiseXOR(F.col("mask").cast("long"))
+        parts.append(
+            rows.select(
+                F.lit(turn).alias("turn"),
+                F.least("node", other).alias("low"),
+                "mask",
+                (F.col("node") > other).cast("int").alias("side"),
+                "print",
+            )
+        )
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
 def print_links(prints: DataFrame, most: int = MAX_DIFFERENT, node_rows: int = NODE_ROWS) -> DataFrame:
     """Links between distinct fingerprints (``print``) that span the same groups as all pairs within ``most`` bits.
 
-    The trie is split over tasks at a depth that leaves about ``node_rows`` fingerprints under a node; a task joins a
-    pair of nodes whose prefixes differ in up to ``most`` bits.
+    The fingerprints under a node of :func:`trie_nodes` are one task, which walks the trie below it against itself.
     """
-    n = prints.count()
-    depth = min(max(math.ceil(math.log2(max(n, 1) / node_rows)), DEPTHS[0]), DEPTHS[1])
-    masks = [m for m in range(1 << depth) if m.bit_count() <= most]
-    node = F.shiftrightunsigned("print", BITS - depth)
-    # A node meets itself, and each node that differs from it by a mask: once, under the smaller name.
-    meets = prints.select("print", node.alias("node"), F.explode(F.array(*[F.lit(m) for m in masks])).alias("mask"))
-    other = F.col("node").bitwiseXOR(F.col("mask").cast("long"))
-    meets = meets.select(
-        "print",
-        F.least("node", other).alias("low"),
-        "mask",
-        (F.col("node") > other).cast("int").alias("side"),
-    )
-    return meets.groupBy("low", "mask").applyInPandas(_join_nodes(most), "a long, b long")
+    nodes = trie_nodes(prints, prints.count(), most, node_rows)
+    turns = [start for start, _ in _turns(most)]
+    return nodes.groupBy("turn", "low", "mask").applyInPandas(_join_node(most, turns), "a long, b long")
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:

@@ -140,13 +140,13 @@ def _bucketed(buckets: int):
                 out["runs"].append(np.diff(np.append(starts, len(key))).astype(np.int32).tobytes())
                 out["names"].append((name & np.uint64(0xFFFFFFFF)).astype(np.uint32).tobytes())
 
-            edges = np.searchsorted(bucket, np.arange(buckets + 1))
-            for b in range(buckets):
-                part = slice(edges[b], edges[b + 1])
-                if edges[b] < edges[b + 1]:
-                    put(b, False, key[part][fresh[part]], name[part][fresh[part]])
-                    if repeats[part].any():
-                        put(b, True, key[part][repeats[part]], name[part][repeats[part]])
+            # Only buckets that the block has, however many there are.
+            present, edges = np.unique(bucket, return_index=True)
+            for b, lo, hi in zip(present.tolist(), edges.tolist(), [*edges[1:].tolist(), len(bucket)]):
+                part = slice(lo, hi)
+                put(b, False, key[part][fresh[part]], name[part][fresh[part]])
+                if repeats[part].any():
+                    put(b, True, key[part][repeats[part]], name[part][repeats[part]])
             yield pa.RecordBatch.from_pydict(
                 out,
                 pa.schema(

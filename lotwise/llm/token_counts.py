@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lotwise.llm.common import cut
@@ -25,6 +26,16 @@ _ODD = r"\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200a\u2028\u2029\u202f\u205f\u300
 _PIECE = re.compile(rf"[ \t-\r]*[^ \t-\r]+(?:(?<=[{_ODD}])[ \t-\r]+[^ \t-\r]*)*|[ \t-\r]+")
 
 
+def check_split(spec: dict) -> None:
+    """Raises unless a tokenizer file cuts text like byte-level BPE does by default: ``_PIECE`` holds for no other."""
+    split = spec.get("pre_tokenizer") or {}
+    wanted = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+    if spec.get("normalizer") is not None or {k: split.get(k) for k in wanted} != wanted:
+        raise ValueError("token counts need a byte-level split without a prefix space, and no normaliser")
+    if any(re.search(r"\s", t["content"]) or t["lstrip"] or t["rstrip"] for t in spec.get("added_tokens", ())):
+        raise ValueError("token counts need special tokens that hold and take in no white space")
+
+
 class Counter:
     """Counts tokens of pieces with the library; a piece that came before is not encoded again."""
 
@@ -33,6 +44,7 @@ class Counter:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        check_split(json.loads(self.tokenizer.to_str()))
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.memo: dict[str, int] = {}
@@ -96,9 +108,9 @@ def _count(path: str):
     return run
 
 
-_KEY = ["doc_id", "text_hash", "n_bytes"]
+_KEY = ["text_hash", "other_hash", "n_bytes"]
 _CHUNK = (
-    "doc_id long, text_hash long, n_bytes long, k long, places array<long>, before array<long>, tokens long, last boolean"
+    "text_hash long, other_hash long, n_bytes long, k long, places array<long>, before array<long>, tokens long, last boolean"
 )
 
 
@@ -136,10 +148,6 @@ def _chunked(docs: DataFrame, path: str, chunk: int, overlap: int) -> DataFrame:
         "text_hash", "k"
     )
     counted = chunks.mapInArrow(_chunk(path, chunk, overlap), _CHUNK)
-    # Equal rows of the table have equal chunks: count them once, and the rows.
-    counted = counted.groupBy(*_KEY, "k").agg(
-        *(F.first(c).alias(c) for c in ("places", "before", "tokens", "last")), F.count("*").alias("times")
-    )
     order = Window.partitionBy(*_KEY).orderBy("k")
     following = F.lead("places").over(order)
     common = F.array_min(F.array_intersect("places", following))
@@ -148,9 +156,7 @@ def _chunked(docs: DataFrame, path: str, chunk: int, overlap: int) -> DataFrame:
     part = F.when(F.col("last"), F.col("tokens")).otherwise(tokens_at(F.col("to"))) - F.when(
         F.col("k") == 0, F.lit(0)
     ).otherwise(tokens_at(F.col("from")))
-    return spliced.groupBy(*_KEY).agg(
-        F.when(F.count(part) == F.count("*"), F.sum(part)).alias("n_tokens"), F.max("times").alias("times")
-    )
+    return spliced.groupBy(*_KEY).agg(F.when(F.count(part) == F.count("*"), F.sum(part)).alias("n_tokens"))
 
 
 def count_tokens(
@@ -159,9 +165,9 @@ def count_tokens(
     """Tokens of each text as the library gives them: ``doc_id, n_bytes, n_tokens, over_limit``.
 
     Texts of more than ``chunk`` characters are cut into chunks that overlap by ``overlap``, each encoded where it
-    lands. Two neighbours are spliced at a place in their overlap where both start a piece (see ``_PIECE``). Documents
-    with an overlap that holds no such place are counted again with chunks and overlaps twice as wide, until every one
-    is spliced; at the latest a document is one chunk.
+    lands, and equal texts once. Two neighbours are spliced at a place in their overlap where both start a piece (see
+    ``_PIECE``). Documents with an overlap that holds no such place are counted again with chunks and overlaps twice as
+    wide, until every one is spliced; at the latest a document is one chunk.
 
     A null text counts as empty, with 0 tokens. Repeated rows, and null or repeated ids, are counted row by row. An
     empty table gives an empty result. Other columns are ignored.
@@ -170,26 +176,21 @@ def count_tokens(
     rows = docs.select("doc_id", text.alias("text"), F.octet_length(text).cast("long").alias("n_bytes"))
     whole = F.length("text") <= chunk
     short = rows.filter(whole).mapInArrow(_count(path), "doc_id long, n_bytes long, n_tokens long")
-    huge = rows.filter(~whole).withColumn("text_hash", F.xxhash64("text"))
-    done, open_docs = [short], huge
+    hashes = [F.xxhash64("text").alias("text_hash"), F.xxhash64(F.lit(1), "text").alias("other_hash")]
+    named = rows.filter(~whole).select("doc_id", *hashes, "n_bytes", "text")
+    # A text that many rows hold is cut and counted once; copies meet before the shuffle as well.
+    huge = cut(named.groupBy(*_KEY).agg(F.first("text").alias("text")), "huge-texts")
+    open_docs, found = huge, []
     while True:
         spliced = cut(_chunked(open_docs, path, chunk, overlap), "token-chunks")
-        done.append(
-            spliced.filter("n_tokens IS NOT NULL").select(
-                "doc_id",
-                "n_bytes",
-                "n_tokens",
-                F.explode(F.array_repeat(F.lit(0), F.col("times").cast("int"))).alias("copy"),
-            ).drop("copy")
-        )
+        found.append(spliced.filter("n_tokens IS NOT NULL"))
         failed = spliced.filter("n_tokens IS NULL")
         if failed.isEmpty():
             break
         chunk, overlap = chunk * 2, overlap * 2
-        failed = failed.select(*(F.col(c).alias(f"__{c}") for c in _KEY))
-        same: list[Column] = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in _KEY]
-        open_docs = huge.join(failed, same[0] & same[1] & same[2], "left_semi")
-    out = done[0]
-    for more in done[1:]:
-        out = out.unionByName(more)
-    return out.withColumn("over_limit", F.col("n_tokens") > limit)
+        open_docs = huge.join(failed.select(*_KEY), _KEY, "left_semi")
+    counts = found[0]
+    for more in found[1:]:
+        counts = counts.unionByName(more)
+    long = named.select("doc_id", *_KEY).join(counts, _KEY).select("doc_id", "n_bytes", "n_tokens")
+    return short.unionByName(long).withColumn("over_limit", F.col("n_tokens") > limit)

@@ -138,28 +138,58 @@ def _payloads(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """The records as bytes: ``page_id, record_type, record, payload``; a revisit's record ends after its HTTP head."""
+    """The records as bytes: ``page_id, record_type, record, payload``; a revisit's record ends after its HTTP head.
+
+    A head whose payload is missing or differs fails the read.
+    """
     end = F.lit(END * 2).cast("binary")
-    both = read_heads(spark, path).join(_payloads(spark, path), "digest")
-    block = F.when(F.col("record_type") == "revisit", F.col("head")).otherwise(F.concat("head", "payload"))
-    return both.select("page_id", "record_type", F.concat(block, end).alias("record"), "payload")
+    both = read_heads(spark, path).join(_payloads(spark, path), "digest", "left")
+    missing = F.raise_error(F.concat(F.lit("no payload for record "), F.col("page_id").cast("string"))).cast("binary")
+    payload = F.when(F.col("payload").isNotNull(), F.col("payload")).otherwise(missing)
+    block = F.when(F.col("record_type") == "revisit", F.col("head")).otherwise(F.concat("head", payload))
+    return both.select("page_id", "record_type", F.concat(block, end).alias("record"), payload.alias("payload"))
 
 
-def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Facts of each archived page, from its head and its stored payload: ``page_id, payload_bytes, payload_digest,
-    record_type, refers_to``. A head whose payload is missing or differs fails the read."""
-    facts = _payloads(spark, path).select(
-        "digest",
-        F.octet_length("payload").cast("long").alias("payload_bytes"),
-        F.sha1("payload").alias("payload_digest"),
+def parsed_records(records: DataFrame) -> DataFrame:
+    """What the bytes of records say: ``page_id, record_type, refers_to, sha1, body`` beside their other columns.
+
+    A record is read like any other: its head up to the first empty line, an HTTP head up to the second, and as many
+    bytes of payload as that states. Stated lengths that are not those found fail the read.
+    """
+    end = END * 2
+    text = F.col("record").cast("string")
+    head = F.substring_index(text, end, 1)
+    # What follows the payload is the record's end.
+    start = F.octet_length(F.substring_index(text, end, 2)) + len(end)
+    body = F.substring(F.col("record"), start + 1, F.octet_length("record") - start - len(end))
+    block = F.octet_length("record") - F.octet_length(head) - 2 * len(end)
+    page = lambda name: F.try_to_number(
+        F.regexp_extract(_parsed(head, name), r"^<urn:page:(-?\d+)>$", 1), F.lit("S9999999999999999999")
+    ).cast("long")
+    wrong = F.raise_error(F.lit("a record's length is not the one it states")).cast("binary")
+    rows = records.select(
+        page("WARC-Record-ID").alias("page_id"),
+        _parsed(head, "WARC-Type").alias("record_type"),
+        page("WARC-Refers-To").alias("refers_to"),
+        F.regexp_extract(_parsed(head, "WARC-Payload-Digest"), "^sha1:(.*)$", 1).alias("sha1"),
+        F.when(_parsed(head, "Content-Length").cast("long") == block, body).otherwise(wrong).alias("body"),
+        "payload",
     )
-    both = read_heads(spark, path).join(facts, "digest", "left")
-    same = F.coalesce(F.col("sha1") == F.col("payload_digest"), F.lit(False))
-    wrong = F.raise_error(F.concat(F.lit("no payload for record "), F.col("page_id").cast("string")))
-    return both.select(
+    return rows
+
+
+def read_pages(spark: SparkSession, path: str) -> DataFrame:
+    """Facts of each archived page, read from its record: ``page_id, payload_bytes, payload_digest, record_type,
+    refers_to``. A revisit's payload is the stored one that it shares. A record whose payload is missing, or is not
+    what its head says, fails the read."""
+    rows = parsed_records(read_records(spark, path))
+    whole = F.when(F.col("record_type") == "revisit", F.col("payload")).otherwise(F.col("body"))
+    facts = rows.withColumn("found", F.sha1(whole))
+    wrong = F.raise_error(F.concat(F.lit("another payload in record "), F.col("page_id").cast("string")))
+    return facts.select(
         "page_id",
-        "payload_bytes",
-        F.when(same, F.col("payload_digest")).otherwise(wrong.cast("string")).alias("payload_digest"),
+        F.octet_length(whole).cast("long").alias("payload_bytes"),
+        F.when(F.col("found") == F.col("sha1"), F.col("found")).otherwise(wrong.cast("string")).alias("payload_digest"),
         "record_type",
         "refers_to",
     )

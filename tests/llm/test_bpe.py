@@ -82,3 +82,8 @@ def test_small_parts(library, monkeypatch):
     batch = pa.RecordBatch.from_arrays([pa.array(range(len(TEXTS))), pa.array(TEXTS)], ["doc_id", "text"])
     (out,) = bpe._digests(PATH)(iter([batch]))
     assert [tuple(r.values()) for r in out.to_pylist()] == [want(library, i, t) for i, t in enumerate(TEXTS)]
+
+
+def test_other_splits_are_refused():
+    with pytest.raises(ValueError):
+        bpe.WordBpe(public_tokenizers.path("byte_bpe_50k.json"))

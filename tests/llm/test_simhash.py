@@ -123,10 +123,12 @@ def test_trie_join(monkeypatch, leaf, front):
     assert len(found) == len(set(found)) and set(found) == set(zip(*map(np.ndarray.tolist, np.nonzero(near))))
 
 
-def test_split_over_tasks(spark):
+@pytest.mark.parametrize("node_rows", [1 << 15, 10, 0.02])
+def test_split_over_tasks(spark, node_rows):
+    """One node, nodes inside a block of bits, and nodes below it."""
     values = near_prints(40, 2)
     rows = spark.createDataFrame([(v,) for v in values.view(np.int64).tolist()], "print long")
-    links = simhash.print_links(rows, 4, node_rows=10)
+    links = simhash.print_links(rows, 4, node_rows=node_rows)
     found = {r.node: r.root for r in components(links).collect()}
     groups = plain_groups(values.tolist())
     signed = values.view(np.int64).tolist()
@@ -137,6 +139,15 @@ def test_split_over_tasks(spark):
         assert {found.get(v, v) for v in members} == {min(members)}
 
 
+def test_copies_do_not_grow_with_the_table(spark):
+    """Five copies of a fingerprint at any depth inside a block: at 32 thousand of them, and at 100 million."""
+    prints = spark.createDataFrame([(v,) for v in near_prints(40, 3).view(np.int64).tolist()], "print long")
+    n = prints.count()
+    for rows in (1, 1 << 15, 1 << 20, 100_000_000):
+        assert simhash.trie_nodes(prints, rows).count() == 5 * n
+    assert sum(width for _, width in simhash._turns(4)) == 64 and min(width for _, width in simhash._turns(4)) >= 12
+
+
 @given(st.lists(st.tuples(st.integers(0, 12), st.integers(0, 12)), max_size=14))
 @settings(max_examples=5, deadline=None)
 def test_components(spark, links):

@@ -2,8 +2,10 @@
 
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from lotwise.llm import token_counts
 from lotwise.llm.token_counts import count_tokens
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -43,3 +45,26 @@ def test_equals_library(spark, library, chunk, overlap):
 def test_empty_table(spark):
     out = count_tokens(spark.createDataFrame([], SCHEMA), PATH)
     assert out.columns == ["doc_id", "n_bytes", "n_tokens", "over_limit"] and out.count() == 0
+
+
+def test_copies_of_a_huge_text_are_counted_once(spark, library, tmp_path, monkeypatch):
+    """Ten thousand rows of one long text: each chunk of it is encoded by one task, once."""
+    text = " ".join(f"word{i % 97} and,{i}" for i in range(400))
+    rows = spark.range(10_000).select(F.col("id").alias("doc_id"), F.lit(text).alias("text"), F.lit("").alias("n_tokens"))
+    seen = []
+    real = token_counts._chunked
+
+    def watch(docs, *more):
+        seen.append(docs.count())
+        return real(docs, *more)
+
+    monkeypatch.setattr(token_counts, "_chunked", watch)
+    got = count_tokens(rows, PATH, 1024, 1000, 100)
+    want = len(library.encode(text, add_special_tokens=False).ids)
+    assert seen == [1] and {tuple(r) for r in got.select("n_tokens", "over_limit").distinct().collect()} == {(want, want > 1024)}
+    assert got.count() == 10_000
+
+
+def test_other_splits_are_refused():
+    with pytest.raises(ValueError):
+        token_counts.Counter(public_tokenizers.path("word_bpe_49k.json"))

@@ -3,8 +3,9 @@
 import hashlib
 
 import pytest
+from pyspark.sql import functions as F
 
-from lotwise.llm.warc import read_pages, read_records, write_archive
+from lotwise.llm.warc import parsed_records, read_pages, read_records, write_archive
 
 SCHEMA = "page_id long, url string, html string, digest string"
 BIG, OTHER = "<p>é</p>" * 200, "x" * 1000
@@ -79,3 +80,20 @@ def test_a_changed_payload_is_noticed(spark, tmp_path):
     spark.createDataFrame(changed, "digest binary, payload binary").write.mode("overwrite").parquet(f"{path}/payloads")
     with pytest.raises(Exception, match="differs from its digest"):
         read_pages(spark, path).collect()
+
+
+def test_a_lost_payload_is_noticed(spark, tmp_path):
+    path = str(tmp_path / "l")
+    write_archive(spark.createDataFrame(PAGES[:1], SCHEMA), path)
+    spark.createDataFrame([], "digest binary, payload binary").write.mode("overwrite").parquet(f"{path}/payloads")
+    with pytest.raises(Exception, match="no payload for record 1"):
+        read_pages(spark, path).collect()
+
+
+def test_pages_come_from_parsed_records(spark, archive):
+    """A record whose bytes do not add up is noticed, as its pages are read from them."""
+    records = read_records(spark, archive)
+    assert parsed_records(records).count() == len(PAGES)
+    cut = records.filter("page_id = 5").withColumn("record", F.expr("substring(record, 1, octet_length(record) - 3)"))
+    with pytest.raises(Exception, match="not the one it states"):
+        parsed_records(cut).collect()
