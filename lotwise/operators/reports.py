@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lotwise import fixed
-from lotwise.operators.numbering import quoted
+from lotwise.operators.numbering import SMALL_LIMIT, number_by_key, quoted
 
 
 def score_summary(scored: DataFrame) -> DataFrame:
@@ -52,10 +52,15 @@ def sample_success(scored: DataFrame, order_by: Sequence[str]) -> DataFrame:
 
 
 def limit_head(df: DataFrame, order_by: Sequence[str], n: int = fixed.INLINE_MAX_RECORDS) -> DataFrame:
-    """First ``n`` rows; 0 keeps all."""
+    """First ``n`` rows; 0 keeps all.
+
+    A few rows are a top-k. More are taken by their number in key order, so that they stay spread over tasks.
+    """
     if n < 0:
         raise ValueError("the limit must not be negative")
-    return df.orderBy(*[quoted(k) for k in order_by]).limit(n) if n else df
+    if n <= SMALL_LIMIT:
+        return df.orderBy(*[quoted(k) for k in order_by]).limit(n) if n else df
+    return number_by_key(df, order_by, limit=n, name="__place").drop("__place")
 
 
 def response_preview(response: Column) -> Column:

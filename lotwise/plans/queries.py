@@ -189,6 +189,16 @@ def limit_file_order(spark, d):
     return number_by_file(table(spark, d, "events"), limit=2500).select("event_id", "ordinal")
 
 
+@query(
+    "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem ORDER BY l_orderkey, l_linenumber LIMIT 15000"
+)
+def limit_head_large(spark, d):
+    """More rows than one task should sort: taken by their number in key order."""
+    return limit_head(table(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"], 15_000).select(
+        "l_orderkey", "l_linenumber", "l_quantity"
+    )
+
+
 @query("SELECT doc_id, lang, source FROM documents ORDER BY doc_id LIMIT 10")
 def limit_head_rows(spark, d):
     return limit_head(table(spark, d, "documents"), ["doc_id"], fixed.INLINE_MAX_RECORDS).select(

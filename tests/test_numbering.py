@@ -208,3 +208,18 @@ def test_very_many_shuffle_partitions(spark):
         assert got == {p: 2 * p for p in range(40)}
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_large_limit_stays_spread(spark, monkeypatch):
+    """Above the bound of a top-k the first rows come by number, from several tasks, ties and nulls included."""
+    from lotwise.operators import numbering, reports
+
+    monkeypatch.setattr(reports, "SMALL_LIMIT", 5)
+    monkeypatch.setattr(numbering, "SMALL_LIMIT", 5)
+    rows = [(None if i % 9 == 0 else i % 40, i) for i in range(200)]
+    frame = spark.createDataFrame(rows, "k int, v int").repartition(4)
+    got = reports.limit_head(frame, ["k", "v"], 120)
+    assert got.columns == ["k", "v"] and "TakeOrdered" not in got._jdf.queryExecution().executedPlan().toString()
+    want = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))[:120]
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
+    assert reports.limit_head(frame, ["k", "v"], 5000).count() == 200
