@@ -371,11 +371,14 @@ def fit(texts: list[str], toxic: list[int], share: float) -> Field:
         # One label, or none: its share is all that is known.
         p = min(max(share, 1e-6), 1 - 1e-6)
         return Field(score=(float(_logit(np.array(p))), 0.0, 0.0))
-    tokens = [_TOKEN.findall(texts[i]) for i in half[0]]
-    low = [[w.lower() for w in words] for words in tokens]
-    low = [[w if w[0] not in _ENDS else "\n" for w in words] for words in low]
+    # Every word is one string, however often it stands in the sample.
+    once: dict[str, str] = {}
+    tokens = [[once.setdefault(w, w) for w in _TOKEN.findall(texts[i])] for i in half[0]]
+    small = {w: once.get(w.lower(), w.lower()) if w[0] not in _ENDS else "\n" for w in once}
+    low = [[small[w] for w in words] for words in tokens]
     labels = label_words(low, [toxic[i] for i in half[0]])
-    labels = [part & np.array([w[0] not in _ENDS for w in words], bool) for part, words in zip(labels, low)]
+    labels = [part & np.array([w != "\n" for w in words], bool) for part, words in zip(labels, low)]
+    del low
     model = fit_field(tokens, labels)
     return fit_score(model, [texts[i] for i in half[1]], [toxic[i] for i in half[1]], share)
 
