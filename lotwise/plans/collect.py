@@ -17,7 +17,7 @@ from lotwise.operators.joins import join_results
 from lotwise.operators.ledger import collectable_jobs
 from lotwise.operators.numbering import SMALL_ROWS
 from lotwise.plans.spec import JobSpec
-from lotwise.session import sized_shuffles
+from lotwise.session import by_chunk, changed_at, sized_shuffles
 from lotwise.sources.outputs import (
     first_files,
     list_outputs,
@@ -45,9 +45,10 @@ class MissingOutputError(ValueError):
 
 @dataclass(frozen=True)
 class Gate:
-    """Output files to use; ``files`` is None when all of them are."""
+    """Output files to use; ``files`` is None when all of them are, which are ``listed``."""
 
     files: DataFrame | None
+    listed: DataFrame
     small: bool = True
 
 
@@ -75,29 +76,36 @@ def output_gate(
     accept_partial: bool = False,
     chunks: list[int] | None = None,
     glob: str = fixed.OUTPUT_FILE_GLOB,
+    files: DataFrame | None = None,
 ) -> Gate:
     """First file of each job, of completed jobs only when a ledger is given.
 
-    Built from file names alone, a row per job; broadcast only after counting.
+    Built from file names alone, a row per job; broadcast only after counting. ``files`` are the names where they
+    are listed already.
     """
-    files = list_outputs(spark, path, chunks, glob)
+    files = list_outputs(spark, path, chunks, glob) if files is None else files
     n = files.agg(F.count(F.lit(1)).alias("files"), F.count_distinct("chunk_idx", "job_id").alias("jobs")).first()
     if ledger is None and n.files == n.jobs:
-        return Gate(None)
+        return Gate(None, files)
+    return Gate(counted_files(files, ledger, accept_partial), files, n.files <= SMALL_ROWS)
+
+
+def counted_files(files: DataFrame, ledger: DataFrame | None = None, accept_partial: bool = False) -> DataFrame:
+    """The first file of each job, of completed jobs only when a ledger is given: ``chunk_idx, file_path, mark``."""
     firsts = first_files(files)
     if ledger is not None:
         firsts = firsts.join(collectable_jobs(ledger, accept_partial).distinct(), "job_id", "left_semi")
-    return Gate(firsts.select("chunk_idx", "file_path"), n.files <= SMALL_ROWS)
+    return firsts.select("chunk_idx", "file_path", "mark")
 
 
 def apply_gate(outputs: DataFrame, gate: Gate) -> DataFrame:
     if gate.files is None:
         return outputs
     if gate.small:
-        return outputs.join(F.broadcast(gate.files), ["chunk_idx", "file_path"], "left_semi")
+        return outputs.join(F.broadcast(gate.files.drop("mark")), ["chunk_idx", "file_path"], "left_semi")
     # Files are unique, so an inner join keeps the same rows; a semi join would be
     # moved below the repartitioning by chunk and shuffle the lines once more.
-    return outputs.join(gate.files, ["chunk_idx", "file_path"])
+    return outputs.join(gate.files.drop("mark"), ["chunk_idx", "file_path"])
 
 
 def fail_on_bad(outputs: DataFrame) -> DataFrame:
@@ -113,11 +121,16 @@ def _check_mode(on_bad: str) -> None:
 
 
 def _outputs(
-    spark: SparkSession, spec: JobSpec, ledger: DataFrame | None, accept_partial: bool, chunks: list[int] | None
+    spark: SparkSession,
+    spec: JobSpec,
+    ledger: DataFrame | None,
+    accept_partial: bool,
+    chunks: list[int] | None,
+    files: DataFrame | None = None,
 ) -> tuple[DataFrame, Gate, ModelAdapter]:
     adapter = adapter_for(spec.model_id)
     path, glob = spec.layout.outputs, spec.output_glob
-    gate = output_gate(spark, path, ledger, accept_partial, chunks, glob)
+    gate = output_gate(spark, path, ledger, accept_partial, chunks, glob, files)
     return extract(read_outputs(spark, path, chunks, glob), adapter), gate, adapter
 
 
@@ -153,6 +166,7 @@ def missing_jobs(
     ledger: DataFrame,
     accept_partial: bool = False,
     chunks: list[int] | None = None,
+    files: DataFrame | None = None,
 ) -> DataFrame:
     """Jobs to be collected that left no output file: ``job_id, chunk_idx`` (null where the ledger has none)."""
     chunk = F.col("chunk_idx").cast("int") if "chunk_idx" in ledger.columns else F.lit(None).cast("int")
@@ -160,7 +174,8 @@ def missing_jobs(
     jobs = jobs.join(collectable_jobs(ledger, accept_partial).distinct(), "job_id", "left_semi")
     if chunks is not None:
         jobs = jobs.filter(F.col("chunk_idx").isin(chunks))
-    return missing_outputs(jobs, list_outputs(spark, spec.layout.outputs, chunks, spec.output_glob))
+    files = list_outputs(spark, spec.layout.outputs, chunks, spec.output_glob) if files is None else files
+    return missing_outputs(jobs, files)
 
 
 def joined_states(outputs: DataFrame, inputs: DataFrame, result: str) -> DataFrame:
@@ -200,40 +215,42 @@ def run_collect(
     if on_missing not in ("fail", "report"):
         raise ValueError("on_missing must be fail or report")
     missing = None
+    files = list_outputs(spark, spec.layout.outputs, chunks, spec.output_glob)
     if ledger is not None:
-        missing = missing_jobs(spark, spec, ledger, accept_partial, chunks)
+        missing = missing_jobs(spark, spec, ledger, accept_partial, chunks, files)
         first = missing.limit(5).collect() if on_missing == "fail" else []
         if first:
             raise MissingOutputError(f"completed jobs without an output file, such as {[r.job_id for r in first]}")
-    outputs, gate, adapter = _outputs(spark, spec, ledger, accept_partial, chunks)
-    lines = outputs
+    lines, gate, adapter = _outputs(spark, spec, ledger, accept_partial, chunks, files)
+    inputs = read_inputs(spark, spec.layout.inputs, chunks)
     # A small gate drops files before the shuffle, a large one rides on it.
     if gate.small:
-        outputs = apply_gate(outputs, gate).repartition("chunk_idx")
+        outputs = by_chunk(apply_gate(lines, gate), lines, inputs)
     else:
-        outputs = apply_gate(outputs.repartition("chunk_idx"), gate)
+        outputs = apply_gate(by_chunk(lines, lines, inputs), gate)
     if on_bad == "fail":
         outputs = fail_on_bad(outputs)
-    inputs = read_inputs(spark, spec.layout.inputs, chunks)
-    states = joined_states(outputs, inputs.repartition("chunk_idx"), adapter.result_column)
+    states = joined_states(outputs, by_chunk(inputs, lines, inputs), adapter.result_column)
     if missing is not None and on_missing == "report":
         states = states.unionByName(_missing_rows(missing, states), allowMissingColumns=True)
     with sized_shuffles(spark, lines, inputs, **BY_CHUNK):
         try:
-            write_results(states, spec.layout.results, chunks, output_jobs(spark, spec, gate, chunks), keep_replaced)
+            write_results(states, spec.layout.results, chunks, gate_jobs(gate, spec.layout.inputs), keep_replaced)
         except Exception as exc:
             raise _located(spark, exc, adapter.output_schema) from exc
     return read_states(spark, spec.layout.results, states.schema)
 
 
-def output_jobs(spark: SparkSession, spec: JobSpec, gate: Gate, chunks: list[int] | None) -> DataFrame:
-    """Jobs whose files are used: ``chunk_idx, job_id``, from file names alone."""
-    return gate_jobs(gate, list_outputs(spark, spec.layout.outputs, chunks, spec.output_glob))
+def gate_jobs(gate: Gate, inputs: str) -> DataFrame:
+    """Jobs whose files are used: ``chunk_idx, job_id`` and ``mark`` of file and inputs, from file names alone."""
+    files = with_inputs(gate.listed if gate.files is None else gate.files, inputs)
+    return files.select("chunk_idx", path_job_id(F.col("file_path")).alias("job_id"), "mark").distinct()
 
 
-def gate_jobs(gate: Gate, files: DataFrame) -> DataFrame:
-    files = files if gate.files is None else gate.files
-    return files.select("chunk_idx", path_job_id(F.col("file_path")).alias("job_id")).distinct()
+def with_inputs(files: DataFrame, inputs: str) -> DataFrame:
+    """Marks of files that also tell when the inputs were saved: results of other inputs are out of date."""
+    saved = changed_at(files.sparkSession, f"{inputs}/_SUCCESS")
+    return files.withColumn("mark", F.xxhash64("mark", F.lit(saved)))
 
 
 def _missing_rows(missing: DataFrame, states: DataFrame) -> DataFrame:

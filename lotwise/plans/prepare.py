@@ -21,7 +21,7 @@ from lotwise.functions.prompts import PromptTemplate, check_columns, render, req
 from lotwise.operators.joins import duplicate_ids
 from lotwise.operators.numbering import assign_chunks, assign_ordinals
 from lotwise.plans.spec import JobSpec
-from lotwise.session import scratch_scope
+from lotwise.session import listings, scratch_scope
 from lotwise.sources.csv_split import read_split_csv
 from lotwise.sources.sinks import write_inputs, write_manifest, write_rejected, write_requests
 from lotwise.sources.tables import dataset_path, input_format, read_input
@@ -159,7 +159,8 @@ def prepare(spark: SparkSession, spec: JobSpec) -> DataFrame:
     with scratch_scope(spark, "prepare"):
         stamped = stamp(source, spec, text_source, run)
         write_inputs(stamped, at.inputs)
-    inputs = spark.read.schema(stamped.schema).parquet(at.inputs)
+    with listings(spark):
+        inputs = spark.read.schema(stamped.schema).parquet(at.inputs)
     if spec.unique_ids and own_column(source, "record_id"):
         repeated = duplicate_ids(inputs).limit(5).collect()
         if repeated:

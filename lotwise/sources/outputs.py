@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lotwise import fixed
 from lotwise.functions.jsonlines import strict_json, stripped
 from lotwise.operators.numbering import number_lines
-from lotwise.session import existing
+from lotwise.session import existing, listings
 
 LINES = "value string, chunk_idx int, file_path string, job_id string"
 
@@ -36,7 +36,8 @@ def read_outputs(
     if not folders:
         return spark.createDataFrame([], LINES)
     reader = spark.read.option("pathGlobFilter", glob).option("basePath", path)
-    scan = reader.text(folders, lineSep="\n")
+    with listings(spark):
+        scan = reader.text(folders, lineSep="\n")
     if "chunk_idx" not in scan.columns:
         return spark.createDataFrame([], LINES)
     file_path = F.col("_metadata.file_path")
@@ -48,22 +49,27 @@ def read_outputs(
 def list_outputs(
     spark: SparkSession, path: str, chunks: list[int] | None = None, glob: str = fixed.OUTPUT_FILE_GLOB
 ) -> DataFrame:
-    """One row per output file; reads names only, never file contents."""
+    """One row per output file; reads names only, never file contents. ``mark`` tells a file from one that replaced it."""
     folders = [path] if chunks is None else chunk_folders(spark, path, chunks)
     if not folders:
-        return spark.createDataFrame([], "file_path string, chunk_idx int, job_id string")
+        return spark.createDataFrame([], "file_path string, chunk_idx int, job_id string, mark long")
     reader = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("basePath", path)
     file_path = F.col("_metadata.file_path")  # spelled as for text lines, unlike the path column
-    return reader.load(folders).select(
+    with listings(spark):
+        scan = reader.load(folders)
+    stamp = F.col("_metadata.file_modification_time").cast("double")
+    return scan.select(
         file_path.alias("file_path"),
         path_chunk_idx(file_path).alias("chunk_idx"),
         path_job_id(file_path).alias("job_id"),
+        F.xxhash64(file_path, F.col("_metadata.file_size"), stamp).alias("mark"),
     )
 
 
 def first_files(files: DataFrame) -> DataFrame:
     """The first output file of each job by name: the only one that counts."""
-    return files.groupBy("chunk_idx", "job_id").agg(F.min("file_path").alias("file_path"))
+    marks = [F.min_by("mark", "file_path").alias("mark")] if "mark" in files.columns else []
+    return files.groupBy("chunk_idx", "job_id").agg(F.min("file_path").alias("file_path"), *marks)
 
 
 def missing_outputs(completed: DataFrame, files: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lotwise.operators.numbering import quoted
-from lotwise.session import sized_shuffles
+from lotwise.session import by_chunk, sized_shuffles
 
 
 def write_inputs(df: DataFrame, path: str) -> None:
@@ -31,7 +31,7 @@ def write_requests(df: DataFrame, path: str) -> None:
     One file per chunk needs each chunk in one task: the only shuffle here. Chunks
     have equal, bounded sizes, so the tasks are even.
     """
-    lines = df.repartition("chunk_idx").sortWithinPartitions("chunk_idx", "ordinal").select("chunk_idx", "value")
+    lines = by_chunk(df).sortWithinPartitions("chunk_idx", "ordinal").select("chunk_idx", "value")
     with sized_shuffles(df.sparkSession, df):
         (
             lines.write.mode("overwrite")

@@ -12,13 +12,26 @@ from lotwise import fixed
 from lotwise.functions.adapters import ModelAdapter
 from lotwise.functions.naming import job_id
 from lotwise.operators.ledger import collectable_jobs
-from lotwise.plans.collect import BY_CHUNK, apply_gate, extract, gate_jobs, joined_states, output_gate
-from lotwise.session import children, sized_shuffles
+from lotwise.plans.collect import (
+    BY_CHUNK,
+    apply_gate,
+    counted_files,
+    extract,
+    gate_jobs,
+    joined_states,
+    output_gate,
+    with_inputs,
+)
+from lotwise.session import by_chunk, children, sized_shuffles
 from lotwise.sources.outputs import list_outputs, path_chunk_idx, path_job_id, read_outputs
-from lotwise.sources.results import built_jobs, write_results
+from lotwise.sources.results import built_jobs, files_mark, named_chunks, write_results
 from lotwise.sources.tables import read_inputs
 
 
+#: Chunks that are built together where many wait, whatever the batches of the stream hold.
+CHUNKS_AT_ONCE = 1000
+
+
 def read_output_stream(
     spark: SparkSession, path: str, files_per_batch: int = 1000, glob: str = fixed.OUTPUT_FILE_GLOB
 ) -> DataFrame:
@@ -94,6 +107,21 @@ def due_chunks(
         waiting.unpersist()
 
 
+def outdated_chunks(
+    spark: SparkSession, results: str, counted: DataFrame, chunks: list[int] | None = None
+) -> list[int]:
+    """Chunks whose results were not built of the files that count now, of the given ones or of all that have files.
+
+    Reads file names and the commits of the results, a row per chunk.
+    """
+    now = counted.groupBy("chunk_idx").agg(files_mark().alias("now"))
+    if chunks is not None:
+        now = spark.createDataFrame([(c,) for c in chunks], "chunk_idx int").join(now, "chunk_idx", "left")
+    built = named_chunks(spark, results).select("chunk_idx", "files")
+    changed = now.join(built, "chunk_idx", "left").filter(~F.col("now").eqNullSafe(F.col("files")))
+    return sorted(r.chunk_idx for r in changed.select("chunk_idx").collect())
+
+
 def stream_collect(
     spark: SparkSession,
     outputs: str,
@@ -116,34 +144,46 @@ def stream_collect(
     is called for every batch: then only files of completed jobs count. A job may complete
     after its files arrived: chunks whose jobs are due but not in the results are rebuilt
     when the stream starts, and by later batches. What is built stands in the commits of the
-    results, so a batch reads the files of its own chunks and no finished ones.
+    results, so a batch reads the files of its own chunks and no finished ones, and a chunk
+    that was built of the files and inputs that count now is left as it is.
+
+    Without a ledger too, chunks that wait when the stream starts are built at once, ``CHUNKS_AT_ONCE`` together:
+    a backlog takes as many rebuilds as its chunks need, however few files a batch has.
     """
+    at_once = max(files_per_batch, CHUNKS_AT_ONCE)
 
-    def rebuild(session: SparkSession, chunks: list[int]) -> None:
-        known = None if ledger is None else ledger(session)
-        for at in range(0, len(chunks), files_per_batch):
-            some = chunks[at : at + files_per_batch]
+    def rebuild(session: SparkSession, known: DataFrame | None, chunks: list[int]) -> None:
+        for at in range(0, len(chunks), at_once):
+            some = chunks[at : at + at_once]
             gate = output_gate(session, outputs, known, accept_partial, some, glob)
             read = extract(read_outputs(session, outputs, some, glob), adapter)
-            lines = apply_gate(read, gate).repartition("chunk_idx")
             saved = read_inputs(session, inputs, some)
-            states = joined_states(lines, saved.repartition("chunk_idx"), adapter.result_column)
-            jobs = gate_jobs(gate, list_outputs(session, outputs, some, glob))
+            lines = by_chunk(apply_gate(read, gate), saved, most=len(some))
+            states = joined_states(lines, by_chunk(saved, saved, most=len(some)), adapter.result_column)
             with sized_shuffles(session, saved, **BY_CHUNK):
-                write_results(states, results, some, jobs, keep_replaced)
+                write_results(states, results, some, gate_jobs(gate, inputs), keep_replaced)
 
-    def due(session: SparkSession) -> list[int]:
-        return due_chunks(session, outputs, results, ledger(session), accept_partial, glob)
+    def due(session: SparkSession, known: DataFrame) -> list[int]:
+        return due_chunks(session, outputs, results, known, accept_partial, glob)
+
+    def catch_up(session: SparkSession, touched: list[int] | None) -> None:
+        """Build chunks that wait: the touched ones, or all of them, and with a ledger those whose jobs are due."""
+        known = None if ledger is None else ledger(session)
+        chunks: set[int] = set()
+        if touched or known is None:
+            files = counted_files(list_outputs(session, outputs, touched, glob), known, accept_partial)
+            chunks |= set(outdated_chunks(session, results, with_inputs(files, inputs), touched))
+        if known is not None:
+            chunks |= set(due(session, known))
+        rebuild(session, known, sorted(chunks))
 
     def write_batch(batch: DataFrame, _: int) -> None:
         # Chunk numbers of the batch: no more than its files.
-        chunks = {r.chunk_idx for r in batch.select("chunk_idx").distinct().collect()}
-        if ledger is not None:
-            chunks |= set(due(batch.sparkSession))
-        rebuild(batch.sparkSession, sorted(chunks))
+        touched = sorted({r.chunk_idx for r in batch.select("chunk_idx").distinct().collect()})
+        catch_up(batch.sparkSession, touched)
 
-    if ledger is not None and children(spark, outputs):
-        rebuild(spark, due(spark))
+    if children(spark, outputs):
+        catch_up(spark, None)
     writer = (
         watch_outputs(spark, outputs, files_per_batch, glob)
         .writeStream.foreachBatch(write_batch)

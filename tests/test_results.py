@@ -182,3 +182,52 @@ def test_own_column_named_like_the_version(spark, tmp_path):
     put(spec, 0, "j", "o", [answer(i, "re") for i in ids_by_chunk(spark, spec)[0]])
     run_collect(spark, spec)
     assert [(r.topic, r.Results_Version, r.response) for r in read_results(spark, spec.layout.results).collect()] == [("t", "mine", "re")]
+
+
+def test_only_folders_of_before_are_looked_through(spark, tmp_path, monkeypatch):
+    """The first write has nothing to replace; a later one deletes in the chunks that it replaces only."""
+    gone = []
+    real = rs.drop_paths
+    monkeypatch.setattr(rs, "drop_paths", lambda s, paths: (gone.extend(p for p in paths if "/chunk_idx=" in p), real(s, paths)))
+    listed = []
+    folders = rs._chunk_folders
+    monkeypatch.setattr(rs, "_chunk_folders", lambda *a: listed.append(folders(*a)) or listed[-1])
+    at = str(tmp_path / "results")
+    rs.write_results(states(spark, OLD), at)
+    assert listed == [[]] and gone == []
+    rs.write_results(states(spark, [(1, "ok", "new"), (7, "ok", "new")]), at, [1, 7])
+    assert listed[1:] == [[f"{at}/chunk_idx=1"]]
+    assert sorted(gone) == [f"{at}/chunk_idx=1/{n}" for n in ("state=ok/results_version=0", "state=rejected")]
+
+
+def test_names_in_folders(spark, tmp_path, monkeypatch):
+    from lotwise import session
+
+    names = ["a,b", "chunk_idx=1", "c d", "é", "{x}"]
+    for name in names:
+        (tmp_path / "f" / name).mkdir(parents=True)
+    at = f"{tmp_path}/f"
+    assert session.children(spark, at) == sorted(names) and session.children(spark, f"{at}/c d") == []
+    assert session.children(spark, f"{at}/none") == []
+    for few in (32, 0):
+        monkeypatch.setattr(session, "FEW_NAMES", few)
+        assert session.existing(spark, at, ["c d", "none", "a,b"]) == [f"{at}/c d", f"{at}/a,b"]
+
+
+def test_a_folder_takes_no_task_of_its_own_to_list(spark, tmp_path):
+    """Spark lists 400 chunk folders in a few tasks, and a few rows of many chunks are written by more than one."""
+    from lotwise.session import LISTINGS_PER_CORE, by_chunk
+    from lotwise.sources.tables import read_inputs
+
+    rows = by_chunk(spark.range(400).select((F.col("id") % 400).cast("int").alias("chunk_idx"), "id"))
+    at = str(tmp_path / "inputs")
+    rows.write.partitionBy("chunk_idx").parquet(at)
+    tasks = {n.split("-")[1] for c in os.listdir(at) if c.startswith("chunk_idx=") for n in os.listdir(f"{at}/{c}") if n.startswith("part-")}
+    assert len(tasks) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sc = spark.sparkContext
+    sc.setJobGroup("listing", "listing")
+    read_inputs(spark, at)
+    sc.setJobGroup("other", "other")
+    tracker = sc.statusTracker()
+    sizes = [tracker.getStageInfo(s).numTasks for j in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(j).stageIds]
+    assert sizes and max(sizes) <= LISTINGS_PER_CORE * sc.defaultParallelism

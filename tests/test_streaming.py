@@ -169,3 +169,32 @@ def test_ledger_is_read_for_every_batch(spark, tmp_path):
         ).awaitTermination()
         save_ledger(row("b"), at)
     assert {r.job_arn for r in spark.read.parquet(known).collect()} == {"a", "b"}
+
+
+def test_chunks_are_built_once_for_the_files_they_have(spark, tmp_path, monkeypatch):
+    """A backlog takes one rebuild however small the batches; new files and new inputs take another."""
+    from lotwise.streaming import collect as sc
+
+    spec = spec_of(tmp_path, input_uri=topics(spark, tmp_path), max_records_per_job=10)
+    prepare(spark, spec)
+    ids, at, built = ids_by_chunk(spark, spec), spec.layout, []
+    real = sc.write_results
+    monkeypatch.setattr(sc, "write_results", lambda df, path, chunks, *rest: (built.append(chunks), real(df, path, chunks, *rest)))
+
+    def run(state):
+        stream_collect(
+            spark, at.outputs, at.inputs, at.results, f"{tmp_path}/{state}", adapter_for(spec.model_id), files_per_batch=1
+        ).awaitTermination()
+        return sorted((r.chunk_idx, r.response) for r in read_results(spark, at.results).collect())
+
+    for c in ids:
+        put(spec, c, "job-a", "o", [answer(i, "a") for i in ids[c][:2]])
+        put(spec, c, "job-b", "o", [answer(i, "b") for i in ids[c][2:]])
+    want = sorted((c, "a" if n < 2 else "b") for c in ids for n in range(len(ids[c])))
+    assert run("one") == want and built == [[0, 1, 2]]
+    put(spec, 1, "job-c", "o", [answer(ids[1][0], "c")])
+    assert run("one") == sorted([*want, (1, "c")]) and built == [[0, 1, 2], [1]]
+    run_collect(spark, spec)
+    assert run("two") == sorted([*want, (1, "c")]) and built == [[0, 1, 2], [1]]
+    prepare(spark, spec)
+    assert run("three") == sorted([*want, (1, "c")]) and built == [[0, 1, 2], [1], [0, 1, 2]]
