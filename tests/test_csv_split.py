@@ -144,3 +144,17 @@ def test_prepare(spark, tmp_path, order_by):
     assert rows[True] == rows["split"]
     with pytest.raises(ValueError):
         spec_of(tmp_path, input_uri=path, multi_line="lines")
+
+
+def test_large_tables_are_written_as_many_files(spark, tmp_path, monkeypatch):
+    """No task writes the whole table: a file holds a bounded part, and each file is read in many splits."""
+    from lotwise.plans import queries
+
+    rows = [(i, f'say "{i}",\nnext', "en", i) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, n_chars long")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    monkeypatch.setattr(queries, "CSV_FILE_BYTES", queries.planned_bytes(spark.read.parquet(f"{tmp_path}/documents.parquet")) // 4)
+    written, real = [], queries.write_csv
+    monkeypatch.setattr(queries, "write_csv", lambda df, path: (real(df, path), written.append(path)))
+    assert sorted(map(tuple, queries.csv_split_scan(spark, str(tmp_path)).collect())) == rows
+    assert spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(written[0]).count() == 5
