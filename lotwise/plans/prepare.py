@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotwise.functions.adapters import ModelAdapter, adapter_for
@@ -21,7 +21,7 @@ from lotwise.functions.prompts import PromptTemplate, check_columns, render, req
 from lotwise.operators.joins import duplicate_ids
 from lotwise.operators.numbering import assign_chunks, assign_ordinals
 from lotwise.plans.spec import JobSpec
-from lotwise.session import listings, scratch_scope
+from lotwise.session import WHOLE_BYTES, listings, materialize, scratch_scope
 from lotwise.sources.csv_split import read_split_csv
 from lotwise.sources.sinks import write_inputs, write_manifest, write_rejected, write_requests
 from lotwise.sources.tables import dataset_path, input_format, read_input
@@ -29,6 +29,8 @@ from lotwise.sources.tables import dataset_path, input_format, read_input
 
 #: The column of row numbers that a split CSV is read with.
 ROW_NUMBER = "__csv_row"
+#: Up to here chunks that lie in several files are told apart from the others.
+FEW_CHUNKS = 1000
 
 
 def source_uri(spec: JobSpec) -> str:
@@ -81,15 +83,17 @@ def stamp(df: DataFrame, spec: JobSpec, text_source: bool = False, run: str | No
     return drop_index_column(stamped, text_source)
 
 
-def request_text(inputs: DataFrame, template: PromptTemplate | None, null_policy: str) -> DataFrame:
+def request_text(
+    inputs: DataFrame, template: PromptTemplate | None, null_policy: str, more: tuple[str, ...] = ()
+) -> DataFrame:
     """``chunk_idx, ordinal, record_id`` of saved inputs and ``__text``, null where no request can be written.
 
-    Templates see the input's own columns, also those named like columns of the run.
+    Templates see the input's own columns, also those named like columns of the run. ``more`` columns are kept.
     """
     keys = {"chunk_idx": "__chunk_idx", "ordinal": "__ordinal", "record_id": "__record_id"}
     own = brought_back(inputs.withColumns({new: F.col(old) for old, new in keys.items()}))
     text = render(own, template, null_policy) if template else F.col("input_text").cast("string")
-    return own.select(*(F.col(new).alias(old) for old, new in keys.items()), text.alias("__text"))
+    return own.select(*(F.col(new).alias(old) for old, new in keys.items()), *more, text.alias("__text"))
 
 
 def build_requests(
@@ -113,16 +117,25 @@ def rejected_inputs(
     return own.filter(text.isNull())
 
 
+def chunk_counts(numbered: DataFrame, text: str | None = None, *more: Column) -> DataFrame:
+    """Records and requests of each chunk; ``text`` as for ``build_manifest``, ``more`` are further aggregates."""
+    return numbered.groupBy("chunk_idx").agg(
+        F.count(F.lit(1)).alias("n_records"), F.count(F.col(text) if text else F.lit(1)).alias("n_requests"), *more
+    )
+
+
 def build_manifest(numbered: DataFrame, spec: JobSpec, text: str | None = None) -> DataFrame:
     """One row per job: its name, paths, records and requests.
 
     ``text`` names the column that is null where a row has no request; without one every
     row has one, and only ``chunk_idx`` is read. A chunk without requests is no job.
     """
+    return manifest_of(chunk_counts(numbered, text), spec)
+
+
+def manifest_of(counts: DataFrame, spec: JobSpec) -> DataFrame:
+    """The manifest from records and requests per chunk."""
     at = spec.layout
-    counts = numbered.groupBy("chunk_idx").agg(
-        F.count(F.lit(1)).alias("n_records"), F.count(F.col(text) if text else F.lit(1)).alias("n_requests")
-    )
     folder = F.concat(F.lit("/chunk_idx="), F.col("chunk_idx").cast("string"))
 
     def path(base: str):
@@ -141,6 +154,29 @@ def build_manifest(numbered: DataFrame, spec: JobSpec, text: str | None = None)
     )
 
 
+def saved_counts(inputs: DataFrame, template: PromptTemplate | None, null_policy: str) -> DataFrame:
+    """``chunk_counts`` of saved inputs, with the files of each chunk and the bytes of its largest one."""
+    placed = inputs.select(
+        "*", F.col("_metadata.row_index").alias("__row"), F.col("_metadata.file_size").alias("__bytes")
+    )
+    texts = request_text(placed, template, null_policy, ("__row", "__bytes"))
+    first = F.count(F.when(F.col("__row") == 0, True)).alias("n_files")  # every file has one row of number 0
+    return chunk_counts(texts, "__text", first, F.max("__bytes").alias("bytes"))
+
+
+def scattered_chunks(counts: DataFrame) -> tuple[list[int] | None, int]:
+    """Chunks that several tasks may read, None if they are many, and the bytes of the largest file of the others.
+
+    Numbered rows lie together, so chunks of several files are those where a task of the writer began.
+    """
+    apart = (F.col("n_files") > 1) | (F.col("bytes") > WHOLE_BYTES)
+    found = counts.agg(F.count_if(apart).alias("n"), F.max(F.when(~apart, F.col("bytes"))).alias("largest")).first()
+    if found.n > FEW_CHUNKS:
+        return None, 0
+    chunks = counts.filter(apart).select("chunk_idx").collect() if found.n else []
+    return sorted(r.chunk_idx for r in chunks), found.largest or 0
+
+
 def prepare(spark: SparkSession, spec: JobSpec) -> DataFrame:
     """Write inputs, requests, rejected inputs and manifest of a run; returns the manifest table.
 
@@ -165,9 +201,10 @@ def prepare(spark: SparkSession, spec: JobSpec) -> DataFrame:
         repeated = duplicate_ids(inputs).limit(5).collect()
         if repeated:
             raise ValueError(f"repeated record ids, such as {[(r.chunk_idx, r.record_id) for r in repeated]}")
-    write_requests(build_requests(inputs, adapter, template, spec), at.requests)
-    write_rejected(rejected_inputs(inputs, template, spec.null_policy), at.rejected_inputs)
-    texts = request_text(inputs, template, spec.null_policy)
-    manifest = build_manifest(texts, spec, "__text").withColumn("run", F.lit(run))
-    write_manifest(manifest, at.manifest)
+    with scratch_scope(spark, "prepare"):
+        counts = materialize(saved_counts(inputs, template, spec.null_policy), "chunk-counts")
+        write_requests(build_requests(inputs, adapter, template, spec), at.requests, *scattered_chunks(counts))
+        write_rejected(rejected_inputs(inputs, template, spec.null_policy), at.rejected_inputs)
+        manifest = manifest_of(counts, spec).withColumn("run", F.lit(run))
+        write_manifest(manifest, at.manifest)
     return spark.read.schema(manifest.schema).parquet(at.manifest)

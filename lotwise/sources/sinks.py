@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lotwise.operators.numbering import quoted
-from lotwise.session import by_chunk, sized_shuffles
+from lotwise.session import by_chunk, sized_shuffles, unsplit
 
 
 def write_inputs(df: DataFrame, path: str) -> None:
@@ -25,14 +25,22 @@ def write_inputs(df: DataFrame, path: str) -> None:
     )
 
 
-def write_requests(df: DataFrame, path: str) -> None:
+def write_requests(df: DataFrame, path: str, scattered: list[int] | None = None, largest: int = 0) -> None:
     """Write the request lines (``chunk_idx, ordinal, value``): one uncompressed text file per chunk.
 
-    One file per chunk needs each chunk in one task: the only shuffle here. Chunks
-    have equal, bounded sizes, so the tasks are even.
+    One file per chunk needs each chunk in one task. ``df`` may come from saved inputs of which all chunks but the
+    ``scattered`` ones are a file each, of ``largest`` bytes at most: the scan does not split these files, and only
+    the scattered chunks are shuffled. Otherwise all are. Chunks have equal, bounded sizes, so the tasks are even.
     """
-    lines = by_chunk(df).sortWithinPartitions("chunk_idx", "ordinal").select("chunk_idx", "value")
-    with sized_shuffles(df.sparkSession, df):
+    spark, whole = df.sparkSession, {}
+    if scattered is None:
+        lines = by_chunk(df)
+    else:
+        apart = F.col("chunk_idx").isin(scattered)
+        lines = df.filter(~apart).unionByName(by_chunk(df.filter(apart), most=len(scattered))) if scattered else df
+        whole = unsplit(largest)
+    lines = lines.sortWithinPartitions("chunk_idx", "ordinal").select("chunk_idx", "value")
+    with sized_shuffles(spark, df, **whole):
         (
             lines.write.mode("overwrite")
             .option("compression", "none")

@@ -1,5 +1,6 @@
 """Prepare and collect through files."""
 
+import importlib
 import json
 import os
 
@@ -12,9 +13,12 @@ from lotwise.functions.prompts import register_prompt
 from lotwise.functions.naming import chunk_label, job_name, with_record_id
 from lotwise.operators.joins import unmatched
 from lotwise.plans.collect import BadOutputError, MissingOutputError
+from lotwise.session import settings
+from lotwise.sources import sinks
 from lotwise.sources.sinks import write_csv, write_manifest
 from lotwise.sources.tables import input_format, read_input, stage_dataset
 
+plan = importlib.import_module("lotwise.plans.prepare")
 TEXT = f"{fixed.TEXT_MODEL_MARK}.sample-v1"
 VECTOR = fixed.EMBEDDING_MODEL_MARK
 register_prompt("line_about_topic", "Write one line about {topic}.")
@@ -74,6 +78,46 @@ def test_prepare_writes_inputs_requests_and_manifest(spark, tmp_path):
     assert saved.select("record_id").distinct().count() == 25
 
 
+def request_files(spec):
+    """The lines of each chunk's request file."""
+    found = {}
+    for chunk in (int(f.partition("=")[2]) for f in os.listdir(spec.layout.requests) if f.startswith("chunk_idx=")):
+        folder = f"{spec.layout.requests}/chunk_idx={chunk}"
+        (name,) = files_in(folder)
+        found[chunk] = [json.loads(x)["recordId"] for x in open(f"{folder}/{name}")]
+    return found
+
+
+@pytest.mark.parametrize("few, whole, shuffled", [(1000, 128 << 20, {1, 3}), (1, 128 << 20, None), (1000, 1, {0, 1, 2, 3, 4})])
+def test_only_scattered_chunks_of_requests_are_shuffled(spark, tmp_path, monkeypatch, few, whole, shuffled):
+    """Chunks saved in one file are written as they are read; all are shuffled where too many chunks are scattered."""
+    seen = []
+    real = sinks.by_chunk
+
+    def watched(df, *sources, **more):
+        seen.extend(r.chunk_idx for r in df.select("chunk_idx").distinct().collect())
+        return real(df, *sources, **more)
+
+    monkeypatch.setattr(sinks, "by_chunk", watched)
+    monkeypatch.setattr(plan, "FEW_CHUNKS", few)
+    monkeypatch.setattr(plan, "WHOLE_BYTES", whole)
+    # Rows 0 to 7, 8 to 15 and 16 to 24 are a file each, so chunks 1 and 3 of five rows lie in two files.
+    spec = spec_of(tmp_path, input_uri=topics(spark, tmp_path), max_records_per_job=5)
+    prepare(spark, spec)
+    assert len(files_in(f"{spec.layout.inputs}/chunk_idx=1")) == 2
+    assert set(seen) == (set(range(5)) if shuffled is None else shuffled)
+    assert request_files(spec) == ids_by_chunk(spark, spec)
+
+
+def test_requests_of_large_saved_files(spark, tmp_path):
+    """Saved files that a scan would split by its settings are one request file each."""
+    spec = spec_of(tmp_path, input_uri=topics(spark, tmp_path, 4000), max_records_per_job=1000)
+    with settings(spark, spark__sql__files__maxPartitionBytes="2000", spark__sql__files__openCostInBytes="1"):
+        prepare(spark, spec)
+    found = request_files(spec)
+    assert found == ids_by_chunk(spark, spec) and {c: len(ids) for c, ids in found.items()} == dict.fromkeys(range(4), 1000)
+
+
 def test_two_runs_give_the_same_lines(spark, tmp_path):
     path = topics(spark, tmp_path)
     lines = []
