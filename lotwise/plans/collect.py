@@ -3,21 +3,23 @@
 from __future__ import annotations
 
 import re
+from contextlib import nullcontext
 from dataclasses import dataclass
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from lotwise import fixed
 from lotwise.functions.adapters import ModelAdapter, adapter_for
 from lotwise.functions.jsonlines import parse_lines
 from lotwise.functions.naming import brought_back, job_id
 from lotwise.operators.joins import join_results
-from lotwise.operators.ledger import collectable_jobs
+from lotwise.operators.ledger import collectable_jobs, ledger_states
 from lotwise.operators.numbering import SMALL_ROWS
 from lotwise.plans.spec import JobSpec
-from lotwise.session import by_chunk, changed_at, sized_shuffles
+from lotwise.session import by_chunk, changed_at, materialize, scratch_scope, sized_shuffles
 from lotwise.sources.outputs import (
     first_files,
     list_outputs,
@@ -206,6 +208,7 @@ def run_collect(
     With a ledger, a completed job without an output file stops the run, or becomes a
     row of state ``missing`` (``on_missing="report"``). Given ``chunks`` are replaced whole, in one step:
     until then, and if the run fails, readers see the rows of before (``keep_replaced``: see ``write_results``).
+    Several steps ask for the ledger and, with one, for the names of the files: both are read once, into scratch tables.
 
     Both sides are shuffled once, by chunk: that serves the file gate, the join on
     (chunk, id) and the one-file-per-chunk layout together. Chunks have equal,
@@ -214,9 +217,27 @@ def run_collect(
     _check_mode(on_bad)
     if on_missing not in ("fail", "report"):
         raise ValueError("on_missing must be fail or report")
+    with scratch_scope(spark, "collect") if ledger is not None else nullcontext():
+        schema = _write_states(spark, spec, ledger, accept_partial, chunks, on_bad, on_missing, keep_replaced)
+    return read_states(spark, spec.layout.results, schema)
+
+
+def _write_states(
+    spark: SparkSession,
+    spec: JobSpec,
+    ledger: DataFrame | None,
+    accept_partial: bool,
+    chunks: list[int] | None,
+    on_bad: str,
+    on_missing: str,
+    keep_replaced: bool,
+) -> StructType:
+    """The write of ``run_collect``; returns the schema of the written rows."""
     missing = None
     files = list_outputs(spark, spec.layout.outputs, chunks, spec.output_glob)
     if ledger is not None:
+        files = materialize(files.repartition("chunk_idx"), "output-files")
+        ledger = materialize(ledger_states(ledger), "ledger")
         missing = missing_jobs(spark, spec, ledger, accept_partial, chunks, files)
         first = missing.limit(5).collect() if on_missing == "fail" else []
         if first:
@@ -238,7 +259,7 @@ def run_collect(
             write_results(states, spec.layout.results, chunks, gate_jobs(gate, spec.layout.inputs), keep_replaced)
         except Exception as exc:
             raise _located(spark, exc, adapter.output_schema) from exc
-    return read_states(spark, spec.layout.results, states.schema)
+    return states.schema
 
 
 def gate_jobs(gate: Gate, inputs: str) -> DataFrame:

@@ -13,7 +13,7 @@ from lotwise.functions.prompts import register_prompt
 from lotwise.functions.naming import chunk_label, job_name, with_record_id
 from lotwise.operators.joins import unmatched
 from lotwise.plans.collect import BadOutputError, MissingOutputError
-from lotwise.session import settings
+from lotwise.session import scratch_root, settings
 from lotwise.sources import sinks
 from lotwise.sources.sinks import write_csv, write_manifest
 from lotwise.sources.tables import input_format, read_input, stage_dataset
@@ -416,6 +416,26 @@ def test_completed_job_without_output(spark, tmp_path):
     assert good_results(table).count() == 10
 
 
+def test_ledger_is_evaluated_once(spark, tmp_path):
+    """Missing jobs, the file gate and the commit ask for the same ledger: it is read once, and no scratch table stays."""
+    spec, ids = collected_run(spark, tmp_path)
+    put(spec, 0, "job-0", "o", [answer(i, "x") for i in ids[0]])
+    seen = tmp_path / "seen"
+
+    def status(arn):
+        with open(seen, "a") as out:
+            out.write(f"{arn}\n")
+        return "Completed"
+
+    rows = spark.createDataFrame([("a/job-0", 0), ("a/job-1", 1)], "job_arn string, chunk_idx int")
+    ledger = rows.withColumn("status", F.udf(status)("job_arn")).withColumn("error_message", F.lit(None).cast("string"))
+    before = set(os.listdir(scratch_root(spark)))
+    table = run_collect(spark, spec, ledger, on_missing="report")
+    assert sorted(seen.read_text().split()) == ["a/job-0", "a/job-1"]
+    assert set(os.listdir(scratch_root(spark))) == before
+    assert [r.job_id for r in rejected_lines(table).collect()] == ["job-1"] and good_results(table).count() == 10
+
+
 def test_rejected_inputs_and_requests(spark, tmp_path):
     path = str(tmp_path / "texts.parquet")
     spark.createDataFrame([("a",), (None,), (None,), (None,)], "input_text string").coalesce(1).write.parquet(path)
