@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from lotwise import fixed
 from lotwise.functions.adapters import ModelAdapter
 from lotwise.functions.naming import job_id
-from lotwise.operators.ledger import collectable_jobs
+from lotwise.operators.ledger import collectable_jobs, ledger_states
 from lotwise.plans.collect import (
     BY_CHUNK,
     apply_gate,
@@ -22,26 +22,27 @@ from lotwise.plans.collect import (
     output_gate,
     with_inputs,
 )
-from lotwise.session import by_chunk, children, sized_shuffles
+from lotwise.session import by_chunk, children, listings, materialize, scratch_scope, sized_shuffles
 from lotwise.sources.outputs import list_outputs, path_chunk_idx, path_job_id, read_outputs
 from lotwise.sources.results import built_jobs, files_mark, named_chunks, write_results
 from lotwise.sources.tables import read_inputs
 
 
 #: Chunks that are built together where many wait, whatever the batches of the stream hold.
-CHUNKS_AT_ONCE = 1000
+CHUNKS_AT_ONCE = 5000
 
 
 def read_output_stream(
     spark: SparkSession, path: str, files_per_batch: int = 1000, glob: str = fixed.OUTPUT_FILE_GLOB
 ) -> DataFrame:
     """Lines of output files as they arrive, with chunk, job and file."""
-    scan = (
+    reader = (
         spark.readStream.option("pathGlobFilter", glob)
         .option("recursiveFileLookup", "true")
         .option("maxFilesPerTrigger", files_per_batch)
-        .text(path, lineSep="\n")
     )
+    with listings(spark):
+        scan = reader.text(path, lineSep="\n")
     file_path = F.col("_metadata.file_path")
     return scan.select(
         "value",
@@ -55,14 +56,15 @@ def watch_outputs(
     spark: SparkSession, path: str, files_per_batch: int = 1000, glob: str = fixed.OUTPUT_FILE_GLOB
 ) -> DataFrame:
     """Names of output files as they arrive, with their chunk; contents are not read."""
-    scan = (
+    reader = (
         spark.readStream.format("binaryFile")
         .schema("path string, modificationTime timestamp, length long, content binary")
         .option("pathGlobFilter", glob)
         .option("recursiveFileLookup", "true")
         .option("maxFilesPerTrigger", files_per_batch)
-        .load(path)
     )
+    with listings(spark):
+        scan = reader.load(path)
     file_path = F.col("_metadata.file_path")
     return scan.select(file_path.alias("file_path"), path_chunk_idx(file_path).alias("chunk_idx"))
 
@@ -175,7 +177,11 @@ def stream_collect(
             chunks |= set(outdated_chunks(session, results, with_inputs(files, inputs), touched))
         if known is not None:
             chunks |= set(due(session, known))
-        rebuild(session, known, sorted(chunks))
+        if known is None or not chunks:
+            rebuild(session, known, sorted(chunks))
+        else:  # every rebuild asks for the ledger several times
+            with scratch_scope(session, "stream-collect"):
+                rebuild(session, materialize(ledger_states(known), "ledger"), sorted(chunks))
 
     def write_batch(batch: DataFrame, _: int) -> None:
         # Chunk numbers of the batch: no more than its files.

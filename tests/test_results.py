@@ -231,3 +231,64 @@ def test_a_folder_takes_no_task_of_its_own_to_list(spark, tmp_path):
     tracker = sc.statusTracker()
     sizes = [tracker.getStageInfo(s).numTasks for j in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(j).stageIds]
     assert sizes and max(sizes) <= LISTINGS_PER_CORE * sc.defaultParallelism
+
+
+def test_a_stream_is_opened_in_a_few_listing_tasks(spark, tmp_path):
+    from lotwise.session import LISTINGS_PER_CORE
+    from lotwise.streaming.collect import read_output_stream, watch_outputs
+
+    lines = spark.range(400).select(F.col("id").cast("string").alias("value"), F.col("id").alias("chunk_idx"))
+    at = str(tmp_path / "outputs")
+    lines.write.partitionBy("chunk_idx").text(at)
+    sc = spark.sparkContext
+    tracker = sc.statusTracker()
+    for name, opened in (("watch", watch_outputs), ("lines", read_output_stream)):
+        sc.setJobGroup(name, name)
+        opened(spark, at, glob="part-*")
+        sc.setJobGroup("other", "other")
+        sizes = [tracker.getStageInfo(s).numTasks for j in tracker.getJobIdsForGroup(name) for s in tracker.getJobInfo(j).stageIds]
+        assert max(sizes, default=0) <= LISTINGS_PER_CORE * sc.defaultParallelism
+
+
+def test_waiting_chunks_ask_for_the_ledger_once(spark, tmp_path, monkeypatch):
+    """However many rebuilds the waiting chunks take, they add one reading of the ledger."""
+    from lotwise.streaming import collect as streaming
+
+    spec = spec_of(tmp_path, input_uri=topics(spark, tmp_path, 60), max_records_per_job=10)
+    prepare(spark, spec)
+    for c, ids in ids_by_chunk(spark, spec).items():
+        put(spec, c, f"job-{c}", "o", [answer(i, "x") for i in ids])
+    at = spec.layout
+    given = []
+    real = streaming.output_gate
+    monkeypatch.setattr(streaming, "output_gate", lambda s, p, known, *a: given.append(known.inputFiles()) or real(s, p, known, *a))
+    monkeypatch.setattr(streaming, "CHUNKS_AT_ONCE", 2)
+    done = ledger_of(spark, [(c, "Completed") for c in range(6)])
+    stream_collect(
+        spark, at.outputs, at.inputs, at.results, str(tmp_path / "state"), adapter_for(spec.model_id),
+        files_per_batch=2, ledger=lambda s: done,
+    ).awaitTermination()
+    assert len(given) == 3 and all("/ledger-" in f for files in given for f in files) and all(given)
+    assert read_results(spark, at.results).count() == 60
+
+
+def test_rerun_query_lists_its_results_in_a_few_tasks(spark, tmp_path, monkeypatch):
+    from lotwise.plans import queries
+    from lotwise.session import LISTINGS_PER_CORE
+
+    most = LISTINGS_PER_CORE * spark.sparkContext.defaultParallelism
+    n = most + 8
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), *(F.lit(v).alias(c) for c, v in (("text", "a b"), ("lang", "en"))))
+    docs.coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    labels = docs.select("doc_id", F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
+    labels.coalesce(1).write.parquet(f"{tmp_path}/labels.parquet")
+    monkeypatch.setattr(queries, "SIZE", 1)
+    sc = spark.sparkContext
+    sc.setJobGroup("rerun", "rerun")
+    table = queries.chunk_rerun_turns_bad(spark, str(tmp_path))
+    sc.setJobGroup("other", "other")
+    tracker = sc.statusTracker()
+    stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup("rerun") for s in tracker.getJobInfo(j).stageIds]
+    assert max(s.numTasks for s in stages if s) <= most
+    rows = table.collect()
+    assert len(rows) == n and all(r.good == (r.chunk_idx % 2 == 0) and r.n_rows == 1 for r in rows)
