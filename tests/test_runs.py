@@ -13,7 +13,7 @@ from lotwise.functions.prompts import register_prompt
 from lotwise.functions.naming import chunk_label, job_name, with_record_id
 from lotwise.operators.joins import unmatched
 from lotwise.plans.collect import BadOutputError, MissingOutputError
-from lotwise.session import scratch_root, settings
+from lotwise.session import scratch_root, scratch_scope, settings
 from lotwise.sources import sinks
 from lotwise.sources.sinks import write_csv, write_manifest
 from lotwise.sources.tables import input_format, read_input, stage_dataset
@@ -429,10 +429,10 @@ def test_ledger_is_evaluated_once(spark, tmp_path):
 
     rows = spark.createDataFrame([("a/job-0", 0), ("a/job-1", 1)], "job_arn string, chunk_idx int")
     ledger = rows.withColumn("status", F.udf(status)("job_arn")).withColumn("error_message", F.lit(None).cast("string"))
-    before = set(os.listdir(scratch_root(spark)))
-    table = run_collect(spark, spec, ledger, on_missing="report")
+    with scratch_scope(spark, "test"):
+        table = run_collect(spark, spec, ledger, on_missing="report")
+        assert not os.path.exists(scratch_root(spark)) or os.listdir(scratch_root(spark)) == []
     assert sorted(seen.read_text().split()) == ["a/job-0", "a/job-1"]
-    assert set(os.listdir(scratch_root(spark))) == before
     assert [r.job_id for r in rejected_lines(table).collect()] == ["job-1"] and good_results(table).count() == 10
 
 
