@@ -23,6 +23,12 @@ def path_chunk_idx(path: Column) -> Column:
     return F.regexp_extract(path, r"/chunk_idx=(\d+)/", 1).cast("int")
 
 
+def file_mark() -> Column:
+    """A number that tells a scanned file from others and from one that replaced it, by its path, size and time."""
+    stamp = F.col("_metadata.file_modification_time").cast("double")
+    return F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.file_size"), stamp)
+
+
 def chunk_folders(spark: SparkSession, path: str, chunks: list[int]) -> list[str]:
     """Existing folders of the given chunks, so that no other folder is listed."""
     return existing(spark, path, [f"chunk_idx={c}" for c in chunks])
@@ -57,12 +63,11 @@ def list_outputs(
     file_path = F.col("_metadata.file_path")  # spelled as for text lines, unlike the path column
     with listings(spark):
         scan = reader.load(folders)
-    stamp = F.col("_metadata.file_modification_time").cast("double")
     return scan.select(
         file_path.alias("file_path"),
         path_chunk_idx(file_path).alias("chunk_idx"),
         path_job_id(file_path).alias("job_id"),
-        F.xxhash64(file_path, F.col("_metadata.file_size"), stamp).alias("mark"),
+        file_mark().alias("mark"),
     )
 
 

@@ -22,14 +22,16 @@ from lotwise.plans.collect import (
     output_gate,
     with_inputs,
 )
-from lotwise.session import by_chunk, children, listings, materialize, scratch_scope, sized_shuffles
-from lotwise.sources.outputs import list_outputs, path_chunk_idx, path_job_id, read_outputs
+from lotwise.session import by_chunk, changed_at, children, listings, materialize, scratch_scope, sized_shuffles
+from lotwise.sources.outputs import file_mark, list_outputs, path_chunk_idx, path_job_id, read_outputs
 from lotwise.sources.results import built_jobs, files_mark, named_chunks, write_results
 from lotwise.sources.tables import read_inputs
 
 
 #: Chunks that are built together where many wait, whatever the batches of the stream hold.
 CHUNKS_AT_ONCE = 5000
+#: Files of the backlog that the driver remembers by their marks; chunks of others are looked at once more.
+REMEMBERED_FILES = 500_000
 
 
 def read_output_stream(
@@ -55,7 +57,7 @@ def read_output_stream(
 def watch_outputs(
     spark: SparkSession, path: str, files_per_batch: int = 1000, glob: str = fixed.OUTPUT_FILE_GLOB
 ) -> DataFrame:
-    """Names of output files as they arrive, with their chunk; contents are not read."""
+    """Names of output files as they arrive, with their chunk and the ``mark`` of ``list_outputs``; contents are not read."""
     reader = (
         spark.readStream.format("binaryFile")
         .schema("path string, modificationTime timestamp, length long, content binary")
@@ -66,7 +68,9 @@ def watch_outputs(
     with listings(spark):
         scan = reader.load(path)
     file_path = F.col("_metadata.file_path")
-    return scan.select(file_path.alias("file_path"), path_chunk_idx(file_path).alias("chunk_idx"))
+    return scan.select(
+        file_path.alias("file_path"), path_chunk_idx(file_path).alias("chunk_idx"), file_mark().alias("mark")
+    )
 
 
 def due_jobs(spark: SparkSession, results: str, ledger: DataFrame, accept_partial: bool = False) -> DataFrame:
@@ -150,9 +154,14 @@ def stream_collect(
     that was built of the files and inputs that count now is left as it is.
 
     Without a ledger too, chunks that wait when the stream starts are built at once, ``CHUNKS_AT_ONCE`` together:
-    a backlog takes as many rebuilds as its chunks need, however few files a batch has.
+    a backlog takes as many rebuilds as its chunks need, however few files a batch has. Its files then come in batches
+    like all others; one that is still the file that was looked at, of inputs that are still the same, needs no second
+    look, so such a batch reads the names of its files and nothing else. A file of the backlog that is deleted meanwhile
+    is noticed when its chunk is looked at next, at the latest when a stream starts.
     """
     at_once = max(files_per_batch, CHUNKS_AT_ONCE)
+    looked_at: set[int] = set()  # marks of files of the backlog that have not come in a batch
+    saved_at = 0
 
     def rebuild(session: SparkSession, known: DataFrame | None, chunks: list[int]) -> None:
         for at in range(0, len(chunks), at_once):
@@ -173,8 +182,11 @@ def stream_collect(
         known = None if ledger is None else ledger(session)
         chunks: set[int] = set()
         if touched or known is None:
-            files = counted_files(list_outputs(session, outputs, touched, glob), known, accept_partial)
+            listed = list_outputs(session, outputs, touched, glob)
+            files = counted_files(listed, known, accept_partial)
             chunks |= set(outdated_chunks(session, results, with_inputs(files, inputs), touched))
+            if touched is None:
+                looked_at.update(r.mark for r in listed.select("mark").limit(REMEMBERED_FILES).collect())
         if known is not None:
             chunks |= set(due(session, known))
         if known is None or not chunks:
@@ -184,11 +196,16 @@ def stream_collect(
                 rebuild(session, materialize(ledger_states(known), "ledger"), sorted(chunks))
 
     def write_batch(batch: DataFrame, _: int) -> None:
-        # Chunk numbers of the batch: no more than its files.
-        touched = sorted({r.chunk_idx for r in batch.select("chunk_idx").distinct().collect()})
-        catch_up(batch.sparkSession, touched)
+        if looked_at and changed_at(batch.sparkSession, f"{inputs}/_SUCCESS") != saved_at:
+            looked_at.clear()
+        files = batch.collect()  # a row per file; as it is, since one more plan takes longer than a few names
+        touched = sorted({r.chunk_idx for r in files if r.mark not in looked_at})
+        looked_at.difference_update(r.mark for r in files)
+        if touched or ledger is not None:
+            catch_up(batch.sparkSession, touched)
 
     if children(spark, outputs):
+        saved_at = changed_at(spark, f"{inputs}/_SUCCESS")
         catch_up(spark, None)
     writer = (
         watch_outputs(spark, outputs, files_per_batch, glob)

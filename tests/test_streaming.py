@@ -198,3 +198,69 @@ def test_chunks_are_built_once_for_the_files_they_have(spark, tmp_path, monkeypa
     assert run("two") == sorted([*want, (1, "c")]) and built == [[0, 1, 2], [1]]
     prepare(spark, spec)
     assert run("three") == sorted([*want, (1, "c")]) and built == [[0, 1, 2], [1], [0, 1, 2]]
+
+
+def backlog(spark, tmp_path, monkeypatch, between=lambda spec, ids: None):
+    """A stream of one file a batch over three chunks of two jobs; ``between`` comes after the first look at the files.
+
+    Returns the streamed answers, those of the batch collect, and the chunks that the stream listed and built.
+    """
+    from lotwise.streaming import collect as sc
+
+    spec = spec_of(tmp_path, input_uri=topics(spark, tmp_path), max_records_per_job=10)
+    prepare(spark, spec)
+    ids, at, looks, built = ids_by_chunk(spark, spec), spec.layout, [], []
+    for c in ids:
+        put(spec, c, "job-a", "o", [answer(i, "a") for i in ids[c][:2]])
+        put(spec, c, "job-b", "o", [answer(i, "b") for i in ids[c][2:]])
+    watch, look, write = sc.watch_outputs, sc.outdated_chunks, sc.write_results
+
+    def watched(*args):
+        between(spec, ids)
+        return watch(*args)
+
+    monkeypatch.setattr(sc, "watch_outputs", watched)
+    monkeypatch.setattr(sc, "outdated_chunks", lambda s, r, f, chunks: (looks.append(chunks), look(s, r, f, chunks))[1])
+    monkeypatch.setattr(sc, "write_results", lambda df, path, chunks, *rest: (built.append(chunks), write(df, path, chunks, *rest)))
+    query = stream_collect(
+        spark, at.outputs, at.inputs, at.results, f"{tmp_path}/state", adapter_for(spec.model_id), files_per_batch=1
+    )
+    query.awaitTermination()
+    assert query.lastProgress["batchId"] >= 5  # a file a batch
+    streamed = sorted((r.chunk_idx, r.record_id, r.response) for r in read_results(spark, at.results).collect())
+    return streamed, sorted((r.chunk_idx, r.record_id, r.response) for r in collect(spark, spec).collect()), looks, built
+
+
+def test_batches_of_the_backlog_look_at_no_chunk_again(spark, tmp_path, monkeypatch):
+    streamed, batch, looks, built = backlog(spark, tmp_path, monkeypatch)
+    assert streamed == batch and len(streamed) == 25
+    assert looks == [None] and built == [[0, 1, 2]]
+
+
+def test_files_after_the_first_look_are_looked_at(spark, tmp_path, monkeypatch):
+    """A new job, a file by an earlier name that counts instead, and a file with other lines."""
+
+    def between(spec, ids):
+        put(spec, 0, "job-c", "o", [answer(ids[0][0], "c")])
+        put(spec, 1, "job-a", "n", [answer(ids[1][0], "earlier")])
+        put(spec, 2, "job-b", "o", [answer(i, "replaced") for i in ids[2][2:]])
+
+    streamed, batch, looks, built = backlog(spark, tmp_path, monkeypatch, between)
+    assert streamed == batch and {r[2] for r in streamed} == {"a", "b", "c", "earlier", "replaced"}
+    assert looks[0] is None and sorted(c for some in looks[1:] for c in some) == [0, 1, 2]
+    assert built[0] == [0, 1, 2] and sorted(c for some in built[1:] for c in some) == [0, 1, 2]
+
+
+def test_inputs_saved_after_the_first_look_are_joined_anew(spark, tmp_path, monkeypatch):
+    streamed, batch, looks, built = backlog(spark, tmp_path, monkeypatch, lambda spec, ids: prepare(spark, spec))
+    assert streamed == batch and len(streamed) == 25
+    assert sorted(c for some in built for c in some) == [0, 0, 1, 1, 2, 2]
+
+
+def test_more_files_than_the_driver_remembers(spark, tmp_path, monkeypatch):
+    from lotwise.streaming import collect as sc
+
+    monkeypatch.setattr(sc, "REMEMBERED_FILES", 2)
+    streamed, batch, looks, built = backlog(spark, tmp_path, monkeypatch)
+    assert streamed == batch and len(streamed) == 25
+    assert looks[0] is None and len(looks) == 5 and built == [[0, 1, 2]]
